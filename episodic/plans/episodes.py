@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodic.operators.incremental import high_water_mark, latest_per_key
+from episodic.operators.incremental import carried_cumsum, high_water_mark, latest_per_key
 from episodic.operators.intervals import episodes, range_join
 from episodic.operators.windows import running_total
 from episodic.plans.registry import AS_OF_EVENTS, register, ts
@@ -76,10 +76,10 @@ _K1_SQL_BODY = """
 marks AS (
   SELECT user_id AS lecture_vt_no, event_id AS payment_no, 'ord-' || CAST(event_id AS VARCHAR) AS order_id,
          ts AS time_stamp, 'active' AS active_state
-  FROM events WHERE event_type = 'purchase'
+  FROM {events} WHERE event_type = 'purchase'
   UNION ALL
   SELECT user_id, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), ts, 'done'
-  FROM events WHERE event_type = 'error' {stop_filter}
+  FROM {events} WHERE event_type = 'error' {stop_filter}
 ), numbered AS (
   SELECT *, SUM(CASE WHEN active_state = 'done' THEN 1 ELSE 0 END)
               OVER (PARTITION BY lecture_vt_no ORDER BY time_stamp) AS stops_le
@@ -96,7 +96,7 @@ marks AS (
 ), sess AS (
   SELECT user_id, event_id AS schedule_no, ts AS tutoring_datetime, ts + INTERVAL 1 HOUR AS update_datetime,
          CAST(value AS DECIMAL(18,2)) AS per_done_month
-  FROM events WHERE event_type = 'view'
+  FROM {events} WHERE event_type = 'view'
 ), glvt AS (
   SELECT e.lecture_vt_no,
          CAST(e.lecture_vt_no AS VARCHAR) || '_' || CAST(e.seq AS VARCHAR) AS group_lecture_vt_no,
@@ -113,9 +113,128 @@ marks AS (
            e.min_order_id, e.marker_updated_at
 )"""
 
-K1_SQL = "WITH " + _K1_SQL_BODY.format(stop_filter="") + "\nSELECT * FROM glvt"
+
+
+def k1_sql(events: str = "events", stop_filter: str = "") -> str:
+    return "WITH " + _K1_SQL_BODY.format(events=events, stop_filter=stop_filter) + "\nSELECT * FROM glvt"
+
+
+K1_SQL = k1_sql()
 
 
 @register("episodes", "K1: H4,F7,E2,D7,E1,E12", K1_SQL)
 def q_episodes(spark, t):
     return group_lvt(t.events)
+
+
+CUT = "2024-01-20 00:00:00"
+
+
+@register("episodes_incremental", "K1+A5+E10+G1", f"""
+WITH stored AS ({k1_sql(f"(SELECT * FROM events WHERE ts < TIMESTAMP '{CUT}')")}),
+fresh AS ({k1_sql()}),
+unioned AS (
+  SELECT *, 0 AS batch FROM stored
+  UNION ALL
+  SELECT *, 1 AS batch FROM fresh WHERE updated_at >= (SELECT MAX(updated_at) FROM stored)
+)
+SELECT * EXCLUDE (batch, rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY group_lecture_vt_no
+                               ORDER BY updated_at DESC NULLS LAST, batch DESC) AS rn
+  FROM unioned) x
+WHERE rn = 1
+""")
+def q_episodes_incremental(spark, t):
+    """Stored episode table from an earlier run, refreshed with the episodes
+    updated at or after its high-water mark (inclusive scan, G1 dedupe)."""
+    stored = group_lvt(t.events.filter(F.col("ts") < ts(CUT)))
+    hwm = high_water_mark(stored, "updated_at")
+    fresh = group_lvt(t.events).filter(F.col("updated_at") >= F.lit(hwm).cast("timestamp_ntz"))
+    both = stored.withColumn("batch", F.lit(0)).unionByName(fresh.withColumn("batch", F.lit(1)))
+    return latest_per_key(both, ["group_lecture_vt_no"],
+                          [F.col("updated_at").desc_nulls_last(), F.col("batch").desc()]).drop("batch")
+
+
+def _pause_detail(ev: DataFrame) -> DataFrame:
+    """Stand-in for the second pause table: one row per pause form with its decision."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    return ev.filter(F.col("event_type") == "error").select(
+        F.col("event_id").alias("form_no"),
+        F.when(k % 2 == 0, F.lit("stop")).otherwise(F.lit("resume")).alias("resume_left_lecture"))
+
+
+@register("episodes_two_condition", "K2: K1 + D1 on the pause decision", k1_sql(
+    stop_filter="AND event_id IN (SELECT event_id FROM events WHERE event_type = 'error' "
+                "AND CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 = 0)"))
+def q_episodes_two_condition(spark, t):
+    """K2: a pause closes an episode only when its detail row says 'stop'."""
+    detail = _pause_detail(t.events).filter(F.col("resume_left_lecture") == "stop")
+
+    def stop_filter(stops):
+        return stops.join(detail, stops["event_id"] == detail["form_no"], "inner").drop(*detail.columns)
+    return group_lvt(t.events, stop_filter=stop_filter)
+
+
+def _views(ev: DataFrame) -> DataFrame:
+    return ev.filter(F.col("event_type") == "view").select(
+        F.col("event_id").alias("schedule_no"), F.col("user_id").alias("lecture_vt_no"),
+        F.col("ts").alias("tutoring_datetime"),
+        F.col("value").cast("decimal(18,2)").alias("per_done_month"))
+
+
+_K3_SQL = f"""
+WITH v AS (
+  SELECT event_id AS schedule_no, user_id AS lecture_vt_no, ts AS tutoring_datetime,
+         CAST(value AS DECIMAL(18,2)) AS per_done_month
+  FROM events WHERE event_type = 'view'
+), stored AS (
+  SELECT *, SUM(per_done_month) OVER (PARTITION BY lecture_vt_no ORDER BY tutoring_datetime) AS sum_done_month
+  FROM v WHERE tutoring_datetime < TIMESTAMP '{CUT}'
+), base AS (
+  SELECT lecture_vt_no, MAX(sum_done_month) AS base FROM stored GROUP BY lecture_vt_no
+), delta AS (
+  SELECT v.*, COALESCE(b.base, 0)
+         + SUM(v.per_done_month) OVER (PARTITION BY v.lecture_vt_no ORDER BY v.tutoring_datetime) AS sum_done_month
+  FROM v LEFT JOIN base b ON b.lecture_vt_no = v.lecture_vt_no
+  WHERE v.tutoring_datetime >= TIMESTAMP '{CUT}'
+)"""
+
+
+def _carried(t):
+    v = _views(t.events)
+    stored = running_total(v.filter(F.col("tutoring_datetime") < ts(CUT)), ["lecture_vt_no"],
+                           ["tutoring_datetime"], F.col("per_done_month"), "sum_done_month",
+                           chunk=F.date_trunc("day", "tutoring_datetime"))
+    delta = v.filter(F.col("tutoring_datetime") >= ts(CUT))
+    new = carried_cumsum(stored, delta, "lecture_vt_no", ["tutoring_datetime"], "per_done_month",
+                         "sum_done_month", chunk=F.date_trunc("day", "tutoring_datetime"))
+    return stored, new
+
+
+def _carried_out(df):
+    return df.select("schedule_no", "lecture_vt_no", "tutoring_datetime",
+                     F.col("per_done_month").cast("double").alias("per_done_month"),
+                     F.col("sum_done_month").cast("double").alias("sum_done_month"))
+
+
+@register("carried_cumsum", "K3/G2: E11+F13+G1", _K3_SQL + """
+SELECT schedule_no, lecture_vt_no, tutoring_datetime, CAST(per_done_month AS DOUBLE) AS per_done_month,
+       CAST(sum_done_month AS DOUBLE) AS sum_done_month
+FROM (SELECT * FROM stored UNION ALL SELECT * FROM delta) u
+""")
+def q_carried_cumsum(spark, t):
+    """Cumulative done months per lecture kept in a stored table; new sessions
+    continue from the stored maximum; the union is deduplicated by session."""
+    stored, new = _carried(t)
+    both = stored.withColumn("batch", F.lit(0)).unionByName(new.withColumn("batch", F.lit(1)))
+    return _carried_out(latest_per_key(both, ["schedule_no"], [F.col("batch").desc()]))
+
+
+@register("carried_base", "E11,F13,I34", _K3_SQL + """
+SELECT schedule_no, lecture_vt_no, tutoring_datetime, CAST(per_done_month AS DOUBLE) AS per_done_month,
+       CAST(sum_done_month AS DOUBLE) AS sum_done_month
+FROM delta
+""")
+def q_carried_base(spark, t):
+    """Only the new rows: group max of the stored cumulative (null -> 0) plus running sum."""
+    return _carried_out(_carried(t)[1])
