@@ -1,4 +1,4 @@
 """Registered queries. Importing this package registers all of them."""
 
-from episodic.plans import episodes, feedback, lifecycle, mirrors, ranks  # noqa: F401
+from episodic.plans import episodes, feedback, lifecycle, mirrors, ranks, relational  # noqa: F401
 from episodic.plans.registry import REGISTRY, register  # noqa: F401
