@@ -1,5 +1,5 @@
 """Registered queries. Importing this package registers all of them."""
 
-from episodic.plans import (episodes, feedback, lifecycle, marts, mirrors, ranks,  # noqa: F401
+from episodic.plans import (episodes, experience, feedback, lifecycle, marts, mirrors, ranks,  # noqa: F401
                             relational, worklists)
 from episodic.plans.registry import REGISTRY, register  # noqa: F401
