@@ -28,14 +28,17 @@ def _stamp(x: datetime) -> F.Column:
 
 
 def insert_new(log: DataFrame, new_lecture: DataFrame, week_start: date, week_end: date,
-               stamp: datetime) -> DataFrame:
+               stamp: datetime, close_rule: str = "greatest",
+               conflict: tuple[str, ...] = ("lecture_vt_no", "start_date")) -> DataFrame:
     """K8: close open episodes before a new start, insert new starts if absent.
 
     ``new_lecture``: lecture_vt_no, student_user_no, fst_months, start_date,
     tutoring_state, grade, src_order (tie-break for duplicate keys).
     An open row is closed by the first new start strictly after it, at
-    ``greatest(start, new_start - 1 day)``; it is found with a forward scan
-    over (open rows + new starts) of a lecture, never by pairing them.
+    ``greatest(start, new_start - 1 day)`` (``close_rule='least'``, the weekly
+    variant: ``least(new_start - 1 day, week_end)``); it is found with a
+    forward scan over (open rows + new starts) of a lecture, never by pairing
+    them. ``conflict`` is the key of ON CONFLICT DO NOTHING.
     """
     src = new_lecture.filter(F.col("start_date").between(_d(week_start), _d(week_end))) \
         .withColumn("tutoring_state", F.coalesce("tutoring_state", F.lit("")))
@@ -49,19 +52,22 @@ def insert_new(log: DataFrame, new_lecture: DataFrame, week_start: date, week_en
         "_next_start", F.min(F.when(F.col("_kind") == 0, F.col("start_date"))).over(w)) \
         .filter((F.col("_kind") == 1) & F.col("_next_start").isNotNull()) \
         .select("lecture_vt_no", "start_date", "_next_start")
+    if close_rule == "greatest":
+        closing = F.greatest(F.col("start_date"), F.date_sub("_next_start", 1))
+    else:
+        closing = F.least(F.date_sub("_next_start", 1), _d(week_end))
     closed = log.join(nxt, ["lecture_vt_no", "start_date"], "left").select(
         *[c for c in LOG_COLS if c not in ("end_date", "updated_at")],
-        F.when(F.col("_next_start").isNotNull(),
-               F.greatest(F.col("start_date"), F.date_sub("_next_start", 1))).otherwise(F.col("end_date"))
-        .alias("end_date"),
+        F.when(F.col("_next_start").isNotNull(), closing).otherwise(F.col("end_date")).alias("end_date"),
         F.when(F.col("_next_start").isNotNull(), _stamp(stamp)).otherwise(F.col("updated_at")).alias("updated_at"))
     # next episode number from the pre-state; insert if (lecture, start) is absent
     max_ep = log.groupBy("lecture_vt_no").agg(F.max("episode_no").alias("_max_ep"))
-    w1 = Window.partitionBy("lecture_vt_no", "start_date").orderBy("src_order")
-    fresh = src.withColumn("_rn", F.row_number().over(w1)).filter(F.col("_rn") == 1) \
-        .join(log.select("lecture_vt_no", "start_date"), ["lecture_vt_no", "start_date"], "left_anti") \
-        .join(max_ep, "lecture_vt_no", "left") \
-        .select("lecture_vt_no", (F.coalesce("_max_ep", F.lit(0)) + 1).cast("bigint").alias("episode_no"),
+    w1 = Window.partitionBy(*conflict).orderBy("src_order")
+    fresh = src.join(max_ep, "lecture_vt_no", "left") \
+        .withColumn("episode_no", (F.coalesce("_max_ep", F.lit(0)) + 1).cast("bigint")) \
+        .withColumn("_rn", F.row_number().over(w1)).filter(F.col("_rn") == 1) \
+        .join(log.select(*conflict), list(conflict), "left_anti") \
+        .select("lecture_vt_no", "episode_no",
                 "student_user_no", "fst_months", "start_date", F.lit(None).cast("date").alias("end_date"),
                 "tutoring_state", "grade", _stamp(stamp).alias("created_at"), _stamp(stamp).alias("updated_at"))
     return closed.select(*LOG_COLS).unionByName(fresh.select(*LOG_COLS))

@@ -254,3 +254,64 @@ def q_model_slice_replace(spark, t):
     old = km_curve(pre, PREV["fit_start"], PREV["fit_end"], PREV["week_end"]) \
         .unionByName(km_curve(pre, FS, FE, WE))
     return replace_slice(old, km_curve(after_pause(t), FS, FE, WE))
+
+
+def _dirty_key(c):
+    """Keys as typed into the weekly sheet: leading zero, blanks and a dash."""
+    return F.concat(F.lit(" 0"), c.cast("string"), F.lit("- "))
+
+
+@register("episode_log_variant", "K13: D26,I37,B12,B10", f"""WITH {_SQL_BASE},
+npre AS (
+  SELECT regexp_replace(regexp_replace(lower(trim(CAST(lecture_vt_no AS VARCHAR))), '\\s|-', '', 'g'), '^0+', '') AS lecture_vt_no,
+         episode_no, student_user_no, fst_months, start_date, end_date, tutoring_state, grade, created_at, updated_at
+  FROM pre
+), npsrc AS (
+  SELECT regexp_replace(regexp_replace(lower(trim(' 0' || CAST(lecture_vt_no AS VARCHAR) || '- ')), '\\s|-', '', 'g'), '^0+', '')
+         AS lecture_vt_no, MAX(p) AS p
+  FROM psrc GROUP BY 1
+), paused AS (
+  SELECT l.lecture_vt_no, l.episode_no, l.student_user_no, l.fst_months, l.start_date,
+         CASE WHEN l.end_date IS NULL AND p.p IS NOT NULL THEN GREATEST(p.p.end_date, l.start_date) ELSE l.end_date END AS end_date,
+         CASE WHEN l.end_date IS NULL AND p.p IS NOT NULL THEN COALESCE(p.p.tutoring_state, l.tutoring_state)
+              ELSE l.tutoring_state END AS tutoring_state,
+         l.grade, l.created_at,
+         CASE WHEN l.end_date IS NULL AND p.p IS NOT NULL THEN TIMESTAMP '{{STAMP}}' ELSE l.updated_at END AS updated_at
+  FROM npre l LEFT JOIN npsrc p ON p.lecture_vt_no = l.lecture_vt_no
+), nsrc AS (
+  SELECT regexp_replace(regexp_replace(lower(trim(' 0' || CAST(lecture_vt_no AS VARCHAR) || '- ')), '\\s|-', '', 'g'), '^0+', '')
+         AS lecture_vt_no, student_user_no, fst_months, start_date, tutoring_state, grade, src_order
+  FROM src
+), vclosed AS (
+  SELECT l.*, (SELECT MIN(s.start_date) FROM nsrc s WHERE s.lecture_vt_no = l.lecture_vt_no
+                                                   AND s.start_date > l.start_date) AS next_start
+  FROM paused l
+), vins AS (
+  SELECT * FROM (
+    SELECT s.lecture_vt_no,
+           CAST(COALESCE((SELECT MAX(l.episode_no) FROM paused l WHERE l.lecture_vt_no = s.lecture_vt_no), 0) + 1 AS BIGINT) AS episode_no,
+           s.student_user_no, s.fst_months, s.start_date, CAST(NULL AS DATE) AS end_date, s.tutoring_state, s.grade,
+           TIMESTAMP '{{STAMP}}' AS created_at, TIMESTAMP '{{STAMP}}' AS updated_at,
+           ROW_NUMBER() OVER (PARTITION BY s.lecture_vt_no ORDER BY s.src_order) AS rn
+    FROM nsrc s) x
+  WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM paused l WHERE l.lecture_vt_no = x.lecture_vt_no
+                                                       AND l.episode_no = x.episode_no)
+)
+SELECT lecture_vt_no, episode_no, student_user_no, fst_months, start_date,
+       CASE WHEN end_date IS NULL AND next_start IS NOT NULL
+            THEN LEAST(CAST(next_start - INTERVAL 1 DAY AS DATE), DATE '{{WE}}') ELSE end_date END AS end_date,
+       tutoring_state, grade, created_at,
+       CASE WHEN end_date IS NULL AND next_start IS NOT NULL THEN TIMESTAMP '{{STAMP}}' ELSE updated_at END AS updated_at
+FROM vclosed
+UNION ALL
+SELECT lecture_vt_no, episode_no, student_user_no, fst_months, start_date, end_date, tutoring_state, grade,
+       created_at, updated_at FROM vins""".replace("{STAMP}", str(STAMP)).replace("{WE}", str(WE)))
+def q_episode_log_variant(spark, t):
+    """The weekly variant: keys matched after normalisation, pauses applied before inserts, open
+    episodes closed at least(new start - 1, week end), conflicts on (lecture, episode_no)."""
+    from episodic.functions.keys import normalise_key
+    pre = pre_log(t.orders).withColumn("lecture_vt_no", normalise_key(F.col("lecture_vt_no").cast("string")))
+    pauses = pause_lecture(t.orders).withColumn("lecture_vt_no", normalise_key(_dirty_key(F.col("lecture_vt_no"))))
+    news = new_lecture(t.orders).withColumn("lecture_vt_no", normalise_key(_dirty_key(F.col("lecture_vt_no"))))
+    paused = update_pause(pre, pauses, WS, WE, STAMP)
+    return insert_new(paused, news, WS, WE, STAMP, close_rule="least", conflict=("lecture_vt_no", "episode_no"))
