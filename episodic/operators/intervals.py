@@ -71,3 +71,30 @@ def range_join(intervals: DataFrame, points: DataFrame, keys: Sequence[tuple[str
     lo = pt[point] >= iv[start] if lower_inclusive else pt[point] > iv[start]
     hi = pt[point] <= iv[end] if upper_inclusive else pt[point] < iv[end]
     return iv.join(pt, cond + [lo, hi], "inner").drop("_bucket", "_pbucket")
+
+
+def interval_aggregate(intervals: DataFrame, points: DataFrame, keys: Sequence[tuple[str, str]],
+                       start: str, end: str, point: str, aggs: Sequence[Column], unit: str = "month",
+                       lower_inclusive: bool = True, upper_inclusive: bool = True,
+                       extra_cond: Column | None = None) -> DataFrame:
+    """Every interval with aggregates over the points it contains (LEFT join semantics).
+
+    One pass: each bucket copy of an interval is left-joined to the points
+    of its (key, bucket) with the bounds in the ON clause, then rows are
+    grouped back per interval. A bucket without a match contributes a null
+    row, which aggregates ignore, so an interval without any point still
+    appears once (count = 0, other aggregates null). ``intervals`` is read
+    once and its rows must be distinct. ``end`` must be non-null.
+    """
+    assert unit in _UNITS, unit
+    icols = intervals.columns
+    # explode_outer: an interval whose bounds give no bucket keeps one (null-bucket) row
+    iv = intervals.withColumn("_bucket", F.explode_outer(_bucket_seq(F.col(start).cast("timestamp_ntz"),
+                                                                      F.col(end).cast("timestamp_ntz"), unit)))
+    pt = points.withColumn("_pbucket", F.date_trunc(unit, F.col(point).cast("timestamp_ntz")))
+    cond = [iv[a] == pt[b] for a, b in keys] + [iv["_bucket"] == pt["_pbucket"]]
+    lo = pt[point] >= iv[start] if lower_inclusive else pt[point] > iv[start]
+    hi = pt[point] <= iv[end] if upper_inclusive else pt[point] < iv[end]
+    cond += [lo, hi] + ([extra_cond] if extra_cond is not None else [])
+    joined = iv.join(pt, cond, "left")
+    return joined.groupBy(*[iv[c] for c in icols]).agg(*aggs)

@@ -54,3 +54,17 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     present = set(df.columns)
     return df.select(*[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
                        for f in schema.fields])
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to a new folder under the shared checkpoint dir and read it back.
+
+    Used where one intermediate feeds several branches of a plan (a stored
+    table in production): it is computed once, its lineage is cut, and a
+    lost executor re-reads files instead of recomputing shuffles.
+    """
+    from episodic.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

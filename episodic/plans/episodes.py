@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodic.operators.incremental import carried_cumsum, high_water_mark, latest_per_key
-from episodic.operators.intervals import episodes, range_join
+from episodic.operators.intervals import episodes, interval_aggregate
+from episodic.operators.sinks import materialize
 from episodic.operators.windows import running_total
 from episodic.plans.registry import AS_OF_EVENTS, register, ts
 
@@ -21,18 +22,17 @@ ACTIVE_FROM = "2024-01-05 00:00:00"
 
 
 def markers(ev: DataFrame, stop_filter=None) -> DataFrame:
-    starts = ev.filter(F.col("event_type") == "purchase").select(
-        F.col("user_id").alias("lecture_vt_no"), F.col("event_id").alias("payment_no"),
-        F.concat(F.lit("ord-"), F.col("event_id").cast("string")).alias("order_id"),
-        F.col("ts").alias("time_stamp"), F.lit("active").alias("active_state"))
-    stops = ev.filter(F.col("event_type") == "error")
+    """Payments (start markers) and pause forms (stop markers) from one scan of the log."""
+    m = ev.filter(F.col("event_type").isin("purchase", "error"))
     if stop_filter is not None:
-        stops = stop_filter(stops)
-    stops = stops.select(
-        F.col("user_id").alias("lecture_vt_no"), F.lit(None).cast("bigint").alias("payment_no"),
-        F.lit(None).cast("string").alias("order_id"), F.col("ts").alias("time_stamp"),
-        F.lit("done").alias("active_state"))
-    return starts.unionByName(stops)
+        m = stop_filter(m)
+    is_start = F.col("event_type") == "purchase"
+    return m.select(
+        F.col("user_id").alias("lecture_vt_no"),
+        F.when(is_start, F.col("event_id")).alias("payment_no"),
+        F.when(is_start, F.concat(F.lit("ord-"), F.col("event_id").cast("string"))).alias("order_id"),
+        F.col("ts").alias("time_stamp"),
+        F.when(is_start, F.lit("active")).otherwise(F.lit("done")).alias("active_state"))
 
 
 def sessions(ev: DataFrame) -> DataFrame:
@@ -53,23 +53,22 @@ def group_lvt(ev: DataFrame, as_of: datetime = AS_OF_EVENTS, active_from: str =
     eps = eps.filter(F.col("active_timestamp") >= ts(active_from)) \
         .withColumn("interval_end", F.coalesce(F.col("done_timestamp"),
                                                ts(as_of) + F.expr("INTERVAL 1 MONTH")))
-    matched = range_join(eps.select("lecture_vt_no", "seq", "active_timestamp", "interval_end"),
-                         sessions(ev), [("lecture_vt_no", "s_lecture_vt_no")],
-                         "active_timestamp", "interval_end", "tutoring_datetime", unit="day")
-    per_ep = matched.groupBy("lecture_vt_no", "seq").agg(
-        F.max("update_datetime").alias("max_session_update"),
-        F.min("tutoring_datetime").alias("min_tutoring_datetime"),
-        F.min("schedule_no").alias("min_schedule_no"),
-        F.sum("per_done_month").cast("double").alias("done_month"),
-        F.count(F.lit(1)).alias("n_sessions"))
-    return eps.join(per_ep, ["lecture_vt_no", "seq"], "left").select(
+    res = interval_aggregate(
+        eps, sessions(ev), [("lecture_vt_no", "s_lecture_vt_no")], "active_timestamp", "interval_end",
+        "tutoring_datetime", unit="day",
+        aggs=[F.max("update_datetime").alias("max_session_update"),
+              F.min("tutoring_datetime").alias("min_tutoring_datetime"),
+              F.min("schedule_no").alias("min_schedule_no"),
+              F.sum("per_done_month").cast("double").alias("done_month"),
+              F.count("schedule_no").alias("n_sessions")])
+    return res.select(
         "lecture_vt_no",
         F.concat(F.col("lecture_vt_no").cast("string"), F.lit("_"), F.col("seq").cast("string"))
         .alias("group_lecture_vt_no"),
         "seq", "active_timestamp", "done_timestamp", "min_payment_no", "min_order_id",
         F.greatest("marker_updated_at", "max_session_update").alias("updated_at"),
         "min_tutoring_datetime", "min_schedule_no", "done_month",
-        F.coalesce(F.col("n_sessions"), F.lit(0)).cast("bigint").alias("n_sessions"))
+        F.col("n_sessions").cast("bigint").alias("n_sessions"))
 
 
 _K1_SQL_BODY = """
@@ -147,7 +146,7 @@ WHERE rn = 1
 def q_episodes_incremental(spark, t):
     """Stored episode table from an earlier run, refreshed with the episodes
     updated at or after its high-water mark (inclusive scan, G1 dedupe)."""
-    stored = group_lvt(t.events.filter(F.col("ts") < ts(CUT)))
+    stored = materialize(group_lvt(t.events.filter(F.col("ts") < ts(CUT))), "group_lvt")
     hwm = high_water_mark(stored, "updated_at")
     fresh = group_lvt(t.events).filter(F.col("updated_at") >= F.lit(hwm).cast("timestamp_ntz"))
     both = stored.withColumn("batch", F.lit(0)).unionByName(fresh.withColumn("batch", F.lit(1)))
@@ -170,8 +169,9 @@ def q_episodes_two_condition(spark, t):
     """K2: a pause closes an episode only when its detail row says 'stop'."""
     detail = _pause_detail(t.events).filter(F.col("resume_left_lecture") == "stop")
 
-    def stop_filter(stops):
-        return stops.join(detail, stops["event_id"] == detail["form_no"], "inner").drop(*detail.columns)
+    def stop_filter(m):
+        j = m.join(detail, m["event_id"] == detail["form_no"], "left")
+        return j.filter((F.col("event_type") == "purchase") | F.col("form_no").isNotNull()).drop(*detail.columns)
     return group_lvt(t.events, stop_filter=stop_filter)
 
 
@@ -202,9 +202,9 @@ WITH v AS (
 
 def _carried(t):
     v = _views(t.events)
-    stored = running_total(v.filter(F.col("tutoring_datetime") < ts(CUT)), ["lecture_vt_no"],
-                           ["tutoring_datetime"], F.col("per_done_month"), "sum_done_month",
-                           chunk=F.date_trunc("day", "tutoring_datetime"))
+    stored = materialize(running_total(v.filter(F.col("tutoring_datetime") < ts(CUT)), ["lecture_vt_no"],
+                                       ["tutoring_datetime"], F.col("per_done_month"), "sum_done_month",
+                                       chunk=F.date_trunc("day", "tutoring_datetime")), "voice_data")
     delta = v.filter(F.col("tutoring_datetime") >= ts(CUT))
     new = carried_cumsum(stored, delta, "lecture_vt_no", ["tutoring_datetime"], "per_done_month",
                          "sum_done_month", chunk=F.date_trunc("day", "tutoring_datetime"))

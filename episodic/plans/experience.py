@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from episodic.operators.feedback import explode_pairs, pivot_slots
 from episodic.operators.incremental import high_water_mark, latest_per_key
 from episodic.operators.intervals import range_join, with_next
+from episodic.operators.sinks import materialize
 from episodic.operators.windows import first_rows
 from episodic.plans.episodes import group_lvt, k1_sql
 from episodic.plans.feedback import _FORMS_SQL, forms
@@ -40,8 +41,8 @@ def experience_base(t, update_variant: bool = False, memo_fallback: bool = False
     g = group_lvt(ev).select("lecture_vt_no", "group_lecture_vt_no", "seq", "active_timestamp")
     if episode_from is not None:
         g = g.filter(F.col("active_timestamp").between(ts(episode_from), ts(episode_to)))
-    eps = with_next(g, "lecture_vt_no", ["active_timestamp", "seq"], "active_timestamp", "next_active") \
-        .withColumn("_eend", F.coalesce("next_active", data_end))
+    eps = materialize(with_next(g, "lecture_vt_no", ["active_timestamp", "seq"], "active_timestamp", "next_active")
+                      .withColumn("_eend", F.coalesce("next_active", data_end)), "experience_episodes")
     before_next = F.col("next_active").isNull()
 
     signups = ev.filter(F.col("event_type") == "signup").select(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from episodic.operators.lifecycle import (LOG_COLS, insert_new, renumber_episodes, update_pause,
                                           weekly_actuals_for, weekly_counts)
+from episodic.operators.sinks import materialize
 from episodic.operators.survival import compute_window, km_curve, replace_slice
 from episodic.plans.registry import register
 
@@ -73,12 +74,17 @@ def pause_lecture(orders):
                     .otherwise(F.lit("paused")).alias("tutoring_state"))
 
 
-def after_insert(t):
-    return insert_new(pre_log(t.orders), new_lecture(t.orders), WS, WE, STAMP)
+def stored_log(t):
+    """The pre-run log as the stored table it is in production (written once, read by every step)."""
+    return materialize(pre_log(t.orders), "lvt_log")
 
 
-def after_pause(t):
-    return update_pause(after_insert(t), pause_lecture(t.orders), WS, WE, STAMP)
+def after_insert(t, log=None):
+    return insert_new(stored_log(t) if log is None else log, new_lecture(t.orders), WS, WE, STAMP)
+
+
+def after_pause(t, log=None):
+    return update_pause(after_insert(t, log), pause_lecture(t.orders), WS, WE, STAMP)
 
 
 # ---- oracle SQL: the same steps as CTEs -------------------------------------------------
@@ -192,8 +198,9 @@ UNION ALL
 SELECT week_start, CAST(cohort_months AS INTEGER), new_actual, pause_actual, 'lvt_log' FROM cur""")
 def q_weekly_actuals(spark, t):
     """History of weekly starts/ends per cohort, upserted with this week's row from the updated log."""
-    hist = weekly_counts(pre_log(t.orders)).withColumn("source", F.lit("history"))
-    cur = weekly_actuals_for(after_pause(t), WS, WE).withColumn("source", F.lit("lvt_log"))
+    log = stored_log(t)
+    hist = weekly_counts(log).withColumn("source", F.lit("history"))
+    cur = weekly_actuals_for(after_pause(t, log), WS, WE).withColumn("source", F.lit("lvt_log"))
     keys = ["week_start", "cohort_months"]
     return hist.join(cur.select(*keys), keys, "left_anti").unionByName(cur)
 
@@ -250,10 +257,10 @@ SELECT * FROM old WHERE NOT (fit_window_start = DATE '{FS}' AND fit_window_end =
 UNION ALL SELECT * FROM fresh""")
 def q_model_slice_replace(spark, t):
     """Stored curves of two windows; this window's slice is deleted and re-inserted from the updated log."""
-    pre = pre_log(t.orders)
-    old = km_curve(pre, PREV["fit_start"], PREV["fit_end"], PREV["week_end"]) \
-        .unionByName(km_curve(pre, FS, FE, WE))
-    return replace_slice(old, km_curve(after_pause(t), FS, FE, WE))
+    pre = stored_log(t)
+    old = materialize(km_curve(pre, PREV["fit_start"], PREV["fit_end"], PREV["week_end"])
+                      .unionByName(km_curve(pre, FS, FE, WE)), "km_models")
+    return replace_slice(old, km_curve(after_pause(t, pre), FS, FE, WE))
 
 
 def _dirty_key(c):
@@ -310,7 +317,7 @@ def q_episode_log_variant(spark, t):
     """The weekly variant: keys matched after normalisation, pauses applied before inserts, open
     episodes closed at least(new start - 1, week end), conflicts on (lecture, episode_no)."""
     from episodic.functions.keys import normalise_key
-    pre = pre_log(t.orders).withColumn("lecture_vt_no", normalise_key(F.col("lecture_vt_no").cast("string")))
+    pre = stored_log(t).withColumn("lecture_vt_no", normalise_key(F.col("lecture_vt_no").cast("string")))
     pauses = pause_lecture(t.orders).withColumn("lecture_vt_no", normalise_key(_dirty_key(F.col("lecture_vt_no"))))
     news = new_lecture(t.orders).withColumn("lecture_vt_no", normalise_key(_dirty_key(F.col("lecture_vt_no"))))
     paused = update_pause(pre, pauses, WS, WE, STAMP)

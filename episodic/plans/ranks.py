@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from episodic.operators.incremental import high_water_mark
-from episodic.operators.intervals import range_join, with_next
+from episodic.operators.intervals import interval_aggregate, range_join, with_next
 from episodic.operators.windows import first_rows
 from episodic.plans.episodes import group_lvt, k1_sql
 from episodic.plans.registry import register, ts
@@ -48,15 +48,14 @@ def q_next_episode(spark, t):
     # The open end is closed at the last ship date of the data: no point lies beyond it.
     last_ship = high_water_mark(t.lineitem, "l_shipdate")
     iv = o.withColumn("_end", F.coalesce("next_orderdate", F.lit(last_ship).cast("timestamp_ntz")))
-    # half-open: [start, next) ; an open interval includes its (data-bounded) end
-    m = range_join(iv.select("o_orderkey", "o_custkey", "o_orderdate", "next_orderdate", "_end"),
-                   lines, [("o_custkey", "cust")], "o_orderdate", "_end", "l_shipdate", unit="month")
-    m = m.filter(F.col("next_orderdate").isNull() | (F.col("l_shipdate") < F.col("next_orderdate")))
-    agg = m.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("qty"))
-    return o.join(agg, "o_orderkey", "left").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "next_orderdate",
-        F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce("qty", F.lit(0.0)).alias("qty"))
+    # half-open [start, next): the strict upper bound is checked in the ON clause
+    half_open = F.col("next_orderdate").isNull() | (F.col("l_shipdate") < F.col("next_orderdate"))
+    res = interval_aggregate(iv, lines, [("o_custkey", "cust")], "o_orderdate", "_end", "l_shipdate",
+                             aggs=[F.count("l_shipdate").alias("n_lines"), F.sum("l_quantity").alias("qty")],
+                             unit="month", extra_cond=half_open)
+    return res.select("o_orderkey", "o_custkey", "o_orderdate", "next_orderdate",
+                      F.col("n_lines").cast("bigint").alias("n_lines"),
+                      F.coalesce("qty", F.lit(0.0)).alias("qty"))
 
 
 @register("first_after", "D9,D10", f"""
