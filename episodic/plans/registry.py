@@ -26,6 +26,8 @@ REGISTRY: dict[str, Query] = {}
 def register(name: str, ops: str, oracle: str | None = None):
     def deco(fn: Callable[[SparkSession, load], DataFrame]):
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # wall-clock data: conversions to instants (watermarks) are defined in UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return fn(spark, load(spark, sf_dir))
         build.__name__ = fn.__name__
         build.__doc__ = fn.__doc__
