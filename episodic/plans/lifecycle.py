@@ -239,10 +239,10 @@ SELECT DATE '{fs}' AS fit_window_start, DATE '{fe}' AS fit_window_end, 'week' AS
 FROM sv)"""
 
 
-@register("km_curve", "K7,K11: E14,F15,F16,I22-I24", f"WITH {_SQL_BASE}\nSELECT * FROM {_km_sql('log2', FS, FE, WE)} k")
+@register("km_curve", "K7,K11: E14,F15,F16,I22-I24,H3", f"WITH {_SQL_BASE}\nSELECT * FROM {_km_sql('log2', FS, FE, WE)} k")
 def q_km_curve(spark, t):
     """Retention curve per plan-length cohort over the 12-month fit window, as of the week end."""
-    return km_curve(after_pause(t), FS, FE, WE)
+    return km_curve(after_pause(t), FS, FE, WE).orderBy("cohort_months", "time_k")
 
 
 PREV = compute_window(date(1998, 8, 25))

@@ -147,7 +147,7 @@ def q_tied_running_sum(spark, t):
                              F.row_number().over(w_rank).cast("bigint").alias("rn"))
 
 
-@register("consecutive_zero", "F3,K20,E6,D20", """
+@register("consecutive_zero", "F3,K20,E6,D20,I19", """
 WITH e AS (
   SELECT user_id, ts, event_type,
          LAG(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_type
