@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from episodic.operators.windows import running_total
+from episodic.operators.windows import running_total, shifted
 
 _UNITS = {"day", "week", "month", "year", "hour"}
 
@@ -41,8 +41,14 @@ def episodes(markers: DataFrame, key: str, ts: str, state: str, start_value: str
     )
 
 
-def with_next(df: DataFrame, key: str, order: Sequence, col: str, out: str) -> DataFrame:
-    """``lead(col)`` per key in ``order`` (tie-break belongs in ``order``)."""
+def with_next(df: DataFrame, key: str, order: Sequence, col: str, out: str,
+              chunk: Column | None = None) -> DataFrame:
+    """``lead(col)`` per key in ``order`` (tie-break belongs in ``order``).
+
+    ``chunk`` (e.g. the month of the first order column) splits a hot key
+    over many tasks; see ``windows.shifted``."""
+    if chunk is not None:
+        return shifted(df, [key], list(order), col, out, direction=1, chunk=chunk)
     w = Window.partitionBy(key).orderBy(*[F.col(o) if isinstance(o, str) else o for o in order])
     return df.withColumn(out, F.lead(col).over(w))
 

@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from episodic.operators.windows import row_numbers
+
 LOG_COLS = ["lecture_vt_no", "episode_no", "student_user_no", "fst_months", "start_date", "end_date",
             "tutoring_state", "grade", "created_at", "updated_at"]
 COHORTS = (1, 3, 6, 12)
@@ -132,12 +134,14 @@ def weekly_actuals_for(log: DataFrame, week_start: date, week_end: date, cohorts
         F.coalesce("pause_actual", F.lit(0)).cast("bigint").alias("pause_actual"))
 
 
-def renumber_episodes(log: DataFrame, stamp: datetime) -> DataFrame:
-    """episode_no = rank by (start, coalesce(end, 2100-01-01)); touch updated_at only on change."""
-    w = Window.partitionBy("lecture_vt_no").orderBy("start_date",
-                                                    F.coalesce("end_date", F.lit("2100-01-01").cast("date")))
-    rn = F.row_number().over(w).cast("bigint")
-    res = log.withColumn("_rn", rn)
+def renumber_episodes(log: DataFrame, stamp: datetime, chunk: Column | None = None) -> DataFrame:
+    """episode_no = rank by (start, coalesce(end, 2100-01-01)); touch updated_at only on change.
+
+    (lecture, start) is unique, so the order is total; ``chunk`` (e.g. the
+    year of ``start_date``) numbers a hot lecture in many tasks."""
+    res = row_numbers(log, ["lecture_vt_no"],
+                      [F.col("start_date"), F.coalesce("end_date", F.lit("2100-01-01").cast("date"))], "_rn",
+                      chunk=chunk)
     changed = ~F.col("episode_no").eqNullSafe(F.col("_rn"))
     return res.select(*[c for c in LOG_COLS if c not in ("episode_no", "updated_at")],
                       F.col("_rn").alias("episode_no"),

@@ -22,12 +22,14 @@ def _cols(xs) -> list[Column]:
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
-                  chunk: Column | None = None) -> DataFrame:
+                  chunk: Column | None = None, chunk_nulls_last: bool = False) -> DataFrame:
     """``out`` = sum of ``value`` over rows of the same key ordered at or before this row.
 
     Frame: RANGE UNBOUNDED PRECEDING .. CURRENT ROW on ``order`` (peers
     included). With ``chunk`` given the work is split per (key, chunk).
     ``value`` should be integral or decimal so that the split sum is exact.
+    ``chunk_nulls_last`` must match the null placement of the first order
+    column (a null order value gives a null chunk).
     """
     order_cols = _cols(order)
     if chunk is None:
@@ -35,7 +37,8 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence, value: Co
         return df.withColumn(out, F.sum(value).over(w))
     tmp = df.withColumn("_chunk", chunk).withColumn("_v", value)
     per_chunk = tmp.groupBy(*keys, "_chunk").agg(F.sum("_v").alias("_chunk_sum"))
-    before = Window.partitionBy(*keys).orderBy(F.col("_chunk").asc_nulls_first()) \
+    chunk_order = F.col("_chunk").asc_nulls_last() if chunk_nulls_last else F.col("_chunk").asc_nulls_first()
+    before = Window.partitionBy(*keys).orderBy(chunk_order) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_chunk.select(*keys, F.col("_chunk").alias("_chunk_o"),
                                F.coalesce(F.sum("_chunk_sum").over(before),
@@ -57,3 +60,45 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence, n: int = 1,
     if rank_col is None:
         return res.drop(rn)
     return res.withColumn(rn, F.col(rn).cast("bigint"))
+
+
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence, out: str,
+                chunk: Column | None = None, chunk_nulls_last: bool = False) -> DataFrame:
+    """``row_number()`` per key over a total order (the order must include a tie-break).
+
+    With ``chunk`` it is computed as a running count split per (key, chunk),
+    so a hot key is numbered by many tasks."""
+    if chunk is None:
+        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    return running_total(df, keys, order, F.lit(1).cast("bigint"), out, chunk=chunk,
+                         chunk_nulls_last=chunk_nulls_last)
+
+
+def shifted(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, out: str, direction: int = 1,
+            chunk: Column | None = None) -> DataFrame:
+    """``lead(col)`` (direction 1) or ``lag(col)`` (direction -1) per key over an ascending total order.
+
+    With ``chunk`` (a function of the first order column, e.g. its day) the
+    shift runs per (key, chunk); the row at a chunk edge takes its neighbour
+    from the first (or last) row of the next (or previous) non-empty chunk,
+    found on the small per-(key, chunk) table. Order columns sort ascending
+    with nulls first, as the plain window does.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    fn = F.lead if direction == 1 else F.lag
+    if chunk is None:
+        return df.withColumn(out, fn(col).over(w))
+    tmp = df.withColumn("_chunk", chunk)
+    wk = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    tmp = tmp.withColumn("_in", fn(col).over(wk)).withColumn("_edge", fn(F.lit(1)).over(wk).isNull())
+    probe = F.struct(*[F.col(o) for o in order], F.col(col).alias("_v"))
+    edge = (F.min(probe) if direction == 1 else F.max(probe))["_v"]
+    per = tmp.groupBy(*keys, "_chunk").agg(edge.alias("_edge_v"))
+    wc = Window.partitionBy(*keys).orderBy(F.col("_chunk").asc_nulls_first())
+    nb = per.select(*[F.col(k).alias("_nb_" + k) for k in keys], F.col("_chunk").alias("_nb_chunk"),
+                    fn("_edge_v").over(wc).alias("_nb"))
+    cond = [tmp[k].eqNullSafe(nb["_nb_" + k]) for k in keys] + [tmp["_chunk"].eqNullSafe(nb["_nb_chunk"])]
+    j = tmp.join(nb, cond, "inner")
+    return j.withColumn(out, F.when(F.col("_edge"), F.col("_nb")).otherwise(F.col("_in"))) \
+        .drop("_chunk", "_in", "_edge", "_nb", "_nb_chunk", *["_nb_" + k for k in keys])

@@ -41,7 +41,8 @@ def experience_base(t, update_variant: bool = False, memo_fallback: bool = False
     g = group_lvt(ev).select("lecture_vt_no", "group_lecture_vt_no", "seq", "active_timestamp")
     if episode_from is not None:
         g = g.filter(F.col("active_timestamp").between(ts(episode_from), ts(episode_to)))
-    eps = materialize(with_next(g, "lecture_vt_no", ["active_timestamp", "seq"], "active_timestamp", "next_active")
+    eps = materialize(with_next(g, "lecture_vt_no", ["active_timestamp", "seq"], "active_timestamp", "next_active",
+                                chunk=F.date_trunc("day", "active_timestamp"))
                       .withColumn("_eend", F.coalesce("next_active", data_end)), "experience_episodes")
     before_next = F.col("next_active").isNull()
 
@@ -51,7 +52,8 @@ def experience_base(t, update_variant: bool = False, memo_fallback: bool = False
     assign = range_join(eps, signups, [("lecture_vt_no", "a_user")], "active_timestamp", "_eend", "assign_at",
                         unit="day").filter(before_next | (F.col("assign_at") < F.col("next_active"))) \
         .drop("a_user", "_eend")
-    assign = with_next(assign, "lecture_vt_no", ["assign_at", "assign_id"], "assign_at", "next_assign") \
+    assign = with_next(assign, "lecture_vt_no", ["assign_at", "assign_id"], "assign_at", "next_assign",
+                       chunk=F.date_trunc("day", "assign_at")) \
         .withColumn("_aend", F.coalesce("next_assign", data_end))
 
     sessions = ev.filter(F.col("event_type").isin("view", "click")).select(

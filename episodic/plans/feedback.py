@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from episodic.operators.feedback import explode_pairs, pivot_slots
 from episodic.operators.incremental import latest_per_key
+from episodic.operators.windows import shifted
 from episodic.operators.intervals import range_join
 from episodic.plans.episodes import group_lvt, k1_sql
 from episodic.plans.registry import register, ts
@@ -132,9 +133,8 @@ FROM e WHERE event_type IN ('signup', 'view')
 """)
 def q_sla_label(spark, t):
     """Whole hours between a request and the next answer (truncated), labelled against 24 h."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    e = t.events.select("event_id", "user_id", "ts", "event_type",
-                        F.lead("ts").over(w).alias("next_ts"))
+    e = shifted(t.events.select("event_id", "user_id", "ts", "event_type"), ["user_id"], ["ts", "event_id"],
+                "ts", "next_ts", direction=1, chunk=F.date_trunc("day", "ts"))
     hours = F.expr("timestampdiff(HOUR, ts, next_ts)")
     label = (F.when(F.col("event_type") != "signup", "")
              .when(F.col("next_ts").isNull(), "check")

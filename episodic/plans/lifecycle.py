@@ -171,7 +171,7 @@ SELECT lecture_vt_no, new_no AS episode_no, student_user_no, fst_months, start_d
        episode_no IS DISTINCT FROM new_no AS renumbered
 FROM rn""")
 def q_renumber_episodes(spark, t):
-    return renumber_episodes(after_pause(t), STAMP)
+    return renumber_episodes(after_pause(t), STAMP, chunk=F.date_trunc("year", "start_date"))
 
 
 @register("weekly_actuals", "K10: D18,D19,E3,B8,J3", f"""WITH {_SQL_BASE},

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from episodic.operators.incremental import (high_water_mark, insert_absent, latest_per_key,
                                             scan_since, state_changes, upsert)
+from episodic.operators.windows import row_numbers
 from episodic.plans.registry import AS_OF_EVENTS, AS_OF_ORDERS, money, register, ts
 
 CUT_ORDERS = "1998-01-01 00:00:00"
@@ -190,9 +191,9 @@ def q_list_maintenance(spark, t):
         F.trim("room_id").alias("room_id"), "o_custkey",
         F.try_to_timestamp("ts_text", F.lit(fmt)).cast("timestamp_ntz").alias("tutoring_datetime"), "batch")
     last = latest_per_key(u, ["room_id"], [F.col("batch").desc()], null_keys="keep")
-    w = F.row_number().over(Window.partitionBy("o_custkey")
-                            .orderBy(F.col("tutoring_datetime").asc_nulls_last(), "room_id"))
-    return last.select("room_id", "o_custkey", "tutoring_datetime", w.cast("bigint").alias("session_no"))
+    last = row_numbers(last, ["o_custkey"], [F.col("tutoring_datetime").asc_nulls_last(), F.col("room_id")],
+                       "session_no", chunk=F.date_trunc("month", "tutoring_datetime"), chunk_nulls_last=True)
+    return last.select("room_id", "o_custkey", "tutoring_datetime", "session_no")
 
 
 @register("tagged_append", "B2,B3,B18,H6", """

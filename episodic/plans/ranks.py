@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from episodic.operators.incremental import high_water_mark
 from episodic.operators.intervals import interval_aggregate, range_join, with_next
-from episodic.operators.windows import first_rows
+from episodic.operators.windows import first_rows, row_numbers, running_total, shifted
 from episodic.plans.episodes import group_lvt, k1_sql
 from episodic.plans.registry import register, ts
 
@@ -43,7 +43,8 @@ GROUP BY o.o_orderkey, o.o_custkey, o.o_orderdate, o.next_orderdate
 def q_next_episode(spark, t):
     """Lines a customer shipped in [this order date, next order date); the last interval is open."""
     o = with_next(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey",
-                  ["o_orderdate", "o_orderkey"], "o_orderdate", "next_orderdate")
+                  ["o_orderdate", "o_orderkey"], "o_orderdate", "next_orderdate",
+                  chunk=F.date_trunc("month", "o_orderdate"))
     lines = _lines_with_customer(t)
     # The open end is closed at the last ship date of the data: no point lies beyond it.
     last_ship = high_water_mark(t.lineitem, "l_shipdate")
@@ -88,7 +89,8 @@ def q_lead_after_filter(spark, t):
     """The filter comes first: a next start outside the range is invisible to LEAD."""
     o = t.orders.filter(F.col("o_orderdate").between(ts("1996-01-01 00:00:00"), ts("1996-12-31 00:00:00"))) \
         .select("o_orderkey", "o_custkey", "o_orderdate")
-    return with_next(o, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderdate", "next_orderdate")
+    return with_next(o, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderdate", "next_orderdate",
+                     chunk=F.date_trunc("month", "o_orderdate"))
 
 
 def stage_label(rn, done):
@@ -140,11 +142,12 @@ FROM lineitem
 """)
 def q_tied_running_sum(spark, t):
     """RANGE frame on a tied order: peers share the running sum; the rank gets a full tie-break."""
-    w_range = Window.partitionBy("l_orderkey").orderBy("l_shipdate")
-    w_rank = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
-                             F.sum("l_quantity").over(w_range).alias("qty_running"),
-                             F.row_number().over(w_rank).cast("bigint").alias("rn"))
+    month = F.date_trunc("month", "l_shipdate")
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
+                           "l_extendedprice")
+    li = running_total(li, ["l_orderkey"], ["l_shipdate"], F.col("l_quantity"), "qty_running", chunk=month)
+    li = row_numbers(li, ["l_orderkey"], LINE_ORDER, "rn", chunk=month)
+    return li.drop("l_extendedprice")
 
 
 @register("consecutive_zero", "F3,K20,E6,D20,I19", """
@@ -162,8 +165,8 @@ LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
 """)
 def q_consecutive_zero(spark, t):
     """Two zero-minute sessions in a row, the second one on the given day."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    e = t.events.select("user_id", "ts", "event_type", F.lag("event_type").over(w).alias("prev_type"))
+    e = shifted(t.events.select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"],
+                "event_type", "prev_type", direction=-1, chunk=F.date_trunc("day", "ts"))
     day = F.lit("2024-01-15").cast("date")
     hits = e.filter((F.col("event_type") == "error") & (F.col("prev_type") == "error")
                     & (F.to_date("ts") == day)).select("user_id").distinct()
@@ -218,12 +221,12 @@ def q_rank_as_cumcount(spark, t):
         F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_orderdate")).alias("done_ts"),
         F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("date"))
         .otherwise(F.date_add(F.to_date("o_orderdate"), 30)).alias("end_date"))
-    w1 = Window.partitionBy("o_custkey").orderBy(F.col("done_ts").asc_nulls_last(), "o_orderkey")
-    w2 = Window.partitionBy("o_custkey").orderBy(
-        F.to_date("o_orderdate"), F.coalesce("end_date", F.lit("2100-01-01").cast("date")), "o_orderkey")
-    return o.select("o_orderkey", "o_custkey", "done_ts", "end_date",
-                    F.row_number().over(w1).cast("bigint").alias("cum_no"),
-                    F.row_number().over(w2).cast("bigint").alias("episode_no"),
+    o = row_numbers(o, ["o_custkey"], [F.col("done_ts").asc_nulls_last(), F.col("o_orderkey")], "cum_no",
+                    chunk=F.date_trunc("month", "done_ts"), chunk_nulls_last=True)
+    o = row_numbers(o, ["o_custkey"], [F.to_date("o_orderdate"),
+                                       F.coalesce("end_date", F.lit("2100-01-01").cast("date")), F.col("o_orderkey")],
+                    "episode_no", chunk=F.date_trunc("month", "o_orderdate"))
+    return o.select("o_orderkey", "o_custkey", "done_ts", "end_date", "cum_no", "episode_no",
                     F.coalesce(F.date_format("done_ts", "yyyy-MM-dd HH:mm:ss"), F.lit("open")).alias("done_label"))
 
 

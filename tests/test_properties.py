@@ -56,3 +56,19 @@ def test_range_join_and_interval_aggregate_equal_brute_force(spark):
         for i, _ in want:
             counts[i] = counts.get(i, 0) + 1
         assert rows(agg, "iid", "n") == sorted((i, counts.get(i, 0)) for i, *_ in ivs)
+
+
+def test_row_numbers_and_shifts_chunked_equal_window(spark):
+    from episodic.operators.windows import row_numbers, shifted
+    for seed in range(3):
+        data = _events(seed)
+        data += [(1000 + i, 5, None, i % 3) for i in range(4)]  # null order values
+        df = spark.createDataFrame(data, "id long, k long, ts timestamp_ntz, v long")
+        order = ["ts", "id"]
+        chunk = F.date_trunc("day", "ts")
+        assert rows(row_numbers(df, ["k"], order, "n"), "id", "n") == \
+            rows(row_numbers(df, ["k"], order, "n", chunk=chunk), "id", "n")
+        for direction in (1, -1):
+            plain = shifted(df, ["k"], order, "v", "x", direction)
+            split = shifted(df, ["k"], order, "v", "x", direction, chunk=chunk)
+            assert rows(plain, "id", "x") == rows(split, "id", "x")
