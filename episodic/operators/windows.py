@@ -1,5 +1,11 @@
 """Window building blocks that stay correct and parallel when one key is hot.
 
+Hot keys are found first (``hot_split``): one map-side combined count per key,
+keys above ``spark.episodic.hotKeyRows`` rows (default 2,000,000) are hot. The
+hot list is at most total_rows / threshold keys, so joining it back is cheap
+(AQE broadcasts it when it is small). Normal keys take the plain window (one
+shuffle); only hot keys take the chunked path described below.
+
 A plain ``sum().over(partitionBy(key).orderBy(ts))`` sends every row of a
 key to one task. ``running_total`` splits each key into chunks of its order
 column (for instance days), sums the chunks with a map-side combined
@@ -17,12 +23,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+HOT_KEY_ROWS_CONF = "spark.episodic.hotKeyRows"
+DEFAULT_HOT_KEY_ROWS = 2_000_000
+
+
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def hot_key_rows(spark) -> int:
+    return int(spark.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
+
+
+def hot_split(df: DataFrame, keys: Sequence[str], plain, chunked, threshold: int | None = None) -> DataFrame:
+    """Apply ``plain`` to the rows of normal keys and ``chunked`` to the rows of hot keys; union.
+
+    The per-key counts are one map-side combined aggregate; only their
+    maximum (one scalar) reaches the driver. Without a hot key the plain plan
+    is returned as is, so the common case costs one extra aggregate pass.
+    """
+    threshold = hot_key_rows(df.sparkSession) if threshold is None else threshold
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.agg(F.max("_n").alias("m")).first()["m"]
+    if top is None or top <= threshold:
+        return plain(df)
+    # The hot list holds at most total_rows / threshold keys (a proven bound), so it is broadcast:
+    # the rows are not shuffled for this join. Null-safe: a null key is one group like any other.
+    hot = F.broadcast(counts.filter(F.col("_n") > threshold)
+                      .select(*[F.col(k).alias("_hot_" + k) for k in keys], F.lit(True).alias("_is_hot")))
+    cond = [df[k].eqNullSafe(hot["_hot_" + k]) for k in keys]
+    tagged = df.join(hot, cond, "left")
+    is_hot = F.coalesce(F.col("_is_hot"), F.lit(False))
+    drop = ["_hot_" + k for k in keys] + ["_is_hot"]
+    normal = tagged.filter(~is_hot).drop(*drop)
+    hot_rows = tagged.filter(is_hot).drop(*drop)
+    return plain(normal).unionByName(chunked(hot_rows))
+
+
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
-                  chunk: Column | None = None, chunk_nulls_last: bool = False) -> DataFrame:
+                  chunk: Column | None = None, chunk_nulls_last: bool = False,
+                  hot_only: bool = True, threshold: int | None = None) -> DataFrame:
     """``out`` = sum of ``value`` over rows of the same key ordered at or before this row.
 
     Frame: RANGE UNBOUNDED PRECEDING .. CURRENT ROW on ``order`` (peers
@@ -35,6 +75,11 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence, value: Co
     if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         return df.withColumn(out, F.sum(value).over(w))
+    if hot_only:
+        return hot_split(df, keys,
+                         lambda d: running_total(d, keys, order, value, out),
+                         lambda d: running_total(d, keys, order, value, out, chunk, chunk_nulls_last,
+                                                 hot_only=False), threshold)
     tmp = df.withColumn("_chunk", chunk).withColumn("_v", value)
     per_chunk = tmp.groupBy(*keys, "_chunk").agg(F.sum("_v").alias("_chunk_sum"))
     chunk_order = F.col("_chunk").asc_nulls_last() if chunk_nulls_last else F.col("_chunk").asc_nulls_first()
@@ -63,7 +108,8 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence, n: int = 1,
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence, out: str,
-                chunk: Column | None = None, chunk_nulls_last: bool = False) -> DataFrame:
+                chunk: Column | None = None, chunk_nulls_last: bool = False,
+                hot_only: bool = True, threshold: int | None = None) -> DataFrame:
     """``row_number()`` per key over a total order (the order must include a tie-break).
 
     With ``chunk`` it is computed as a running count split per (key, chunk),
@@ -71,12 +117,16 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence, out: str,
     if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*_cols(order))
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    if hot_only:
+        return hot_split(df, keys, lambda d: row_numbers(d, keys, order, out),
+                         lambda d: row_numbers(d, keys, order, out, chunk, chunk_nulls_last, hot_only=False),
+                         threshold)
     return running_total(df, keys, order, F.lit(1).cast("bigint"), out, chunk=chunk,
-                         chunk_nulls_last=chunk_nulls_last)
+                         chunk_nulls_last=chunk_nulls_last, hot_only=False)
 
 
 def shifted(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, out: str, direction: int = 1,
-            chunk: Column | None = None) -> DataFrame:
+            chunk: Column | None = None, hot_only: bool = True, threshold: int | None = None) -> DataFrame:
     """``lead(col)`` (direction 1) or ``lag(col)`` (direction -1) per key over an ascending total order.
 
     With ``chunk`` (a function of the first order column, e.g. its day) the
@@ -89,6 +139,9 @@ def shifted(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
     fn = F.lead if direction == 1 else F.lag
     if chunk is None:
         return df.withColumn(out, fn(col).over(w))
+    if hot_only:
+        return hot_split(df, keys, lambda d: shifted(d, keys, order, col, out, direction),
+                         lambda d: shifted(d, keys, order, col, out, direction, chunk, hot_only=False), threshold)
     tmp = df.withColumn("_chunk", chunk)
     wk = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     tmp = tmp.withColumn("_in", fn(col).over(wk)).withColumn("_edge", fn(F.lit(1)).over(wk).isNull())

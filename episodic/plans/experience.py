@@ -38,12 +38,14 @@ def experience_base(t, update_variant: bool = False, memo_fallback: bool = False
                     episode_from: str | None = None, episode_to: str | None = None, top_n: int = 4):
     ev = t.events
     data_end = F.lit(high_water_mark(ev, "ts")).cast("timestamp_ntz")
-    g = group_lvt(ev).select("lecture_vt_no", "group_lecture_vt_no", "seq", "active_timestamp")
+    # the episode table is stored once; every later step (hot-key probes included) reads the copy
+    g = materialize(group_lvt(ev).select("lecture_vt_no", "group_lecture_vt_no", "seq", "active_timestamp"),
+                    "experience_episodes")
     if episode_from is not None:
         g = g.filter(F.col("active_timestamp").between(ts(episode_from), ts(episode_to)))
-    eps = materialize(with_next(g, "lecture_vt_no", ["active_timestamp", "seq"], "active_timestamp", "next_active",
-                                chunk=F.date_trunc("day", "active_timestamp"))
-                      .withColumn("_eend", F.coalesce("next_active", data_end)), "experience_episodes")
+    eps = with_next(g, "lecture_vt_no", ["active_timestamp", "seq"], "active_timestamp", "next_active",
+                    chunk=F.date_trunc("day", "active_timestamp")) \
+        .withColumn("_eend", F.coalesce("next_active", data_end))
     before_next = F.col("next_active").isNull()
 
     signups = ev.filter(F.col("event_type") == "signup").select(

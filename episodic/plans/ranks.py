@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from episodic.operators.incremental import high_water_mark
 from episodic.operators.intervals import interval_aggregate, range_join, with_next
-from episodic.operators.windows import first_rows, row_numbers, running_total, shifted
+from episodic.operators.windows import first_rows, hot_split, row_numbers, running_total, shifted
 from episodic.plans.episodes import group_lvt, k1_sql
 from episodic.plans.registry import register, ts
 
@@ -145,8 +145,12 @@ def q_tied_running_sum(spark, t):
     month = F.date_trunc("month", "l_shipdate")
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
                            "l_extendedprice")
-    li = running_total(li, ["l_orderkey"], ["l_shipdate"], F.col("l_quantity"), "qty_running", chunk=month)
-    li = row_numbers(li, ["l_orderkey"], LINE_ORDER, "rn", chunk=month)
+    def windows(d, chunk):
+        d = running_total(d, ["l_orderkey"], ["l_shipdate"], F.col("l_quantity"), "qty_running", chunk=chunk,
+                          hot_only=False)
+        return row_numbers(d, ["l_orderkey"], LINE_ORDER, "rn", chunk=chunk, hot_only=False)
+    # one hot-key detection for both windows: normal orders plain, hot orders split by month
+    li = hot_split(li, ["l_orderkey"], lambda d: windows(d, None), lambda d: windows(d, month))
     return li.drop("l_extendedprice")
 
 
@@ -221,11 +225,14 @@ def q_rank_as_cumcount(spark, t):
         F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_orderdate")).alias("done_ts"),
         F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("date"))
         .otherwise(F.date_add(F.to_date("o_orderdate"), 30)).alias("end_date"))
-    o = row_numbers(o, ["o_custkey"], [F.col("done_ts").asc_nulls_last(), F.col("o_orderkey")], "cum_no",
-                    chunk=F.date_trunc("month", "done_ts"), chunk_nulls_last=True)
-    o = row_numbers(o, ["o_custkey"], [F.to_date("o_orderdate"),
-                                       F.coalesce("end_date", F.lit("2100-01-01").cast("date")), F.col("o_orderkey")],
-                    "episode_no", chunk=F.date_trunc("month", "o_orderdate"))
+    def numbered(d, split):
+        d = row_numbers(d, ["o_custkey"], [F.col("done_ts").asc_nulls_last(), F.col("o_orderkey")], "cum_no",
+                        chunk=F.date_trunc("month", "done_ts") if split else None, chunk_nulls_last=True,
+                        hot_only=False)
+        return row_numbers(d, ["o_custkey"], [F.to_date("o_orderdate"), F.coalesce(
+            "end_date", F.lit("2100-01-01").cast("date")), F.col("o_orderkey")], "episode_no",
+            chunk=F.date_trunc("month", "o_orderdate") if split else None, hot_only=False)
+    o = hot_split(o, ["o_custkey"], lambda d: numbered(d, False), lambda d: numbered(d, True))
     return o.select("o_orderkey", "o_custkey", "done_ts", "end_date", "cum_no", "episode_no",
                     F.coalesce(F.date_format("done_ts", "yyyy-MM-dd HH:mm:ss"), F.lit("open")).alias("done_label"))
 

@@ -27,8 +27,11 @@ def test_running_total_chunked_equals_window(spark):
     for seed in range(3):
         df = spark.createDataFrame(_events(seed), "id long, k long, ts timestamp_ntz, v long")
         plain = running_total(df, ["k"], ["ts"], F.col("v"), "r")
-        chunked = running_total(df, ["k"], ["ts"], F.col("v"), "r", chunk=F.date_trunc("day", "ts"))
+        chunked = running_total(df, ["k"], ["ts"], F.col("v"), "r", chunk=F.date_trunc("day", "ts"),
+                                hot_only=False)
         assert rows(plain, "id", "r") == rows(chunked, "id", "r")
+        hybrid = running_total(df, ["k"], ["ts"], F.col("v"), "r", chunk=F.date_trunc("day", "ts"), threshold=50)
+        assert rows(plain, "id", "r") == rows(hybrid, "id", "r")
         # peers (equal ts) share the value, as the default RANGE frame does
         w = Window.partitionBy("k").orderBy("ts")
         assert rows(df.withColumn("r", F.sum("v").over(w)), "id", "r") == rows(chunked, "id", "r")
@@ -66,9 +69,10 @@ def test_row_numbers_and_shifts_chunked_equal_window(spark):
         df = spark.createDataFrame(data, "id long, k long, ts timestamp_ntz, v long")
         order = ["ts", "id"]
         chunk = F.date_trunc("day", "ts")
-        assert rows(row_numbers(df, ["k"], order, "n"), "id", "n") == \
-            rows(row_numbers(df, ["k"], order, "n", chunk=chunk), "id", "n")
+        want = rows(row_numbers(df, ["k"], order, "n"), "id", "n")
+        assert want == rows(row_numbers(df, ["k"], order, "n", chunk=chunk, hot_only=False), "id", "n")
+        assert want == rows(row_numbers(df, ["k"], order, "n", chunk=chunk, threshold=50), "id", "n")
         for direction in (1, -1):
-            plain = shifted(df, ["k"], order, "v", "x", direction)
-            split = shifted(df, ["k"], order, "v", "x", direction, chunk=chunk)
-            assert rows(plain, "id", "x") == rows(split, "id", "x")
+            plain = rows(shifted(df, ["k"], order, "v", "x", direction), "id", "x")
+            assert plain == rows(shifted(df, ["k"], order, "v", "x", direction, chunk=chunk, hot_only=False), "id", "x")
+            assert plain == rows(shifted(df, ["k"], order, "v", "x", direction, chunk=chunk, threshold=50), "id", "x")
