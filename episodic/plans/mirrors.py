@@ -228,3 +228,19 @@ def q_keep_created_at(spark, t):
     return new.join(old, "c_custkey", "left").select(
         "c_custkey", "c_name", F.coalesce("created_at", ts(AS_OF_EVENTS)).alias("created_at"),
         ts(AS_OF_EVENTS).alias("updated_at"))
+
+
+@register("mirror_first_run", "A9,A4,K26,G1", """
+SELECT * FROM events
+""")
+def q_mirror_first_run(spark, t):
+    """First run of a mirror: the target does not exist yet, so it reads as an empty frame of the
+    contract schema, the watermark falls back to its default and the whole source is copied."""
+    from episodic.session import scratch_path
+    from episodic.sources.files import read_or_empty
+    src = t.events
+    target = read_or_empty(spark, scratch_path(spark, "events_mirror"), src.schema)
+    hwm = high_water_mark(target, "ts", default="1900-01-01 00:00:00")
+    delta = scan_since(src, "ts", hwm)
+    both = target.withColumn("batch", F.lit(0)).unionByName(delta.withColumn("batch", F.lit(1)))
+    return latest_per_key(both, ["event_id"], [F.col("ts").desc_nulls_last(), F.col("batch").desc()]).drop("batch")
