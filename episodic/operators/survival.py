@@ -75,10 +75,13 @@ def km_curve(log: DataFrame, fit_start: date, fit_end: date, as_of: date,
                         F.round("s", 12).alias("s"), F.round("q", 12).alias("q"), F.round("h", 12).alias("h"))
 
 
-def replace_slice(models: DataFrame, fresh: DataFrame, keys=("fit_window_start", "fit_window_end", "time_unit")):
-    """Delete the fit window's rows, insert the new curve."""
-    slice_keys = fresh.select(*keys).distinct()
-    return models.join(slice_keys, list(keys), "left_anti").unionByName(fresh)
+def replace_slice(models: DataFrame, fresh: DataFrame, fit_start: date, fit_end: date,
+                  time_unit: str = "week") -> DataFrame:
+    """Delete the fit window's rows (a filter on the window parameters), insert the new curve."""
+    fs, fe = (F.lit(x.isoformat()).cast("date") for x in (fit_start, fit_end))
+    in_slice = (F.col("fit_window_start") == fs) & (F.col("fit_window_end") == fe) & \
+        (F.col("time_unit") == time_unit)
+    return models.filter(~F.coalesce(in_slice, F.lit(False))).unionByName(fresh)
 
 
 def should_retrain(versions: DataFrame, models: DataFrame, fit_start: date, fit_end: date) -> bool:
@@ -98,5 +101,6 @@ def activate_version(versions: DataFrame, fit_start: date, fit_end: date, horizo
         [(fit_start, fit_end, "week", horizon, "active", stamp, by, notes)],
         "fit_window_start date, fit_window_end date, time_unit string, horizon_weeks int, status string, "
         "created_at timestamp_ntz, created_by string, notes string")
-    keys = ["fit_window_start", "fit_window_end", "time_unit"]
-    return versions.join(row.select(*keys), keys, "left_anti").unionByName(row)
+    fs, fe = (F.lit(x.isoformat()).cast("date") for x in (fit_start, fit_end))
+    same = (F.col("fit_window_start") == fs) & (F.col("fit_window_end") == fe) & (F.col("time_unit") == "week")
+    return versions.filter(~F.coalesce(same, F.lit(False))).unionByName(row)

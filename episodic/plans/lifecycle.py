@@ -260,7 +260,7 @@ def q_model_slice_replace(spark, t):
     pre = stored_log(t)
     old = materialize(km_curve(pre, PREV["fit_start"], PREV["fit_end"], PREV["week_end"])
                       .unionByName(km_curve(pre, FS, FE, WE)), "km_models")
-    return replace_slice(old, km_curve(after_pause(t, pre), FS, FE, WE))
+    return replace_slice(old, km_curve(after_pause(t, pre), FS, FE, WE), FS, FE)
 
 
 def _dirty_key(c):
