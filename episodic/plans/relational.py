@@ -99,14 +99,15 @@ def q_residual_joins(spark, t):
     o = t.orders.select("o_orderkey", "o_orderdate")
     li = t.lineitem.select(*LINE_ORDER, "l_orderkey")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
-    after = j.filter(F.col("l_shipdate") > F.col("o_orderdate")).groupBy("o_orderkey") \
-        .agg(F.min(F.struct(*LINE_ORDER)).alias("a"))
-    before = j.filter(F.col("l_shipdate") <= F.col("o_orderdate")).groupBy(F.col("o_orderkey").alias("b_key")) \
-        .agg(F.min(F.struct(*LINE_ORDER)).alias("b"))
-    x = o.join(after, "o_orderkey", "left")
-    x = x.join(before, (x["o_orderkey"] == before["b_key"]) & F.col("a").isNull(), "left")
-    return x.select("o_orderkey", F.coalesce("a.l_shipdate", "b.l_shipdate").alias("match_ship"),
-                    F.when(F.col("a").isNotNull(), "after").when(F.col("b").isNotNull(), "before")
+    line = F.struct(*LINE_ORDER)
+    # one join, both residuals as conditional aggregates (min ignores the nulls of the other side)
+    firsts = j.groupBy("o_orderkey").agg(
+        F.min(F.when(F.col("l_shipdate") > F.col("o_orderdate"), line)).alias("a"),
+        F.min(F.when(F.col("l_shipdate") <= F.col("o_orderdate"), line)).alias("b"))
+    x = o.join(firsts, "o_orderkey", "left")
+    fallback = F.when(F.col("a").isNull(), F.col("b"))  # the second match only counts when the first missed
+    return x.select("o_orderkey", F.coalesce(F.col("a.l_shipdate"), fallback["l_shipdate"]).alias("match_ship"),
+                    F.when(F.col("a").isNotNull(), "after").when(fallback.isNotNull(), "before")
                     .otherwise("none").alias("match_source"))
 
 
