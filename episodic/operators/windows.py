@@ -1,18 +1,30 @@
 """Window building blocks that stay correct and parallel when one key is hot.
 
-Hot keys are found first (``hot_split``): one map-side combined count per key,
-keys above ``spark.episodic.hotKeyRows`` rows (default 2,000,000) are hot. The
-hot list is at most total_rows / threshold keys, so joining it back is cheap
-(AQE broadcasts it when it is small). Normal keys take the plain window (one
-shuffle); only hot keys take the chunked path described below.
-
 A plain ``sum().over(partitionBy(key).orderBy(ts))`` sends every row of a
-key to one task. ``running_total`` splits each key into chunks of its order
-column (for instance days), sums the chunks with a map-side combined
-aggregate, turns the chunk sums into offsets on that small table, and runs
-the per-row window per (key, chunk). The result equals the default RANGE
-frame (peers share a value) as long as the chunk is a function of the order
-column, so equal order values always land in one chunk.
+key to one task. Given a ``chunk`` (a function of the first order column,
+for instance its day), the windows here run per (key, chunk) instead:
+
+1. the rows are shuffled once on (key, chunk) and the per-row window runs
+   inside the chunk;
+2. one row per (key, chunk) (the chunk sum, or the chunk's edge value) is
+   aggregated with a map-side combine and windowed per key on that small
+   table;
+3. the small result joins back on (key, chunk). Keys and chunk are encoded as
+   non-null (is-null flag, value) column pairs, so the join uses plain
+   equality and the large side keeps the partitioning of step 1: only the
+   small side is shuffled.
+
+So the split costs one large shuffle, the same as the plain window. The
+result equals the default RANGE frame (peers share a value) because equal
+order values always land in one chunk.
+
+The split only pays when keys are large: for small keys the per-chunk table
+is as large as the data. By default (``hot_only=True``) ``hot_split`` first
+counts rows per key (one map-side combined aggregate over the key columns;
+only the maximum reaches the driver) and keeps the plain window for keys at
+or below ``spark.episodic.hotKeyRows``; only rows of hot keys take the split.
+The hot list is at most total_rows / threshold keys, a proven bound, so it
+is broadcast.
 """
 
 from __future__ import annotations
@@ -31,6 +43,36 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+_EPOCH = {"date": "1970-01-01", "timestamp": "1970-01-01 00:00:00", "timestamp_ntz": "1970-01-01 00:00:00"}
+
+
+def _encode(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Add a non-null (is-null flag, value-or-default) pair per column; return the pair names.
+
+    Grouping, windowing and equi-joining on the pairs equals doing so on the
+    columns with nulls as one group, and keeps the join on the window's
+    partitioning (a null-safe join key would force a re-shuffle)."""
+    names = []
+    for i, c in enumerate(cols):
+        dt = df.schema[c].dataType.simpleString()
+        if dt in _EPOCH:
+            default = F.lit(_EPOCH[dt]).cast(dt)
+        elif dt == "string":
+            default = F.lit("")
+        elif dt == "boolean":
+            default = F.lit(False)
+        else:
+            default = F.lit(0).cast(dt)
+        df = df.withColumn(f"_en{i}", F.col(c).isNull()).withColumn(f"_ev{i}", F.coalesce(F.col(c), default))
+        names += [f"_en{i}", f"_ev{i}"]
+    return df, names
+
+
+def _chunk_order(enc: Sequence[str], nulls_last: bool) -> list[Column]:
+    flag, value = F.col(enc[-2]), F.col(enc[-1])
+    return [flag.asc() if nulls_last else flag.desc(), value.asc()]
+
+
 def hot_key_rows(spark) -> int:
     return int(spark.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
 
@@ -80,19 +122,16 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence, value: Co
                          lambda d: running_total(d, keys, order, value, out),
                          lambda d: running_total(d, keys, order, value, out, chunk, chunk_nulls_last,
                                                  hot_only=False), threshold)
-    tmp = df.withColumn("_chunk", chunk).withColumn("_v", value)
-    per_chunk = tmp.groupBy(*keys, "_chunk").agg(F.sum("_v").alias("_chunk_sum"))
-    chunk_order = F.col("_chunk").asc_nulls_last() if chunk_nulls_last else F.col("_chunk").asc_nulls_first()
-    before = Window.partitionBy(*keys).orderBy(chunk_order) \
+    tmp, enc = _encode(df.withColumn("_chunk", chunk).withColumn("_v", value), list(keys) + ["_chunk"])
+    inner = tmp.withColumn("_in", F.sum("_v").over(Window.partitionBy(*enc).orderBy(*order_cols)))
+    per_chunk = inner.groupBy(*enc).agg(F.sum("_v").alias("_chunk_sum"))
+    before = Window.partitionBy(*enc[:-2]).orderBy(*_chunk_order(enc, chunk_nulls_last)) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.select(*keys, F.col("_chunk").alias("_chunk_o"),
-                               F.coalesce(F.sum("_chunk_sum").over(before),
-                                          F.lit(0).cast(per_chunk.schema["_chunk_sum"].dataType))
-                               .alias("_offset"))
-    cond = [tmp[k].eqNullSafe(offsets[k]) for k in keys] + [tmp["_chunk"].eqNullSafe(offsets["_chunk_o"])]
-    joined = tmp.join(offsets, cond, "inner").drop(*[offsets[k] for k in keys]).drop("_chunk_o")
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*order_cols)
-    return joined.withColumn(out, F.col("_offset") + F.sum("_v").over(w)).drop("_chunk", "_offset", "_v")
+    zero = F.lit(0).cast(per_chunk.schema["_chunk_sum"].dataType)
+    offsets = per_chunk.select(*enc, F.coalesce(F.sum("_chunk_sum").over(before), zero).alias("_offset"))
+    joined = inner.join(offsets, enc, "inner")
+    return joined.withColumn(out, F.col("_offset") + F.col("_in")) \
+        .drop("_chunk", "_v", "_in", "_offset", *enc)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence, n: int = 1,
@@ -142,16 +181,14 @@ def shifted(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
     if hot_only:
         return hot_split(df, keys, lambda d: shifted(d, keys, order, col, out, direction),
                          lambda d: shifted(d, keys, order, col, out, direction, chunk, hot_only=False), threshold)
-    tmp = df.withColumn("_chunk", chunk)
-    wk = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    tmp, enc = _encode(df.withColumn("_chunk", chunk), list(keys) + ["_chunk"])
+    wk = Window.partitionBy(*enc).orderBy(*order)
     tmp = tmp.withColumn("_in", fn(col).over(wk)).withColumn("_edge", fn(F.lit(1)).over(wk).isNull())
     probe = F.struct(*[F.col(o) for o in order], F.col(col).alias("_v"))
     edge = (F.min(probe) if direction == 1 else F.max(probe))["_v"]
-    per = tmp.groupBy(*keys, "_chunk").agg(edge.alias("_edge_v"))
-    wc = Window.partitionBy(*keys).orderBy(F.col("_chunk").asc_nulls_first())
-    nb = per.select(*[F.col(k).alias("_nb_" + k) for k in keys], F.col("_chunk").alias("_nb_chunk"),
-                    fn("_edge_v").over(wc).alias("_nb"))
-    cond = [tmp[k].eqNullSafe(nb["_nb_" + k]) for k in keys] + [tmp["_chunk"].eqNullSafe(nb["_nb_chunk"])]
-    j = tmp.join(nb, cond, "inner")
+    per = tmp.groupBy(*enc).agg(edge.alias("_edge_v"))
+    wc = Window.partitionBy(*enc[:-2]).orderBy(*_chunk_order(enc, nulls_last=False))
+    nb = per.select(*enc, fn("_edge_v").over(wc).alias("_nb"))
+    j = tmp.join(nb, enc, "inner")
     return j.withColumn(out, F.when(F.col("_edge"), F.col("_nb")).otherwise(F.col("_in"))) \
-        .drop("_chunk", "_in", "_edge", "_nb", "_nb_chunk", *["_nb_" + k for k in keys])
+        .drop("_chunk", "_in", "_edge", "_nb", *enc)
