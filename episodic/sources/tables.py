@@ -56,12 +56,15 @@ class load:
     """Attribute access to the tables of one folder: ``t = load(spark, d); t.orders``."""
 
     def __init__(self, spark: SparkSession, base: str):
-        self._spark, self._base = spark, base
+        self._spark, self._base, self._frames = spark, base, {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return table(self._spark, self._base, name)
+        # one DataFrame per table (file listing and footers are read once per query build)
+        if name not in self._frames:
+            self._frames[name] = table(self._spark, self._base, name)
+        return self._frames[name]
 
 
 def register_views(spark: SparkSession, base: str, names=None) -> None:
