@@ -6,7 +6,13 @@ it opens the next one. The episode number of a row is the number of stops
 at or before its time (RANGE frame, so a start at the same instant as a stop
 belongs to the *next* episode), plus one for starts.
 
-``range_join`` matches points to intervals of the same key without forming
+``asof_join`` matches points to intervals that tile the time line of a key
+(each runs from its start to the next start): intervals and points are
+unioned and shuffled once per key, and every point takes the latest interval
+starting at or before it (a forward fill, split by chunk for hot keys). No
+interval is copied, however long it is.
+
+``range_join`` matches points to intervals that may overlap, without forming
 all pairs of a key: intervals are spread over the calendar buckets they
 cover, points go to their own bucket, and the join key is (key, bucket).
 A hot key is split over its buckets and each point meets only the
@@ -20,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from episodic.operators.windows import running_total, shifted
+from episodic.operators.windows import filled, running_total, shifted
 
 _UNITS = {"day", "week", "month", "year", "hour"}
 
@@ -104,3 +110,45 @@ def interval_aggregate(intervals: DataFrame, points: DataFrame, keys: Sequence[t
     cond += [lo, hi] + ([extra_cond] if extra_cond is not None else [])
     joined = iv.join(pt, cond, "left")
     return joined.groupBy(*[iv[c] for c in icols]).agg(*aggs)
+
+
+def asof_join(intervals: DataFrame, points: DataFrame, keys: Sequence[tuple[str, str]],
+              start: str, end: str, point: str, tie: Sequence[str] = (), chunk_unit: str = "day",
+              lower_inclusive: bool = True, upper_inclusive: bool = True) -> DataFrame:
+    """``range_join`` for intervals that do not overlap within a key (they tile: each ends where
+    the next, in (start, *tie) order, begins).
+
+    Each point takes the last interval whose start is at or before it; then
+    both bounds are checked exactly, so the result equals ``range_join`` on
+    such intervals. Rows with a null key or start never match.
+    """
+    assert chunk_unit in _UNITS, chunk_unit
+    kn = [f"_aj_k{i}" for i in range(len(keys))]
+    icols, pcols = intervals.columns, points.columns
+    iv_t = intervals.select(F.struct(*icols).alias("_iv")).schema["_iv"].dataType
+    pt_t = points.select(F.struct(*pcols).alias("_pt")).schema["_pt"].dataType
+    iv_ok = F.lit(True)
+    for a, _ in keys:
+        iv_ok = iv_ok & F.col(a).isNotNull()
+    pt_ok = F.lit(True)
+    for _, b in keys:
+        pt_ok = pt_ok & F.col(b).isNotNull()
+    tie_t = intervals.select(F.struct(*[F.col(c) for c in tie], F.lit(0).alias("_z")).alias("t")) \
+        .schema["t"].dataType
+    # at equal times an interval start sorts before the points, so "at or before" holds
+    marks = intervals.filter(iv_ok & F.col(start).isNotNull()).select(
+        *[F.col(a).alias(k) for (a, _), k in zip(keys, kn)],
+        F.col(start).cast("timestamp_ntz").alias("_aj_t"), F.lit(0).alias("_aj_kind"),
+        F.struct(*[F.col(c) for c in tie], F.lit(0).alias("_z")).alias("_aj_tie"),
+        F.struct(*icols).alias("_iv"), F.lit(None).cast(pt_t).alias("_pt"))
+    pts = points.filter(pt_ok).select(
+        *[F.col(b).alias(k) for (_, b), k in zip(keys, kn)],
+        F.col(point).cast("timestamp_ntz").alias("_aj_t"), F.lit(1).alias("_aj_kind"),
+        F.lit(None).cast(tie_t).alias("_aj_tie"),
+        F.lit(None).cast(iv_t).alias("_iv"), F.struct(*pcols).alias("_pt"))
+    u = filled(marks.unionByName(pts), kn, ["_aj_t", "_aj_kind", "_aj_tie"], "_iv", "_aj_iv",
+               chunk=F.date_trunc(chunk_unit, F.col("_aj_t")))
+    m = u.filter((F.col("_aj_kind") == 1) & F.col("_aj_iv").isNotNull()).select("_aj_iv.*", "_pt.*")
+    lo = F.col(point) >= F.col(start) if lower_inclusive else F.col(point) > F.col(start)
+    hi = F.col(point) <= F.col(end) if upper_inclusive else F.col(point) < F.col(end)
+    return m.filter(lo & hi)

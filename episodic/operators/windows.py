@@ -192,3 +192,31 @@ def shifted(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
     j = tmp.join(nb, enc, "inner")
     return j.withColumn(out, F.when(F.col("_edge"), F.col("_nb")).otherwise(F.col("_in"))) \
         .drop("_chunk", "_in", "_edge", "_nb", *enc)
+
+
+def filled(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, out: str,
+           chunk: Column | None = None, hot_only: bool = True, threshold: int | None = None) -> DataFrame:
+    """Forward fill: ``last(col, ignorenulls)`` per key over ROWS UNBOUNDED PRECEDING .. CURRENT ROW.
+
+    ``order`` names columns sorted ascending, nulls first, and must be total
+    for the rows that carry a value. With ``chunk`` the fill runs per
+    (key, chunk); a chunk's first rows take the last value of the nearest
+    earlier chunk that has one, found on the small per-(key, chunk) table.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    if chunk is None:
+        return df.withColumn(out, F.last(col, ignorenulls=True).over(w))
+    if hot_only:
+        return hot_split(df, keys, lambda d: filled(d, keys, order, col, out),
+                         lambda d: filled(d, keys, order, col, out, chunk, hot_only=False), threshold)
+    tmp, enc = _encode(df.withColumn("_chunk", chunk), list(keys) + ["_chunk"])
+    wk = Window.partitionBy(*enc).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    tmp = tmp.withColumn("_in", F.last(col, ignorenulls=True).over(wk))
+    # struct order = ascending, nulls first: the max is the chunk's last carrying row
+    probe = F.struct(*[F.col(o) for o in order], F.col(col).alias("_v"))
+    per = tmp.groupBy(*enc).agg(F.max(F.when(F.col(col).isNotNull(), probe))["_v"].alias("_last_v"))
+    wc = Window.partitionBy(*enc[:-2]).orderBy(*_chunk_order(enc, nulls_last=False)) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.select(*enc, F.last("_last_v", ignorenulls=True).over(wc).alias("_carry"))
+    j = tmp.join(carry, enc, "inner")
+    return j.withColumn(out, F.coalesce(F.col("_in"), F.col("_carry"))).drop("_chunk", "_in", "_carry", *enc)

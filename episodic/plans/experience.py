@@ -10,8 +10,10 @@
 * matching time: first payment strictly after activation inside the
   episode (D9), falling back to the assignment time (I4), SLA label (I3)
 
-Every "from X on" join is a bucketed range join bounded by the next start,
-so no key pairs all of its rows.
+Every "from X on" join is an as-of join: episodes and assignments tile the
+time line of a lecture (each ends at the next start), so each point takes
+the latest start at or before it; no key pairs all of its rows and no
+interval is copied per day it spans.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from episodic.operators.feedback import explode_pairs, pivot_slots
 from episodic.operators.incremental import high_water_mark, latest_per_key
-from episodic.operators.intervals import range_join, with_next
+from episodic.operators.intervals import asof_join, with_next
 from episodic.operators.sinks import materialize
 from episodic.operators.windows import first_rows
 from episodic.plans.episodes import group_lvt, k1_sql
@@ -51,18 +53,20 @@ def experience_base(t, update_variant: bool = False, memo_fallback: bool = False
     signups = ev.filter(F.col("event_type") == "signup").select(
         F.col("event_id").alias("assign_id"), F.col("user_id").alias("a_user"), F.col("ts").alias("assign_at"),
         _k().alias("memo_k"))
-    assign = range_join(eps, signups, [("lecture_vt_no", "a_user")], "active_timestamp", "_eend", "assign_at",
-                        unit="day").filter(before_next | (F.col("assign_at") < F.col("next_active"))) \
+    assign = asof_join(eps, signups, [("lecture_vt_no", "a_user")], "active_timestamp", "_eend", "assign_at",
+                       tie=["seq"]).filter(before_next | (F.col("assign_at") < F.col("next_active"))) \
         .drop("a_user", "_eend")
-    assign = with_next(assign, "lecture_vt_no", ["assign_at", "assign_id"], "assign_at", "next_assign",
-                       chunk=F.date_trunc("day", "assign_at")) \
+    # the assignment table is stored once too: the session join, its hot-key probe and the
+    # output read the copy instead of recomputing two as-of joins
+    assign = materialize(with_next(assign, "lecture_vt_no", ["assign_at", "assign_id"], "assign_at", "next_assign",
+                                   chunk=F.date_trunc("day", "assign_at")), "experience_assign") \
         .withColumn("_aend", F.coalesce("next_assign", data_end))
 
     sessions = ev.filter(F.col("event_type").isin("view", "click")).select(
         F.col("event_id").alias("session_id"), F.col("user_id").alias("s_user"), F.col("ts").alias("session_at"),
         F.when(F.col("event_type") == "click", "DONE").otherwise("BOOKED").alias("state"))
-    sess = range_join(assign, sessions, [("lecture_vt_no", "s_user")], "assign_at", "_aend", "session_at",
-                      unit="day").filter(F.col("next_assign").isNull() | (F.col("session_at") < F.col("next_assign"))) \
+    sess = asof_join(assign, sessions, [("lecture_vt_no", "s_user")], "assign_at", "_aend", "session_at",
+                     tie=["assign_id"]).filter(F.col("next_assign").isNull() | (F.col("session_at") < F.col("next_assign"))) \
         .drop("s_user", "_aend")
     ranked = first_rows(sess, ["assign_id"], ["session_at", "session_id"], top_n, rank_col="rn")
     w = Window.partitionBy("assign_id").orderBy("session_at", "session_id")
@@ -83,8 +87,9 @@ def experience_base(t, update_variant: bool = False, memo_fallback: bool = False
 
     purchases = ev.filter(F.col("event_type") == "purchase").select(F.col("user_id").alias("p_user"),
                                                                     F.col("ts").alias("p_ts"))
-    m = range_join(eps.select("lecture_vt_no", "group_lecture_vt_no", "active_timestamp", "next_active", "_eend"),
-                   purchases, [("lecture_vt_no", "p_user")], "active_timestamp", "_eend", "p_ts", unit="day") \
+    m = asof_join(eps.select("lecture_vt_no", "group_lecture_vt_no", "seq", "active_timestamp", "next_active",
+                             "_eend"),
+                  purchases, [("lecture_vt_no", "p_user")], "active_timestamp", "_eend", "p_ts", tie=["seq"]) \
         .filter((F.col("p_ts") > F.col("active_timestamp"))
                 & (F.col("next_active").isNull() | (F.col("p_ts") < F.col("next_active")))) \
         .groupBy(F.col("group_lecture_vt_no").alias("m_group")).agg(F.min("p_ts").alias("matched"))

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from episodic.operators.incremental import high_water_mark
-from episodic.operators.intervals import interval_aggregate, range_join, with_next
+from episodic.operators.intervals import asof_join, range_join, with_next
 from episodic.operators.windows import first_rows, hot_split, row_numbers, running_total, shifted
 from episodic.plans.episodes import group_lvt, k1_sql
 from episodic.plans.registry import register, ts
@@ -51,9 +51,14 @@ def q_next_episode(spark, t):
     iv = o.withColumn("_end", F.coalesce("next_orderdate", F.lit(last_ship).cast("timestamp_ntz")))
     # half-open [start, next): the strict upper bound is checked in the ON clause
     half_open = F.col("next_orderdate").isNull() | (F.col("l_shipdate") < F.col("next_orderdate"))
-    res = interval_aggregate(iv, lines, [("o_custkey", "cust")], "o_orderdate", "_end", "l_shipdate",
-                             aggs=[F.count("l_shipdate").alias("n_lines"), F.sum("l_quantity").alias("qty")],
-                             unit="month", extra_cond=half_open)
+    # a customer's orders tile its time line: each line belongs to the latest order dated at or before it
+    per_order = asof_join(iv.select("o_orderkey", "o_custkey", "o_orderdate", "next_orderdate", "_end"),
+                          lines, [("o_custkey", "cust")], "o_orderdate", "_end", "l_shipdate",
+                          tie=["o_orderkey"], chunk_unit="month") \
+        .filter(half_open).groupBy(F.col("o_orderkey").alias("_ok")) \
+        .agg(F.count("l_shipdate").alias("n_lines"), F.sum("l_quantity").alias("qty"))
+    res = iv.join(per_order, iv["o_orderkey"] == per_order["_ok"], "left") \
+        .withColumn("n_lines", F.coalesce("n_lines", F.lit(0)))
     return res.select("o_orderkey", "o_custkey", "o_orderdate", "next_orderdate",
                       F.col("n_lines").cast("bigint").alias("n_lines"),
                       F.coalesce("qty", F.lit(0.0)).alias("qty"))

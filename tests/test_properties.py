@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from episodic.operators.intervals import interval_aggregate, range_join
+from episodic.operators.intervals import asof_join, interval_aggregate, range_join, with_next
 from episodic.operators.windows import running_total
 
 BASE = datetime(2024, 1, 1)
@@ -76,3 +76,45 @@ def test_row_numbers_and_shifts_chunked_equal_window(spark):
             plain = rows(shifted(df, ["k"], order, "v", "x", direction), "id", "x")
             assert plain == rows(shifted(df, ["k"], order, "v", "x", direction, chunk=chunk, hot_only=False), "id", "x")
             assert plain == rows(shifted(df, ["k"], order, "v", "x", direction, chunk=chunk, threshold=50), "id", "x")
+
+
+def test_asof_join_equals_range_join_on_tiling_intervals(spark):
+    """Intervals [start, next start) per key (ties on start, null keys and times included):
+    the as-of join equals the bucketed range join with the same bounds, plain and chunked."""
+    for seed in range(3):
+        rnd = random.Random(100 + seed)
+        iv, pts = [], []
+        for i in range(60):
+            key = 0 if rnd.random() < 0.34 else (None if rnd.random() < 0.05 else rnd.randint(1, 6))
+            start = None if rnd.random() < 0.05 else BASE + timedelta(hours=rnd.randint(0, 24 * 30))
+            iv.append((i, key, start))
+        for j in range(300):
+            key = 0 if rnd.random() < 0.34 else (None if rnd.random() < 0.05 else rnd.randint(1, 6))
+            at = None if rnd.random() < 0.05 else BASE + timedelta(hours=rnd.randint(-48, 24 * 34))
+            pts.append((j, key, at))
+        ivs = spark.createDataFrame(iv, "iid long, ik long, istart timestamp_ntz")
+        ivs = with_next(ivs, "ik", ["istart", "iid"], "istart", "inext") \
+            .withColumn("iend", F.coalesce("inext", F.lit("2024-03-01").cast("timestamp_ntz")))
+        p = spark.createDataFrame(pts, "pid long, pk long, pat timestamp_ntz")
+        half_open = F.col("inext").isNull() | (F.col("pat") < F.col("inext"))
+        want = rows(range_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", unit="day").filter(half_open),
+                    "pid", "iid")
+        for threshold in (None, 10):
+            got = asof_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", tie=["iid"], chunk_unit="day") \
+                if threshold is None else _asof_forced(ivs, p, threshold)
+            assert want == rows(got.filter(half_open), "pid", "iid")
+        strict = asof_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", tie=["iid"], lower_inclusive=False)
+        want_strict = rows(range_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", unit="day",
+                                      lower_inclusive=False).filter(half_open), "pid", "iid")
+        assert want_strict == rows(strict.filter(half_open), "pid", "iid")
+
+
+def _asof_forced(ivs, p, threshold):
+    """The as-of join with the hot-key threshold lowered, so key 0 takes the chunked fill
+    (the probe runs while the plan is built, so the setting is restored right after)."""
+    spark = ivs.sparkSession
+    spark.conf.set("spark.episodic.hotKeyRows", str(threshold))
+    try:
+        return asof_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", tie=["iid"], chunk_unit="day")
+    finally:
+        spark.conf.unset("spark.episodic.hotKeyRows")
