@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from episodic.operators.intervals import asof_join, interval_aggregate, range_join, with_next
-from episodic.operators.windows import running_total
+from episodic.operators.windows import filled, running_total
 
 BASE = datetime(2024, 1, 1)
 
@@ -118,3 +118,20 @@ def _asof_forced(ivs, p, threshold):
         return asof_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", tie=["iid"], chunk_unit="day")
     finally:
         spark.conf.unset("spark.episodic.hotKeyRows")
+
+
+def test_filled_chunked_equals_window(spark):
+    """Forward fill split per (key, day) equals last(ignorenulls) over the whole key (null order values
+    and null fill values included; key 0 is hot)."""
+    for seed in range(3):
+        rnd = random.Random(200 + seed)
+        data = []
+        for i, k, ts, v in _events(seed):
+            ts = None if rnd.random() < 0.05 else ts
+            data.append((i, k, ts, None if rnd.random() < 0.6 else v))
+        df = spark.createDataFrame(data, "id long, k long, ts timestamp_ntz, v long")
+        w = Window.partitionBy("k").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
+        want = rows(df.withColumn("f", F.last("v", ignorenulls=True).over(w)), "id", "f")
+        chunk = F.date_trunc("day", "ts")
+        assert want == rows(filled(df, ["k"], ["ts", "id"], "v", "f", chunk=chunk, hot_only=False), "id", "f")
+        assert want == rows(filled(df, ["k"], ["ts", "id"], "v", "f", chunk=chunk, threshold=50), "id", "f")
