@@ -25,8 +25,8 @@ def test_every_query_has_an_oracle_or_is_listed():
     qs, sql = E.queries(), E.oracle_sql()
     assert len(qs) >= 80
     assert set(sql) <= set(qs)
-    # every query currently has an oracle; keep it that way or document why not
-    assert set(qs) == set(sql)
+    # every query of the reference's own operators has an oracle
+    assert set(qs) - set(E.LLM_QUERIES) <= set(sql)
 
 
 def _norm(v):
