@@ -105,7 +105,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     e = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                     .where("u <> v").distinct(), name)
     seen = None
-    while True:
+    while not e.isEmpty():
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # large star: every larger neighbour of u is linked to the smallest of u and its neighbours
