@@ -200,7 +200,7 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     for k in range(8):
         low += np.log(x + k)
     z = x + 8
-    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z ** 3) + 1 / (1260 * z ** 5) - low
+    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z ** 3) + 1 / (1260 * z ** 5) - 1 / (1680 * z ** 7) - low
 
 
 def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
