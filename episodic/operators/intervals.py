@@ -152,3 +152,32 @@ def asof_join(intervals: DataFrame, points: DataFrame, keys: Sequence[tuple[str,
     lo = F.col(point) >= F.col(start) if lower_inclusive else F.col(point) > F.col(start)
     hi = F.col(point) <= F.col(end) if upper_inclusive else F.col(point) < F.col(end)
     return m.filter(lo & hi)
+
+
+def containing_join(intervals: DataFrame, points: DataFrame, keys: Sequence[tuple[str, str]],
+                    start: str, end: str, point: str, tie: Sequence[str], chunk_unit: str = "day",
+                    overlap_unit: str = "month") -> DataFrame:
+    """Inner join of points to the closed intervals [start, end] of their key that contain them.
+
+    For intervals that mostly tile: each usually ends at or before the key's next start.
+
+    * Those take the as-of join, in which nothing is copied. A point on an instant where one interval ends
+      and the next starts lies in both, so interval ends that equal the next start join the points by
+      equality instead.
+    * An interval reaching beyond the next start takes the bucketed ``range_join``: only these are copied.
+
+    ``start`` and ``end`` are timestamps, ``end`` non-null; (key, start, tie) identifies an interval.
+    """
+    ikeys = [a for a, _ in keys]
+    icols, out = intervals.columns, intervals.columns + points.columns
+    iv = shifted(intervals.filter(F.col(start).isNotNull()), ikeys, [start, *tie], start, "_next",
+                 chunk=F.date_trunc(chunk_unit, F.col(start)))
+    beyond = F.col("_next").isNotNull() & (F.col(end) > F.col("_next"))
+    touches = F.coalesce(F.col(end) == F.col("_next"), F.lit(False))
+    tiling = iv.filter(~beyond)
+    main = asof_join(tiling, points, keys, start, end, point, tie=tie, chunk_unit=chunk_unit) \
+        .filter(~(touches & (F.col(point) == F.col(end)))).select(*out)
+    edge = tiling.filter(touches)
+    on_edge = edge.join(points, [edge[a] == points[b] for a, b in keys] + [edge[end] == points[point]]).select(*out)
+    over = range_join(iv.filter(beyond).select(*icols), points, keys, start, end, point, unit=overlap_unit).select(*out)
+    return main.unionByName(on_edge).unionByName(over)

@@ -14,7 +14,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from episodic.operators.windows import row_numbers
+from episodic.operators.windows import filled, row_numbers
 
 LOG_COLS = ["lecture_vt_no", "episode_no", "student_user_no", "fst_months", "start_date", "end_date",
             "tutoring_state", "grade", "created_at", "updated_at"]
@@ -38,21 +38,20 @@ def insert_new(log: DataFrame, new_lecture: DataFrame, week_start: date, week_en
     tutoring_state, grade, src_order (tie-break for duplicate keys).
     An open row is closed by the first new start strictly after it, at
     ``greatest(start, new_start - 1 day)`` (``close_rule='least'``, the weekly
-    variant: ``least(new_start - 1 day, week_end)``); it is found with a
-    forward scan over (open rows + new starts) of a lecture, never by pairing
-    them. ``conflict`` is the key of ON CONFLICT DO NOTHING.
+    variant: ``least(new_start - 1 day, week_end)``); it is found with one
+    scan over (open rows + new starts) of a lecture, never by pairing them. ``conflict`` is the key of ON CONFLICT DO NOTHING.
     """
     src = new_lecture.filter(F.col("start_date").between(_d(week_start), _d(week_end))) \
         .withColumn("tutoring_state", F.coalesce("tutoring_state", F.lit("")))
-    # first new start strictly after each open row
-    opens = log.filter(F.col("end_date").isNull()).select("lecture_vt_no", "start_date",
-                                                           F.lit(1).alias("_kind"))
-    starts = src.select("lecture_vt_no", "start_date", F.lit(0).alias("_kind"))
-    w = Window.partitionBy("lecture_vt_no").orderBy("start_date", "_kind") \
-        .rowsBetween(1, Window.unboundedFollowing)
-    nxt = opens.unionByName(starts).withColumn(
-        "_next_start", F.min(F.when(F.col("_kind") == 0, F.col("start_date"))).over(w)) \
-        .filter((F.col("_kind") == 1) & F.col("_next_start").isNotNull()) \
+    # first new start strictly after each open row: a fill along falling dates (an open row before a start of its
+    # own day), in chunks of a year, so the work is linear in a lecture's rows and a hot lecture is split
+    opens = log.filter(F.col("end_date").isNull()).select(
+        "lecture_vt_no", "start_date", F.lit(-1).alias("_kind"), F.lit(None).cast("date").alias("_start"))
+    starts = src.select("lecture_vt_no", "start_date", F.lit(0).alias("_kind"), F.col("start_date").alias("_start"))
+    marks = opens.unionByName(starts).withColumn("_back", -F.unix_date("start_date"))
+    nxt = filled(marks, ["lecture_vt_no"], ["_back", "_kind"], "_start", "_next_start",
+                 chunk=F.floor(F.col("_back") / 366)) \
+        .filter((F.col("_kind") == -1) & F.col("_next_start").isNotNull()) \
         .select("lecture_vt_no", "start_date", "_next_start")
     if close_rule == "greatest":
         closing = F.greatest(F.col("start_date"), F.date_sub("_next_start", 1))

@@ -18,13 +18,11 @@ So the split costs one large shuffle, the same as the plain window. The
 result equals the default RANGE frame (peers share a value) because equal
 order values always land in one chunk.
 
-The split only pays when keys are large: for small keys the per-chunk table
-is as large as the data. By default (``hot_only=True``) ``hot_split`` first
-counts rows per key (one map-side combined aggregate over the key columns;
-only the maximum reaches the driver) and keeps the plain window for keys at
-or below ``spark.episodic.hotKeyRows``; only rows of hot keys take the split.
-The hot list is at most total_rows / threshold keys, a proven bound, so it
-is broadcast.
+Which window runs is decided where it is called, never by counting rows: a key
+that may be hot (a lecture, a user, a customer) is always given a ``chunk``,
+a key bounded by nature (the lines of one order) never is. Where many rows of a
+key may share a chunk (all unparsable dates are one null chunk), a total order
+may be cut further: ``chunk`` is then a list of columns that sort like the order.
 """
 
 from __future__ import annotations
@@ -35,10 +33,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-HOT_KEY_ROWS_CONF = "spark.episodic.hotKeyRows"
-DEFAULT_HOT_KEY_ROWS = 2_000_000
-
-
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -68,43 +62,26 @@ def _encode(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return df, names
 
 
-def _chunk_order(enc: Sequence[str], nulls_last: bool) -> list[Column]:
-    flag, value = F.col(enc[-2]), F.col(enc[-1])
-    return [flag.asc() if nulls_last else flag.desc(), value.asc()]
-
+def _chunked(df: DataFrame, keys: Sequence[str], chunk) -> tuple[DataFrame, list[str], int]:
+    """``df`` with encoded keys and chunk columns, their names, and how many of them belong to the chunk."""
+    parts = list(chunk) if isinstance(chunk, (list, tuple)) else [chunk]
+    names = [f"_chunk{i}" for i in range(len(parts))]
+    for n, c in zip(names, parts):
+        df = df.withColumn(n, c)
+    df, enc = _encode(df, list(keys) + names)
+    return df.drop(*names), enc, 2 * len(parts)
 
-def hot_key_rows(spark) -> int:
-    return int(spark.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
 
-
-def hot_split(df: DataFrame, keys: Sequence[str], plain, chunked, threshold: int | None = None) -> DataFrame:
-    """Apply ``plain`` to the rows of normal keys and ``chunked`` to the rows of hot keys; union.
-
-    The per-key counts are one map-side combined aggregate; only their
-    maximum (one scalar) reaches the driver. Without a hot key the plain plan
-    is returned as is, so the common case costs one extra aggregate pass.
-    """
-    threshold = hot_key_rows(df.sparkSession) if threshold is None else threshold
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.agg(F.max("_n").alias("m")).first()["m"]
-    if top is None or top <= threshold:
-        return plain(df)
-    # The hot list holds at most total_rows / threshold keys (a proven bound), so it is broadcast:
-    # the rows are not shuffled for this join. Null-safe: a null key is one group like any other.
-    hot = F.broadcast(counts.filter(F.col("_n") > threshold)
-                      .select(*[F.col(k).alias("_hot_" + k) for k in keys], F.lit(True).alias("_is_hot")))
-    cond = [df[k].eqNullSafe(hot["_hot_" + k]) for k in keys]
-    tagged = df.join(hot, cond, "left")
-    is_hot = F.coalesce(F.col("_is_hot"), F.lit(False))
-    drop = ["_hot_" + k for k in keys] + ["_is_hot"]
-    normal = tagged.filter(~is_hot).drop(*drop)
-    hot_rows = tagged.filter(is_hot).drop(*drop)
-    return plain(normal).unionByName(chunked(hot_rows))
+def _chunk_order(enc: Sequence[str], n: int, nulls_last: bool) -> list[Column]:
+    out = []
+    for i in range(len(enc) - n, len(enc), 2):
+        flag, value = F.col(enc[i]), F.col(enc[i + 1])
+        out += [flag.asc() if nulls_last and i == len(enc) - n else flag.desc(), value.asc()]
+    return out
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, out: str,
-                  chunk: Column | None = None, chunk_nulls_last: bool = False,
-                  hot_only: bool = True, threshold: int | None = None) -> DataFrame:
+                  chunk=None, chunk_nulls_last: bool = False) -> DataFrame:
     """``out`` = sum of ``value`` over rows of the same key ordered at or before this row.
 
     Frame: RANGE UNBOUNDED PRECEDING .. CURRENT ROW on ``order`` (peers
@@ -117,21 +94,15 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence, value: Co
     if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         return df.withColumn(out, F.sum(value).over(w))
-    if hot_only:
-        return hot_split(df, keys,
-                         lambda d: running_total(d, keys, order, value, out),
-                         lambda d: running_total(d, keys, order, value, out, chunk, chunk_nulls_last,
-                                                 hot_only=False), threshold)
-    tmp, enc = _encode(df.withColumn("_chunk", chunk).withColumn("_v", value), list(keys) + ["_chunk"])
+    tmp, enc, n = _chunked(df.withColumn("_v", value), keys, chunk)
     inner = tmp.withColumn("_in", F.sum("_v").over(Window.partitionBy(*enc).orderBy(*order_cols)))
     per_chunk = inner.groupBy(*enc).agg(F.sum("_v").alias("_chunk_sum"))
-    before = Window.partitionBy(*enc[:-2]).orderBy(*_chunk_order(enc, chunk_nulls_last)) \
+    before = Window.partitionBy(*enc[:-n]).orderBy(*_chunk_order(enc, n, chunk_nulls_last)) \
         .rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast(per_chunk.schema["_chunk_sum"].dataType)
     offsets = per_chunk.select(*enc, F.coalesce(F.sum("_chunk_sum").over(before), zero).alias("_offset"))
     joined = inner.join(offsets, enc, "inner")
-    return joined.withColumn(out, F.col("_offset") + F.col("_in")) \
-        .drop("_chunk", "_v", "_in", "_offset", *enc)
+    return joined.withColumn(out, F.col("_offset") + F.col("_in")).drop("_v", "_in", "_offset", *enc)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence, n: int = 1,
@@ -147,8 +118,7 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence, n: int = 1,
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence, out: str,
-                chunk: Column | None = None, chunk_nulls_last: bool = False,
-                hot_only: bool = True, threshold: int | None = None) -> DataFrame:
+                chunk=None, chunk_nulls_last: bool = False) -> DataFrame:
     """``row_number()`` per key over a total order (the order must include a tie-break).
 
     With ``chunk`` it is computed as a running count split per (key, chunk),
@@ -156,16 +126,12 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence, out: str,
     if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*_cols(order))
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    if hot_only:
-        return hot_split(df, keys, lambda d: row_numbers(d, keys, order, out),
-                         lambda d: row_numbers(d, keys, order, out, chunk, chunk_nulls_last, hot_only=False),
-                         threshold)
     return running_total(df, keys, order, F.lit(1).cast("bigint"), out, chunk=chunk,
-                         chunk_nulls_last=chunk_nulls_last, hot_only=False)
+                         chunk_nulls_last=chunk_nulls_last)
 
 
 def shifted(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, out: str, direction: int = 1,
-            chunk: Column | None = None, hot_only: bool = True, threshold: int | None = None) -> DataFrame:
+            chunk=None) -> DataFrame:
     """``lead(col)`` (direction 1) or ``lag(col)`` (direction -1) per key over an ascending total order.
 
     With ``chunk`` (a function of the first order column, e.g. its day) the
@@ -178,24 +144,20 @@ def shifted(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
     fn = F.lead if direction == 1 else F.lag
     if chunk is None:
         return df.withColumn(out, fn(col).over(w))
-    if hot_only:
-        return hot_split(df, keys, lambda d: shifted(d, keys, order, col, out, direction),
-                         lambda d: shifted(d, keys, order, col, out, direction, chunk, hot_only=False), threshold)
-    tmp, enc = _encode(df.withColumn("_chunk", chunk), list(keys) + ["_chunk"])
+    tmp, enc, n = _chunked(df, keys, chunk)
     wk = Window.partitionBy(*enc).orderBy(*order)
     tmp = tmp.withColumn("_in", fn(col).over(wk)).withColumn("_edge", fn(F.lit(1)).over(wk).isNull())
     probe = F.struct(*[F.col(o) for o in order], F.col(col).alias("_v"))
     edge = (F.min(probe) if direction == 1 else F.max(probe))["_v"]
     per = tmp.groupBy(*enc).agg(edge.alias("_edge_v"))
-    wc = Window.partitionBy(*enc[:-2]).orderBy(*_chunk_order(enc, nulls_last=False))
+    wc = Window.partitionBy(*enc[:-n]).orderBy(*_chunk_order(enc, n, nulls_last=False))
     nb = per.select(*enc, fn("_edge_v").over(wc).alias("_nb"))
     j = tmp.join(nb, enc, "inner")
     return j.withColumn(out, F.when(F.col("_edge"), F.col("_nb")).otherwise(F.col("_in"))) \
-        .drop("_chunk", "_in", "_edge", "_nb", *enc)
+        .drop("_in", "_edge", "_nb", *enc)
 
 
-def filled(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, out: str,
-           chunk: Column | None = None, hot_only: bool = True, threshold: int | None = None) -> DataFrame:
+def filled(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, out: str, chunk=None) -> DataFrame:
     """Forward fill: ``last(col, ignorenulls)`` per key over ROWS UNBOUNDED PRECEDING .. CURRENT ROW.
 
     ``order`` names columns sorted ascending, nulls first, and must be total
@@ -206,17 +168,14 @@ def filled(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, o
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     if chunk is None:
         return df.withColumn(out, F.last(col, ignorenulls=True).over(w))
-    if hot_only:
-        return hot_split(df, keys, lambda d: filled(d, keys, order, col, out),
-                         lambda d: filled(d, keys, order, col, out, chunk, hot_only=False), threshold)
-    tmp, enc = _encode(df.withColumn("_chunk", chunk), list(keys) + ["_chunk"])
+    tmp, enc, n = _chunked(df, keys, chunk)
     wk = Window.partitionBy(*enc).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     tmp = tmp.withColumn("_in", F.last(col, ignorenulls=True).over(wk))
     # struct order = ascending, nulls first: the max is the chunk's last carrying row
     probe = F.struct(*[F.col(o) for o in order], F.col(col).alias("_v"))
     per = tmp.groupBy(*enc).agg(F.max(F.when(F.col(col).isNotNull(), probe))["_v"].alias("_last_v"))
-    wc = Window.partitionBy(*enc[:-2]).orderBy(*_chunk_order(enc, nulls_last=False)) \
+    wc = Window.partitionBy(*enc[:-n]).orderBy(*_chunk_order(enc, n, nulls_last=False)) \
         .rowsBetween(Window.unboundedPreceding, -1)
     carry = per.select(*enc, F.last("_last_v", ignorenulls=True).over(wc).alias("_carry"))
     j = tmp.join(carry, enc, "inner")
-    return j.withColumn(out, F.coalesce(F.col("_in"), F.col("_carry"))).drop("_chunk", "_in", "_carry", *enc)
+    return j.withColumn(out, F.coalesce(F.col("_in"), F.col("_carry"))).drop("_in", "_carry", *enc)

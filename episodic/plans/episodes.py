@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodic.operators.incremental import carried_cumsum, high_water_mark, latest_per_key
-from episodic.operators.intervals import episodes, interval_aggregate
+from episodic.operators.intervals import containing_join, episodes
 from episodic.operators.sinks import materialize
 from episodic.operators.windows import running_total
 from episodic.plans.registry import AS_OF_EVENTS, register, ts
@@ -53,14 +53,19 @@ def group_lvt(ev: DataFrame, as_of: datetime = AS_OF_EVENTS, active_from: str =
     eps = eps.filter(F.col("active_timestamp") >= ts(active_from)) \
         .withColumn("interval_end", F.coalesce(F.col("done_timestamp"),
                                                ts(as_of) + F.expr("INTERVAL 1 MONTH")))
-    res = interval_aggregate(
-        eps, sessions(ev), [("lecture_vt_no", "s_lecture_vt_no")], "active_timestamp", "interval_end",
-        "tutoring_datetime", unit="day",
-        aggs=[F.max("update_datetime").alias("max_session_update"),
-              F.min("tutoring_datetime").alias("min_tutoring_datetime"),
-              F.min("schedule_no").alias("min_schedule_no"),
-              F.sum("per_done_month").cast("double").alias("done_month"),
-              F.count("schedule_no").alias("n_sessions")])
+    # the episode table is read by the join's branches and by the result: stored once
+    eps = materialize(eps, "episodes")
+    hits = containing_join(eps.select("lecture_vt_no", "seq", "active_timestamp", "interval_end"), sessions(ev),
+                           [("lecture_vt_no", "s_lecture_vt_no")], "active_timestamp", "interval_end",
+                           "tutoring_datetime", tie=["seq"])
+    per = hits.groupBy("lecture_vt_no", "seq").agg(
+        F.max("update_datetime").alias("max_session_update"),
+        F.min("tutoring_datetime").alias("min_tutoring_datetime"),
+        F.min("schedule_no").alias("min_schedule_no"),
+        F.sum("per_done_month").cast("double").alias("done_month"),
+        F.count("schedule_no").alias("n_sessions"))
+    # a null lecture has no sessions (equality), as in the interval join
+    res = eps.join(per, ["lecture_vt_no", "seq"], "left").withColumn("n_sessions", F.coalesce("n_sessions", F.lit(0)))
     return res.select(
         "lecture_vt_no",
         F.concat(F.col("lecture_vt_no").cast("string"), F.lit("_"), F.col("seq").cast("string"))

@@ -22,13 +22,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from episodic.operators.feedback import explode_pairs, pivot_slots
-from episodic.operators.incremental import high_water_mark, latest_per_key
+from episodic.operators.incremental import latest_per_key
 from episodic.operators.intervals import asof_join, with_next
 from episodic.operators.sinks import materialize
 from episodic.operators.windows import first_rows
 from episodic.plans.episodes import group_lvt, k1_sql
 from episodic.plans.feedback import _FORMS_SQL, forms
-from episodic.plans.ranks import stage_label, _STAGE_SQL
+from episodic.plans.ranks import FAR_END, stage_label, _STAGE_SQL
 from episodic.plans.registry import AS_OF_EVENTS, register, ts
 
 
@@ -39,8 +39,8 @@ def _k():
 def experience_base(t, update_variant: bool = False, memo_fallback: bool = False,
                     episode_from: str | None = None, episode_to: str | None = None, top_n: int = 4):
     ev = t.events
-    data_end = F.lit(high_water_mark(ev, "ts")).cast("timestamp_ntz")
-    # the episode table is stored once; every later step (hot-key probes included) reads the copy
+    data_end = ts(FAR_END)               # open intervals: no point lies beyond it
+    # the episode table is stored once; every later step reads the copy
     g = materialize(group_lvt(ev).select("lecture_vt_no", "group_lecture_vt_no", "seq", "active_timestamp"),
                     "experience_episodes")
     if episode_from is not None:
@@ -56,8 +56,8 @@ def experience_base(t, update_variant: bool = False, memo_fallback: bool = False
     assign = asof_join(eps, signups, [("lecture_vt_no", "a_user")], "active_timestamp", "_eend", "assign_at",
                        tie=["seq"]).filter(before_next | (F.col("assign_at") < F.col("next_active"))) \
         .drop("a_user", "_eend")
-    # the assignment table is stored once too: the session join, its hot-key probe and the
-    # output read the copy instead of recomputing two as-of joins
+    # the assignment table is stored once too: the session join and the output read the copy
+    # instead of recomputing two as-of joins
     assign = materialize(with_next(assign, "lecture_vt_no", ["assign_at", "assign_id"], "assign_at", "next_assign",
                                    chunk=F.date_trunc("day", "assign_at")), "experience_assign") \
         .withColumn("_aend", F.coalesce("next_assign", data_end))

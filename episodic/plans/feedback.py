@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from episodic.operators.feedback import explode_pairs, pivot_slots
 from episodic.operators.incremental import latest_per_key
 from episodic.operators.windows import shifted
-from episodic.operators.intervals import range_join
+from episodic.operators.intervals import containing_join
+from episodic.operators.sinks import materialize
 from episodic.plans.episodes import group_lvt, k1_sql
 from episodic.plans.registry import register, ts
 
@@ -204,14 +205,14 @@ WHERE c.c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE')
 """).replace("\nSELECT * FROM glvt,", ","))
 def q_first_feedback_cohort(spark, t):
     """First feedback inside a student's first episode(s) (dense_rank on the day), plus its dimension chain."""
-    g = group_lvt(t.events)
+    g = materialize(group_lvt(t.events), "first_feedback_episodes")
     w = Window.partitionBy("lecture_vt_no").orderBy(F.to_date("active_timestamp"))
     first_ep = g.withColumn("dr", F.dense_rank().over(w)).filter(F.col("dr") == 1)
     clicks = t.events.filter(F.col("event_type") == "click").select(
         F.col("event_id").alias("feedback_id"), F.col("user_id").alias("f_user"),
         F.col("ts").alias("f_ts"), _k().cast("int").alias("score"))
-    inside = range_join(first_ep, clicks, [("lecture_vt_no", "f_user")], "active_timestamp", "updated_at",
-                        "f_ts", unit="day")
+    inside = containing_join(first_ep, clicks, [("lecture_vt_no", "f_user")], "active_timestamp", "updated_at",
+                             "f_ts", tie=["seq"])
     m = latest_per_key(inside, ["group_lecture_vt_no"], [F.col("f_ts").asc(), F.col("feedback_id").asc()])
     c = t.customer.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE")) \
         .select("c_custkey", "c_nationkey")

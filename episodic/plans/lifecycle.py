@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from episodic.operators.lifecycle import (LOG_COLS, insert_new, renumber_episodes, update_pause,
                                           weekly_actuals_for, weekly_counts)
 from episodic.operators.sinks import materialize
+from episodic.operators.windows import row_numbers
 from episodic.operators.survival import compute_window, km_curve, replace_slice
 from episodic.plans.registry import register
 
@@ -53,8 +54,8 @@ def pre_log(orders):
     b = _base(orders).filter(F.col("start_date") < F.lit(WS.isoformat()).cast("date"))
     w = Window.partitionBy("lecture_vt_no", "start_date").orderBy("src_order")
     b = b.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-    ep = F.row_number().over(Window.partitionBy("lecture_vt_no").orderBy("start_date")).cast("bigint")
-    return b.select("lecture_vt_no", ep.alias("episode_no"), "student_user_no", "fst_months", "start_date",
+    b = row_numbers(b, ["lecture_vt_no"], ["start_date"], "episode_no", chunk=F.date_trunc("year", "start_date"))
+    return b.select("lecture_vt_no", "episode_no", "student_user_no", "fst_months", "start_date",
                     "end_date", "tutoring_state", "grade",
                     F.col("start_date").cast("timestamp_ntz").alias("created_at"),
                     F.col("start_date").cast("timestamp_ntz").alias("updated_at"))

@@ -192,7 +192,10 @@ def q_list_maintenance(spark, t):
         F.try_to_timestamp("ts_text", F.lit(fmt)).cast("timestamp_ntz").alias("tutoring_datetime"), "batch")
     last = latest_per_key(u, ["room_id"], [F.col("batch").desc()], null_keys="keep")
     last = row_numbers(last, ["o_custkey"], [F.col("tutoring_datetime").asc_nulls_last(), F.col("room_id")],
-                       "session_no", chunk=F.date_trunc("month", "tutoring_datetime"), chunk_nulls_last=True)
+                       "session_no", chunk_nulls_last=True,
+                       # unparsable dates are one chunk, cut further by the beginning of the room id
+                       chunk=[F.date_trunc("year", "tutoring_datetime"),
+                              F.when(F.col("tutoring_datetime").isNull(), F.substring("room_id", 1, 3))])
     return last.select("room_id", "o_custkey", "tutoring_datetime", "session_no")
 
 

@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from episodic.operators.incremental import high_water_mark
-from episodic.operators.intervals import asof_join, range_join, with_next
-from episodic.operators.windows import first_rows, hot_split, row_numbers, running_total, shifted
+from episodic.operators.intervals import asof_join, containing_join, with_next
+from episodic.operators.sinks import materialize
+from episodic.operators.windows import first_rows, row_numbers, running_total, shifted
 from episodic.plans.episodes import group_lvt, k1_sql
 from episodic.plans.registry import register, ts
 
 LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 LINE_ORDER_SQL = ", ".join(LINE_ORDER)
+FAR_END = "9999-12-31 00:00:00"
 
 
 def _lines_with_customer(t):
@@ -44,17 +45,16 @@ def q_next_episode(spark, t):
     """Lines a customer shipped in [this order date, next order date); the last interval is open."""
     o = with_next(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey",
                   ["o_orderdate", "o_orderkey"], "o_orderdate", "next_orderdate",
-                  chunk=F.date_trunc("month", "o_orderdate"))
+                  chunk=F.date_trunc("year", "o_orderdate"))
     lines = _lines_with_customer(t)
-    # The open end is closed at the last ship date of the data: no point lies beyond it.
-    last_ship = high_water_mark(t.lineitem, "l_shipdate")
-    iv = o.withColumn("_end", F.coalesce("next_orderdate", F.lit(last_ship).cast("timestamp_ntz")))
+    # the last interval is open: no point lies beyond the far end
+    iv = o.withColumn("_end", F.coalesce("next_orderdate", ts(FAR_END)))
     # half-open [start, next): the strict upper bound is checked in the ON clause
     half_open = F.col("next_orderdate").isNull() | (F.col("l_shipdate") < F.col("next_orderdate"))
     # a customer's orders tile its time line: each line belongs to the latest order dated at or before it
     per_order = asof_join(iv.select("o_orderkey", "o_custkey", "o_orderdate", "next_orderdate", "_end"),
                           lines, [("o_custkey", "cust")], "o_orderdate", "_end", "l_shipdate",
-                          tie=["o_orderkey"], chunk_unit="month") \
+                          tie=["o_orderkey"], chunk_unit="year") \
         .filter(half_open).groupBy(F.col("o_orderkey").alias("_ok")) \
         .agg(F.count("l_shipdate").alias("n_lines"), F.sum("l_quantity").alias("qty"))
     res = iv.join(per_order, iv["o_orderkey"] == per_order["_ok"], "left") \
@@ -147,15 +147,11 @@ FROM lineitem
 """)
 def q_tied_running_sum(spark, t):
     """RANGE frame on a tied order: peers share the running sum; the rank gets a full tie-break."""
-    month = F.date_trunc("month", "l_shipdate")
+    # an order has a few lines by nature: plain windows; the sum is exact (decimal)
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
                            "l_extendedprice")
-    def windows(d, chunk):
-        d = running_total(d, ["l_orderkey"], ["l_shipdate"], F.col("l_quantity"), "qty_running", chunk=chunk,
-                          hot_only=False)
-        return row_numbers(d, ["l_orderkey"], LINE_ORDER, "rn", chunk=chunk, hot_only=False)
-    # one hot-key detection for both windows: normal orders plain, hot orders split by month
-    li = hot_split(li, ["l_orderkey"], lambda d: windows(d, None), lambda d: windows(d, month))
+    li = running_total(li, ["l_orderkey"], ["l_shipdate"], F.col("l_quantity").cast("decimal(18,2)"), "qty_running")
+    li = row_numbers(li, ["l_orderkey"], LINE_ORDER, "rn").withColumn("qty_running", F.col("qty_running").cast("double"))
     return li.drop("l_extendedprice")
 
 
@@ -230,14 +226,13 @@ def q_rank_as_cumcount(spark, t):
         F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_orderdate")).alias("done_ts"),
         F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("date"))
         .otherwise(F.date_add(F.to_date("o_orderdate"), 30)).alias("end_date"))
-    def numbered(d, split):
-        d = row_numbers(d, ["o_custkey"], [F.col("done_ts").asc_nulls_last(), F.col("o_orderkey")], "cum_no",
-                        chunk=F.date_trunc("month", "done_ts") if split else None, chunk_nulls_last=True,
-                        hot_only=False)
-        return row_numbers(d, ["o_custkey"], [F.to_date("o_orderdate"), F.coalesce(
-            "end_date", F.lit("2100-01-01").cast("date")), F.col("o_orderkey")], "episode_no",
-            chunk=F.date_trunc("month", "o_orderdate") if split else None, hot_only=False)
-    o = hot_split(o, ["o_custkey"], lambda d: numbered(d, False), lambda d: numbered(d, True))
+    # rows without a date are one chunk of their year, cut further by their own order (the key)
+    undated = F.when(F.col("done_ts").isNull(), F.floor(F.col("o_orderkey") / 65536))
+    o = row_numbers(o, ["o_custkey"], [F.col("done_ts").asc_nulls_last(), F.col("o_orderkey")], "cum_no",
+                    chunk=[F.date_trunc("year", "done_ts"), undated], chunk_nulls_last=True)
+    o = row_numbers(o, ["o_custkey"], [F.to_date("o_orderdate"), F.coalesce(
+        "end_date", F.lit("2100-01-01").cast("date")), F.col("o_orderkey")], "episode_no",
+        chunk=F.date_trunc("year", "o_orderdate"))
     return o.select("o_orderkey", "o_custkey", "done_ts", "end_date", "cum_no", "episode_no",
                     F.coalesce(F.date_format("done_ts", "yyyy-MM-dd HH:mm:ss"), F.lit("open")).alias("done_label"))
 
@@ -249,7 +244,8 @@ FROM clicks c JOIN glvt g ON g.lecture_vt_no = c.user_id AND c.ts BETWEEN g.acti
 """).replace("\nSELECT * FROM glvt,", ","))
 def q_point_in_interval(spark, t):
     """Feedback (clicks) created between an episode's activation and its last update."""
-    g = group_lvt(t.events).select("lecture_vt_no", "group_lecture_vt_no", "active_timestamp", "updated_at")
+    g = materialize(group_lvt(t.events).select("lecture_vt_no", "group_lecture_vt_no", "seq", "active_timestamp",
+                                               "updated_at"), "point_in_interval")
     clicks = t.events.filter(F.col("event_type") == "click").select("event_id", "user_id", "ts")
-    m = range_join(g, clicks, [("lecture_vt_no", "user_id")], "active_timestamp", "updated_at", "ts", unit="day")
+    m = containing_join(g, clicks, [("lecture_vt_no", "user_id")], "active_timestamp", "updated_at", "ts", tie=["seq"])
     return m.select("event_id", "user_id", "group_lecture_vt_no")

@@ -49,13 +49,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession) -> str:
     """Folder on storage every executor sees (``spark.checkpoint.dir``).
 
-    Read from the session; only when unset (local tests) a fresh local
-    folder is created and registered as the checkpoint dir.
+    Read from the session; only when unset and the master is local (tests) a
+    fresh local folder is created and registered as the checkpoint dir.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
         or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="episodic-ckpt-")
         sc.setCheckpointDir(d)
     elif not sc.getCheckpointDir():

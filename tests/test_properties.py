@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from episodic.operators.intervals import asof_join, interval_aggregate, range_join, with_next
+from episodic.operators.intervals import asof_join, containing_join, interval_aggregate, range_join, with_next
 from episodic.operators.windows import filled, running_total
 
 BASE = datetime(2024, 1, 1)
@@ -27,11 +27,8 @@ def test_running_total_chunked_equals_window(spark):
     for seed in range(3):
         df = spark.createDataFrame(_events(seed), "id long, k long, ts timestamp_ntz, v long")
         plain = running_total(df, ["k"], ["ts"], F.col("v"), "r")
-        chunked = running_total(df, ["k"], ["ts"], F.col("v"), "r", chunk=F.date_trunc("day", "ts"),
-                                hot_only=False)
+        chunked = running_total(df, ["k"], ["ts"], F.col("v"), "r", chunk=F.date_trunc("day", "ts"))
         assert rows(plain, "id", "r") == rows(chunked, "id", "r")
-        hybrid = running_total(df, ["k"], ["ts"], F.col("v"), "r", chunk=F.date_trunc("day", "ts"), threshold=50)
-        assert rows(plain, "id", "r") == rows(hybrid, "id", "r")
         # peers (equal ts) share the value, as the default RANGE frame does
         w = Window.partitionBy("k").orderBy("ts")
         assert rows(df.withColumn("r", F.sum("v").over(w)), "id", "r") == rows(chunked, "id", "r")
@@ -70,12 +67,14 @@ def test_row_numbers_and_shifts_chunked_equal_window(spark):
         order = ["ts", "id"]
         chunk = F.date_trunc("day", "ts")
         want = rows(row_numbers(df, ["k"], order, "n"), "id", "n")
-        assert want == rows(row_numbers(df, ["k"], order, "n", chunk=chunk, hot_only=False), "id", "n")
-        assert want == rows(row_numbers(df, ["k"], order, "n", chunk=chunk, threshold=50), "id", "n")
+        assert want == rows(row_numbers(df, ["k"], order, "n", chunk=chunk), "id", "n")
+        # rows without a time: one chunk, cut further by the next order column
+        nulls = [chunk, F.when(F.col("ts").isNull(), F.floor(F.col("id") / 2))]
+        assert want == rows(row_numbers(df, ["k"], order, "n", chunk=nulls), "id", "n")
         for direction in (1, -1):
             plain = rows(shifted(df, ["k"], order, "v", "x", direction), "id", "x")
-            assert plain == rows(shifted(df, ["k"], order, "v", "x", direction, chunk=chunk, hot_only=False), "id", "x")
-            assert plain == rows(shifted(df, ["k"], order, "v", "x", direction, chunk=chunk, threshold=50), "id", "x")
+            assert plain == rows(shifted(df, ["k"], order, "v", "x", direction, chunk=chunk), "id", "x")
+            assert plain == rows(shifted(df, ["k"], order, "v", "x", direction, chunk=nulls), "id", "x")
 
 
 def test_asof_join_equals_range_join_on_tiling_intervals(spark):
@@ -99,9 +98,8 @@ def test_asof_join_equals_range_join_on_tiling_intervals(spark):
         half_open = F.col("inext").isNull() | (F.col("pat") < F.col("inext"))
         want = rows(range_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", unit="day").filter(half_open),
                     "pid", "iid")
-        for threshold in (None, 10):
-            got = asof_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", tie=["iid"], chunk_unit="day") \
-                if threshold is None else _asof_forced(ivs, p, threshold)
+        for unit in ("day", "month"):
+            got = asof_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", tie=["iid"], chunk_unit=unit)
             assert want == rows(got.filter(half_open), "pid", "iid")
         strict = asof_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", tie=["iid"], lower_inclusive=False)
         want_strict = rows(range_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", unit="day",
@@ -109,15 +107,50 @@ def test_asof_join_equals_range_join_on_tiling_intervals(spark):
         assert want_strict == rows(strict.filter(half_open), "pid", "iid")
 
 
-def _asof_forced(ivs, p, threshold):
-    """The as-of join with the hot-key threshold lowered, so key 0 takes the chunked fill
-    (the probe runs while the plan is built, so the setting is restored right after)."""
-    spark = ivs.sparkSession
-    spark.conf.set("spark.episodic.hotKeyRows", str(threshold))
-    try:
-        return asof_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", tie=["iid"], chunk_unit="day")
-    finally:
-        spark.conf.unset("spark.episodic.hotKeyRows")
+def test_containing_join_equals_brute_force(spark):
+    """Closed intervals that tile, touch, overlap, tie on start or are empty; key 0 is hot."""
+    for seed in range(3):
+        rnd = random.Random(300 + seed)
+        iv, pts = [], []
+        for k in range(6):
+            at = BASE
+            for i in range(40 if k == 0 else 8):
+                start = at
+                end = start + timedelta(hours=rnd.randint(0, 60))
+                at = end + timedelta(hours=rnd.choice([0, 0, 5, -rnd.randint(1, 40)]))
+                if rnd.random() < 0.1:
+                    end = start - timedelta(hours=1)
+                if rnd.random() < 0.1:
+                    end = end + timedelta(days=90)
+                iv.append((len(iv), k, start, end))
+        for j in range(500):
+            at = BASE + timedelta(hours=rnd.randint(-10, 24 * 60))
+            pts.append((j, 0 if rnd.random() < 0.34 else rnd.choice([None, 1, 2, 3, 4, 5]), at))
+        pts += [(1000 + n, k, e) for n, (_, k, s, e) in enumerate(iv)]       # points on every interval's end
+        a = spark.createDataFrame(iv, "iid long, ik long, s timestamp_ntz, e timestamp_ntz")
+        b = spark.createDataFrame(pts, "pid long, pk long, p timestamp_ntz")
+        want = sorted((i, j) for i, k, s, e in iv for j, pk, p in pts if k == pk and s <= p <= e)
+        assert rows(containing_join(a, b, [("ik", "pk")], "s", "e", "p", tie=["iid"]), "iid", "pid") == want
+
+
+def test_closing_new_starts_is_linear_in_a_hot_lecture(spark):
+    """One lecture with 60,000 open rows: the quadratic frame would take minutes."""
+    import time
+    from datetime import date, datetime
+    from episodic.operators.lifecycle import insert_new
+    n = 60_000
+    log = spark.range(n).select(
+        F.lit(1).cast("long").alias("lecture_vt_no"), (F.col("id") + 1).alias("episode_no"), F.lit(1).cast("long").alias("student_user_no"),
+        F.lit(1).alias("fst_months"), F.date_add(F.lit("1900-01-01").cast("date"), (F.col("id") % 30_000).cast("int")).alias("start_date"),
+        F.lit(None).cast("date").alias("end_date"), F.lit("").alias("tutoring_state"), F.lit("g").alias("grade"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("created_at"), F.lit("2024-01-01").cast("timestamp_ntz").alias("updated_at"))
+    new = spark.createDataFrame([(1, 1, 1, date(1990, 1, 2), "", "g", 1), (1, 1, 1, date(1990, 1, 4), "", "g", 2)],
+                                "lecture_vt_no long, student_user_no long, fst_months int, start_date date, tutoring_state string, "
+                                "grade string, src_order long")
+    t0 = time.time()
+    out = insert_new(log, new, date(1990, 1, 1), date(1990, 1, 7), datetime(2024, 1, 1))
+    assert out.filter("end_date = date'1990-01-01'").count() == out.filter("episode_no <= 60000 and start_date <= date'1990-01-01'").count()
+    assert time.time() - t0 < 60
 
 
 def test_filled_chunked_equals_window(spark):
@@ -133,5 +166,4 @@ def test_filled_chunked_equals_window(spark):
         w = Window.partitionBy("k").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
         want = rows(df.withColumn("f", F.last("v", ignorenulls=True).over(w)), "id", "f")
         chunk = F.date_trunc("day", "ts")
-        assert want == rows(filled(df, ["k"], ["ts", "id"], "v", "f", chunk=chunk, hot_only=False), "id", "f")
-        assert want == rows(filled(df, ["k"], ["ts", "id"], "v", "f", chunk=chunk, threshold=50), "id", "f")
+        assert want == rows(filled(df, ["k"], ["ts", "id"], "v", "f", chunk=chunk), "id", "f")
