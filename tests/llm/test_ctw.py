@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from episodic.llm import ctw
-from tests.llm.helpers import MID, clashing, crc, documents, edge_rows, frame, pandas
+from llm.helpers import MID, clashing, crc, documents, edge_rows, frame, pandas
 
 
 def tokens(text):

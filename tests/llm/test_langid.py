@@ -1,5 +1,5 @@
 from episodic.llm import langid
-from tests.llm.helpers import MID, clashing, crc, documents, edge_rows, frame, pandas
+from llm.helpers import MID, clashing, crc, documents, edge_rows, frame, pandas
 
 
 def test_held_out_accuracy_and_calibration(spark):

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from episodic.llm import minhash
-from tests.llm.helpers import SMALL, WORDS, clashing, documents, edge_rows, frame, pandas
+from llm.helpers import SMALL, WORDS, clashing, documents, edge_rows, frame, pandas
 
 
 def brute(texts):

@@ -3,7 +3,7 @@ import re
 import pytest
 
 from episodic.llm import mixing
-from tests.llm.helpers import MID, clashing, documents, edge_rows, frame, pandas
+from llm.helpers import MID, clashing, documents, edge_rows, frame, pandas
 
 
 def targets(sizes):

@@ -1,7 +1,7 @@
 import corpus_pipeline
 import __spark_entry__ as entry
 from episodic.llm import langid, minhash, mixing, secrets
-from tests.llm.helpers import SMALL, clashing, documents, edge_rows, frame, pandas
+from llm.helpers import SMALL, clashing, documents, edge_rows, frame, pandas
 
 
 def test_registered():

@@ -4,7 +4,7 @@ import re
 import string
 
 from episodic.llm import secrets
-from tests.llm.helpers import MID, clashing, documents, edge_rows, frame, pandas
+from llm.helpers import MID, clashing, documents, edge_rows, frame, pandas
 
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 

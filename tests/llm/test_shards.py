@@ -4,7 +4,7 @@ import zlib
 import pandas as pd
 
 from episodic.llm import shards
-from tests.llm.helpers import MID, clashing, documents, edge_rows, frame, pandas
+from llm.helpers import MID, clashing, documents, edge_rows, frame, pandas
 
 
 def plain_best_fit(sizes, capacity):

@@ -3,7 +3,7 @@ import itertools
 import numpy as np
 
 from episodic.llm import common, kmtree, lattice
-from tests.llm.helpers import clashing
+from llm.helpers import clashing
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
