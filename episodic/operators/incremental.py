@@ -89,3 +89,19 @@ def carried_cumsum(stored: DataFrame, delta: DataFrame, key: str, order: Sequenc
     j = run.join(base, key, "left")
     zero = F.lit(0).cast(j.schema["_run"].dataType)
     return j.withColumn(out, F.coalesce(F.col("_base"), zero) + F.col("_run")).drop("_base", "_run")
+
+
+def refresh_mirror(source: DataFrame, target: DataFrame, spec, default: str = "1900-01-01 00:00:00") -> DataFrame:
+    """One refresh of a mirrored table, driven by its ``TableSpec``.
+
+    Rows of ``source`` after (``inclusive``: at or after) the target's high-water mark are added to ``target``; of each
+    key the row of the latest watermark stays, the new one among equals. Only the listed columns are copied, and
+    never those of the deny-list. A table without a watermark is copied whole.
+    """
+    columns = [c for c in (spec.columns or source.columns) if c not in spec.deny]
+    delta = source.select(*columns)
+    if spec.watermark:
+        delta = scan_since(delta, spec.watermark, high_water_mark(target, spec.watermark, default=default), spec.inclusive)
+    both = target.select(*columns).withColumn("_batch", F.lit(0)).unionByName(delta.withColumn("_batch", F.lit(1)))
+    order = ([F.col(spec.watermark).desc_nulls_last()] if spec.watermark else []) + [F.col("_batch").desc()]
+    return latest_per_key(both, list(spec.key), order).drop("_batch")

@@ -96,6 +96,27 @@ def update_pause(log: DataFrame, pause_lecture: DataFrame, week_start: date, wee
         F.when(hit, _stamp(stamp)).otherwise(F.col("updated_at")).alias("updated_at")).select(*LOG_COLS)
 
 
+def run_counts(new_lecture: DataFrame, inserted: DataFrame, paused: DataFrame, week_start: date, week_end: date,
+               stamp: datetime) -> DataFrame:
+    """K8/K9 results of one run as one row: new starts of the week, episodes closed by them, episodes inserted, and
+    episodes ending in the week after the pauses.
+
+    ``inserted`` and ``paused`` are the logs after each step; rows of this run carry its ``stamp``."""
+    ws, we, now = _d(week_start), _d(week_end), _stamp(stamp)
+    zero = F.lit(0).cast("bigint")
+    names = ["source_rows", "closed_rows", "inserted_new", "updated_pause"]
+
+    def part(df, **counts):
+        return df.agg(*[(counts[n] if n in counts else F.max(zero)).alias(n) for n in names])
+
+    touched = F.col("updated_at") == now
+    parts = part(new_lecture, source_rows=F.count_if(F.col("start_date").between(ws, we))) \
+        .unionByName(part(inserted, closed_rows=F.count_if(touched & (F.col("created_at") != now)),
+                          inserted_new=F.count_if(F.col("created_at") == now))) \
+        .unionByName(part(paused, updated_pause=F.count_if(F.col("end_date").between(ws, we))))
+    return parts.agg(*[F.sum(n).cast("bigint").alias(n) for n in names])
+
+
 def weekly_counts(log: DataFrame, cohorts=COHORTS) -> DataFrame:
     """K10 over every week: starts and ends per (Monday, cohort), zero-filled for each listed cohort.
 

@@ -13,11 +13,12 @@ from datetime import date, datetime
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from episodic.operators.lifecycle import (LOG_COLS, insert_new, renumber_episodes, update_pause,
+from episodic.operators.lifecycle import (LOG_COLS, insert_new, renumber_episodes, run_counts, update_pause,
                                           weekly_actuals_for, weekly_counts)
 from episodic.operators.sinks import materialize
 from episodic.operators.windows import row_numbers
-from episodic.operators.survival import compute_window, km_curve, replace_slice
+from episodic.operators.survival import (HORIZON_WEEKS, activate_version, compute_window, km_curve, replace_slice,
+                                        should_retrain)
 from episodic.plans.registry import register
 
 RUN_DATE = date(1998, 9, 1)
@@ -162,6 +163,18 @@ def q_episode_log_pause(spark, t):
     return after_pause(t)
 
 
+@register("episode_run_counts", "K8,K9: E9", f"""WITH {_SQL_BASE}
+SELECT CAST((SELECT COUNT(*) FROM src) AS BIGINT) AS source_rows,
+       CAST((SELECT COUNT(*) FROM closed WHERE end_date IS NULL AND next_start IS NOT NULL) AS BIGINT) AS closed_rows,
+       CAST((SELECT COUNT(*) FROM ins) AS BIGINT) AS inserted_new,
+       CAST((SELECT COUNT(*) FROM log2 WHERE end_date BETWEEN DATE '{WS}' AND DATE '{WE}') AS BIGINT) AS updated_pause""")
+def q_episode_run_counts(spark, t):
+    """What the run reports: source rows, closed and inserted episodes, episodes ending in the week."""
+    inserted = materialize(after_insert(t), "lvt_log_inserted")
+    paused = update_pause(inserted, pause_lecture(t.orders), WS, WE, STAMP)
+    return run_counts(new_lecture(t.orders), inserted, paused, WS, WE, STAMP)
+
+
 @register("renumber_episodes", "K12: F14,B14,C7", f"""WITH {_SQL_BASE}, rn AS (
   SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY lecture_vt_no
                ORDER BY start_date, COALESCE(end_date, DATE '2100-01-01')) AS BIGINT) AS new_no
@@ -264,6 +277,37 @@ def q_model_slice_replace(spark, t):
     return replace_slice(old, km_curve(after_pause(t, pre), FS, FE, WE), FS, FE)
 
 
+_VERSIONS = ("fit_window_start date, fit_window_end date, time_unit string, horizon_weeks int, status string, "
+             "created_at timestamp_ntz, created_by string, notes string")
+
+
+@register("weekly_retrain", "K11: G5,K7,B13,B9", f"""WITH {_SQL_BASE},
+models AS (
+  SELECT * FROM {_km_sql('pre', PREV['fit_start'], PREV['fit_end'], PREV['week_end'])} a
+  UNION ALL SELECT * FROM {_km_sql('log2', FS, FE, WE)} b
+), n AS (SELECT fit_window_start, COUNT(*) AS n_rows FROM models GROUP BY 1)
+SELECT v.*, COALESCE(n.n_rows, 0) AS n_rows FROM (
+  SELECT DATE '{PREV['fit_start']}' AS fit_window_start, DATE '{PREV['fit_end']}' AS fit_window_end, 'week' AS time_unit,
+         52 AS horizon_weeks, 'active' AS status, 'setup' AS created_by, 'earlier run' AS notes
+  UNION ALL SELECT DATE '{FS}', DATE '{FE}', 'week', 52, 'active', 'airflow:daily', 'Daily retrain as_of={WE} run 1') v
+LEFT JOIN n ON n.fit_window_start = v.fit_window_start""")
+def q_weekly_retrain(spark, t):
+    """The whole retrain step, run twice: the guard finds no active curve of the window, so the first run replaces its slice
+    and activates its version; the second run finds both and leaves everything as it is."""
+    pre = stored_log(t)
+    log = materialize(after_pause(t, pre), "lvt_log_paused")
+    models = materialize(km_curve(pre, PREV["fit_start"], PREV["fit_end"], PREV["week_end"]), "km_models")
+    versions = spark.createDataFrame([(PREV["fit_start"], PREV["fit_end"], "week", HORIZON_WEEKS, "active", STAMP, "setup",
+                                       "earlier run")], _VERSIONS)
+    for run in (1, 2):
+        if should_retrain(versions, models, FS, FE):
+            models = materialize(replace_slice(models, km_curve(log, FS, FE, WE), FS, FE), "km_models")
+            versions = materialize(activate_version(versions, FS, FE, HORIZON_WEEKS, STAMP, "airflow:daily",
+                                                    f"Daily retrain as_of={WE} run {run}"), "model_versions")
+    n = models.groupBy("fit_window_start").agg(F.count(F.lit(1)).alias("n_rows"))
+    return versions.drop("created_at").join(n, "fit_window_start", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+
+
 def _dirty_key(c):
     """Keys as typed into the weekly sheet: leading zero, blanks and a dash."""
     return F.concat(F.lit(" 0"), c.cast("string"), F.lit("- "))

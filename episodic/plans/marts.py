@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from episodic.operators.incremental import high_water_mark, insert_absent, upsert
+from episodic.operators.sinks import materialize
 from episodic.plans.registry import register, ts
 
 CUT = "2000-01-01 00:00:00"
@@ -52,7 +53,7 @@ FROM (
 """)
 def q_round_done(spark, t):
     """Delivered rounds with rounded done months; insert-only against the stored table."""
-    done = done_sessions(t)
+    done = materialize(done_sessions(t), "done_sessions")       # one join; source and stored target both read it
     target = done.filter(F.col("l_shipdate") < ts(CUT)).withColumn("origin", F.lit("target"))
     res = insert_absent(target, done.withColumn("origin", F.lit("new")), _SKEY)
     return res.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "student", "teacher",
@@ -76,13 +77,13 @@ SELECT student, teacher, pair_text, CAST(done_month AS DOUBLE) AS done_month, ma
 def q_pair_done(spark, t):
     """Done months per (student, teacher), merged on the two key columns (the separator-free text key
     '1'||'23' = '12'||'3' collides, so it is only an output column)."""
-    done = done_sessions(t)
+    done = materialize(done_sessions(t), "done_sessions")
 
     def pairs(df):
         return df.groupBy("student", "teacher").agg(F.sum("per_done_month").alias("done_month"),
                                                     F.max("l_shipdate").alias("max_update")) \
             .withColumn("pair_text", F.concat(F.col("student").cast("string"), F.col("teacher").cast("string")))
-    target = pairs(done.filter(F.col("l_shipdate") < ts(CUT)))
+    target = materialize(pairs(done.filter(F.col("l_shipdate") < ts(CUT))), "pair_done")      # the stored table
     hwm = high_water_mark(target, "max_update")
     changed = pairs(done).filter(F.col("max_update") >= F.lit(hwm).cast("timestamp_ntz"))
     res = upsert(target, changed, ["student", "teacher"])

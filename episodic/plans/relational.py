@@ -10,6 +10,7 @@ from episodic.operators.quality import quality_report
 from episodic.operators.windows import first_rows
 from episodic.plans.ranks import LINE_ORDER, LINE_ORDER_SQL
 from episodic.plans.registry import AS_OF_EVENTS, AS_OF_ORDERS, money, register, ts
+from episodic.sources.tables import TABLES
 
 
 @register("predicates", "C3-C7,C10,C12", """
@@ -416,34 +417,24 @@ def q_first_match_join(spark, t):
                     "n_name", "session_no")
 
 
-@register("quality_report", "L1-L4", """
-SELECT 'orders' AS table_name, 'unique(o_orderkey)' AS check_name,
-       (SELECT COUNT(*) FROM (SELECT o_orderkey FROM orders GROUP BY o_orderkey HAVING COUNT(*) > 1) x) AS failures
-UNION ALL SELECT 'orders', 'not_null(o_orderkey)', (SELECT COUNT(*) FROM orders WHERE o_orderkey IS NULL)
-UNION ALL SELECT 'orders', 'accepted(o_orderstatus)',
-       (SELECT COUNT(*) FROM orders WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P'))
-UNION ALL SELECT 'customer', 'unique(c_custkey)',
-       (SELECT COUNT(*) FROM (SELECT c_custkey FROM customer GROUP BY c_custkey HAVING COUNT(*) > 1) x)
-UNION ALL SELECT 'customer', 'not_null(c_custkey)', (SELECT COUNT(*) FROM customer WHERE c_custkey IS NULL)
-UNION ALL SELECT 'lineitem', 'unique(l_orderkey,l_linenumber)',
-       (SELECT COUNT(*) FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1) x)
-UNION ALL SELECT 'lineitem', 'not_null(l_orderkey,l_linenumber)',
-       (SELECT COUNT(*) FROM lineitem WHERE l_orderkey IS NULL OR l_linenumber IS NULL)
-UNION ALL SELECT 'events', 'unique(event_id)',
-       (SELECT COUNT(*) FROM (SELECT event_id FROM events GROUP BY event_id HAVING COUNT(*) > 1) x)
-UNION ALL SELECT 'conversations', 'unique(conv_id,turn)',
-       (SELECT COUNT(*) FROM (SELECT conv_id, turn FROM conversations GROUP BY 1, 2 HAVING COUNT(*) > 1) x)
-""")
+# (table, key, accepted values); lineitem is checked on the key it should have
+QUALITY = [(n, ("l_orderkey", "l_linenumber") if n == "lineitem" else spec.key,
+            {"o_orderstatus": ["F", "O", "P"]} if n == "orders" else {}) for n, spec in TABLES.items()]
+
+
+def _quality_sql() -> str:
+    out = []
+    for n, key, accepted in QUALITY:
+        cols = ", ".join(key)
+        out += [f"SELECT '{n}' AS table_name, 'unique({','.join(key)})' AS check_name, "
+                f"(SELECT COUNT(*) FROM (SELECT {cols} FROM {n} GROUP BY {cols} HAVING COUNT(*) > 1) x) AS failures",
+                f"SELECT '{n}', 'not_null({','.join(key)})', (SELECT COUNT(*) FROM {n} WHERE {' OR '.join(c + ' IS NULL' for c in key)})"]
+        out += [f"SELECT '{n}', 'accepted({c})', (SELECT COUNT(*) FROM {n} WHERE {c} IS NULL OR {c} NOT IN "
+                f"({', '.join(repr(x) for x in v)}))" for c, v in accepted.items()]
+    return "\nUNION ALL ".join(out)
+
+
+@register("quality_report", "L1-L4", _quality_sql())
 def q_quality_report(spark, t):
-    """unique / not_null / accepted-values checks; each row counts the failing keys or rows."""
-    return quality_report([
-        ("orders", t.orders, "unique", ["o_orderkey"], None),
-        ("orders", t.orders, "not_null", ["o_orderkey"], None),
-        ("orders", t.orders, "accepted", ["o_orderstatus"], ["F", "O", "P"]),
-        ("customer", t.customer, "unique", ["c_custkey"], None),
-        ("customer", t.customer, "not_null", ["c_custkey"], None),
-        ("lineitem", t.lineitem, "unique", ["l_orderkey", "l_linenumber"], None),
-        ("lineitem", t.lineitem, "not_null", ["l_orderkey", "l_linenumber"], None),
-        ("events", t.events, "unique", ["event_id"], None),
-        ("conversations", t.conversations, "unique", ["conv_id", "turn"], None),
-    ])
+    """unique / not_null / accepted-values checks of all tables; each row counts the failing keys or rows."""
+    return quality_report([(n, getattr(t, n), list(key), accepted) for n, key, accepted in QUALITY])
