@@ -2,18 +2,19 @@
 
 * episodes: K1 episodes per user, ``next_active`` = LEAD of the activation (F1)
 * assignment: a ``signup`` inside an episode, half-open [active, next_active) (D5)
-* sessions: ``view``/``click`` from the assignment on, until the next
-  assignment of the lecture (D6); first four per assignment (F4), running
-  count of finished (``click`` = DONE) sessions (F5), stage label (I1)
-* feedback: latest form per (user, cycle = k % 4 + 1) (F9), pivoted (E4),
-  joined to the session of the same number with a time residual in ON (D12)
+* sessions: ``view``/``click`` of the assignment's lecture and teacher
+  (k % 3) from the assignment on (D6, no upper bound); first four per
+  assignment (F4), running count of finished (``click`` = DONE) sessions
+  (F5), stage label (I1)
+* feedback: latest form per (user, teacher, cycle = k % 4 + 1) (F9), pivoted
+  (E4), joined to the session of the same teacher and number (D24) with a
+  time residual in ON (D12)
 * matching time: first payment strictly after activation inside the
   episode (D9), falling back to the assignment time (I4), SLA label (I3)
 
-Every "from X on" join is an as-of join: episodes and assignments tile the
-time line of a lecture (each ends at the next start), so each point takes
-the latest start at or before it; no key pairs all of its rows and no
-interval is copied per day it spans.
+Episodes tile the time line of a lecture (each ends at the next start), so
+assignments and payments take the latest start at or before them (as-of
+join); no key pairs all of its rows and no interval is copied per day it spans.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from episodic.operators.feedback import explode_pairs, pivot_slots
 from episodic.operators.incremental import latest_per_key
 from episodic.operators.intervals import asof_join, with_next
 from episodic.operators.sinks import materialize
-from episodic.operators.windows import first_rows
+from episodic.operators.windows import filled, row_numbers
 from episodic.plans.episodes import group_lvt, k1_sql
 from episodic.plans.feedback import _FORMS_SQL, forms
 from episodic.plans.ranks import FAR_END, stage_label, _STAGE_SQL
@@ -52,38 +53,53 @@ def experience_base(t, update_variant: bool = False, memo_fallback: bool = False
 
     signups = ev.filter(F.col("event_type") == "signup").select(
         F.col("event_id").alias("assign_id"), F.col("user_id").alias("a_user"), F.col("ts").alias("assign_at"),
-        _k().alias("memo_k"))
+        _k().alias("memo_k"), (_k() % 3).alias("teacher"))
     assign = asof_join(eps, signups, [("lecture_vt_no", "a_user")], "active_timestamp", "_eend", "assign_at",
                        tie=["seq"]).filter(before_next | (F.col("assign_at") < F.col("next_active"))) \
         .drop("a_user", "_eend")
-    # the assignment table is stored once too: the session join and the output read the copy
-    # instead of recomputing two as-of joins
-    assign = materialize(with_next(assign, "lecture_vt_no", ["assign_at", "assign_id"], "assign_at", "next_assign",
-                                   chunk=F.date_trunc("day", "assign_at")), "experience_assign") \
-        .withColumn("_aend", F.coalesce("next_assign", data_end))
+    # the assignment table is stored once too: both parts of the session join read the copy
+    assign = materialize(assign, "experience_assign")
 
+    # The sessions of the same lecture and teacher from the assignment on, without an upper bound. Sessions are
+    # numbered per (lecture, teacher); an assignment takes the last number before it, and its first sessions are
+    # the next ``top_n`` numbers, so no assignment meets all sessions of its key.
     sessions = ev.filter(F.col("event_type").isin("view", "click")).select(
-        F.col("event_id").alias("session_id"), F.col("user_id").alias("s_user"), F.col("ts").alias("session_at"),
+        F.col("event_id").alias("session_id"), F.col("user_id").alias("s_user"), (_k() % 3).alias("s_teacher"),
+        F.col("ts").alias("session_at"),
         F.when(F.col("event_type") == "click", "DONE").otherwise("BOOKED").alias("state"))
-    sess = asof_join(assign, sessions, [("lecture_vt_no", "s_user")], "assign_at", "_aend", "session_at",
-                     tie=["assign_id"]).filter(F.col("next_assign").isNull() | (F.col("session_at") < F.col("next_assign"))) \
-        .drop("s_user", "_aend")
-    ranked = first_rows(sess, ["assign_id"], ["session_at", "session_id"], top_n, rank_col="rn")
+    sessions = materialize(row_numbers(sessions, ["s_user", "s_teacher"], ["session_at", "session_id"], "s_no",
+                                       chunk=F.date_trunc("day", "session_at")), "experience_sessions")
+    none = F.lit(None).cast("bigint")
+    line = sessions.select(F.col("s_user").alias("u"), F.col("s_teacher").alias("tea"), F.col("session_at").alias("at"),
+                           F.lit(1).alias("kind"), F.col("session_id").alias("x"), "s_no", none.alias("a_id")) \
+        .unionByName(assign.select(F.col("lecture_vt_no").alias("u"), F.col("teacher").alias("tea"), F.col("assign_at").alias("at"),
+                                   F.lit(0).alias("kind"), F.col("assign_id").alias("x"), none.alias("s_no"),
+                                   F.col("assign_id").alias("a_id")))
+    before = filled(line, ["u", "tea"], ["at", "kind", "x"], "s_no", "last_no", chunk=F.date_trunc("day", "at")) \
+        .filter(F.col("a_id").isNotNull()) \
+        .select("a_id", F.explode(F.sequence(F.coalesce("last_no", F.lit(0)) + 1, F.coalesce("last_no", F.lit(0)) + top_n))
+                .alias("want"), F.coalesce("last_no", F.lit(0)).alias("last_no"))
+    ranked = assign.join(before, assign["assign_id"] == before["a_id"]).drop("a_id")
+    ranked = ranked.join(sessions, (F.col("lecture_vt_no") == F.col("s_user")) & (F.col("teacher") == F.col("s_teacher"))
+                         & (F.col("want") == F.col("s_no"))) \
+        .withColumn("rn", (F.col("s_no") - F.col("last_no")).cast("bigint")) \
+        .drop("s_user", "s_teacher", "s_no", "want", "last_no")
     w = Window.partitionBy("assign_id").orderBy("session_at", "session_id")
     ranked = ranked.withColumn("done_cnt", F.sum(F.when(F.col("state") == "DONE", 1).otherwise(0)).over(w)
                                .cast("bigint"))
 
     # feedback: latest form per (user, cycle), pivoted to slots
-    f = forms(ev).withColumn("cycle", (_k() % 4 + 1).cast("bigint"))
-    f = latest_per_key(f, ["user_id", "cycle"], [F.col("ts").desc(), F.col("event_id").desc()])
-    pairs = explode_pairs(f.withColumnRenamed("ts", "f_ts"), "body", keep=["user_id", "cycle", "f_ts"])
-    fb = pivot_slots(pairs, ["user_id", "cycle", "f_ts"], "key", "value",
+    f = forms(ev).withColumn("cycle", (_k() % 4 + 1).cast("bigint")).withColumn("f_teacher", _k() % 3)
+    f = latest_per_key(f, ["user_id", "f_teacher", "cycle"], [F.col("ts").desc(), F.col("event_id").desc()])
+    pairs = explode_pairs(f.withColumnRenamed("ts", "f_ts"), "body", keep=["user_id", "f_teacher", "cycle", "f_ts"])
+    fb = pivot_slots(pairs, ["user_id", "f_teacher", "cycle", "f_ts"], "key", "value",
                      {"score": ["k"], "kind": ["type"], "answered_at": ["at"]},
                      strict=True, casts={"score": "int", "kind": None, "answered_at": None}) \
         .withColumnRenamed("user_id", "f_user")
     lag = F.expr("INTERVAL 1 HOUR") if update_variant else F.expr("INTERVAL 0 HOUR")
-    base = ranked.join(fb, (ranked["lecture_vt_no"] == fb["f_user"]) & (ranked["rn"] == fb["cycle"])
-                       & (fb["f_ts"] > ranked["session_at"] + lag), "left").drop("f_user", "cycle")
+    base = ranked.join(fb, (ranked["lecture_vt_no"] == fb["f_user"]) & (ranked["teacher"] == fb["f_teacher"])
+                       & (ranked["rn"] == fb["cycle"]) & (fb["f_ts"] > ranked["session_at"] + lag), "left") \
+        .drop("f_user", "f_teacher", "cycle")
 
     purchases = ev.filter(F.col("event_type") == "purchase").select(F.col("user_id").alias("p_user"),
                                                                     F.col("ts").alias("p_ts"))
@@ -121,19 +137,18 @@ epi AS (
          LEAD(active_timestamp) OVER (PARTITION BY lecture_vt_no ORDER BY active_timestamp, seq) AS next_active
   FROM glvt {ep_filter}
 ), signups AS (
-  SELECT event_id AS assign_id, user_id, ts AS assign_at, CAST(json_extract_string(props, '$.k') AS INTEGER) AS memo_k
+  SELECT event_id AS assign_id, user_id, ts AS assign_at, CAST(json_extract_string(props, '$.k') AS INTEGER) AS memo_k,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 AS teacher
   FROM events WHERE event_type = 'signup'
 ), asg AS (
-  SELECT e.*, s.assign_id, s.assign_at, s.memo_k FROM epi e JOIN signups s ON s.user_id = e.lecture_vt_no
+  SELECT e.*, s.assign_id, s.assign_at, s.memo_k, s.teacher FROM epi e JOIN signups s ON s.user_id = e.lecture_vt_no
   AND s.assign_at >= e.active_timestamp AND (e.next_active IS NULL OR s.assign_at < e.next_active)
   AND s.assign_at <= (SELECT data_end FROM data_end)
-), asg2 AS (
-  SELECT *, LEAD(assign_at) OVER (PARTITION BY lecture_vt_no ORDER BY assign_at, assign_id) AS next_assign FROM asg
 ), xsess AS (
   SELECT a.*, v.event_id AS session_id, v.ts AS session_at,
          CASE WHEN v.event_type = 'click' THEN 'DONE' ELSE 'BOOKED' END AS state
-  FROM asg2 a JOIN events v ON v.user_id = a.lecture_vt_no AND v.event_type IN ('view', 'click')
-  AND v.ts >= a.assign_at AND (a.next_assign IS NULL OR v.ts < a.next_assign)
+  FROM asg a JOIN events v ON v.user_id = a.lecture_vt_no AND v.event_type IN ('view', 'click')
+  AND CAST(json_extract_string(v.props, '$.k') AS INTEGER) % 3 = a.teacher AND v.ts >= a.assign_at
 ), ranked AS (
   SELECT *, CAST(SUM(CASE WHEN state = 'DONE' THEN 1 ELSE 0 END)
                  OVER (PARTITION BY assign_id ORDER BY session_at, session_id) AS BIGINT) AS done_cnt
@@ -142,15 +157,16 @@ epi AS (
 ), {_FORMS_SQL}, latest_form AS (
   SELECT * FROM (SELECT event_id, user_id, ts,
                         CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 + 1 AS BIGINT) AS cycle,
-                        ROW_NUMBER() OVER (PARTITION BY user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 + 1
+                        CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 AS teacher,
+                        ROW_NUMBER() OVER (PARTITION BY user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) % 3, CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 + 1
                                            ORDER BY ts DESC, event_id DESC) AS frn
                  FROM events) y WHERE frn = 1
 ), fb AS (
-  SELECT lf.user_id, lf.cycle, lf.ts AS f_ts,
+  SELECT lf.user_id, lf.teacher, lf.cycle, lf.ts AS f_ts,
          MAX(CASE WHEN kv.key IN ('k') THEN CAST(kv.value AS INTEGER) END) AS score,
          MAX(CASE WHEN kv.key IN ('type') THEN kv.value END) AS kind,
          MAX(CASE WHEN kv.key IN ('at') THEN kv.value END) AS answered_at
-  FROM latest_form lf JOIN kv ON kv.event_id = lf.event_id GROUP BY lf.user_id, lf.cycle, lf.ts
+  FROM latest_form lf JOIN kv ON kv.event_id = lf.event_id GROUP BY lf.user_id, lf.teacher, lf.cycle, lf.ts
 ), matched AS (
   SELECT e.group_lecture_vt_no, MIN(p.ts) AS matched
   FROM epi e JOIN events p ON p.user_id = e.lecture_vt_no AND p.event_type = 'purchase'
@@ -159,7 +175,7 @@ epi AS (
 ), base0 AS (
   SELECT r.*, fb.score, fb.kind, fb.answered_at, fb.f_ts, {matched} AS matched_at
   FROM ranked r
-  LEFT JOIN fb ON fb.user_id = r.lecture_vt_no AND fb.cycle = r.rn AND fb.f_ts > r.session_at{lag}
+  LEFT JOIN fb ON fb.user_id = r.lecture_vt_no AND fb.teacher = r.teacher AND fb.cycle = r.rn AND fb.f_ts > r.session_at{lag}
   LEFT JOIN matched m ON m.group_lecture_vt_no = r.group_lecture_vt_no
 ), base AS (
   SELECT *, {_STAGE_SQL} AS stage,
@@ -224,13 +240,13 @@ def q_experience_operation(spark, t):
 
 @register("feedback_missing_list", "K17: F2,F6,D8,F11,C11",
           _base_sql(ep_filter="WHERE active_timestamp BETWEEN TIMESTAMP '2024-01-08 00:00:00' "
-                              "AND TIMESTAMP '2024-01-25 00:00:00'", top_n=3) + """
+                              "AND TIMESTAMP '2024-01-25 00:00:00'") + """
 SELECT lecture_vt_no, group_lecture_vt_no, assign_id, session_id, session_at, rn
 FROM base
-WHERE state = 'DONE' AND CAST(session_at AS DATE) < DATE '2024-01-31' AND f_ts IS NULL""")
+WHERE state = 'DONE' AND done_cnt IN (1, 2, 3) AND CAST(session_at AS DATE) < DATE '2024-01-31' AND f_ts IS NULL""")
 def q_feedback_missing_list(spark, t):
-    """Episodes of a date range (filtered before LEAD), sessions 1-3 finished before today, no feedback."""
-    b = experience_base(t, episode_from="2024-01-08 00:00:00", episode_to="2024-01-25 00:00:00", top_n=3)
-    b = b.filter((F.col("state") == "DONE") & (F.to_date("session_at") < ts(AS_OF_EVENTS).cast("date"))
+    """Episodes of a date range (filtered before LEAD), the first to third finished of four sessions, before today, no feedback."""
+    b = experience_base(t, episode_from="2024-01-08 00:00:00", episode_to="2024-01-25 00:00:00")
+    b = b.filter((F.col("state") == "DONE") & F.col("done_cnt").isin(1, 2, 3) & (F.to_date("session_at") < ts(AS_OF_EVENTS).cast("date"))
                  & F.col("f_ts").isNull())
     return b.select("lecture_vt_no", "group_lecture_vt_no", "assign_id", "session_id", "session_at", "rn")
