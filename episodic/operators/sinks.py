@@ -68,3 +68,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def save_in_schema(df: DataFrame, name: str, schema: str | None = None) -> str:
+    """Write ``df`` as table ``<schema>.<name>`` (schema ``public`` where none is given); returns the qualified name.
+
+    The schema and every written version lie below the shared folder, and a rewrite takes a new path."""
+    from episodic.session import scratch_path
+    spark, schema = df.sparkSession, (schema or "public").strip()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{scratch_path(spark, schema)}'")
+    df.write.mode("overwrite").option("path", scratch_path(spark, f"{schema}_{name}")).saveAsTable(f"`{schema}`.`{name}`")
+    return f"`{schema}`.`{name}`"

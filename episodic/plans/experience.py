@@ -185,7 +185,7 @@ epi AS (
 )""").replace("\nSELECT * FROM glvt,", ",")
 
 
-@register("experience_raw", "K14: F1,D5,D6,F4,F5,I1,D3,D4,D12,D24,F9,E4,I2,I3,I18,I20,H1",
+@register("experience_raw", "K14: F1,D5,D6,F4,F5,I1,D3,D4,D12,D24,F9,E4,I3,I18,I20,H1",
           _base_sql() + f"\nSELECT {', '.join(_OUT)} FROM base WHERE state = 'DONE'")
 def q_experience_raw(spark, t):
     """Raw experience sheet: finished sessions among the first four of each assignment, with labels."""

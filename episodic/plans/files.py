@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from episodic.operators.sinks import conform
+from episodic.operators.sinks import conform, save_in_schema
 from episodic.sources.files import read_csv_worklist, write_csv_snapshot
 from episodic.session import scratch_path
 from episodic.plans.registry import register
@@ -95,3 +95,15 @@ def q_typed_sink_round_trip(spark, t):
     root = scratch_path(spark, "matching")
     write_version(conform(docs, DOC_SCHEMA), root, 0)
     return read_latest(spark, root, DOC_SCHEMA)
+
+
+@register("schema_write", "B19,B1", """
+SELECT n_nationkey, n_name, 'public' AS written_to FROM nation
+UNION ALL SELECT r_regionkey, r_name, 'kpis' FROM region
+""")
+def q_schema_write(spark, t):
+    """Two tables written under their schema (the default one and a named one) and read back by qualified name."""
+    a = save_in_schema(t.nation.select("n_nationkey", "n_name"), "nation_names")
+    b = save_in_schema(t.region.select("r_regionkey", "r_name"), "region_names", schema="kpis")
+    return spark.table(a).withColumn("written_to", F.lit("public")) \
+        .union(spark.table(b).withColumn("written_to", F.lit("kpis")))

@@ -262,7 +262,7 @@ def q_km_curve(spark, t):
 PREV = compute_window(date(1998, 8, 25))
 
 
-@register("model_slice_replace", "B9,B13,G5", f"""WITH {_SQL_BASE},
+@register("model_slice_replace", "B13", f"""WITH {_SQL_BASE},
 old AS (
   SELECT * FROM {_km_sql('pre', PREV['fit_start'], PREV['fit_end'], PREV['week_end'])} a
   UNION ALL SELECT * FROM {_km_sql('pre', FS, FE, WE)} b

@@ -34,7 +34,7 @@ def q_latest_per_key(spark, t):
                           [F.col("ts").desc_nulls_last(), F.col("event_id").desc()])
 
 
-@register("high_water_scan", "A4,A9,E10", f"""
+@register("high_water_scan", "A4,E10", f"""
 SELECT * FROM orders
 WHERE o_orderdate > (SELECT MAX(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '{CUT_ORDERS}')
 """)
@@ -162,7 +162,7 @@ def q_upsert_totals(spark, t):
     return upsert(old, changed, ["o_custkey"])
 
 
-@register("list_maintenance", "K5,G3,A10,I17,F12", """
+@register("list_maintenance", "K5,G3,I17,F12", """
 WITH old AS (
   SELECT ' ' || CAST(o_orderkey AS VARCHAR) || ' ' AS room_id, o_custkey,
          strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ts_text, 0 AS batch

@@ -331,7 +331,7 @@ def q_top_recent(spark, t):
         .orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc()).limit(1000)
 
 
-@register("suggestion_extract", "K31: A12,D3,H2", """
+@register("suggestion_extract", "K31: D3,H2", """
 SELECT o.o_orderkey, o.o_orderdate, l.l_partkey, l.l_suppkey, l.l_shipdate
 FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey AND l.l_linenumber = 1
 ORDER BY o.o_orderdate DESC, o.o_orderkey DESC, l.l_shipdate ASC NULLS LAST, l.l_partkey ASC NULLS LAST,
@@ -350,7 +350,7 @@ def q_suggestion_extract(spark, t):
         .limit(1000).select("o_orderkey", "o_orderdate", "l_partkey", "l_suppkey", "l_shipdate")
 
 
-@register("interval_extract", "K27: A7,B1,B5", """
+@register("interval_extract", "K27: A7", """
 SELECT o_orderkey AS lecture_cycle_no, o_custkey AS lecture_vt_no, o_orderstatus AS cycle_state,
        o_totalprice AS tutor_price, o_orderdate AS req_datetime
 FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1995-04-01 00:00:00' AND TIMESTAMP '1995-08-31 00:00:00'
@@ -363,7 +363,7 @@ def q_interval_extract(spark, t):
                 F.col("o_orderdate").alias("req_datetime"))
 
 
-@register("bulk_reload", "K32: A3,B6,B7,B19", """
+@register("bulk_reload", "K32", """
 SELECT c_custkey AS user_no, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment, n_name AS nation
 FROM customer JOIN nation ON n_nationkey = c_nationkey
 """)

@@ -133,7 +133,7 @@ def q_first_session_missed(spark, t):
     return minus_list(j, "o_custkey", t, min_balance=9500)
 
 
-@register("active_letter_list", "K21: D1,C3,C4,E6,I31,B3", """
+@register("active_letter_list", "K21: D1,C3,C4,I31,B3", """
 SELECT c.c_custkey, c.c_name, c.c_mktsegment, n.n_name, 'student' AS source,
        TIMESTAMP '1998-09-01 00:00:00' AS updated_at
 FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
