@@ -41,7 +41,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 6
 REGISTERS = BANDS * ROWS
 SLACK = 0.16             # a signature estimate this far below the threshold (over 4 standard errors) rules a pair out
-BLOCK = 1024             # members of a bucket compared at once
+BLOCK = 512              # members of a bucket on each side of a comparison
+BITS = 1 << 24           # of the map that thins out texts before they are shuffled: 2 MB at any size of input
 _U = np.uint64
 
 
@@ -173,23 +174,90 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return j.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def _across(t: pa.Table) -> pa.Table:
-    """Pairs of a group of a bucket's members, in different components, whose signatures may reach the threshold.
+def _pairs(sig: np.ndarray, comp: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Which members (rows) may be linked with which (columns): in different components, on sides that meet, and with
+    signatures that could reach the threshold. ``side``: 0 and 1 are compared with each other, 2 among themselves."""
+    out = np.zeros((len(sig), len(sig)), bool)
+    right = np.flatnonzero(side != 0)
+    for i in np.flatnonzero(side != 1):
+        est = (sig[right] == sig[i]).mean(axis=1)
+        out[i, right] = (est >= THRESHOLD - SLACK) & (comp[right] != comp[i])
+    return out
+
+
+def _members(t: pa.Table) -> tuple[np.ndarray, ...]:
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(t.num_rows, REGISTERS)
+    return sig, t.column("component").to_numpy(), t.column("side").to_numpy()
+
+
+def _hopeful(t: pa.Table) -> pa.Table:
+    """The members of a group that may be linked with some other one; pairs never leave the task."""
+    may = _pairs(*_members(t))
+    return t.filter(pa.array(may.any(axis=0) | may.any(axis=1)))
 
-    ``side``: 0 and 1 are compared with each other, 2 among themselves.
+
+def overlaps(texts: list[str]) -> np.ndarray:
+    """Weighted Jaccard similarities of all pairs of a block of texts (the diagonal means nothing).
+
+    A shingle that occurs n times becomes n signs of its own, so the overlap of multisets is that of sets: a product of
+    0/1 matrices, summed over runs of columns, of which only those of two texts or more matter.
     """
-    n = t.num_rows
-    ids, comp, side = (t.column(c).to_numpy() for c in ("id", "component", "side"))
-    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(n, REGISTERS)
-    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for i in left:
-        est = (sig[right] == sig[i]).mean(axis=1)
-        ok = right[(est >= THRESHOLD - SLACK) & (comp[right] != comp[i])]
-        a.append(np.full(len(ok), ids[i]))
-        b.append(ids[ok])
-    x, y = np.concatenate(a), np.concatenate(b)
-    return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+    row, sign, size = [], [], np.zeros(len(texts))
+    for i, text in enumerate(texts):
+        u, n = bag(text)
+        size[i] = n.sum()
+        at = np.repeat(np.arange(len(u)), n)
+        turn = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        sign.append(mix64(u[at] ^ mix64(turn.astype(_U))))
+        row.append(np.full(len(at), i))
+    rows = np.concatenate(row)
+    _, inv, n = np.unique(np.concatenate(sign), return_inverse=True, return_counts=True)
+    shared = n[inv] > 1
+    rows, col = rows[shared], (np.cumsum(n > 1) - 1)[inv[shared]]
+    order = np.argsort(col, kind="stable")
+    rows, col = rows[order], col[order]
+    both = np.zeros((len(texts), len(texts)))
+    wide = 4096
+    cuts = np.searchsorted(col, np.arange(0, (col[-1] if len(col) else -1) + wide + 1, wide))
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        m = np.zeros((len(texts), wide), np.float32)
+        m[rows[a:b], col[a:b] - k * wide] = 1
+        both += m @ m.T
+    union = size[:, None] + size[None, :] - both
+    return np.divide(both, union, out=np.zeros_like(both), where=union > 0)
+
+
+def _linked(threshold: float):
+    def run(t: pa.Table) -> pa.Table:
+        """Links of a group's members, as one (id, smallest id reached) each."""
+        ids = t.column("id").to_numpy()
+        a, b = np.nonzero((overlaps(t.column("text").to_pylist()) >= threshold) & _pairs(*_members(t)))
+        low = ids.copy()
+        while True:
+            was = low.copy()
+            np.minimum.at(low, a, low[b])
+            np.minimum.at(low, b, low[a])
+            if (was == low).all():
+                break
+        some = np.flatnonzero(low != ids)
+        return pa.table({"a": low[some], "b": ids[some]})
+
+    return run
+
+
+def _thinned(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose id may be in ``wanted(id)``: a test against a bit map of ``BITS`` bits, without a shuffle.
+
+    The map has at most BITS / 32768 parts of 4 KB, so it may be broadcast at any size of input; where most bits are set
+    it lets most rows pass, and the join that follows still decides.
+    """
+    h = F.pmod(F.xxhash64("id"), F.lit(BITS))
+    bits = wanted.select(h.alias("h")).groupBy(F.floor(F.col("h") / 32768).alias("part")).agg(
+        F.bitmap_construct_agg(F.expr("bitmap_bit_position(h)")).alias("bits"))
+    p = F.expr("bitmap_bit_position(_h)")
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(bitmap_bit_position(_h) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    probed = rows.withColumn("_h", h).join(F.broadcast(bits), F.floor(F.col("_h") / 32768) == F.col("part"))
+    return probed.where((F.call_function("shiftright", byte, (p % 8).cast("int")).bitwiseAND(1)) == 1).select(*rows.columns)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -207,7 +275,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     shared = buckets.join(stars.select("bucket", "a"), "bucket")
     pairs = materialize(shared.where("id <> a").select("a", F.col("id").alias("b")).distinct(), "bagminhash-stars")
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = materialize(rows.join(wanted, "id").dropDuplicates(["id"]), "bagminhash-texts")
+    texts = materialize(_thinned(rows, wanted).join(wanted, "id").dropDuplicates(["id"]), "bagminhash-texts")
     links = materialize(_verified(pairs, texts, threshold), "bagminhash-links")
     comp = components(links, "bagminhash-first")
 
@@ -234,11 +302,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         "bucket", "id", "component", F.lit(True).alias("rest"), "x", F.col("block").alias("y"), F.lit(1).alias("side"))
     todo = own.unionByName(rest).unionByName(main)
     sigs = distinct.select("id", "sig")
-    more = (todo.join(sigs, "id").groupBy("bucket", "rest", "x", "y").applyInArrow(_across, "a long, b long").distinct()
-            .join(pairs, ["a", "b"], "left_anti"))
-    more = materialize(more, "bagminhash-rest")
-    wanted2 = more.select(F.col("a").alias("id")).unionByName(more.select(F.col("b").alias("id"))).distinct()
-    links2 = _verified(more, texts.join(wanted2, "id"), threshold)
+    group = ["bucket", "rest", "x", "y"]
+    columns = [*group, "id", "component", "side", "sig"]
+    met = todo.join(sigs, "id").select(*columns)
+    hopeful = materialize(met.groupBy(*group).applyInArrow(_hopeful, met.schema), "bagminhash-rest")
+    links2 = hopeful.join(texts, "id").groupBy(*group).applyInArrow(_linked(threshold), "a long, b long")
     comp = components(links.unionByName(materialize(links2, "bagminhash-links2")), "bagminhash-last")
     return (member.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
             .select("id", F.coalesce("component", "rep").alias("class_id")))

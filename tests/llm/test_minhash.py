@@ -43,6 +43,24 @@ def test_overlap_is_weighted_jaccard():
         assert minhash.overlap(minhash.bag(a), minhash.bag(b)) == pytest.approx(want)
 
 
+def test_block_overlaps_equal_pairs():
+    random.seed(6)
+    texts = [" ".join(random.choice(WORDS[:5]) for _ in range(random.randint(1, 60))) for _ in range(30)] + ["", "one"]
+    got = minhash.overlaps(texts)
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts):
+            assert i == j or got[i, j] == pytest.approx(minhash.overlap(minhash.bag(a), minhash.bag(b)))
+
+
+def test_bit_map_keeps_every_wanted_row(spark):
+    rows = spark.range(5000).selectExpr("id * 977 as id", "'t' as text")
+    wanted = rows.where("id % 7 = 0").select("id")
+    got = {r["id"] for r in minhash._thinned(rows, wanted).collect()}
+    want = {r["id"] for r in wanted.collect()}
+    assert want <= got and len(got) < len(want) + 50
+    assert minhash._thinned(rows, wanted.where("id < 0")).count() == 0
+
+
 def test_signatures_are_unbiased_for_multisets():
     rng = np.random.default_rng(3)
     got, want = [], []
