@@ -7,11 +7,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodic.operators.sinks import materialize
+from episodic.session import scratch_path
 
 #: A word of the contracts: no ASCII white space inside.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` for texts and packed arrays: written to the shared folder with a denser compression."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 

@@ -33,11 +33,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodic.llm.common import crc_of_id, mix64, slices, word_hashes
+from episodic.llm.common import crc_of_id, mix64, slices, stored, word_hashes
 from episodic.operators.sinks import materialize
 
 DEPTH = 5
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 32 << 20
+RANGE_BYTES = 16 << 20   # bytes of text whose distinct keys one task looks after
+PIECE = 1 << 20          # bytes of text turned into arrays at once
 SMOOTH = 0.1             # fixed value of the contract's baseline
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -129,27 +131,56 @@ def _blocks(batches):
                                          ["block", "bytes", *batch.schema.names])
 
 
+class Keys:
+    """The distinct words and grams of a block with their training counts, gathered piece by piece."""
+
+    def __init__(self):
+        self.parts = [], []
+        self.held = 0
+
+    def add(self, piece) -> None:
+        train = ~piece.column("held_out").to_numpy(zero_copy_only=False)
+        buf, start, n = signs(piece)
+        w, doc = words(buf, start)
+        own = owner(start, n, len(buf) - DEPTH)
+        ok = own >= 0
+        for part, keys, seen in ((self.parts[0], w, train[doc]), (self.parts[1], grams(buf)[ok], train[own[ok]])):
+            part.append(np.unique(keys[seen], return_counts=True))
+            rest = np.unique(keys[~seen])
+            part.append((rest, np.zeros(len(rest), np.int64)))
+        self.held += 1
+        if self.held % 8 == 0:
+            self._merge()
+
+    def _merge(self) -> None:
+        for part in self.parts:
+            part[:] = [summed(part)]
+
+    def by_range(self, kind: int, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys and counts sorted by (range, key), and where each range begins. The same text gives the same arrays."""
+        self._merge()
+        keys, n = self.parts[kind][0]
+        at = range_of(kind, keys, ranges)
+        order = np.argsort(at, kind="stable")
+        return keys[order], n[order], np.searchsorted(at[order], np.arange(ranges + 1, dtype=_U))
+
+
+def range_of(kind: int, keys: np.ndarray, ranges: int) -> np.ndarray:
+    return (keys if kind == 0 else mix64(keys)) % _U(ranges)
+
+
 def _requests(ranges: int):
-    def distinct(keys, train):
-        t, n = np.unique(keys[train], return_counts=True)
-        h = np.unique(keys[~train])
-        return [(t, n), (h, np.zeros(len(h), np.int64))]
-
-    def flush(block, parts):
-        rows = []
-        for kind, p in enumerate(parts):
-            keys, n = summed(p)
-            at = keys % _U(ranges) if kind == 0 else mix64(keys) % _U(ranges)
-            order = np.argsort(at, kind="stable")
-            keys, n, at = keys[order], n[order], at[order]
-            edge = np.searchsorted(at, np.arange(ranges + 1, dtype=_U))
-            rows += [(kind, r, block, pack(keys[a:b]), planes(n[a:b])) for r, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
-        cols = list(zip(*rows)) if rows else [()] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                                          ["kind", "range", "block", "keys", "n"])
+    def flush(block, keys):
+        for kind in (0, 1):
+            k, n, edge = keys.by_range(kind, ranges)
+            rows = [(kind, r, block, pack(k[a:b]), planes(n[a:b])) for r, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
+            cols = list(zip(*rows)) if rows else [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+                ["kind", "range", "block", "keys", "n"])
 
     def run(batches):
-        now, parts = None, ([], [])
+        now, keys = None, Keys()
         for batch in batches:
             block = batch.column("block").to_numpy()
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
@@ -158,20 +189,12 @@ def _requests(ranges: int):
                     continue
                 if block[lo] != now:
                     if now is not None:
-                        yield flush(now, parts)
-                    now, parts = block[lo], ([], [])
-                for piece in slices(batch.slice(lo, hi - lo), "text", 3 << 20):
-                    train = ~piece.column("held_out").to_numpy(zero_copy_only=False)
-                    buf, start, n = signs(piece)
-                    w, doc = words(buf, start)
-                    parts[0].extend(distinct(w, train[doc]))
-                    own = owner(start, n, len(buf) - DEPTH)
-                    ok = own >= 0
-                    parts[1].extend(distinct(grams(buf)[ok], train[own[ok]]))
-                for p in parts:
-                    p[:] = [summed(p)]
+                        yield from flush(now, keys)
+                    now, keys = block[lo], Keys()
+                for piece in slices(batch.slice(lo, hi - lo), "text", PIECE):
+                    keys.add(piece)
         if now is not None:
-            yield flush(now, parts)
+            yield from flush(now, keys)
 
     return run
 
@@ -181,10 +204,11 @@ def _word_counts(t: pa.Table) -> pa.Table:
     keys = [unpack(b) for b in t.column("keys").to_pylist()]
     n = [unplanes(b, np.int64) for b in t.column("n").to_pylist()]
     u, c = summed(list(zip(keys, n)))
-    rows = [(b, pack(k), planes(c[np.searchsorted(u, k)].astype(np.float64)), 0, 0) for b, k in zip(t.column("block").to_pylist(), keys)]
-    rows.append((-1, b"", b"", int((c > 0).sum()), int(c.sum())))
-    return pa.table(dict(zip(("block", "keys", "vals", "known", "total"), map(list, zip(*rows)))),
-                    schema=pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("vals", pa.binary()), ("known", pa.int64()), ("total", pa.int64())]))
+    rows = [(b, r, planes(c[np.searchsorted(u, k)].astype(np.float64)), 0, 0)
+            for b, r, k in zip(t.column("block").to_pylist(), t.column("range").to_pylist(), keys)]
+    rows.append((-1, -1, b"", int((c > 0).sum()), int(c.sum())))
+    return pa.table(dict(zip(("block", "range", "vals", "known", "total"), map(list, zip(*rows)))),
+                    schema=pa.schema([("block", pa.int64()), ("range", pa.int32()), ("vals", pa.binary()), ("known", pa.int64()), ("total", pa.int64())]))
 
 
 def _gram_counts(t: pa.Table) -> pa.Table:
@@ -300,23 +324,20 @@ def _predictions(top):
 def _answers(requests: pa.Table, model: pa.Table) -> pa.Table:
     code, p = model.column("code").to_numpy().view(_U), model.column("p").to_numpy()
     order = np.argsort(code)
-    code, p = code[order], p[order]
-    blocks, keys = requests.column("block").to_pylist(), requests.column("keys").to_pylist()
-    vals = [planes(p[np.searchsorted(code, unpack(k))]) for k in keys]
-    return pa.table({"block": pa.array(blocks, pa.int64()), "keys": pa.array(keys, pa.binary()), "vals": pa.array(vals, pa.binary())})
+    code, p = code[order], p[order].astype(np.float32)
+    vals = [planes(p[np.searchsorted(code, unpack(k))]) for k in requests.column("keys").to_pylist()]
+    return pa.table({"block": requests.column("block"), "range": requests.column("range"), "vals": pa.array(vals, pa.binary())})
 
 
 class Lookup:
     """Values by key: a table of slots answers most keys by one read, binary search the rest."""
 
-    def __init__(self, keys: list[bytes], vals: list[bytes]):
-        k = np.concatenate([unpack(b) for b in keys]) if keys else np.empty(0, _U)
-        v = np.concatenate([unplanes(b, np.float64) for b in vals]) if vals else np.empty(0)
-        order = np.argsort(k)
-        self.keys, self.vals = k[order], v[order]
-        self.bits = max(10, int(2 * len(k) + 1).bit_length())
+    def __init__(self, keys: np.ndarray, vals: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.vals = keys[order], vals[order]
+        self.bits = max(10, int(2 * len(keys) + 1).bit_length())
         self.slot = np.zeros(1 << self.bits, np.int32)
-        self.slot[self._at(self.keys)] = np.arange(len(k), dtype=np.int32)
+        self.slot[self._at(self.keys)] = np.arange(len(keys), dtype=np.int32)
 
     def _at(self, k: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -329,7 +350,7 @@ class Lookup:
         return self.vals[i]
 
 
-def _scores(train_words: int, train_docs: int, known: int):
+def _scores(train_words: int, train_docs: int, known: int, ranges: int):
     total = train_words + train_docs
     vocabulary = known + (train_docs > 0)
     base = SMOOTH + 0.0
@@ -339,26 +360,34 @@ def _scores(train_words: int, train_docs: int, known: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
         if docs.num_rows:
-            kind = answers.column("kind").to_numpy()
-            keys, vals = answers.column("keys").to_pylist(), answers.column("vals").to_pylist()
-            look = [Lookup([keys[i] for i in np.flatnonzero(kind == k)], [vals[i] for i in np.flatnonzero(kind == k)]) for k in (0, 1)]
-            for batch in docs.to_batches():
-                for piece in slices(batch, "text", 3 << 20):
-                    buf, start, n = signs(piece)
-                    rows = len(start)
-                    w, doc = words(buf, start)
-                    c = look[0](w) if len(w) else np.empty(0)
-                    own = owner(start, n, len(buf) - DEPTH)
-                    ok = own >= 0
-                    p = look[1](grams(buf)[ok])
-                    out.append(pa.table({
-                        "doc_id": piece.column("doc_id"), "held_out": piece.column("held_out"),
-                        "n_tokens": np.bincount(doc, minlength=rows) + 1,
-                        "n_known": np.bincount(doc, weights=c > 0, minlength=rows).astype(np.int64) + int(train_docs > 0),
-                        "train_tokens": np.full(rows, total),
-                        "base_score": np.bincount(doc, weights=np.log10((c + base) / scale), minlength=rows) + end,
-                        "score": np.bincount(own[ok], weights=p, minlength=rows),
-                        "n_bytes": n}))
+            pieces = [p for batch in docs.to_batches() for p in slices(batch, "text", PIECE)]
+            keys = Keys()                        # as in the requests, so that the answers need not repeat them
+            for p in pieces:
+                keys.add(p)
+            got: dict[int, dict[int, bytes]] = {0: {}, 1: {}}
+            for k, r, v in zip(*(answers.column(c).to_pylist() for c in ("kind", "range", "vals"))):
+                got[k][r] = v
+            look = []
+            for k, dtype in ((0, np.float64), (1, np.float32)):
+                vals = [unplanes(got[k][r], dtype) for r in sorted(got[k])]
+                look.append(Lookup(keys.by_range(k, ranges)[0], np.concatenate(vals) if vals else np.empty(0)))
+            del keys, got
+            for piece in pieces:
+                buf, start, n = signs(piece)
+                rows = len(start)
+                w, doc = words(buf, start)
+                c = look[0](w) if len(w) else np.empty(0)
+                own = owner(start, n, len(buf) - DEPTH)
+                ok = own >= 0
+                p = look[1](grams(buf)[ok])
+                out.append(pa.table({
+                    "doc_id": piece.column("doc_id"), "held_out": piece.column("held_out"),
+                    "n_tokens": np.bincount(doc, minlength=rows) + 1,
+                    "n_known": np.bincount(doc, weights=c > 0, minlength=rows).astype(np.int64) + int(train_docs > 0),
+                    "train_tokens": np.full(rows, total),
+                    "base_score": np.bincount(doc, weights=np.log10((c + base) / scale), minlength=rows) + end,
+                    "score": np.bincount(own[ok], weights=p, minlength=rows),
+                    "n_bytes": n}))
         return pa.concat_tables(out) if out else pa.table({f.name: pa.array([], f.type) for f in OUT})
 
     return run
@@ -378,14 +407,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("held_out", crc_of_id() % 10 == 0)
-    blocks = materialize(rows.mapInArrow(_blocks, "block long, bytes long, doc_id long, text string, held_out boolean"), "ctw-blocks")
+    blocks = stored(rows.mapInArrow(_blocks, "block long, bytes long, doc_id long, text string, held_out boolean"), "ctw-blocks")
     size, train_docs = blocks.agg(F.sum("bytes"), F.sum((~F.col("held_out")).cast("long"))).first()
-    ranges = max(16, math.ceil((size or 0) / BLOCK_BYTES))
-    asked = materialize(blocks.select("block", "text", "held_out").mapInArrow(
+    ranges = max(16, math.ceil((size or 0) / RANGE_BYTES))
+    asked = stored(blocks.select("block", "text", "held_out").mapInArrow(
         _requests(ranges), "kind int, range int, block long, keys binary, n binary"), "ctw-requests")
 
-    counted = materialize(asked.where("kind = 0").groupBy("range").applyInArrow(
-        _word_counts, "block long, keys binary, vals binary, known long, total long"), "ctw-words")
+    counted = stored(asked.where("kind = 0").groupBy("range").applyInArrow(
+        _word_counts, "block long, range int, vals binary, known long, total long"), "ctw-words")
     known, train_words = counted.agg(F.sum("known"), F.sum("total")).first()
 
     counts = materialize(asked.where("kind = 1").groupBy("range").applyInArrow(_gram_counts, "code long, n long"), "ctw-grams")
@@ -398,17 +427,17 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = asked.where("kind = 1").select("range", "block", "keys")
     model = model.mapInArrow(_with_range(ranges), "range int, code long, p double")
     gram_answers = wanted.groupBy("range").cogroup(model.groupBy("range")).applyInArrow(
-        _answers, "block long, keys binary, vals binary")
-    answers = (counted.where("block >= 0").select("block", F.lit(0).alias("kind"), "keys", "vals")
-               .unionByName(gram_answers.select("block", F.lit(1).alias("kind"), "keys", "vals")))
+        _answers, "block long, range int, vals binary")
+    answers = (counted.where("block >= 0").select("block", F.lit(0).alias("kind"), "range", "vals")
+               .unionByName(gram_answers.select("block", F.lit(1).alias("kind"), "range", "vals")))
     return (blocks.select("block", "doc_id", "held_out", "text").groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInArrow(_scores(int(train_words or 0), int(train_docs or 0), int(known or 0)), _OUT_DDL))
+            .applyInArrow(_scores(int(train_words or 0), int(train_docs or 0), int(known or 0), ranges), _OUT_DDL))
 
 
 def _with_range(ranges: int):
     def run(batches):
         for b in batches:
-            r = (mix64(b.column("code").to_numpy().view(_U)) % _U(ranges)).astype(np.int32)
+            r = range_of(1, b.column("code").to_numpy().view(_U), ranges).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(r), *b.columns], ["range", *b.schema.names])
 
     return run
