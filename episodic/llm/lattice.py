@@ -74,7 +74,7 @@ def decode(x: np.ndarray) -> np.ndarray:
 
 
 def _name(points: np.ndarray, dim: int, table: int) -> np.ndarray:
-    h = np.full(points.shape[:-1], dim * 64 + table, _U)
+    h = mix64(np.full(points.shape[:-1], dim * 64 + table, _U))
     for i in range(8):
         h = mix64(h ^ (2 * points[..., i]).astype(np.int64).view(_U))
     return h
