@@ -11,7 +11,9 @@
   leaves hold ``SPARE * k`` rows.
 * Leaves and the queries that visit them meet in a grid of blocks of at most about
   ``BLOCK`` rows a side, so neither a hot leaf nor many queries make one large task.
-  Each block returns its best ``k`` a query; Spark keeps the best of these.
+  Each block returns its best ``k`` a query, but none below the query's ``k``-th best of the
+  sampled vectors in the visited leaves (these are candidates there, so nothing below can be
+  among the best ``k`` found); Spark keeps the best of these.
 
 Edge cases: null, zero and non-finite vectors and rows without an id take no part; nor do vectors whose
 length differs from the most common one of the sample; ties go to the smaller id; with no more than ``k``
@@ -44,6 +46,20 @@ class Tree:
     centres: list = field(default_factory=list)      # by node
     children: list = field(default_factory=list)     # node numbers; [] for a leaf
     visits: int = 1
+    sample: np.ndarray | None = None
+    sample_ids: np.ndarray | None = None
+    sample_leaf: np.ndarray | None = None
+
+    def floor(self, q: np.ndarray, own: int, visited: list[int], k: int) -> float:
+        """Score of a query's ``k``-th best among the sampled vectors of the visited leaves, itself left out: no candidate
+        below it can be among the best ``k`` found there."""
+        seen = np.zeros(len(self.centres), bool)
+        seen[visited] = True
+        s = self.sample[seen[self.sample_leaf] & (self.sample_ids != own)] @ q
+        if len(s) < k:
+            return -np.inf
+        least = -np.partition(-s, k - 1)[k - 1]
+        return float(least - 1e-9 * max(1.0, abs(least)))
 
     def grow(self, x: np.ndarray, rng) -> None:
         todo = [(self._node(x.mean(axis=0)), x)]
@@ -111,8 +127,8 @@ def _kmeans(x: np.ndarray, k: int, rng, rounds: int = 12) -> tuple[np.ndarray, n
     return centres, at
 
 
-def best(q: np.ndarray, x: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int):
-    """For each query (query number, id, score) of its ``k`` largest inner products, ties to smaller ids."""
+def best(q: np.ndarray, x: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray):
+    """For each query (query number, id, score) of its ``k`` largest inner products from ``floor`` on, ties to smaller ids."""
     out = []
     for i in range(0, len(q), 256):
         s = q[i:i + 256] @ x.T
@@ -122,7 +138,7 @@ def best(q: np.ndarray, x: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int)
         else:
             least = np.full(len(s), -np.inf)
         for j in range(len(s)):
-            c = np.flatnonzero((s[j] >= least[j]) & (s[j] > -np.inf))
+            c = np.flatnonzero((s[j] >= max(least[j], floor[i + j])) & (s[j] > -np.inf))
             c = c[np.lexsort((ids[c], -s[j][c]))][:k]
             out.append((np.full(len(c), i + j), ids[c], s[j][c]))
     if not out:
@@ -137,11 +153,13 @@ def fit(vectors: DataFrame, k: int, sample: int = SAMPLE, recall: float = RECALL
     if not rows:
         return tree
     tree.dim = Counter(len(r["v"]) for r in rows).most_common(1)[0][0]
-    x = np.array([r["v"] for r in rows if len(r["v"]) == tree.dim], np.float64)
+    rows = [r for r in rows if len(r["v"]) == tree.dim]
+    x = np.array([r["v"] for r in rows], np.float64)
+    tree.sample, tree.sample_ids = x, np.array([r["id"] for r in rows])
     tree.grow(x, np.random.default_rng(7))
     # equal scores stand for each other, so that repeated vectors do not spoil the measure
     asked = x[:200]
-    leaf = tree.leaves(x)
+    leaf = tree.sample_leaf = tree.leaves(x)
     need = []
     for i, q in enumerate(asked):
         s = x @ q
@@ -178,27 +196,29 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, tree: Tree | Non
     def visit(batches):
         for batch in batches:
             rows = []
-            for i, q in zip(batch.column("id").to_pylist(), stacked(batch.column("v"))):
+            ids, vs = batch.column("id").to_numpy(), stacked(batch.column("v"))
+            for i, q in zip(ids.tolist(), vs):
                 if len(q) != tree.dim:
                     continue
-                n = held = 0
+                visited, held = [], 0
                 for leaf in tree.walk(q):
-                    if n >= tree.visits and held > SPARE * k:
+                    if len(visited) >= tree.visits and held > SPARE * k:
                         break
-                    n += 1
-                    if sizes.get(leaf):
-                        held += sizes[leaf]
-                        rows.append((leaf, i, q.tobytes()))
-            cols = list(zip(*rows)) if rows else [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()))], ["leaf", "id", "v"])
-
-    asked = materialize(queries.select("id", "v").mapInArrow(visit, "leaf long, id long, v binary"), "kmtree-visits")
+                    visited.append(leaf)
+                    held += sizes.get(leaf, 0)
+                f, raw = tree.floor(q, i, visited, k), q.tobytes()
+                rows += [(leaf, i, raw, f) for leaf in visited if sizes.get(leaf)]
+            cols = list(zip(*rows)) if rows else [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.float64()))],
+                                             ["leaf", "id", "v", "floor"])
+
+    asked = materialize(queries.select("id", "v").mapInArrow(visit, "leaf long, id long, v binary, floor double"), "kmtree-visits")
     xs = points.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("xs"))
     ys = asked.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("ys"))
     grid = materialize(xs.join(ys, "leaf"), "kmtree-grid")
     p = points.join(grid, "leaf").select("leaf", "id", "v", F.pmod(F.xxhash64("id"), "xs").cast("int").alias("x"),
                                          F.explode(F.expr("sequence(0, ys - 1)")).alias("y"))
-    q = asked.join(grid, "leaf").select("leaf", "id", "v", F.explode(F.expr("sequence(0, xs - 1)")).alias("x"),
+    q = asked.join(grid, "leaf").select("leaf", "id", "v", "floor", F.explode(F.expr("sequence(0, xs - 1)")).alias("x"),
                                         F.pmod(F.xxhash64("id"), "ys").cast("int").alias("y"))
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
@@ -206,7 +226,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, tree: Tree | Non
         if not len(own) or not len(ids):
             n, i, s = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
         else:
-            n, i, s = best(matrix(a.column("v")), matrix(b.column("v")), own, ids, k)
+            n, i, s = best(matrix(a.column("v")), matrix(b.column("v")), own, ids, k, a.column("floor").to_numpy())
         return pa.table({"query_id": own[n], "vec_id": i, "score": s})
 
     found = (q.groupBy("leaf", "x", "y").cogroup(p.groupBy("leaf", "x", "y"))
