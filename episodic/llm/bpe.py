@@ -37,8 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VOCAB = "word_bpe_49k.json"
-CACHE = 700_000
-GROUP = 8 << 20          # characters of text encoded together
+CACHE = 300_000
+GROUP = 4 << 20          # characters of text encoded together
 SHORT = 48               # bytes of a word that is still scanned
 
 # Unicode white space (what the file's \s means); str.split() would also cut at \x1c-\x1f.

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from episodic.llm import bpe
+from episodic.llm.common import slices
 from episodic.session import scratch_path
 
 BLOCK = 1 << 16
@@ -43,23 +44,16 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
 
         tok = bpe.tokenizer(vocabulary)
         for batch in batches:
-            ids, parts, held = batch.column("doc_id").to_pylist(), [rest], len(rest)
-            rows = [("order", file, order, None, ids)] if ids else []
-            order += len(ids)
-            for v in batch.column("text"):
-                t = np.frombuffer(tok.encode(v.as_py(), special_as_text=True)[0], np.uint32).astype(np.uint16)
-                parts += [t, end]
-                held += len(t) + 1
-                if held >= 64 * BLOCK:
-                    full = np.concatenate(parts)
-                    keep = len(full) // BLOCK * BLOCK
-                    rows += [("tokens", file, block + i, full[i * BLOCK:(i + 1) * BLOCK].tobytes(), None) for i in range(keep // BLOCK)]
-                    block, parts = block + keep // BLOCK, [full[keep:]]
-                    held = len(parts[0])
-                    yield out(rows)
-                    rows = []
-            rest = np.concatenate(parts)
-            if rows:
+            for piece in slices(batch, "text"):
+                ids, parts = piece.column("doc_id").to_pylist(), [rest]
+                rows = [("order", file, order, None, ids)]
+                order += len(ids)
+                for raw, _ in tok.encode_many(piece.column("text").to_pylist(), special_as_text=True):
+                    parts += [np.frombuffer(raw, np.uint32).astype(np.uint16), end]
+                full = np.concatenate(parts)
+                n = len(full) // BLOCK
+                rows += [("tokens", file, block + i, full[i * BLOCK:(i + 1) * BLOCK].tobytes(), None) for i in range(n)]
+                block, rest = block + n, full[n * BLOCK:].copy()
                 yield out(rows)
         while len(rest):
             yield out([("tokens", file, block, rest[:BLOCK].tobytes(), None)])
