@@ -7,7 +7,7 @@ rank of each adjacent pair; the smallest rank is found by scanning, one boundary
 is deleted and the two neighbouring ranks are refreshed. The new words of a group
 of texts do this together, as rows of one array each for words of about one
 length. Words longer than ``SHORT`` bytes keep their ranks in a heap, with the same
-result. Chunks once encoded are remembered by the worker (the memory is
+result. Chunks once encoded are remembered during a task (the memory is
 emptied at ``CACHE`` entries; results do not depend on it).
 
 Follows the file's own pipeline: canonical composition, white space runs as one
@@ -20,14 +20,13 @@ no decoder).
 Edge cases: null and empty texts give no tokens and the empty decoded text.
 """
 
-from __future__ import annotations
-
 import hashlib
 import heapq
 import json
 import re
 import struct
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VOCAB = "word_bpe_49k.json"
-CACHE = 300_000
+CACHE = 150_000
 GROUP = 4 << 20          # characters of text encoded together
 SHORT = 48               # bytes of a word that is still scanned
 
@@ -310,6 +309,10 @@ class Tokenizer:
             del self.known[c]
         return out
 
+    def forget(self) -> None:
+        """Gives the remembered chunks back; called at the end of a task, as workers outlive it."""
+        self.known, self.words = {}, {}
+
     def encode(self, text: str | None, special_as_text: bool = False) -> tuple[bytes, str]:
         return self.encode_many([text], special_as_text)[0]
 
@@ -329,9 +332,11 @@ def encode(text: Column, path: str | None = None, special_as_text: bool = False)
     """Token ids of each text as an array column."""
 
     @F.pandas_udf("array<int>")
-    def ids(s: pd.Series) -> pd.Series:
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         t = tokenizer(path)
-        return pd.Series([np.frombuffer(x, np.int32) for x, _ in t.encode_many(s, special_as_text)], dtype=object)
+        for s in batches:
+            yield pd.Series([np.frombuffer(x, np.int32) for x, _ in t.encode_many(s, special_as_text)], dtype=object)
+        t.forget()
 
     return ids(text)
 
@@ -351,10 +356,13 @@ def digests(text: Column, path: str | None = None) -> Column:
     """struct(n_tokens, ids_sha256, decoded_sha256) of each text."""
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def run(s: pd.Series) -> pd.DataFrame:
-        out = [(len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back.encode()).hexdigest())
-               for ids, back in tokenizer(path).encode_many(s)]
-        return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        t = tokenizer(path)
+        for s in batches:
+            out = [(len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back.encode()).hexdigest())
+                   for ids, back in t.encode_many(s)]
+            yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        t.forget()
 
     return run(text)
 

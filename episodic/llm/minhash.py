@@ -119,7 +119,7 @@ def signatures(doc: np.ndarray, key: np.ndarray, count: np.ndarray, docs: int, m
 
 def _sign(batches):
     for batch in batches:
-        for part in slices(batch, "text", overhead=2048):
+        for part in slices(batch, "text", 2 << 20, overhead=2048):
             texts = part.column("text").to_pylist()
             doc, key, count, prints = bags(texts)
             sig = signatures(doc, key, count, len(texts))

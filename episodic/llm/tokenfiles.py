@@ -55,6 +55,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
                 rows += [("tokens", file, block + i, full[i * BLOCK:(i + 1) * BLOCK].tobytes(), None) for i in range(n)]
                 block, rest = block + n, full[n * BLOCK:].copy()
                 yield out(rows)
+        tok.forget()
         while len(rest):
             yield out([("tokens", file, block, rest[:BLOCK].tobytes(), None)])
             block, rest = block + 1, rest[BLOCK:]
