@@ -14,7 +14,8 @@ Plan. Nothing learned is broadcast but the nodes of context length 0 and 1
 (context, byte) in it. The requests are packed arrays, one for each block and
 key range: the counts of a key meet in one task, the tree is built below each
 two-byte context, and the answers go back to the block, which scores its
-documents. A very frequent key costs one request a block, not one an occurrence.
+documents. A block whose stored rows are read back by several tasks asks once
+for each run of its rows; a run is named by its first row. A very frequent key costs one request a block, not one an occurrence.
 What is shuffled grows with the corpus; no count is capped.
 
 Edge cases: null and empty texts consist of the end sign (one token) alone; a
@@ -119,16 +120,18 @@ def words(buf: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- passes over the texts
 
 def _blocks(batches):
-    """The documents with a block number: runs of a task's rows of about BLOCK_BYTES."""
-    part, seq, held = TaskContext.get().partitionId(), 0, 0
+    """The documents with a block number (runs of a task's rows of about BLOCK_BYTES) and their place among the task's rows."""
+    part, seq, held, rows = TaskContext.get().partitionId(), 0, 0, 0
     for batch in batches:
         size = np.array([64 + (v.as_buffer().size if v.is_valid else 0) for v in batch.column("text")], np.int64)
         run = held + np.cumsum(size)
         block = np.array(seq + run // BLOCK_BYTES, np.int64)
         if len(run):
             held = int(run[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(block | (part << 32)), pa.array(size), *batch.columns],
-                                         ["block", "bytes", *batch.schema.names])
+        place = np.arange(rows, rows + batch.num_rows, dtype=np.int64)
+        rows += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array(block | (part << 32)), pa.array(place), pa.array(size), *batch.columns],
+                                         ["block", "place", "bytes", *batch.schema.names])
 
 
 class Keys:
@@ -170,45 +173,47 @@ def range_of(kind: int, keys: np.ndarray, ranges: int) -> np.ndarray:
 
 
 def _requests(ranges: int):
-    def flush(block, keys):
+    def flush(block, first, keys):
         for kind in (0, 1):
             k, n, edge = keys.by_range(kind, ranges)
-            rows = [(kind, r, block, pack(k[a:b]), planes(n[a:b])) for r, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
-            cols = list(zip(*rows)) if rows else [()] * 5
+            rows = [(kind, r, block, first, pack(k[a:b]), planes(n[a:b])) for r, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
+            cols = list(zip(*rows)) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                ["kind", "range", "block", "keys", "n"])
+                [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+                ["kind", "range", "block", "first", "keys", "n"])
 
     def run(batches):
-        now, keys = None, Keys()
+        now, first, after, keys = None, 0, 0, Keys()
         for batch in batches:
-            block = batch.column("block").to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
+            block, place = batch.column("block").to_numpy(), batch.column("place").to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero((np.diff(block) != 0) | (np.diff(place) != 1)) + 1, [len(block)]])
             for lo, hi in zip(cuts, cuts[1:]):
                 if hi <= lo:
                     continue
-                if block[lo] != now:
+                if block[lo] != now or place[lo] != after:
                     if now is not None:
-                        yield from flush(now, keys)
-                    now, keys = block[lo], Keys()
+                        yield from flush(now, first, keys)
+                    now, first, keys = block[lo], place[lo], Keys()
+                after = place[hi - 1] + 1
                 for piece in slices(batch.slice(lo, hi - lo), "text", PIECE):
                     keys.add(piece)
         if now is not None:
-            yield from flush(now, keys)
+            yield from flush(now, first, keys)
 
     return run
 
 
 def _word_counts(t: pa.Table) -> pa.Table:
-    """All requests of a key range: each block gets its words' training counts; block -1 gets the number of known words and their sum."""
+    """All requests of a key range: each run of a block gets its words' training counts; block -1 gets the number of known words and their sum."""
     keys = [unpack(b) for b in t.column("keys").to_pylist()]
     n = [unplanes(b, np.int64) for b in t.column("n").to_pylist()]
     u, c = summed(list(zip(keys, n)))
-    rows = [(b, r, planes(c[np.searchsorted(u, k)].astype(np.float64)), 0, 0)
-            for b, r, k in zip(t.column("block").to_pylist(), t.column("range").to_pylist(), keys)]
-    rows.append((-1, -1, b"", int((c > 0).sum()), int(c.sum())))
-    return pa.table(dict(zip(("block", "range", "vals", "known", "total"), map(list, zip(*rows)))),
-                    schema=pa.schema([("block", pa.int64()), ("range", pa.int32()), ("vals", pa.binary()), ("known", pa.int64()), ("total", pa.int64())]))
+    rows = [(b, f, r, planes(c[np.searchsorted(u, k)].astype(np.float64)), 0, 0)
+            for b, f, r, k in zip(*(t.column(x).to_pylist() for x in ("block", "first", "range")), keys)]
+    rows.append((-1, -1, -1, b"", int((c > 0).sum()), int(c.sum())))
+    return pa.table(dict(zip(("block", "first", "range", "vals", "known", "total"), map(list, zip(*rows)))),
+                    schema=pa.schema([("block", pa.int64()), ("first", pa.int64()), ("range", pa.int32()), ("vals", pa.binary()),
+                                      ("known", pa.int64()), ("total", pa.int64())]))
 
 
 def _gram_counts(t: pa.Table) -> pa.Table:
@@ -326,7 +331,8 @@ def _answers(requests: pa.Table, model: pa.Table) -> pa.Table:
     order = np.argsort(code)
     code, p = code[order], p[order].astype(np.float32)
     vals = [planes(p[np.searchsorted(code, unpack(k))]) for k in requests.column("keys").to_pylist()]
-    return pa.table({"block": requests.column("block"), "range": requests.column("range"), "vals": pa.array(vals, pa.binary())})
+    return pa.table({"block": requests.column("block"), "first": requests.column("first"), "range": requests.column("range"),
+                     "vals": pa.array(vals, pa.binary())})
 
 
 class Lookup:
@@ -357,37 +363,47 @@ def _scores(train_words: int, train_docs: int, known: int, ranges: int):
     scale = total + SMOOTH * (vocabulary + 1)
     end = math.log10((train_docs + base) / scale)
 
+    def score(docs: pa.Table, got: dict[int, dict[int, bytes]]):
+        pieces = [p for batch in docs.to_batches() for p in slices(batch, "text", PIECE)]
+        keys = Keys()                            # as in the requests, so that the answers need not repeat them
+        for p in pieces:
+            keys.add(p)
+        look = []
+        for k, dtype in ((0, np.float64), (1, np.float32)):
+            vals = [unplanes(got[k][r], dtype) for r in sorted(got[k])]
+            look.append(Lookup(keys.by_range(k, ranges)[0], np.concatenate(vals) if vals else np.empty(0)))
+            got[k].clear()
+        del keys
+        for piece in pieces:
+            buf, start, n = signs(piece)
+            rows = len(start)
+            w, doc = words(buf, start)
+            c = look[0](w) if len(w) else np.empty(0)
+            own = owner(start, n, len(buf) - DEPTH)
+            ok = own >= 0
+            p = look[1](grams(buf)[ok])
+            yield pa.table({
+                "doc_id": piece.column("doc_id"), "held_out": piece.column("held_out"),
+                "n_tokens": np.bincount(doc, minlength=rows) + 1,
+                "n_known": np.bincount(doc, weights=c > 0, minlength=rows).astype(np.int64) + int(train_docs > 0),
+                "train_tokens": np.full(rows, total),
+                "base_score": np.bincount(doc, weights=np.log10((c + base) / scale), minlength=rows) + end,
+                "score": np.bincount(own[ok], weights=p, minlength=rows),
+                "n_bytes": n})
+
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
         if docs.num_rows:
-            pieces = [p for batch in docs.to_batches() for p in slices(batch, "text", PIECE)]
-            keys = Keys()                        # as in the requests, so that the answers need not repeat them
-            for p in pieces:
-                keys.add(p)
-            got: dict[int, dict[int, bytes]] = {0: {}, 1: {}}
-            for k, r, v in zip(*(answers.column(c).to_pylist() for c in ("kind", "range", "vals"))):
-                got[k][r] = v
-            look = []
-            for k, dtype in ((0, np.float64), (1, np.float32)):
-                vals = [unplanes(got[k][r], dtype) for r in sorted(got[k])]
-                look.append(Lookup(keys.by_range(k, ranges)[0], np.concatenate(vals) if vals else np.empty(0)))
-            del keys, got
-            for piece in pieces:
-                buf, start, n = signs(piece)
-                rows = len(start)
-                w, doc = words(buf, start)
-                c = look[0](w) if len(w) else np.empty(0)
-                own = owner(start, n, len(buf) - DEPTH)
-                ok = own >= 0
-                p = look[1](grams(buf)[ok])
-                out.append(pa.table({
-                    "doc_id": piece.column("doc_id"), "held_out": piece.column("held_out"),
-                    "n_tokens": np.bincount(doc, minlength=rows) + 1,
-                    "n_known": np.bincount(doc, weights=c > 0, minlength=rows).astype(np.int64) + int(train_docs > 0),
-                    "train_tokens": np.full(rows, total),
-                    "base_score": np.bincount(doc, weights=np.log10((c + base) / scale), minlength=rows) + end,
-                    "score": np.bincount(own[ok], weights=p, minlength=rows),
-                    "n_bytes": n}))
+            got: dict[int, dict[int, dict[int, bytes]]] = {}    # by the first row of the run that asked
+            for f, k, r, v in zip(*(answers.column(c).to_pylist() for c in ("first", "kind", "range", "vals"))):
+                got.setdefault(f, {0: {}, 1: {}})[k][r] = v
+            firsts = sorted(got)
+            if len(firsts) == 1:
+                out.extend(score(docs, got.pop(firsts[0])))
+            else:
+                run_of = np.searchsorted(firsts, docs.column("place").to_numpy(), side="right") - 1
+                for i, f in enumerate(firsts):
+                    out.extend(score(docs.filter(pa.array(run_of == i)), got.pop(f)))
         return pa.concat_tables(out) if out else pa.table({f.name: pa.array([], f.type) for f in OUT})
 
     return run
@@ -407,14 +423,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("held_out", crc_of_id() % 10 == 0)
-    blocks = stored(rows.mapInArrow(_blocks, "block long, bytes long, doc_id long, text string, held_out boolean"), "ctw-blocks")
+    blocks = stored(rows.mapInArrow(_blocks, "block long, place long, bytes long, doc_id long, text string, held_out boolean"), "ctw-blocks")
     size, train_docs = blocks.agg(F.sum("bytes"), F.sum((~F.col("held_out")).cast("long"))).first()
     ranges = max(16, math.ceil((size or 0) / RANGE_BYTES))
-    asked = stored(blocks.select("block", "text", "held_out").mapInArrow(
-        _requests(ranges), "kind int, range int, block long, keys binary, n binary"), "ctw-requests")
+    asked = stored(blocks.select("block", "place", "text", "held_out").mapInArrow(
+        _requests(ranges), "kind int, range int, block long, first long, keys binary, n binary"), "ctw-requests")
 
     counted = stored(asked.where("kind = 0").groupBy("range").applyInArrow(
-        _word_counts, "block long, range int, vals binary, known long, total long"), "ctw-words")
+        _word_counts, "block long, first long, range int, vals binary, known long, total long"), "ctw-words")
     known, train_words = counted.agg(F.sum("known"), F.sum("total")).first()
 
     counts = materialize(asked.where("kind = 1").groupBy("range").applyInArrow(_gram_counts, "code long, n long"), "ctw-grams")
@@ -424,13 +440,13 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     predict = _predictions(roots(top.collect()))
     model = tree.applyInArrow(predict, "code long, p double")
     # the range of a gram is the one its requests went to
-    wanted = asked.where("kind = 1").select("range", "block", "keys")
+    wanted = asked.where("kind = 1").select("range", "block", "first", "keys")
     model = model.mapInArrow(_with_range(ranges), "range int, code long, p double")
     gram_answers = wanted.groupBy("range").cogroup(model.groupBy("range")).applyInArrow(
-        _answers, "block long, range int, vals binary")
-    answers = (counted.where("block >= 0").select("block", F.lit(0).alias("kind"), "range", "vals")
-               .unionByName(gram_answers.select("block", F.lit(1).alias("kind"), "range", "vals")))
-    return (blocks.select("block", "doc_id", "held_out", "text").groupBy("block").cogroup(answers.groupBy("block"))
+        _answers, "block long, first long, range int, vals binary")
+    answers = (counted.where("block >= 0").select("block", "first", F.lit(0).alias("kind"), "range", "vals")
+               .unionByName(gram_answers.select("block", "first", F.lit(1).alias("kind"), "range", "vals")))
+    return (blocks.select("block", "place", "doc_id", "held_out", "text").groupBy("block").cogroup(answers.groupBy("block"))
             .applyInArrow(_scores(int(train_words or 0), int(train_docs or 0), int(known or 0), ranges), _OUT_DDL))
 
 

@@ -93,6 +93,23 @@ def test_scores_equal_a_plain_tree(spark, monkeypatch):
         assert got[i] == pytest.approx(tree.log10((t or "").encode()), rel=1e-6), i
 
 
+def test_blocks_read_back_by_several_tasks(spark):
+    rows = [(i, f"word{i % 37} and word{i} of text {i * i}", "en", "a", 1) for i in range(1000)]
+    whole = pandas(ctw.score_documents(frame(spark, rows).coalesce(1)))
+    conf = {"parquet.block.size": "2048", "spark.sql.files.maxPartitionBytes": "2048", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = pandas(ctw.score_documents(frame(spark, rows).coalesce(1)))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert len(out) == len(rows)
+    assert out.score.tolist() == pytest.approx(whole.score.tolist(), rel=1e-6)
+    check_base(out.reset_index().to_dict("records"), [r[:2] for r in rows], lambda i: crc(i) % 10 == 0)
+
+
 def test_held_out_code_length(spark):
     out = pandas(ctw.score_documents(spark.read.parquet(f"{MID}/documents.parquet")))
     held = out[out.held_out]
