@@ -7,12 +7,18 @@
   statistically compatible (Hoeffding bound, recursively) are merged in
   red-blue order, which gives one probabilistic automaton per kind. A further
   automaton is inferred in the same way from at most ``MAX_TRAIN`` tokens that
-  are not credentials.
-* Every token of credential characters of ``MIN_TOKEN`` or more is scored: its
-  log-likelihood per sign under each kind's automaton. It becomes a span of
+  are not credentials, one for tokens of ``LONG`` signs or more and one for shorter ones.
+* Every run of ``MIN_TOKEN`` or more credential characters outside the base spans is
+  scored as a whole and, where that is no credential, from each start (its own, and
+  behind each of ``/ . = + _ -``) to each end (its own, and before each of these
+  signs), so that a name, a path or punctuation around a credential does not hide it:
+  the log-likelihood per sign under each kind's automaton. A part becomes a span of
   kind ``format`` if it reaches that kind's threshold (the lowest tenth of the
   training values set aside, less a margin) and beats the automaton of other
-  tokens by ``MARGIN`` bits in all. Spans overlapping a base span are left out.
+  tokens of its length by ``MARGIN`` bits in all; of overlapping parts the longest is taken.
+  Long runs are not scored pair by pair: starts that reach one state of the automata at
+  one place go on without those another one beats, and a start ends where no end behind
+  can lift it to the threshold.
 
 Positions are code points, ends exclusive. Edge cases: null and empty texts have
 no spans; repeated rows are each scanned; with no credential in the table no
@@ -25,7 +31,9 @@ import hashlib
 import math
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,9 +45,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "format")
 
-MIN_TOKEN = 16
+MIN_TOKEN = 6             # as the contract's shortest value
+LONG = 16
 TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % MIN_TOKEN)
+PARTS = frozenset("/.=+_-")
 MAX_TRAIN = 400
+STRIDE = 64                # signs between two places where the starts of a long run are looked over
 ALPHA = 0.05
 MARGIN = 10.0
 
@@ -62,6 +73,8 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
 
 _CLASS = {c: "h" for c in "abcdef"} | {c: "l" for c in "ghijklmnopqrstuvwxyz"} | {c: "H" for c in "ABCDEF"} \
     | {c: "U" for c in "GHIJKLMNOPQRSTUVWXYZ"} | {c: "d" for c in "0123456789"}
+#: Each sign to one of its class: what the automata say of a run depends on the classes alone.
+_LIKE = str.maketrans({c: {"h": "a", "l": "g", "H": "A", "U": "G", "d": "0"}[k] for c, k in _CLASS.items()})
 _SIZE = {"h": 6, "l": 20, "H": 6, "U": 20, "d": 10}
 
 
@@ -96,6 +109,7 @@ class Automaton:
             self.states[s].stop += 1
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge()
+        self._steps: dict = {}
 
     def _differ(self, f1: int, n1: int, f2: int, n2: int) -> bool:
         return abs(f1 / n1 - f2 / n2) > self.bound * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
@@ -150,50 +164,159 @@ class Automaton:
                 self._fold(into, b)
         self.red = red
 
+    def step(self, s: int, sign: str) -> tuple[float, int]:
+        """Bits of a sign in a state and the next state (unseen steps get a small share and stay)."""
+        got = self._steps.get((s, sign))
+        if got is None:
+            c = _CLASS.get(sign, sign)
+            st, width = self.states[s], math.log2(_SIZE.get(c, 1))
+            edge = st.next.get(c)
+            got = self._steps[s, sign] = ((math.log2(0.5 / (st.count + 1) / 32) - width, s) if edge is None else
+                                          (math.log2((edge[1] + 0.5) / (st.count + 1)) - width, edge[0]))
+        return got
+
+    def end(self, s: int) -> float:
+        return math.log2((self.states[s].stop + 0.5) / (self.states[s].count + 1))
+
+    def reach(self, run: str, least: float) -> list[dict[int, float]]:
+        """At every STRIDE-th place and for each state: the most by which the rest of a run, up to any of its ends, exceeds ``least`` a sign."""
+        place = {s: i for i, s in enumerate(self.red)}
+        ends = np.array([self.end(s) for s in self.red]) - least
+        signs = {}
+        for c in set(run):
+            steps = [self.step(s, c) for s in self.red]
+            signs[c] = np.array([b for b, _ in steps]) - least, np.array([place[s] for _, s in steps])
+        out, most = [], ends
+        for p in range(len(run) - 1, -1, -1):        # most: behind sign p
+            if p < len(run) - 1 and run[p] not in PARTS and run[p + 1] in PARTS:
+                most = np.maximum(most, ends)
+            if p % STRIDE == STRIDE - 1:
+                out.append(dict(zip(self.red, most.tolist())))
+            gain, to = signs[run[p]]
+            most = gain + most[to]
+        return out[::-1]
+
     def bits(self, value: str) -> float:
-        """Base-2 log-likelihood of a value (unseen steps get a small share)."""
-        s, total, path = 0, 0.0, classes(value)
-        for c in path:
-            st = self.states[s] if s >= 0 else None
-            edge = st.next.get(c) if st else None
-            width = math.log2(_SIZE.get(c, 1))
-            if edge is None:
-                total += math.log2(0.5 / ((st.count if st else 1) + 1) / 32) - width
-                continue
-            total += math.log2((edge[1] + 0.5) / (st.count + 1)) - width
-            s = edge[0]
-        st = self.states[s]
-        return total + math.log2((st.stop + 0.5) / (st.count + 1))
+        """Base-2 log-likelihood of a value."""
+        s, total = 0, 0.0
+        for c in value:
+            b, s = self.step(s, c)
+            total += b
+        return total + self.end(s)
+
+
+class Flat:
+    """Stands for other tokens where none was seen: six bits a sign."""
+
+    def step(self, s: int, sign: str) -> tuple[float, int]:
+        return -6.0, 0
+
+    def end(self, s: int) -> float:
+        return -6.0
+
+    def bits(self, value: str) -> float:
+        return -6.0 * (len(value) + 1)
+
+
+def _front(rows: list) -> list:
+    """The (excess, lead, start) rows that no other row beats in both."""
+    out = []
+    for r in sorted(rows, key=lambda r: (-r[0], -r[1], r[2])):
+        if not out or r[1] > out[-1][1]:
+            out.append(r)
+    return out
 
 
 @dataclass
 class Model:
     kinds: list[tuple[Automaton, float]]       # and the threshold in bits a sign
-    other: Automaton | None
+    other: Automaton | None                    # of tokens of LONG or more
+    short: Automaton | None = None             # of shorter ones
+
+    def __post_init__(self):
+        self._long, self._short = self.other or Flat(), self.short or Flat()
+        self._known = None
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "_known"} | {"_known": None}
 
     def is_secret(self, value: str) -> bool:
         n = len(value) + 1
-        other = self.other.bits(value) if self.other else -6.0 * n
         for automaton, least in self.kinds:
             b = automaton.bits(value)
-            if b / n >= least and b - other >= MARGIN:
+            if b / n >= least and b - (self._long if len(value) >= LONG else self._short).bits(value) >= MARGIN:
                 return True
         return False
 
+    def parts(self, run: str) -> list[tuple[int, int]]:
+        """(start, end) of the credentials in a run of credential characters, by start."""
+        if len(run) < MIN_TOKEN:
+            return []
+        if self.is_secret(run):
+            return [(0, len(run))]
+        if PARTS.isdisjoint(run):
+            return []
+        found: set[tuple[int, int]] = set()
+        for automaton, least in self.kinds:
+            self._parts(run, automaton, least, found)
+        taken: list[tuple[int, int]] = []
+        free = bytearray(len(run))
+        for s, e in sorted(found, key=lambda p: (p[0] - p[1], p)):
+            if not (free[s] or free[e - 1]):         # a longer part covers neither end, so it lies outside
+                taken.append((s, e))
+                free[s:e] = b"\1" * (e - s)
+        return sorted(taken)
+
+    def _parts(self, run: str, automaton: Automaton, least: float, found: set) -> None:
+        new: list[list] = []                         # of fewer than LONG signs: start, states, excess, lead over short, over long
+        old: dict[tuple[int, int], list] = {}        # states -> (excess, lead, start)
+        short, long, last = self._short, self._long, len(run) - 1
+        reach = automaton.reach(run, least) if len(run) > 4 * STRIDE else None
+        for p, c in enumerate(run):
+            if p == 0 or (run[p - 1] in PARTS and c not in PARTS):
+                new.append([p, 0, 0, 0, 0.0, 0.0, 0.0])
+            go: dict[tuple[int, int], list] = {}
+            for (a, o), rows in old.items():
+                x, a = automaton.step(a, c)
+                y, o = long.step(o, c)
+                go.setdefault((a, o), []).extend((r[0] + x - least, r[1] + x - y, r[2]) for r in rows)
+            for r in new:
+                x, r[1] = automaton.step(r[1], c)
+                y, r[2] = short.step(r[2], c)
+                z, r[3] = long.step(r[3], c)
+                r[4] += x - least
+                r[5] += x - y
+                r[6] += x - z
+            if new and p + 1 - new[0][0] == LONG:
+                r = new.pop(0)
+                go.setdefault((r[1], r[3]), []).append((r[4], r[6], r[0]))
+            if reach and p % STRIDE == STRIDE - 1:
+                most = reach[p // STRIDE]
+                go = {k: rows for k, rows in ((k, [r for r in rows if r[0] + most[k[0]] > -1e-6]) for k, rows in go.items()) if rows}
+            old = {k: rows if len(rows) == 1 else _front(rows) for k, rows in go.items()}
+            if p == last or (c not in PARTS and run[p + 1] in PARTS):
+                for (a, o), rows in old.items():
+                    x, y = automaton.end(a), long.end(o)
+                    found.update((s, p + 1) for excess, lead, s in rows if excess + x - least >= 0 and lead + x - y >= MARGIN)
+                for s, a, o, _, excess, lead, _ in new:
+                    x = automaton.end(a)
+                    if p + 1 - s >= MIN_TOKEN and excess + x - least >= 0 and lead + x - short.end(o) >= MARGIN:
+                        found.add((s, p + 1))
+
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
         found = base_spans(text)
         if not text or not self.kinds:
             return found
-        base = sorted((s, e) for s, _, e in found)
-        more, i = [], 0
-        for m in TOKEN.finditer(text):
-            s, e = m.span()
-            while i < len(base) and base[i][1] <= s:
-                i += 1
-            if any(bs < e and be > s for bs, be in base[i:i + 8]):
-                continue
-            if self.is_secret(m.group()):
-                more.append((s, 3, e))
+        if self._known is None:                      # words of like classes come again and again
+            self._known = lru_cache(1 << 16)(self.parts)
+        more, at = [], 0
+        for s, e in [*sorted((s, e) for s, _, e in found), (len(text), len(text))]:
+            if s - at >= MIN_TOKEN:                  # between base spans
+                like = text[at:s].translate(_LIKE)
+                some = {r: p for r in set(TOKEN.findall(like)) if (p := self._known(r) if len(r) <= 64 else self.parts(r))}
+                if some:
+                    more += [(at + m.start() + x, 3, at + m.start() + y) for m in TOKEN.finditer(like) for x, y in some.get(m.group(), ())]
+            at = max(at, e)
         return sorted(found + more)
 
 
@@ -203,21 +326,26 @@ def infer(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     @F.pandas_udf("array<struct<kind:int,value:string>>")
     def found(s: pd.Series) -> pd.Series:
         out = []
+        told: set[tuple[int, str]] = set()            # each value once a batch
         for text in s:
-            rows = []
+            rows = set()
             if text:
                 spans = base_spans(text)
                 for a, kind, e in spans:
                     value = ASSIGN.match(text, a).group(2) if kind == 0 else text[a:e]
-                    rows.append((kind, value[:4096]))
-                for m in TOKEN.finditer(text):
+                    rows.add((kind, value[:4096]))
+                if not spans:
+                    rows.update((3 if len(v) >= LONG else 4, v[:4096]) for v in TOKEN.findall(text))
+                for m in TOKEN.finditer(text) if spans else ():
                     if not any(a < m.end() and e > m.start() for a, _, e in spans):
-                        rows.append((3, m.group()[:4096]))
-            out.append(rows)
+                        rows.add((3 if m.end() - m.start() >= LONG else 4, m.group()[:4096]))
+            rows -= told
+            told |= rows
+            out.append(list(rows))
         return pd.Series(out)
 
     values = docs.select(F.explode(found(F.col("text"))).alias("f")).select("f.kind", "f.value")
-    per_kind: list[list[str]] = [[], [], [], []]
+    per_kind: list[list[str]] = [[], [], [], [], []]
     from pyspark.sql import Window
     rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
     for r in (values.distinct().withColumn("r", rank).where(F.col("r") <= max_train).orderBy("kind", "r").collect()):
@@ -229,7 +357,7 @@ def infer(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model:
             a = Automaton(seen)
             scores = sorted(a.bits(v) / (len(v) + 1) for v in held)
             kinds.append((a, scores[len(scores) // 10] - 0.25))
-    return Model(kinds, Automaton(per_kind[3]) if per_kind[3] else None)
+    return Model(kinds, *(Automaton(vs) if vs else None for vs in per_kind[3:]))
 
 
 def digest(model: Model, text: Column) -> Column:

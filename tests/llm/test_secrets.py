@@ -52,6 +52,48 @@ def test_automata_find_bare_credentials_and_leave_words_alone(spark):
     assert model.spans("a plain sentence about counterrevolutionaries and antidisestablishmentarianism") == []
 
 
+def test_credentials_behind_names_and_paths_and_short_ones(spark):
+    keys, tokens = credentials(120, 1)
+    random.seed(5)
+    short = ["".join(random.choice(string.digits + "GHJKMNPQRSTUVWXYZ") for _ in range(12)) for _ in range(240)]
+    rows = [(i, f"some words password = {t} and secret = {p} and {k} end", "en", "a", 1) for i, (k, t, p) in enumerate(zip(keys, tokens, short))]
+    rows += [(1000 + i, f"order 47375380{i:04}5923 of /usr/share/doc{i}/readme.txt at internationalisation a_name=value{i} of 2024-01-{i:02}", "en", "a", 1)
+             for i in range(90)]
+    model = secrets.infer(frame(spark, rows).select("text"))
+    _, fresh = credentials(50, 2)
+    for around in ("auth={}", "client_key={}", "https://host.example/path/{}/rest", "https://host.example/q?client.id=7&auth={}.", "{}.", "{}=="):
+        text = [around.format(t) for t in fresh]
+        found = [any(k == 3 and a <= x.index(t) and e >= x.index(t) + len(t) for a, k, e in model.spans(x)) for x, t in zip(text, fresh)]
+        assert sum(found) >= 45, around
+    assert sum(any(k == 3 for _, k, _ in model.spans(f"bare {p} here")) for p in short[120:]) >= 100
+    assert not any(model.spans(r[1]) for r in rows if r[0] >= 1000)
+    # beside a base span in the same run
+    x = f"{fresh[0]}/{keys[0]}"
+    assert [k for _, k, _ in model.spans(x)] == [3, 1]
+
+
+def test_parts_of_a_run_equal_every_pair(spark):
+    keys, tokens = credentials(60, 1)
+    rows = [(i, f"password = {t} and {k} of words/and_names={i}.txt", "en", "a", 1) for i, (k, t) in enumerate(zip(keys, tokens))]
+    model = secrets.infer(frame(spark, rows).select("text"))
+    random.seed(6)
+    for n in range(200):
+        run = "".join(random.choice(["/", "=", ".", "-", "_", "+", "name", "x", random.choice(tokens), random.choice(tokens)[:9]]) for _ in range(6))
+        marks = secrets.PARTS
+        starts = [p for p in range(len(run)) if p == 0 or (run[p - 1] in marks and run[p] not in marks)]
+        ends = [p for p in range(1, len(run) + 1) if p == len(run) or (run[p - 1] not in marks and run[p] in marks)]
+        want = [(s, e) for s in starts for e in ends if e - s >= 6 and model.is_secret(run[s:e])]
+        got = model.parts(run)
+        assert all(p in want for p in got) and bool(got) == bool(want), run
+        assert all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+    # a long run: the same parts as without the pruning of starts, and not pair by pair
+    run = "/".join(["name", tokens[0], "x", "ab.cd=ef"] * 6)
+    assert model.parts(run) and {run[s:e] for s, e in model.parts(run)} <= {run[s:e] for s in range(len(run)) for e in range(s, len(run) + 1)
+                                                                         if model.is_secret(run[s:e])}
+    assert sum(t in run[s:e] for s, e in model.parts(run) for t in tokens[:1]) >= 1
+    model.parts("/".join(str(i) + "ab" for i in range(5000)))
+
+
 def test_merging_gives_a_small_loop_and_a_distribution():
     random.seed(3)
     values = ["".join(random.choice("0123456789") for _ in range(random.randint(10, 30))) for _ in range(200)]
