@@ -18,7 +18,7 @@
 Edge cases: null, zero and non-finite vectors and rows without an id take no part; nor do vectors whose
 length differs from the most common one of the sample; ties go to the smaller id; with no more than ``k``
 candidates all are returned; repeated rows are candidates of their own (a row with the query's id is the
-query's own); an empty table gives an empty result.
+query's own), but an id asks once, however many rows it has (with the smallest of its vectors); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -212,6 +212,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, tree: Tree | Non
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.float64()))],
                                              ["leaf", "id", "v", "floor"])
 
+    # by a number of its own, as a walk costs far more than its row's bytes tell
+    n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    queries = queries.where(F.size("v") == tree.dim).repartition(n, "id").groupBy("id").agg(F.min("v").alias("v"))
     asked = materialize(queries.select("id", "v").mapInArrow(visit, "leaf long, id long, v binary, floor double"), "kmtree-visits")
     xs = points.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("xs"))
     ys = asked.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("ys"))

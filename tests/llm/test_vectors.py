@@ -140,3 +140,19 @@ def test_random_vectors_and_few_candidates(spark):
     assert kmtree.nearest(table(spark, [x[0]], [20])).count() == 0
     ties = kmtree.nearest(table(spark, [x[0]] * 30)).where("query_id = 0").orderBy("rank").collect()
     assert [r["vec_id"] for r in ties] == list(range(1, 21))
+
+
+def test_repeated_query_rows_ask_once(spark):
+    x = np.random.default_rng(8).normal(size=(200, 16))
+    ids = list(range(200)) + [20, 20] + [40] * 24
+    rows = list(x) + [x[20]] * 2 + [x[40]] * 24
+    got = {}
+    for r in kmtree.nearest(table(spark, rows, ids)).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    s = np.array(x, np.float32).astype(np.float64)
+    s = s @ s.T
+    assert sorted(got) == list(range(0, 200, 20))
+    for q in got:
+        # every row of another id is a candidate, so a neighbour of n rows comes n times
+        want = sorted((-s[q, i], i) for i in ids if i != q)[:20]
+        assert [(n, i) for n, i in sorted(got[q])] == [(n + 1, i) for n, (_, i) in enumerate(want)], q
