@@ -17,7 +17,8 @@
 
 Edge cases: a null text has size 0; a null source is a source of its own, last;
 documents of size 0 are taken with no words; repeated rows share a key and are
-taken in turn; an empty table gives an empty result. No document exceeds ``cap``
+taken in turn (where the target ends among them, as many of them as come nearest to
+it, numbered by chunks); an empty table gives an empty result. No document exceeds ``cap``
 times its size, since no target exceeds ``cap`` times its source's.
 """
 
@@ -28,9 +29,11 @@ from pyspark.sql import functions as F
 
 from episodic.llm.common import WORD
 from episodic.operators.sinks import materialize
+from episodic.operators.windows import row_numbers
 
 WEIGHTS = (5, 2, 1)
 CHUNKS = 4096
+TURNS = 4096             # repeated rows numbered in one go
 
 
 def word_count(text: Column) -> Column:
@@ -80,8 +83,9 @@ def drawn(docs: DataFrame, prefix: str) -> DataFrame:
 def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0) -> tuple[DataFrame, DataFrame]:
     """(light rows with size and key, cut per source).
 
-    light: doc_id, source, size, key, tie, chunk. cuts: source, source_size, target, epochs, cut_key, cut_tie, kept:
-    a document is taken ``epochs`` times, and once more if (key, tie) lies before the cut.
+    light: doc_id, source, size, key, tie, chunk. cuts: source, source_size, target, epochs, c, cut_key, cut_tie, cut_take,
+    cut_rows: a document is taken ``epochs`` times, and once more if (key, tie) lies before the cut or it is among the
+    first ``cut_take`` of the ``cut_rows`` rows at the cut.
     """
     light = drawn(docs.select("doc_id", "source", "text"), "").drop("text")
     light = materialize(light, "mix-light")
@@ -99,12 +103,16 @@ def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0) -> tuple[DataFra
             .groupBy("source", "rest").agg(F.min(F.struct("chunk", F.col("upto") - F.col("words"))).alias("e"))
             .select(F.col("source").alias("s"), "rest", F.col("e.chunk").alias("c"), F.col("e.col2").alias("before")))
     edge = light.join(ends, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c")))
-    by_key = Window.partitionBy("source").orderBy("key", "tie")
-    edge = edge.withColumn("upto", F.col("before") + F.sum("size").over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
-    # the document at the edge is taken if that leaves the sum nearer to the target
-    edge = edge.where(F.col("upto") - F.col("rest") <= F.col("rest") - (F.col("upto") - F.col("size")))
-    cut = (edge.groupBy("source").agg(F.max(F.struct("key", "tie")).alias("m"))
-           .select(F.col("source").alias("s"), F.col("m.key").alias("cut_key"), F.col("m.tie").alias("cut_tie")))
+    edge = edge.groupBy("source", "key", "tie", "size", "before", "rest").agg(F.count("*").alias("rows"))
+    by_key = Window.partitionBy("source").orderBy("key", "tie", "size").rowsBetween(Window.unboundedPreceding, 0)
+    words = F.col("size") * F.col("rows")
+    edge = edge.withColumn("left", F.col("rest") - (F.col("before") + F.sum(words).over(by_key) - words))
+    # the document at the edge is taken if that leaves the sum nearer to the target: the n-th of a group if n - 1/2 of them fit
+    edge = edge.withColumn("take", F.when(F.col("size") > 0, F.least("rows", F.floor(F.col("left") / F.col("size") + 0.5)))
+                           .when(F.col("left") >= 0, F.col("rows")).otherwise(F.lit(0))).where("take > 0")
+    cut = (edge.groupBy("source").agg(F.max(F.struct("key", "tie", "size", "take", "rows")).alias("m"))
+           .select(F.col("source").alias("s"), F.col("m.key").alias("cut_key"), F.col("m.tie").alias("cut_tie"),
+                   F.col("m.take").alias("cut_take"), F.col("m.rows").alias("cut_rows")))
     ends = ends.select("s", "c")
     cuts = (targets.select("source", "source_size", "target", "epochs")
             .join(ends, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
@@ -113,23 +121,36 @@ def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0) -> tuple[DataFra
 
 
 def copies(prefix: str) -> Column:
-    """How often a drawn document joined to its source's cut is taken: the epochs, and once more before the cut."""
+    """How often a drawn document joined to its source's cut is taken: the epochs, and once more before the cut or in turn at it."""
     key, tie, chunk = (F.col(f"{prefix}{c}") for c in ("key", "tie", "chunk"))
     edge, cut_key, cut_tie, epochs = (F.col(f"__cut_{c}") for c in ("c", "cut_key", "cut_tie", "epochs"))
     within = cut_key.isNotNull() & ((key < cut_key) | ((key == cut_key) & (tie <= cut_tie)))
+    within = within & (F.col("__cut_turn") <= F.col("__cut_cut_take"))
     part = F.when(edge.isNull(), 0).when((chunk < edge) | ((chunk == edge) & within), 1).otherwise(0)
     return epochs + part
 
 
-def _with_cuts(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+def _with_cuts(rows: DataFrame, cuts: DataFrame, prefix: str) -> DataFrame:
+    """Drawn ``rows`` with their source's cut and their turn: 0, or the number of a row of which only some repetitions are taken."""
+    some = cuts.where("cut_take < cut_rows").isEmpty()
     cuts = cuts.select(*[F.col(c).alias(f"__cut_{c}") for c in cuts.columns])
-    return rows.join(cuts, rows["source"].eqNullSafe(cuts["__cut_source"]))
+    rows = rows.join(cuts, rows["source"].eqNullSafe(cuts["__cut_source"])).withColumn("__cut_turn", F.lit(0).cast("long"))
+    if some:
+        return rows
+    at_cut = F.coalesce((F.col(f"{prefix}key") == F.col("__cut_cut_key")) & (F.col(f"{prefix}tie") == F.col("__cut_cut_tie"))
+                        & (F.col("__cut_cut_take") < F.col("__cut_cut_rows")), F.lit(False))
+    group = materialize(rows.where(at_cut).withColumn("__cut_row", F.monotonically_increasing_id()), "mix-edge")
+    turns = row_numbers(group.select(F.col("__cut_source").alias("s"), F.col("__cut_row").alias("r")), ["s"], ["r"], "turn",
+                        chunk=F.floor(F.col("r") / TURNS))
+    turns = turns.select(F.col("r").alias("__cut_r"), F.col("turn").alias("__cut_n"))
+    group = group.join(turns, F.col("__cut_row") == F.col("__cut_r")).withColumn("__cut_turn", F.col("__cut_n"))
+    return rows.where(~at_cut).unionByName(group.select(*rows.columns))
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document, then its source and the copies taken."""
     light, cuts = plan(docs)
-    return (_with_cuts(light, cuts)
+    return (_with_cuts(light, cuts, "")
             .select("doc_id", "size", F.col("__cut_source_size").alias("source_size"), F.col("__cut_target").alias("target"),
                     (F.col("size") * copies("")).cast("long").alias("taken"), "source", copies("").cast("int").alias("copies")))
 
@@ -137,6 +158,6 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """Pipeline stage: every document as many times as the mix takes it, columns unchanged."""
     _, cuts = plan(docs)
-    rows = _with_cuts(drawn(docs, "__mix_"), cuts).withColumn("__mix_n", copies("__mix_")).where("__mix_n > 0")
+    rows = _with_cuts(drawn(docs, "__mix_"), cuts, "__mix_").withColumn("__mix_n", copies("__mix_")).where("__mix_n > 0")
     rows = rows.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_n"))))
     return rows.select(*docs.columns)

@@ -75,3 +75,19 @@ def test_stage_repeats_whole_documents(spark):
     assert out.columns == docs.columns
     copies = out.groupBy("doc_id").count().toPandas().set_index("doc_id")["count"]
     assert copies.to_dict() == plan.copies[plan.copies > 0].to_dict()
+
+
+def test_a_target_that_ends_among_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "TURNS", 16)
+    rows = [(1, "w " * 10, "en", "a", 1)] * 300 + [(None, "word " * 10, "en", "b", 1)] * 200 + [(7, "word " * 3, "en", "c", 1)] * 100
+    rows += [(1000 + i, "word " * 10, "en", "abc"[i % 3], 1) for i in range(30)]
+    docs = clashing(frame(spark, rows)).repartition(5)
+    out = mixing.mix_documents(docs).toPandas()
+    assert len(out) == len(rows)
+    want = targets(out.groupby("source")["size"].sum().to_dict())
+    for s, g in out.groupby("source"):
+        assert abs(g.taken.sum() - want[s]) <= g["size"].max() / 2 + 1, s
+        assert g.copies.max() - g.copies.min() <= 1 and (g.taken <= 2 * g["size"]).all()
+    stage = mixing.mixed(docs)
+    assert stage.columns == docs.columns
+    assert stage.groupBy("source").count().toPandas().set_index("source")["count"].to_dict() == out.groupby("source").copies.sum().to_dict()
