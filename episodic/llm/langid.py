@@ -13,7 +13,8 @@
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0;
 repeated rows are each scored; an empty table gives an empty result; with no
-labelled document nothing is learned and every text is ``und``.
+labelled document nothing is learned and every text is ``und``; the pipeline stage
+then rejects only documents without a letter.
 """
 
 from __future__ import annotations
@@ -206,6 +207,14 @@ def predict(model: Model, text: Column) -> Column:
     return label(text)
 
 
+def _lettered(text: Column) -> Column:
+    @F.pandas_udf("boolean")
+    def some(s: pd.Series) -> pd.Series:
+        return pd.Series([gram_counts(t) is not None for t in s], dtype=bool)
+
+    return some(text)
+
+
 def held_out(c: str = "doc_id") -> Column:
     return crc_of_id(c) % 3 == 1
 
@@ -219,8 +228,13 @@ def label_documents(docs: DataFrame) -> DataFrame:
 
 
 def keep_known_languages(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """Pipeline stage: documents whose language is recognised (not ``und``, calibrated probability at least ``min_score``)."""
+    """Pipeline stage: documents whose language is recognised (not ``und``, calibrated probability at least ``min_score``).
+
+    Where nothing was learned no language can be told, and every document with a letter stays.
+    """
     model = fit(docs.select("doc_id", "text", "lang").where(~held_out()))
+    if not model.langs:
+        return docs.where(_lettered(docs["text"]))
     p = predict(model, docs["text"])
     tmp = "__langid"
     return (docs.withColumn(tmp, p).where((F.col(f"{tmp}.lang") != "und") & (F.col(f"{tmp}.score") >= min_score))

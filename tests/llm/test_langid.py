@@ -44,3 +44,10 @@ def test_stage_keeps_clean_documents(spark):
     assert kept.columns == docs.columns
     ids = {r["doc_id"] for r in kept.collect()}
     assert ids.isdisjoint({2, 3, 6, 7}) and {1, 4, 5, 100, 239} <= ids
+
+
+def test_stage_without_labels_rejects_only_documents_without_a_letter(spark):
+    docs = clashing(frame(spark, [(*r[:2], None, *r[3:]) for r in edge_rows()]))
+    kept = langid.keep_known_languages(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 5, 5, 8]
