@@ -174,14 +174,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return j.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def _pairs(sig: np.ndarray, comp: np.ndarray, side: np.ndarray) -> np.ndarray:
+def _pairs(sig: np.ndarray, comp: np.ndarray, side: np.ndarray, threshold: float) -> np.ndarray:
     """Which members (rows) may be linked with which (columns): in different components, on sides that meet, and with
     signatures that could reach the threshold. ``side``: 0 and 1 are compared with each other, 2 among themselves."""
     out = np.zeros((len(sig), len(sig)), bool)
     right = np.flatnonzero(side != 0)
     for i in np.flatnonzero(side != 1):
         est = (sig[right] == sig[i]).mean(axis=1)
-        out[i, right] = (est >= THRESHOLD - SLACK) & (comp[right] != comp[i])
+        out[i, right] = (est >= threshold - SLACK) & (comp[right] != comp[i])
     return out
 
 
@@ -190,10 +190,13 @@ def _members(t: pa.Table) -> tuple[np.ndarray, ...]:
     return sig, t.column("component").to_numpy(), t.column("side").to_numpy()
 
 
-def _hopeful(t: pa.Table) -> pa.Table:
-    """The members of a group that may be linked with some other one; pairs never leave the task."""
-    may = _pairs(*_members(t))
-    return t.filter(pa.array(may.any(axis=0) | may.any(axis=1)))
+def _hopeful(threshold: float):
+    def run(t: pa.Table) -> pa.Table:
+        """The members of a group that may be linked with some other one; pairs never leave the task."""
+        may = _pairs(*_members(t), threshold)
+        return t.filter(pa.array(may.any(axis=0) | may.any(axis=1)))
+
+    return run
 
 
 def overlaps(texts: list[str]) -> np.ndarray:
@@ -231,7 +234,7 @@ def _linked(threshold: float):
     def run(t: pa.Table) -> pa.Table:
         """Links of a group's members, as one (id, smallest id reached) each."""
         ids = t.column("id").to_numpy()
-        a, b = np.nonzero((overlaps(t.column("text").to_pylist()) >= threshold) & _pairs(*_members(t)))
+        a, b = np.nonzero((overlaps(t.column("text").to_pylist()) >= threshold) & _pairs(*_members(t), threshold))
         low = ids.copy()
         while True:
             was = low.copy()
@@ -305,7 +308,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     group = ["bucket", "rest", "x", "y"]
     columns = [*group, "id", "component", "side", "sig"]
     met = todo.join(sigs, "id").select(*columns)
-    hopeful = materialize(met.groupBy(*group).applyInArrow(_hopeful, met.schema), "bagminhash-rest")
+    hopeful = materialize(met.groupBy(*group).applyInArrow(_hopeful(threshold), met.schema), "bagminhash-rest")
     links2 = hopeful.join(texts, "id").groupBy(*group).applyInArrow(_linked(threshold), "a long, b long")
     comp = components(links.unionByName(materialize(links2, "bagminhash-links2")), "bagminhash-last")
     return (member.join(comp.withColumnRenamed("id", "rep"), "rep", "left")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from episodic.llm import minhash
@@ -52,6 +53,17 @@ def test_block_overlaps_equal_pairs():
             assert i == j or got[i, j] == pytest.approx(minhash.overlap(minhash.bag(a), minhash.bag(b)))
 
 
+def test_a_lower_threshold_reaches_the_signature_filter():
+    text = " ".join(f"w{i}" for i in range(60))
+    texts = [text, " ".join(text.split(" ")[:45] + ["z"] * 10)]
+    assert 0.5 < minhash.overlap(minhash.bag(texts[0]), minhash.bag(texts[1])) < 0.64
+    sig = np.zeros((2, minhash.REGISTERS), np.uint8)
+    sig[1, :int(0.45 * minhash.REGISTERS)] = 1               # an estimate of 0.55
+    t = pa.table({"id": [1, 2], "component": [1, 2], "side": [2, 2], "sig": [x.tobytes() for x in sig], "text": texts})
+    assert minhash._linked(0.5)(t).to_pylist() == [{"a": 1, "b": 2}]
+    assert minhash._hopeful(0.5)(t).num_rows == 2 and minhash._hopeful(0.8)(t).num_rows == 0
+
+
 def test_bit_map_keeps_every_wanted_row(spark):
     rows = spark.range(5000).selectExpr("id * 977 as id", "'t' as text")
     wanted = rows.where("id % 7 = 0").select("id")
