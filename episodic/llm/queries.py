@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from episodic.llm import bpe, ctw, kmtree, langid, lattice, minhash, mixing, secrets, shards, tokenfiles
+from episodic.llm import bpe, ctw, kmtree, langid, lattice, merkle, minhash, mixing, secrets, shards, tokenfiles
 from episodic.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.count_tokens(documents(spark, sf_dir))
+
+
+@query
+def op11_butterfly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_documents(documents(spark, sf_dir))
+
+
+ORACLES["op11_butterfly_manifest"] = merkle.ORACLE
