@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from episodic.llm import bpe, ctw, kmtree, langid, lattice, merkle, minhash, mixing, secrets, shards, tokenfiles
+from episodic.llm import bpe, ctw, kmtree, langid, lattice, merkle, minhash, mixing, negatives, secrets, shards, tokenfiles
 from episodic.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,11 @@ def op11_butterfly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_butterfly_manifest"] = merkle.ORACLE
+
+
+@query
+def op12_one_bit_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(_embeddings(spark, sf_dir))
+
+
+ORACLES["op12_one_bit_negatives"] = negatives.ORACLE
