@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from episodic.llm import bpe, ctw, kmtree, langid, lattice, merkle, minhash, mixing, negatives, secrets, shards, tokenfiles
+from episodic.llm import bpe, ctw, kmtree, langid, lattice, merkle, minhash, mixing, negatives, pages, secrets, shards, tokenfiles
 from episodic.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,8 @@ def op12_one_bit_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_one_bit_negatives"] = negatives.ORACLE
+
+
+@query
+def op13_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_pages(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
