@@ -6,6 +6,10 @@ it opens the next one. The episode number of a row is the number of stops
 at or before its time (RANGE frame, so a start at the same instant as a stop
 belongs to the *next* episode), plus one for starts.
 
+``episodes_with_points`` numbers markers and points (sessions) in one pass over their
+union and aggregates the points of every episode on the way; no join of points and
+intervals takes place.
+
 ``asof_join`` matches points to intervals that tile the time line of a key
 (each runs from its start to the next start): intervals and points are
 unioned and shuffled once per key, and every point takes the latest interval
@@ -21,12 +25,12 @@ intervals that overlap its bucket. The bounds are then checked exactly.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from episodic.operators.windows import filled, running_total, shifted
+from episodic.operators.windows import _chunk_order, _chunked, filled, running_total, shifted
 
 _UNITS = {"day", "week", "month", "year", "hour"}
 
@@ -47,6 +51,91 @@ def episodes(markers: DataFrame, key: str, ts: str, state: str, start_value: str
     )
 
 
+def _combined(fn: str, *cs: Column) -> Column:
+    """Partial results of one aggregate put together; nulls (of empty parts) count for nothing."""
+    if fn in ("min", "max"):
+        return (F.least if fn == "min" else F.greatest)(*cs)
+    a, b = cs
+    return F.coalesce(a + b, a, b)
+
+
+def episodes_with_points(rows: DataFrame, key: str, ts: str, kind: str, horizon: Column, chunk: Column,
+                         marker_stats: Mapping[str, tuple[str, Column]], point_stats: Mapping[str, tuple[str, Column]],
+                         seq_col: str = "seq") -> DataFrame:
+    """One row per (key, episode): first start, last stop, last marker time, and aggregates of markers and contained points.
+
+    ``kind`` says of a row whether it is a ``start``, a ``stop`` or a ``point``. A point belongs to an episode if it lies
+    between its first start and its last stop, both included, or, of an episode that never stops, ``horizon``.
+    Statistics are (``min``/``max``/``sum``/``count``, column).
+
+    One pass: rows are shuffled once by (key, chunk) and the stops at or before each row counted (see ``windows``). Between
+    two stops all points belong to the episode that is open there, from its first start on; within the start's chunk the
+    points before it are left out row by row, later chunks count whole. A point on the very instant of a stop belongs to the
+    episode that stops there as well. What remains is aggregated where it is into one small row per (key, episode, chunk),
+    then into one per (key, episode). Where stops share an instant an episode is never closed (its number is passed over):
+    it also holds the points of all later ones, taken from the aggregates of these as a running total from the last one back.
+    """
+    k = F.col(kind)
+    rows = rows.filter((k != "point") | (F.col(key).isNotNull() & F.col(ts).isNotNull()))
+    tmp, enc, n = _chunked(rows.withColumn("_stop", (k == "stop").cast("int")), [key], chunk)
+    keys, day = enc[:-n], enc[-1]
+    by_time = Window.partitionBy(*enc).orderBy(ts)
+    inner = tmp.withColumn("_in", F.sum("_stop").over(by_time)) \
+        .withColumn("_here", F.sum("_stop").over(by_time.rangeBetween(Window.currentRow, Window.currentRow)))
+    per_chunk = inner.groupBy(*enc).agg(F.sum("_stop").alias("_stops"))
+    before = Window.partitionBy(*keys).orderBy(*_chunk_order(enc, n, False)).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_chunk.select(*enc, F.coalesce(F.sum("_stops").over(before), F.lit(0)).alias("_offset"))
+    le = F.col("_offset") + F.col("_in")
+    began = F.min(F.when(k == "start", F.col(ts))).over(Window.partitionBy(*enc, "_in"))
+    role = F.when(k == "point", F.lit("point")).otherwise(F.lit("marker"))
+    own = F.struct(F.when(k == "stop", le).otherwise(le + 1).alias("seq"), role.alias("role"))
+    both = F.array(own, F.struct(le.alias("seq"), F.lit("edge").alias("role")))
+    placed = inner.join(offsets, enc).withColumn("_began", began).withColumn(
+        "_p", F.explode(F.when((k == "point") & (F.col("_here") > 0), both).otherwise(F.array(own))))
+    r, t = F.col("_p.role"), F.col(ts)
+    late = F.coalesce((k == "point") & (t > horizon), F.lit(False))
+
+    def agg(fn: str, c: Column) -> Column:
+        return {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}[fn](c)
+
+    pieces = placed.groupBy(*enc, F.col("_p.seq").alias("_seq"), late.alias("_late")).agg(
+        F.min(F.when(k == "start", t)).alias("_start"), F.max(F.when(k == "stop", t)).alias("_done"),
+        F.max(F.when(r == "marker", t)).alias("_marked"),
+        *[agg(fn, F.when(r == "marker", c)).alias(f"_m_{o}") for o, (fn, c) in marker_stats.items()],
+        *[agg(fn, F.when((r == "point") & (t >= F.col("_began")), c)).alias(f"_a_{o}") for o, (fn, c) in point_stats.items()],
+        *[agg(fn, F.when(r == "point", c)).alias(f"_b_{o}") for o, (fn, c) in point_stats.items()],
+        *[agg(fn, F.when(r == "edge", c)).alias(f"_e_{o}") for o, (fn, c) in point_stats.items()])
+    episode = Window.partitionBy(*keys, "_seq")
+    pieces = pieces.withColumn("_first", F.min(F.when(F.col("_start").isNotNull(), F.col(day))).over(episode)) \
+        .withColumn("_open", F.max("_done").over(episode).isNull())
+
+    def total(fn: str, c: Column) -> Column:
+        return agg("sum" if fn == "count" else fn, c)
+
+    counted = ~(F.col("_late") & F.col("_open"))
+    whole, part = F.col(day) > F.col("_first"), F.col(day) == F.col("_first")
+
+    def own_points(o: str, fn: str) -> Column:
+        inside = F.when(whole, F.col(f"_b_{o}")).when(part, F.col(f"_a_{o}"))
+        return total(fn, F.when(counted, _combined(fn, inside, F.col(f"_e_{o}"))))
+
+    eps = pieces.groupBy(*keys, "_seq").agg(
+        F.min("_start").alias("active_timestamp"), F.max("_done").alias("done_timestamp"), F.max("_marked").alias("marker_updated_at"),
+        *[total(fn, F.col(f"_m_{o}")).alias(o) for o, (fn, _) in marker_stats.items()],
+        *[own_points(o, fn).alias(o) for o, (fn, _) in point_stats.items()],
+        *[total(fn, F.when(~F.col("_late"), F.col(f"_b_{o}"))).alias(f"_b_{o}") for o, (fn, _) in point_stats.items()])
+    later = Window.partitionBy(*keys).orderBy(F.col("_seq").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    out = eps.select("*", *[total(fn, F.col(f"_b_{o}")).over(later).alias(f"_l_{o}") for o, (fn, _) in point_stats.items()])
+    out = out.select("*", *[
+        F.when(F.col("active_timestamp").isNotNull(), F.when(F.col("done_timestamp").isNull(), _combined(
+            fn, F.col(o), F.col(f"_l_{o}"))).otherwise(F.col(o))).alias(f"_r_{o}")
+        for o, (fn, _) in point_stats.items()])
+    named = F.when(~F.col(keys[0]), F.col(keys[1])).alias(key)
+    return out.where(F.col("marker_updated_at").isNotNull() | F.col("active_timestamp").isNotNull()).select(
+        named, F.col("_seq").cast("bigint").alias(seq_col), "active_timestamp", "done_timestamp", "marker_updated_at", *marker_stats,
+        *[(F.coalesce(F.col(f"_r_{o}"), F.lit(0)) if fn == "count" else F.col(f"_r_{o}")).alias(o) for o, (fn, _) in point_stats.items()])
+
+
 def with_next(df: DataFrame, key: str, order: Sequence, col: str, out: str,
               chunk: Column | None = None) -> DataFrame:
     """``lead(col)`` per key in ``order`` (tie-break belongs in ``order``).

@@ -1,40 +1,39 @@
-"""Work-list sinks (B20, B21, D17) re-aimed from spreadsheet ranges to versioned tables.
+"""Work-list sinks (B20, B21, D17) re-aimed from spreadsheet ranges to bucketed tables.
 
-A list is a table under ``root`` written as versions (see ``sinks``).
-``replace_list`` is the clear-and-write form, ``append_list`` appends the rows
-whose key is not on the list yet (the reference's "write at the first blank
-row" after its own anti-join), tagged with the run that added them.
+A list is a ``BucketTable`` keyed by its row key. ``replace_list`` is the clear-and-write form, ``append_list`` adds the
+rows whose key is not on the list yet (the reference's "write at the first blank row" after its own anti-join), tagged
+with the run that added them; it reads only the buckets its rows fall into and rewrites none.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from episodic.functions.keys import text_key
-from episodic.operators.sinks import read_latest, versions, write_version
+from episodic.operators.buckets import BucketTable, Version
 
 
-def replace_list(df: DataFrame, root: str) -> str:
+def replace_list(table: BucketTable, df: DataFrame) -> Version:
     """B20 (a, b, d): the list becomes exactly ``df`` (no stale tail rows survive)."""
-    spark = df.sparkSession
-    vs = versions(spark, root)
-    return write_version(df, root, (vs[-1] + 1) if vs else 0)
+    return table.replace(_keyed(table, df), table.next_version())
 
 
-def append_list(spark: SparkSession, root: str, new_rows: DataFrame, schema: StructType, key: str,
-                run_id: str) -> str:
+def append_list(table: BucketTable, new_rows: DataFrame, run_id: str) -> Version:
     """B20 (c) + D17: append rows whose trimmed text key is absent; one new version per run."""
-    vs = versions(spark, root)
-    current = read_latest(spark, root, schema)
-    fresh = new_rows.join(current.select(text_key(F.col(key)).alias("_k")),
-                          text_key(new_rows[key]) == F.col("_k"), "left_anti") \
-        .withColumn("added_by", F.lit(run_id))
-    return write_version(current.unionByName(fresh.select(*schema.fieldNames())), root,
-                         (vs[-1] + 1) if vs else 0)
+    key = table.keys[0]
+
+    def fresh(stored: DataFrame, batch: DataFrame) -> DataFrame:
+        return batch.join(stored.select(key), key, "left_anti")
+
+    return table.append(_keyed(table, new_rows).withColumn("added_by", F.lit(run_id)), table.next_version(), fresh)
+
+
+def _keyed(table: BucketTable, df: DataFrame) -> DataFrame:
+    """The rows with their key trimmed, as it is stored: equal keys fall into one bucket."""
+    return df.withColumn(table.keys[0], text_key(F.col(table.keys[0])))
 
 
 def blank_cells(df: DataFrame, cols: Sequence[str]) -> DataFrame:

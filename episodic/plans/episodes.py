@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodic.operators.incremental import carried_cumsum, high_water_mark, latest_per_key
-from episodic.operators.intervals import containing_join, episodes
+from episodic.operators.intervals import episodes_with_points
 from episodic.operators.sinks import materialize
 from episodic.operators.windows import running_total
 from episodic.plans.registry import AS_OF_EVENTS, register, ts
@@ -21,58 +21,34 @@ from episodic.plans.registry import AS_OF_EVENTS, register, ts
 ACTIVE_FROM = "2024-01-05 00:00:00"
 
 
-def markers(ev: DataFrame, stop_filter=None) -> DataFrame:
-    """Payments (start markers) and pause forms (stop markers) from one scan of the log."""
-    m = ev.filter(F.col("event_type").isin("purchase", "error"))
+def log_rows(ev: DataFrame, stop_filter=None) -> DataFrame:
+    """Payments (start), pause forms (stop) and sessions (point) from one scan of the log."""
+    m = ev.filter(F.col("event_type").isin("purchase", "error", "view"))
     if stop_filter is not None:
         m = stop_filter(m)
-    is_start = F.col("event_type") == "purchase"
-    return m.select(
-        F.col("user_id").alias("lecture_vt_no"),
-        F.when(is_start, F.col("event_id")).alias("payment_no"),
-        F.when(is_start, F.concat(F.lit("ord-"), F.col("event_id").cast("string"))).alias("order_id"),
-        F.col("ts").alias("time_stamp"),
-        F.when(is_start, F.lit("active")).otherwise(F.lit("done")).alias("active_state"))
-
-
-def sessions(ev: DataFrame) -> DataFrame:
-    return ev.filter(F.col("event_type") == "view").select(
-        F.col("user_id").alias("s_lecture_vt_no"), F.col("event_id").alias("schedule_no"),
-        F.col("ts").alias("tutoring_datetime"),
-        (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("update_datetime"),
-        F.col("value").cast("decimal(18,2)").alias("per_done_month"))
+    kind = F.when(F.col("event_type") == "purchase", F.lit("start")).when(F.col("event_type") == "error", F.lit("stop"))
+    return m.select(F.col("user_id").alias("lecture_vt_no"), "event_id", F.col("ts").alias("time_stamp"),
+                    kind.otherwise(F.lit("point")).alias("kind"), F.col("value").cast("decimal(18,2)").alias("per_done_month"))
 
 
 def group_lvt(ev: DataFrame, as_of: datetime = AS_OF_EVENTS, active_from: str = ACTIVE_FROM,
               stop_filter=None) -> DataFrame:
-    """K1: episodes with their delivered sessions (D7 closed interval, open end -> as_of + 1 month)."""
-    eps = episodes(markers(ev, stop_filter), "lecture_vt_no", "time_stamp", "active_state",
-                   extra_aggs=[F.min("payment_no").alias("min_payment_no"),
-                               F.min("order_id").alias("min_order_id")],
-                   chunk=F.date_trunc("day", F.col("time_stamp")))
-    eps = eps.filter(F.col("active_timestamp") >= ts(active_from)) \
-        .withColumn("interval_end", F.coalesce(F.col("done_timestamp"),
-                                               ts(as_of) + F.expr("INTERVAL 1 MONTH")))
-    # the episode table is read by the join's branches and by the result: stored once
-    eps = materialize(eps, "episodes")
-    hits = containing_join(eps.select("lecture_vt_no", "seq", "active_timestamp", "interval_end"), sessions(ev),
-                           [("lecture_vt_no", "s_lecture_vt_no")], "active_timestamp", "interval_end",
-                           "tutoring_datetime", tie=["seq"])
-    per = hits.groupBy("lecture_vt_no", "seq").agg(
-        F.max("update_datetime").alias("max_session_update"),
-        F.min("tutoring_datetime").alias("min_tutoring_datetime"),
-        F.min("schedule_no").alias("min_schedule_no"),
-        F.sum("per_done_month").cast("double").alias("done_month"),
-        F.count("schedule_no").alias("n_sessions"))
-    # a null lecture has no sessions (equality), as in the interval join
-    res = eps.join(per, ["lecture_vt_no", "seq"], "left").withColumn("n_sessions", F.coalesce("n_sessions", F.lit(0)))
-    return res.select(
+    """K1: episodes with their delivered sessions (D7 closed interval, open end -> as_of + 1 month), in one pass."""
+    start = F.col("kind") == "start"
+    eps = episodes_with_points(
+        log_rows(ev, stop_filter), "lecture_vt_no", "time_stamp", "kind", ts(as_of) + F.expr("INTERVAL 1 MONTH"),
+        F.date_trunc("day", F.col("time_stamp")),
+        marker_stats={"min_payment_no": ("min", F.when(start, F.col("event_id"))),
+                      "min_order_id": ("min", F.when(start, F.concat(F.lit("ord-"), F.col("event_id").cast("string"))))},
+        point_stats={"max_session_update": ("max", F.col("time_stamp") + F.expr("INTERVAL 1 HOUR")),
+                     "min_tutoring_datetime": ("min", F.col("time_stamp")), "min_schedule_no": ("min", F.col("event_id")),
+                     "sum_done_month": ("sum", F.col("per_done_month")), "n_sessions": ("count", F.col("event_id"))})
+    return eps.filter(F.col("active_timestamp") >= ts(active_from)).select(
         "lecture_vt_no",
-        F.concat(F.col("lecture_vt_no").cast("string"), F.lit("_"), F.col("seq").cast("string"))
-        .alias("group_lecture_vt_no"),
+        F.concat(F.col("lecture_vt_no").cast("string"), F.lit("_"), F.col("seq").cast("string")).alias("group_lecture_vt_no"),
         "seq", "active_timestamp", "done_timestamp", "min_payment_no", "min_order_id",
         F.greatest("marker_updated_at", "max_session_update").alias("updated_at"),
-        "min_tutoring_datetime", "min_schedule_no", "done_month",
+        "min_tutoring_datetime", "min_schedule_no", F.col("sum_done_month").cast("double").alias("done_month"),
         F.col("n_sessions").cast("bigint").alias("n_sessions"))
 
 
@@ -176,7 +152,7 @@ def q_episodes_two_condition(spark, t):
 
     def stop_filter(m):
         j = m.join(detail, m["event_id"] == detail["form_no"], "left")
-        return j.filter((F.col("event_type") == "purchase") | F.col("form_no").isNotNull()).drop(*detail.columns)
+        return j.filter((F.col("event_type") != "error") | F.col("form_no").isNotNull()).drop(*detail.columns)
     return group_lvt(t.events, stop_filter=stop_filter)
 
 

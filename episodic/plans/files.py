@@ -53,19 +53,19 @@ WHERE c.c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O') AN
 def q_worklist_append(spark, t):
     """A list written in full once, then a second run appends only the rows not on it yet."""
     from episodic.operators.worklists import append_list, replace_list
-    from episodic.operators.sinks import read_latest
-    root = scratch_path(spark, "worklist")
+    from episodic.operators.buckets import BucketTable
     schema = StructType([StructField("row_key", StringType()), StructField("c_name", StringType()),
                          StructField("added_by", StringType())])
+    table = BucketTable(spark, scratch_path(spark, "worklist"), schema, ("row_key",), buckets=16)
     c = t.customer
     first = c.filter(F.col("c_acctbal") > 5000).select(F.col("c_custkey").cast("string").alias("row_key"),
                                                        "c_name", F.lit("run-0").alias("added_by"))
-    replace_list(first, root)
+    replace_list(table, first)
     open_o = t.orders.filter(F.col("o_orderstatus") == "O").select("o_custkey")
     cand = c.join(open_o, c["c_custkey"] == open_o["o_custkey"], "left_semi") \
         .select(F.concat(F.lit(" "), F.col("c_custkey").cast("string")).alias("row_key"), "c_name")
-    append_list(spark, root, cand, schema, "row_key", "run-1")
-    return read_latest(spark, root, schema).select(F.trim("row_key").alias("row_key"), "c_name", "added_by")
+    append_list(table, cand, "run-1")
+    return table.read()
 
 
 DOC_SCHEMA = StructType([StructField("doc_id", StringType()), StructField("status", StringType()),

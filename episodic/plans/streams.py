@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from episodic.operators.buckets import BucketTable
 from episodic.plans.registry import register, ts
 from episodic.session import scratch_path
 from episodic.streaming.jobs import changes, mirror, run_once, weekly
@@ -51,13 +52,13 @@ WHERE rn = 1
 """)
 def q_stream_mirror(spark, t):
     """Newest event per user kept by a micro-batch mirror; equals the batch latest_per_key."""
-    from episodic.operators.sinks import read_latest
-    root = _drive(spark, t, lambda inbox, schema, r: mirror(
-        spark, inbox, schema, ["user_id"], _order(), f"{r}/target", f"{r}/_checkpoint"))
-    return read_latest(spark, f"{root}/target", t.events.schema)
+    def target(r):
+        return BucketTable(spark, f"{r}/target", t.events.schema, ("user_id",))
+    return target(_drive(spark, t, lambda inbox, schema, r: mirror(
+        spark, inbox, target(r), _order(), f"{r}/_checkpoint"))).read()
 
 
-@register("stream_state_changes", "J2: G4 per micro-batch", f"""
+@register("stream_state_changes", "J2: G4 by keyed state", f"""
 WITH ev AS (SELECT *, {_SLICE_SQL} AS b FROM events),
 cur AS (
   SELECT b, user_id, event_type AS tutoring_state FROM (
@@ -75,8 +76,7 @@ WHERE NOT seen OR tutoring_state IS DISTINCT FROM old_state
 def q_stream_state_changes(spark, t):
     """History of state changes appended by each run (run = micro-batch)."""
     root = _drive(spark, t, lambda inbox, schema, r: changes(
-        spark, inbox, schema, "user_id", "event_type", _order(), f"{r}/latest", f"{r}/history",
-        f"{r}/_checkpoint"))
+        spark, inbox, schema, "user_id", "event_type", ["ts", "event_id"], f"{r}/history", f"{r}/_checkpoint"))
     h = spark.read.parquet(f"{root}/history")
     return h.select("user_id", F.col("event_type").alias("tutoring_state"), F.col("batch_id").cast("bigint"))
 

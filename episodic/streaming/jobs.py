@@ -6,11 +6,13 @@ since the last run and stops, with progress and operator state kept in a
 checkpoint on shared storage (so a lost executor or a re-run resumes
 exactly where the last committed batch ended).
 
-* J1 ``mirror``: foreachBatch -> newest row per key of (stored target + batch),
-  written as a new table version (idempotent per batch id).
-* J2 ``state_changes``: foreachBatch -> rows whose state differs from the
-  stored latest state are appended to a history (one folder per batch id,
-  overwritten on a replay), and the latest-state table is versioned.
+* J1 ``mirror``: foreachBatch -> newest row per key of (stored target + batch)
+  in a bucketed table: only the buckets of the batch's keys are rewritten
+  (idempotent per batch id).
+* J2 ``changes``: the latest state of every key is kept in the state store;
+  a key emits a row only when its state is new or differs. The rows of a
+  micro-batch go to a folder of their own (overwritten on a replay), and no
+  stored table is read.
 * J3/J4 ``weekly``: event-time weeks starting Monday; each batch adds its
   counts to the stored table by (week, key), so a row corrects its week
   however late it comes.
@@ -23,9 +25,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
-from episodic.operators.incremental import latest_per_key, state_changes, upsert
+from episodic.operators.buckets import BucketTable
+from episodic.operators.incremental import latest_per_key
 from episodic.operators.sinks import read_latest, write_version
 
 
@@ -42,32 +46,54 @@ def run_once(q: StreamingQuery) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def mirror(spark: SparkSession, inbox: str, schema: StructType, keys: Sequence[str], order: Sequence[Column],
-           target: str, checkpoint: str) -> StreamingQuery:
-    """Micro-batch mirror upsert (A4 + G1 + B1)."""
+def mirror(spark: SparkSession, inbox: str, target: BucketTable, order: Sequence[Column], checkpoint: str) -> StreamingQuery:
+    """Micro-batch mirror upsert (A4 + G1 + B1) into a bucketed table keyed as the mirror is."""
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        stored = read_latest(spark, target, schema, below=batch_id)
-        write_version(latest_per_key(stored.unionByName(batch), keys, order), target, batch_id)
+        # one row a key before anything is shuffled: a hot key is cut within the tasks that read it
+        newest = latest_per_key(batch, target.keys, order)
+        target.merge(newest, batch_id, lambda stored, new: latest_per_key(stored.unionByName(new), target.keys, order))
 
-    src = spark.readStream.schema(schema).parquet(inbox)
+    src = spark.readStream.schema(target.schema).parquet(inbox)
     return _start(src.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint))
 
 
-def changes(spark: SparkSession, inbox: str, schema: StructType, key: str, state: str, order: Sequence[Column],
-            latest_root: str, history_root: str, checkpoint: str, stamp_col: str = "created_at") -> StreamingQuery:
-    """Append-on-change history of ``state`` per ``key``."""
-    cols = [key, state]
-    latest_schema = StructType([schema[c] for c in cols])
+def changes(spark: SparkSession, inbox: str, schema: StructType, key: str, state: str, order: Sequence[str],
+            history_root: str, checkpoint: str) -> StreamingQuery:
+    """Append-on-change history of ``state`` per ``key`` (G4), by keyed state.
+
+    A key's state in a micro-batch is that of its newest row there (largest in the columns ``order``, nulls oldest). It is
+    compared null-safely with the state kept for the key, and emitted where it is new or differs."""
+    cols = [key, state, *(c for c in order if c not in (key, state))]
+    out_schema = StructType([schema[key], schema[state]])
+
+    def newest(pdf):
+        return pdf.sort_values(list(order), ascending=False, na_position="last", kind="stable")
+
+    def thin(pdfs):
+        """A stateless cut to the newest row a key of every Arrow batch, so that a hot key reaches its task as few rows."""
+        for pdf in pdfs:
+            yield newest(pdf).drop_duplicates([key])
+
+    def step(name, pdfs, kept):
+        import pandas as pd
+        best = None
+        for pdf in pdfs:
+            best = newest(pdf if best is None else pd.concat([best, pdf])).head(1)
+        if best is None:
+            return
+        now = best[state].iloc[0]
+        now = None if pd.isna(now) else now
+        if not kept.exists or kept.get[0] != now:
+            kept.update((now,))
+            yield pd.DataFrame({key: [name[0]], state: pd.Series([now], dtype=object)})
 
     def log_batch(batch: DataFrame, batch_id: int) -> None:
-        stored = read_latest(spark, latest_root, latest_schema, below=batch_id)
-        current = latest_per_key(batch, [key], order).select(*cols)
-        new_rows = state_changes(stored, current, key, state).withColumn("batch_id", F.lit(batch_id))
-        new_rows.write.mode("overwrite").parquet(f"{history_root}/batch_id={batch_id}")
-        write_version(upsert(stored, current, [key]), latest_root, batch_id)
+        batch.write.mode("overwrite").parquet(f"{history_root}/batch_id={batch_id}")
 
-    src = spark.readStream.schema(schema).parquet(inbox)
-    return _start(src.writeStream.foreachBatch(log_batch).option("checkpointLocation", checkpoint))
+    src = spark.readStream.schema(schema).parquet(inbox).select(*cols)
+    found = src.mapInPandas(thin, src.schema).groupBy(key).applyInPandasWithState(
+        step, out_schema, StructType([schema[state]]), "append", GroupStateTimeout.NoTimeout)
+    return _start(found.writeStream.foreachBatch(log_batch).outputMode("append").option("checkpointLocation", checkpoint))
 
 
 def weekly(spark: SparkSession, inbox: str, schema: StructType, ts: str, group: str, target: str,

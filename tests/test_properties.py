@@ -7,7 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from episodic.operators.intervals import asof_join, containing_join, interval_aggregate, range_join, with_next
+from episodic.operators.intervals import (asof_join, containing_join, episodes_with_points, interval_aggregate, range_join,
+                                           with_next)
 from episodic.operators.windows import filled, running_total
 
 BASE = datetime(2024, 1, 1)
@@ -167,3 +168,45 @@ def test_filled_chunked_equals_window(spark):
         want = rows(df.withColumn("f", F.last("v", ignorenulls=True).over(w)), "id", "f")
         chunk = F.date_trunc("day", "ts")
         assert want == rows(filled(df, ["k"], ["ts", "id"], "v", "f", chunk=chunk), "id", "f")
+
+
+def _plain_episodes(data, horizon):
+    """Episodes of (key, ts, kind, id, v) by their definition, every point against every episode."""
+    out = {}
+    for key in {r[0] for r in data if r[2] != "point"}:
+        marks = [r for r in data if r[0] == key and r[2] != "point"]
+        points = [r for r in data if r[0] == key and r[2] == "point" and key is not None and r[1] is not None]
+
+        def stops(t):
+            return sum(m[2] == "stop" and (m[1] is None or (t is not None and m[1] <= t)) for m in marks)
+        eps = {}
+        for m in marks:
+            eps.setdefault(stops(m[1]) + (m[2] == "start"), []).append(m)
+        for seq, ms in eps.items():
+            first = min((m[1] for m in ms if m[2] == "start" and m[1] is not None), default=None)
+            last = max((m[1] for m in ms if m[2] == "stop" and m[1] is not None), default=None)
+            inside = [p for p in points if first is not None and first <= p[1] <= (last if last is not None else horizon)]
+            out[key, seq] = (first, last, max((m[1] for m in ms if m[1] is not None), default=None), sum(m[2] == "start" for m in ms),
+                             len(inside), sum(p[4] for p in inside) if inside else None, min((p[1] for p in inside), default=None))
+    return out
+
+
+def test_episodes_with_points_equal_brute_force(spark):
+    rng = random.Random(11)
+    t0 = datetime(2024, 1, 1)
+    for trial in range(4):
+        data = []
+        for i in range(500):
+            key = rng.choice([None, 1, 1, 1, 2, 3, 4])
+            # few instants, so that starts, stops and points often share one; some without a time
+            t = None if rng.random() < 0.02 else t0 + timedelta(hours=6 * rng.randrange(0, (20, 60, 200, 400)[trial]))
+            data.append((key, t, rng.choices(["start", "stop", "point"], [3, 1 + trial, 10])[0], i, rng.randrange(0, 100)))
+        horizon = t0 + timedelta(days=(3, 10, 30, 200)[trial], hours=7)
+        df = spark.createDataFrame(data, "k long, t timestamp_ntz, kind string, id long, v int")
+        got = episodes_with_points(
+            df, "k", "t", "kind", F.lit(horizon).cast("timestamp_ntz"), F.date_trunc("day", F.col("t")),
+            {"starts": ("count", F.when(F.col("kind") == "start", F.col("id")))},
+            {"n": ("count", F.col("id")), "total": ("sum", F.col("v")), "earliest": ("min", F.col("t"))}).collect()
+        want = {k: v for k, v in _plain_episodes(data, horizon).items() if v[2] is not None or v[0] is not None}
+        assert {(r["k"], r["seq"]): (r["active_timestamp"], r["done_timestamp"], r["marker_updated_at"], r["starts"], r["n"], r["total"],
+                                     r["earliest"]) for r in got} == want
