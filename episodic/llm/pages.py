@@ -13,7 +13,8 @@ Scale: pages are read into slices of about ``SLICE`` bytes. A slice sorts its su
 mixed with its host, so no run is common to two hosts), by prefix doubling to ``RUN`` tokens: a longer repeat is a union of
 such windows. It then sends one row for each distinct window to be put together with those of the other slices: a window
 that lies on a third of all pages is a row a slice, not a row a page, and is pre-aggregated before its shuffle. The
-repeated windows return to their slices, which are written once in the shared folder. No host is ever in one task.
+repeated windows return to their slices, whose packed texts are shuffled once. The pages are scanned twice and cut alike
+both times (a slice's name would tell a difference); no host is ever in one task.
 
 Edge cases: a null or empty page has an empty text; pages with the same url host (null: a host of its own) and the same
 html are one page, so exact copies repeat nothing; a repeated row gives as many rows; very long pages are slices of their
@@ -26,12 +27,12 @@ from __future__ import annotations
 import html as _html
 import json
 import re
-import uuid
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -216,55 +217,64 @@ def _names(tokens: np.ndarray, lengths: np.ndarray, places: np.ndarray) -> np.nd
     return out.view(np.int64)
 
 
-def _slice(limit: int):
-    """One row a slice: its pages' ids and urls, their blocks (packed), and their streams."""
-    return lambda batches: _slices(batches, limit)
-
-
 def _slices(batches, limit: int):
-    pack = zstandard.ZstdCompressor(level=3)
+    """(name, pages, their blocks) of every slice. The name tells partition, place and content, so that two scans of one table agree."""
+    partition, n = TaskContext.get().partitionId(), 0
     for batch in batches:
         for part in slices(batch, "html", limit):
-            urls, bodies, streams, lengths, content = part.column("url").to_pylist(), [], [], [], []
-            for url, page in zip(urls, part.column("html").to_pylist()):
-                found, host = blocks(page), host_of(url)
-                s = stream(found, host)
-                bodies.append([(zone, " ".join(words)) for zone, _, words in found])
-                streams.append(s)
-                lengths.append(len(s))
-                content.append(_token(f"{host}\n{page or ''}"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().hex]), pa.array([part.column("id").to_pylist()], pa.list_(pa.int64())),
-                 pa.array([urls], pa.list_(pa.string())), pa.array([pack.compress(json.dumps(bodies, ensure_ascii=False).encode("utf-8", "surrogatepass"))], pa.binary()),
-                 *(pa.array([np.asarray(x).tobytes()], pa.binary()) for x in (
-                     np.concatenate(streams), np.array(lengths, np.int64), np.array(content, np.uint64)))],
-                ["slice", "ids", "urls", "bodies", "tokens", "lengths", "content"])
+            texts = part.column("html").to_pylist()
+            seen = blake2b(digest_size=8)
+            for text in texts:
+                seen.update(f"{len(text or '')} ".encode())
+            yield f"{partition}-{n}-{seen.hexdigest()}", part, [blocks(t) for t in texts]
+            n += 1
 
 
-def _unpacked(row) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row["tokens"], np.uint64), np.frombuffer(row["lengths"], np.int64)
+def _streams(found: list, urls: list) -> tuple[np.ndarray, np.ndarray]:
+    """The concatenated streams of pages and their lengths."""
+    each = [stream(f, host_of(u)) for f, u in zip(found, urls)]
+    return (np.concatenate(each) if each else np.empty(0, np.uint64)), np.array([len(s) for s in each], np.int64)
 
 
-def _repeats(batches):
-    """(slice, window name, least and largest content of its pages) for every distinct window of a slice."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
-            tokens, lengths = _unpacked(row)
+def _windows_of(limit: int):
+    """(slice, window name, least and largest content of its pages) for every distinct window of every slice."""
+
+    def run(batches):
+        for name, part, found in _slices(batches, limit):
+            urls = part.column("url").to_pylist()
+            tokens, lengths = _streams(found, urls)
             if not len(tokens):
                 continue
+            content = np.array([_token(f"{host_of(u)}\n{page or ''}") for u, page in zip(urls, part.column("html").to_pylist())],
+                               np.uint64).view(np.int64)
             order, rank = suffix_order(tokens, lengths)
             places, page = _windows(tokens, lengths)
             use = np.full(len(tokens), -1)
             use[places] = page
             order = order[use[order] >= 0]
-            content = np.frombuffer(row["content"], np.int64)[use[order]]
+            own = content[use[order]]
             first = np.flatnonzero(np.concatenate([[True], rank[order][1:] != rank[order][:-1]]))
-            name = _names(tokens, lengths, order[first])
+            names = _names(tokens, lengths, order[first])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row["slice"]] * len(first)), *(pa.array(x, pa.int64()) for x in (
-                    name[:, 0], name[:, 1], np.minimum.reduceat(content, first), np.maximum.reduceat(content, first)))],
+                [pa.array([name] * len(first)), *(pa.array(x, pa.int64()) for x in (
+                    names[:, 0], names[:, 1], np.minimum.reduceat(own, first), np.maximum.reduceat(own, first)))],
                 ["slice", "a", "b", "low", "high"])
+    return run
+
+
+def _bodies(limit: int):
+    """One row a slice: its pages' ids and urls, and their blocks, packed."""
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=3)
+        for name, part, found in _slices(batches, limit):
+            body = json.dumps([[(zone, box, " ".join(words)) for zone, box, words in f] for f in found], ensure_ascii=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name]), pa.array([part.column("id").to_pylist()], pa.list_(pa.int64())),
+                 pa.array([part.column("url").to_pylist()], pa.list_(pa.string())),
+                 pa.array([pack.compress(body.encode("utf-8", "surrogatepass"))], pa.binary())],
+                ["slice", "ids", "urls", "bodies"])
+    return run
 
 
 def _covered(tokens: np.ndarray, lengths: np.ndarray, names: set) -> np.ndarray:
@@ -282,18 +292,19 @@ def _covered(tokens: np.ndarray, lengths: np.ndarray, names: set) -> np.ndarray:
 
 def _texts(pages: pa.Table, repeated: pa.Table) -> pa.Table:
     names = set(zip(repeated.column("a").to_pylist(), repeated.column("b").to_pylist()))
+    if not pages.num_rows:
+        raise RuntimeError("two scans of the pages gave different slices")
     ids, urls, texts = [], [], []
     for row in pages.to_pylist():
-        tokens, lengths = _unpacked(row)
-        gone = _covered(tokens, lengths, names)
-        at = 0
-        for body in json.loads(zstandard.ZstdDecompressor().decompress(row["bodies"]).decode("utf-8", "surrogatepass")):
+        body = json.loads(zstandard.ZstdDecompressor().decompress(row["bodies"]).decode("utf-8", "surrogatepass"))
+        found = [[(zone, box, text.split()) for zone, box, text in f] for f in body]
+        gone, at = _covered(*_streams(found, row["urls"]), names), 0
+        for f in found:
             kept = []
-            for zone, text in body:
+            for zone, _, words in f:
                 if zone == MAIN:
-                    kept.append(text)
+                    kept += words
                     continue
-                words = text.split()
                 if zone == OPEN:
                     kept += [w for w, g in zip(words, gone[at + 1:at + 1 + len(words)]) if not g]
                 at += 1 + len(words)
@@ -306,14 +317,12 @@ def _texts(pages: pa.Table, repeated: pa.Table) -> pa.Table:
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", limit: int = SLICE) -> DataFrame:
     """(id, url, text) of every page; see the module's text. ``limit`` is the size of a slice in bytes."""
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    cut = stored(rows.mapInArrow(_slice(limit), "slice string, ids array<long>, urls array<string>, bodies binary, tokens binary, "
-                                         "lengths binary, content binary"), "pages-slices")
     # windows of a slice are few beside its text; one row each, whatever number of its pages has them
-    window = cut.select("slice", "tokens", "lengths", "content").mapInArrow(_repeats, "slice string, a long, b long, low long, high long")
-    window = stored(window, "pages-windows")
+    window = stored(rows.mapInArrow(_windows_of(limit), "slice string, a long, b long, low long, high long"), "pages-windows")
     repeated = window.groupBy("a", "b").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("a", "b")
     hits = window.select("slice", "a", "b").join(repeated, ["a", "b"])
-    out = cut.drop("content").groupBy("slice").cogroup(hits.groupBy("slice")).applyInArrow(_texts, "id long, url string, text string")
+    cut = rows.mapInArrow(_bodies(limit), "slice string, ids array<long>, urls array<string>, bodies binary")
+    out = cut.groupBy("slice").cogroup(hits.groupBy("slice")).applyInArrow(_texts, "id long, url string, text string")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text")
 
 
