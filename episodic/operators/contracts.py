@@ -27,14 +27,14 @@ class Contract:
     not_null: tuple[str, ...] = ()
     #: rule name -> SQL condition; as in SQL, a row breaks it only where it is false (null passes)
     checks: Mapping[str, str] = field(default_factory=dict)
-    #: column -> value for rows or batches that lack it
-    defaults: Mapping[str, Column] = field(default_factory=dict)
+    #: column -> SQL value for batches that lack the column
+    defaults: Mapping[str, str] = field(default_factory=dict)
 
     def conform(self, df: DataFrame) -> DataFrame:
         """The contract's columns in its types; a missing column is its default or null."""
         for c, value in self.defaults.items():
             if c not in df.columns:
-                df = df.withColumn(c, value)
+                df = df.withColumn(c, F.expr(value))
         return conform(df, self.schema)
 
     def rules(self) -> list[Column]:

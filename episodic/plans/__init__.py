@@ -1,5 +1,5 @@
 """Registered queries. Importing this package registers all of them."""
 
 from episodic.plans import (episodes, experience, feedback, files, lifecycle, marts, mirrors, ranks, streams,  # noqa: F401
-                            relational, worklists)
+                            relational, targets, worklists)
 from episodic.plans.registry import REGISTRY, register  # noqa: F401

@@ -45,16 +45,6 @@ def q_high_water_scan(spark, t):
     return scan_since(t.orders, "o_orderdate", hwm)
 
 
-@register("interval_scan", "A6", """
-SELECT * FROM orders
-WHERE o_orderdate >= TIMESTAMP '1997-03-01 00:00:00' AND o_orderdate < TIMESTAMP '1997-06-01 00:00:00'
-""")
-def q_interval_scan(spark, t):
-    """[last successful run end, this run end): both bounds are run parameters."""
-    start, end = "1997-03-01 00:00:00", "1997-06-01 00:00:00"
-    return t.orders.filter((F.col("o_orderdate") >= ts(start)) & (F.col("o_orderdate") < ts(end)))
-
-
 @register("range_scan", "A7", """
 SELECT * FROM orders
 WHERE o_orderkey BETWEEN 1000 AND 500000

@@ -331,51 +331,6 @@ def q_top_recent(spark, t):
         .orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc()).limit(1000)
 
 
-@register("suggestion_extract", "K31: D3,H2", """
-SELECT o.o_orderkey, o.o_orderdate, l.l_partkey, l.l_suppkey, l.l_shipdate
-FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey AND l.l_linenumber = 1
-ORDER BY o.o_orderdate DESC, o.o_orderkey DESC, l.l_shipdate ASC NULLS LAST, l.l_partkey ASC NULLS LAST,
-         l.l_suppkey ASC NULLS LAST, l.l_extendedprice ASC NULLS LAST, l.l_quantity ASC NULLS LAST
-LIMIT 1000
-""")
-def q_suggestion_extract(spark, t):
-    """Recent matches with their first line (left join), newest 1,000 with a complete tie-break."""
-    o = t.orders.select("o_orderkey", "o_orderdate")
-    li = t.lineitem.filter(F.col("l_linenumber") == 1).select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate",
-                                                              "l_extendedprice", "l_quantity")
-    j = o.join(li, o["o_orderkey"] == li["l_orderkey"], "left")
-    return j.orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc(),
-                     *[F.col(c).asc_nulls_last() for c in ["l_shipdate", "l_partkey", "l_suppkey",
-                                                           "l_extendedprice", "l_quantity"]]) \
-        .limit(1000).select("o_orderkey", "o_orderdate", "l_partkey", "l_suppkey", "l_shipdate")
-
-
-@register("interval_extract", "K27: A7", """
-SELECT o_orderkey AS lecture_cycle_no, o_custkey AS lecture_vt_no, o_orderstatus AS cycle_state,
-       o_totalprice AS tutor_price, o_orderdate AS req_datetime
-FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1995-04-01 00:00:00' AND TIMESTAMP '1995-08-31 00:00:00'
-""")
-def q_interval_extract(spark, t):
-    """A dated extract with renamed columns (pushed-down range on the scan)."""
-    return t.orders.filter(F.col("o_orderdate").between(ts("1995-04-01 00:00:00"), ts("1995-08-31 00:00:00"))) \
-        .select(F.col("o_orderkey").alias("lecture_cycle_no"), F.col("o_custkey").alias("lecture_vt_no"),
-                F.col("o_orderstatus").alias("cycle_state"), F.col("o_totalprice").alias("tutor_price"),
-                F.col("o_orderdate").alias("req_datetime"))
-
-
-@register("bulk_reload", "K32", """
-SELECT c_custkey AS user_no, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment, n_name AS nation
-FROM customer JOIN nation ON n_nationkey = c_nationkey
-""")
-def q_bulk_reload(spark, t):
-    """Column-list extract with the insert's column mapping (renames), reloaded as a whole."""
-    c = t.customer
-    n = t.nation.select("n_nationkey", F.col("n_name").alias("nation"))
-    return c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(
-        F.col("c_custkey").alias("user_no"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"),
-        F.col("c_mktsegment").alias("segment"), "nation")
-
-
 @register("month_end_snapshot", "K28,B22,A2", """
 SELECT CAST(o_orderdate AS DATE) AS snapshot_date, o_orderstatus, COUNT(*) AS n_orders
 FROM orders WHERE CAST(o_orderdate AS DATE) = last_day(CAST(o_orderdate AS DATE))
