@@ -17,10 +17,10 @@ starting at or before it (a forward fill, split by chunk for hot keys). No
 interval is copied, however long it is.
 
 ``range_join`` matches points to intervals that may overlap, without forming
-all pairs of a key: intervals are spread over the calendar buckets they
-cover, points go to their own bucket, and the join key is (key, bucket).
-A hot key is split over its buckets and each point meets only the
-intervals that overlap its bucket. The bounds are then checked exactly.
+all pairs of a key: an interval goes to the one or two blocks, of the power of
+two days next to its length, that it touches; a point goes to its block of each
+length that occurs, and the join key is (key, length, block). A hot key is split
+over its blocks. The bounds are then checked exactly.
 """
 
 from __future__ import annotations
@@ -148,57 +148,71 @@ def with_next(df: DataFrame, key: str, order: Sequence, col: str, out: str,
     return df.withColumn(out, F.lead(col).over(w))
 
 
-def _bucket_seq(start: Column, end: Column, unit: str) -> Column:
-    step = F.expr(f"INTERVAL 1 {unit.upper()}")
-    s, e = F.date_trunc(unit, start), F.date_trunc(unit, end)
-    return F.when(start.isNotNull() & end.isNotNull() & (e >= s), F.sequence(s, e, step)) \
-        .otherwise(F.array().cast(f"array<{'timestamp_ntz'}>"))
+_DAY = "1970-01-01"
+
+
+def _day(c: Column) -> Column:
+    return F.datediff(c.cast("timestamp_ntz"), F.lit(_DAY).cast("timestamp_ntz"))
+
+
+def _covered(intervals: DataFrame, start: str, end: str, outer: bool = False) -> DataFrame:
+    """The intervals with the blocks (``_level``, ``_block``) of power-of-two days that cover them.
+
+    An interval of n days takes the level whose blocks have at least n days: it touches one or two of them, however long
+    it is. ``outer`` keeps intervals without a bound (or with bounds that cross) in a null block."""
+    first, last = _day(F.col(start)), _day(F.col(end))
+    level = F.ceil(F.log2((last - first + 1).cast("double"))).cast("int")
+    size = F.pow(F.lit(2.0), F.col("_level"))
+    iv = intervals.withColumn("_level", F.when(last >= first, level))
+    ends = F.array_distinct(F.array(F.floor(first / size).cast("bigint"), F.floor(last / size).cast("bigint")))
+    blocks = F.when(F.col("_level").isNotNull(), ends)
+    return iv.withColumn("_block", (F.explode_outer if outer else F.explode)(blocks))
+
+
+def _placed(iv: DataFrame, points: DataFrame, keys: Sequence[tuple[str, str]], point: str) -> DataFrame:
+    """The points with their block (``_plevel``, ``_pblock``) of every level that an interval of their key has."""
+    names = [f"_lk{i}" for i in range(len(keys))]
+    levels = iv.where("_level is not null").groupBy(*[F.col(a).alias(n) for (a, _), n in zip(keys, names)]) \
+        .agg(F.collect_set("_level").alias("_levels"))
+    pt = points.join(levels, [points[b] == levels[n] for (_, b), n in zip(keys, names)]).drop(*names)
+    pt = pt.withColumn("_plevel", F.explode("_levels")).drop("_levels")
+    return pt.withColumn("_pblock", F.floor(_day(F.col(point)) / F.pow(F.lit(2.0), F.col("_plevel"))).cast("bigint"))
 
 
 def range_join(intervals: DataFrame, points: DataFrame, keys: Sequence[tuple[str, str]],
-               start: str, end: str, point: str, unit: str = "month",
-               lower_inclusive: bool = True, upper_inclusive: bool = True) -> DataFrame:
-    """Inner join of points to the intervals of the same key that contain them.
+               start: str, end: str, point: str, lower_inclusive: bool = True, upper_inclusive: bool = True) -> DataFrame:
+    """Inner join of points to the intervals of the same key that contain them; intervals may overlap and last for years.
 
-    ``keys`` pairs (interval column, point column). ``end`` must be non-null
-    (open ends are closed by the caller, e.g. ``as_of + 1 month``).
-    Columns of both sides are kept; names must not collide.
+    ``keys`` pairs (interval column, point column). ``end`` must be non-null (open ends are closed by the caller, e.g.
+    ``as_of + 1 month``). Columns of both sides are kept; names must not collide. An interval is copied at most twice, a
+    point once for each length class (power of two days) among the intervals of its key, so copies grow with the
+    logarithm of the longest interval; a hot key is spread over its blocks. The bounds are then checked exactly.
     """
-    assert unit in _UNITS, unit
-    iv = intervals.withColumn("_bucket", F.explode(_bucket_seq(F.col(start).cast("timestamp_ntz"),
-                                                                F.col(end).cast("timestamp_ntz"), unit)))
-    pt = points.withColumn("_pbucket", F.date_trunc(unit, F.col(point).cast("timestamp_ntz")))
-    cond = [iv[a] == pt[b] for a, b in keys] + [iv["_bucket"] == pt["_pbucket"]]
+    iv = _covered(intervals, start, end)
+    pt = _placed(iv, points, keys, point)
+    cond = [iv[a] == pt[b] for a, b in keys] + [iv["_level"] == pt["_plevel"], iv["_block"] == pt["_pblock"]]
     lo = pt[point] >= iv[start] if lower_inclusive else pt[point] > iv[start]
     hi = pt[point] <= iv[end] if upper_inclusive else pt[point] < iv[end]
-    return iv.join(pt, cond + [lo, hi], "inner").drop("_bucket", "_pbucket")
+    return iv.join(pt, cond + [lo, hi], "inner").drop("_level", "_block", "_plevel", "_pblock")
 
 
 def interval_aggregate(intervals: DataFrame, points: DataFrame, keys: Sequence[tuple[str, str]],
-                       start: str, end: str, point: str, aggs: Sequence[Column], unit: str = "month",
-                       lower_inclusive: bool = True, upper_inclusive: bool = True,
-                       extra_cond: Column | None = None) -> DataFrame:
+                       start: str, end: str, point: str, aggs: Sequence[Column],
+                       lower_inclusive: bool = True, upper_inclusive: bool = True) -> DataFrame:
     """Every interval with aggregates over the points it contains (LEFT join semantics).
 
-    One pass: each bucket copy of an interval is left-joined to the points
-    of its (key, bucket) with the bounds in the ON clause, then rows are
-    grouped back per interval. A bucket without a match contributes a null
-    row, which aggregates ignore, so an interval without any point still
-    appears once (count = 0, other aggregates null). ``intervals`` is read
-    once and its rows must be distinct. ``end`` must be non-null.
+    Each block copy of an interval is left-joined to the points of its (key, block) with the bounds in the ON clause, then
+    rows are grouped back per interval. A block without a match contributes a null row, which aggregates ignore, so an
+    interval without any point still appears once (count = 0, other aggregates null). ``intervals`` must be distinct rows
+    and ``end`` non-null.
     """
-    assert unit in _UNITS, unit
     icols = intervals.columns
-    # explode_outer: an interval whose bounds give no bucket keeps one (null-bucket) row
-    iv = intervals.withColumn("_bucket", F.explode_outer(_bucket_seq(F.col(start).cast("timestamp_ntz"),
-                                                                      F.col(end).cast("timestamp_ntz"), unit)))
-    pt = points.withColumn("_pbucket", F.date_trunc(unit, F.col(point).cast("timestamp_ntz")))
-    cond = [iv[a] == pt[b] for a, b in keys] + [iv["_bucket"] == pt["_pbucket"]]
+    iv = _covered(intervals, start, end, outer=True)
+    pt = _placed(iv, points, keys, point)
+    cond = [iv[a] == pt[b] for a, b in keys] + [iv["_level"] == pt["_plevel"], iv["_block"] == pt["_pblock"]]
     lo = pt[point] >= iv[start] if lower_inclusive else pt[point] > iv[start]
     hi = pt[point] <= iv[end] if upper_inclusive else pt[point] < iv[end]
-    cond += [lo, hi] + ([extra_cond] if extra_cond is not None else [])
-    joined = iv.join(pt, cond, "left")
-    return joined.groupBy(*[iv[c] for c in icols]).agg(*aggs)
+    return iv.join(pt, cond + [lo, hi], "left").groupBy(*[iv[c] for c in icols]).agg(*aggs)
 
 
 def asof_join(intervals: DataFrame, points: DataFrame, keys: Sequence[tuple[str, str]],
@@ -244,8 +258,7 @@ def asof_join(intervals: DataFrame, points: DataFrame, keys: Sequence[tuple[str,
 
 
 def containing_join(intervals: DataFrame, points: DataFrame, keys: Sequence[tuple[str, str]],
-                    start: str, end: str, point: str, tie: Sequence[str], chunk_unit: str = "day",
-                    overlap_unit: str = "month") -> DataFrame:
+                    start: str, end: str, point: str, tie: Sequence[str], chunk_unit: str = "day") -> DataFrame:
     """Inner join of points to the closed intervals [start, end] of their key that contain them.
 
     For intervals that mostly tile: each usually ends at or before the key's next start.
@@ -253,7 +266,7 @@ def containing_join(intervals: DataFrame, points: DataFrame, keys: Sequence[tupl
     * Those take the as-of join, in which nothing is copied. A point on an instant where one interval ends
       and the next starts lies in both, so interval ends that equal the next start join the points by
       equality instead.
-    * An interval reaching beyond the next start takes the bucketed ``range_join``: only these are copied.
+    * An interval reaching beyond the next start takes ``range_join``: only these are copied, at most twice.
 
     ``start`` and ``end`` are timestamps, ``end`` non-null; (key, start, tie) identifies an interval.
     """
@@ -268,5 +281,5 @@ def containing_join(intervals: DataFrame, points: DataFrame, keys: Sequence[tupl
         .filter(~(touches & (F.col(point) == F.col(end)))).select(*out)
     edge = tiling.filter(touches)
     on_edge = edge.join(points, [edge[a] == points[b] for a, b in keys] + [edge[end] == points[point]]).select(*out)
-    over = range_join(iv.filter(beyond).select(*icols), points, keys, start, end, point, unit=overlap_unit).select(*out)
+    over = range_join(iv.filter(beyond).select(*icols), points, keys, start, end, point).select(*out)
     return main.unionByName(on_edge).unionByName(over)

@@ -11,12 +11,15 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from episodic.operators.buckets import BucketTable
 from episodic.operators.incremental import carried_cumsum, high_water_mark, latest_per_key
 from episodic.operators.intervals import episodes_with_points
 from episodic.operators.sinks import materialize
 from episodic.operators.windows import running_total
 from episodic.plans.registry import AS_OF_EVENTS, register, ts
+from episodic.session import scratch_path
 
 ACTIVE_FROM = "2024-01-05 00:00:00"
 
@@ -219,3 +222,100 @@ FROM delta
 def q_carried_base(spark, t):
     """Only the new rows: group max of the stored cumulative (null -> 0) plus running sum."""
     return _carried_out(_carried(t)[1])
+
+
+# ---------------------------------------------------------------- K3 voice data
+
+ROOMS = ("1-URGENT", "2-HIGH", "3-MEDIUM")
+VOICE = ("group_lecture_vt_no string, lecture_vt_no bigint, time_stamp timestamp_ntz, schedule_no bigint, room_id string, "
+         "tutoring_datetime timestamp_ntz, per_done_month decimal(18,3), student_tokens bigint, sum_done_month decimal(28,3)")
+VOICE_RUNS = ("1998-01-01 00:00:00", "2000-01-01 00:00:00", "2000-01-01 00:00:00")
+
+
+def voice_run(t, table: BucketTable, visible_to: str, version: int, default: str = "1992-01-01 00:00:00") -> bool:
+    """One run of the voice table over the rows that exist by ``visible_to``; False, and nothing written, without news.
+
+    * rooms of the analysis join the cycles updated since the table's watermark (inclusive) on their trimmed id;
+    * sessions are semi-joined to these cycles, pause forms since the watermark to their lectures;
+    * sessions and pauses are numbered by the pauses of this run (a pause belongs to the episode it closes);
+    * done months accumulate per episode from the stored maximum on; of each session the newest row stays, pauses have no
+      session and go.
+    """
+    hwm = high_water_mark(table.read(), "time_stamp", default=default)
+    since = F.lit(hwm).cast("timestamp_ntz")
+    o = t.orders.filter(F.col("o_orderdate") < ts(visible_to))
+    voice = o.filter(F.col("o_orderpriority").isin(*ROOMS)).select(
+        F.concat(F.lit("r-"), F.col("o_orderkey").cast("string"), F.lit(" ")).alias("room"),
+        F.floor("o_totalprice").alias("student_tokens")).select(F.trim("room").alias("room_id"), "student_tokens")
+    lvc = o.filter(F.col("o_orderdate") >= since).select(
+        F.col("o_orderkey").alias("cycle_no"), F.col("o_custkey").alias("lecture_vt_no"),
+        F.concat(F.lit(" r-"), F.col("o_orderkey").cast("string")).alias("room"))
+    # the cycles of this run are few beside all sessions, and three joins read them
+    lvc = materialize(lvc.withColumn("room_id", F.trim("room")).drop("room").join(voice, "room_id"), "voice_cycles")
+    sessions = t.lineitem.select(
+        F.col("l_orderkey").alias("cycle_no"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("schedule_no"),
+        F.col("l_shipdate").alias("tutoring_datetime"), (F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")).alias("time_stamp"),
+        F.round((F.col("l_quantity") / 30.0).cast("decimal(38,10)"), 3).cast("decimal(18,3)").alias("per_done_month"))
+    lvcs = sessions.join(lvc.select("cycle_no"), "cycle_no", "left_semi").join(lvc, "cycle_no").withColumn("done", F.lit(0))
+    pauses = o.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderdate") >= since)).select(
+        F.col("o_custkey").alias("lecture_vt_no"), F.col("o_orderdate").alias("time_stamp"), F.lit(1).alias("done")) \
+        .join(lvc.select("lecture_vt_no"), "lecture_vt_no", "left_semi")
+    both = materialize(lvcs.drop("cycle_no").unionByName(pauses, allowMissingColumns=True), "voice_delta")
+    if both.isEmpty():
+        return False
+    year = F.date_trunc("year", "time_stamp")
+    n = running_total(both, ["lecture_vt_no"], ["time_stamp"], F.col("done"), "_stops", chunk=year)
+    n = n.withColumn("seq", F.col("_stops") + 1 - F.col("done")).withColumn("per_done_month", F.coalesce("per_done_month", F.lit(0).cast("decimal(18,3)")))
+    n = n.withColumn("group_lecture_vt_no", F.concat_ws("_", F.col("lecture_vt_no").cast("string"), F.col("seq").cast("string")))
+    fresh = carried_cumsum(table.read(), n, "group_lecture_vt_no", ["time_stamp", "schedule_no", "per_done_month"], "per_done_month",
+                           "sum_done_month", chunk=year)
+
+    def newest(stored, new):
+        tagged = stored.withColumn("_batch", F.lit(0)).unionByName(new.withColumn("_batch", F.lit(1)))
+        return latest_per_key(tagged, ["schedule_no"], [F.col(c).desc_nulls_last() for c in (
+            "time_stamp", "_batch", "sum_done_month", "tutoring_datetime", "student_tokens", "group_lecture_vt_no")]).drop("_batch")
+
+    table.merge(fresh.filter(F.col("schedule_no").isNotNull()), version, newest)
+    return True
+
+
+def _voice_sql() -> str:
+    def run(i: int, hwm: str, to: str, base: str) -> str:
+        return f"""
+lvc{i} AS (SELECT o_orderkey, o_custkey, CAST(floor(o_totalprice) AS BIGINT) AS tokens FROM orders
+  WHERE o_orderdate >= {hwm} AND o_orderdate < TIMESTAMP '{to}' AND o_orderpriority IN {ROOMS}),
+list{i} AS (
+  SELECT c.o_custkey AS lecture_vt_no, l.l_orderkey * 8 + l.l_linenumber AS schedule_no, 'r-' || CAST(l.l_orderkey AS VARCHAR) AS room_id,
+    l.l_shipdate AS tutoring_datetime, l.l_shipdate + INTERVAL 1 DAY AS time_stamp,
+    CAST(ROUND(CAST(l.l_quantity / 30.0 AS DECIMAL(38,10)), 3) AS DECIMAL(18,3)) AS per_done_month, c.tokens AS student_tokens, 0 AS done
+  FROM lineitem l JOIN lvc{i} c ON c.o_orderkey = l.l_orderkey
+  UNION ALL
+  SELECT o_custkey, NULL, NULL, NULL, o_orderdate, NULL, NULL, 1 FROM orders
+  WHERE o_orderstatus = 'P' AND o_orderdate >= {hwm} AND o_orderdate < TIMESTAMP '{to}' AND o_custkey IN (SELECT o_custkey FROM lvc{i})),
+numbered{i} AS (
+  SELECT * REPLACE (COALESCE(per_done_month, 0) AS per_done_month), CAST(lecture_vt_no AS VARCHAR) || '_' || CAST(
+    SUM(done) OVER (PARTITION BY lecture_vt_no ORDER BY time_stamp) + 1 - done AS VARCHAR) AS group_lecture_vt_no FROM list{i}),
+summed{i} AS (
+  SELECT n.*, SUM(n.per_done_month) OVER (PARTITION BY n.group_lecture_vt_no ORDER BY n.time_stamp, n.schedule_no NULLS FIRST, n.per_done_month)
+    + COALESCE(b.base, 0) AS sum_done_month, {i} AS batch
+  FROM numbered{i} n LEFT JOIN ({base}) b ON b.group_lecture_vt_no = n.group_lecture_vt_no),
+stored{i} AS (
+  SELECT * FROM ({'' if i == 1 else f'SELECT * REPLACE (0 AS batch) FROM stored{i - 1} UNION ALL '}SELECT * FROM summed{i}) WHERE schedule_no IS NOT NULL
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY schedule_no ORDER BY time_stamp DESC, batch DESC, sum_done_month DESC, tutoring_datetime DESC,
+    student_tokens DESC, group_lecture_vt_no DESC) = 1)"""
+    first = run(1, "TIMESTAMP '1992-01-01 00:00:00'", VOICE_RUNS[0], "SELECT '' AS group_lecture_vt_no, 0 AS base")
+    second = run(2, "(SELECT MAX(time_stamp) FROM stored1)", VOICE_RUNS[1],
+                 "SELECT group_lecture_vt_no, MAX(sum_done_month) AS base FROM stored1 GROUP BY 1")
+    return f"WITH {first},{second}" + """
+SELECT group_lecture_vt_no, lecture_vt_no, time_stamp, schedule_no, room_id, tutoring_datetime, CAST(per_done_month AS DOUBLE) AS per_done_month,
+  student_tokens, CAST(sum_done_month AS DOUBLE) AS sum_done_month
+FROM stored2"""
+
+
+@register("voice_data", "K3: D23,D14,H4,F7,A5,G2,G1,E11,F13", _voice_sql())
+def q_voice_data(spark, t):
+    """The voice table after three runs; the third finds no news and leaves the version of the second."""
+    table = BucketTable(spark, scratch_path(spark, "voice_data"), StructType.fromDDL(VOICE), ("schedule_no",), 8)
+    for version, to in enumerate(VOICE_RUNS):
+        voice_run(t, table, to, version)
+    return table.read().withColumns({c: F.col(c).cast("double") for c in ("per_done_month", "sum_done_month")})

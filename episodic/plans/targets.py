@@ -348,7 +348,7 @@ def q_bulk_reload(spark, t):
     """Delete and reload: the target held the rows of another extract, none of which stays."""
     m = MAPPINGS["lecture_video_tutoring"]
     table = m.table(spark, scratch_path(spark, m.target), 8)
-    old = Mapping(m.target, m.key, m.columns, "o_orderdate < TIMESTAMP_NTZ '1993-01-01 00:00:00'")
+    old = Mapping(m.target, m.key, m.columns, "o_orderdate < TIMESTAMP_NTZ '1996-01-01 00:00:00'")
     insert(table, old, t.orders, 0)
     reload(table, m, t.orders, 1)
     return table.read()
@@ -362,14 +362,14 @@ _SUGGESTION_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice",
 @register("suggestion_extract", "K31: D3,H2", """
 SELECT o.o_orderkey, o.o_orderdate, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate
 FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
-WHERE o.o_orderdate > TIMESTAMP '1994-01-01 00:00:00'
+WHERE o.o_orderdate > TIMESTAMP '1996-06-01 00:00:00'
 ORDER BY o.o_orderdate DESC, o.o_orderkey DESC, l.l_shipdate ASC NULLS LAST, l.l_partkey ASC NULLS LAST,
          l.l_suppkey ASC NULLS LAST, l.l_extendedprice ASC NULLS LAST, l.l_quantity ASC NULLS LAST, l.l_linenumber ASC NULLS LAST
 LIMIT 1000
 """)
 def q_suggestion_extract(spark, t):
     """Recent matchings with all their suggestions (left join), the newest 1,000 rows with a complete tie-break."""
-    o = t.orders.select("o_orderkey", "o_orderdate").filter(F.col("o_orderdate") > ts("1994-01-01 00:00:00"))
+    o = t.orders.select("o_orderkey", "o_orderdate").filter(F.col("o_orderdate") > ts("1996-06-01 00:00:00"))
     li = t.lineitem.select("l_orderkey", *_SUGGESTION_ORDER)
     j = top_k_left_join(o, li, F.col("o_orderkey") == F.col("l_orderkey"), "o_orderkey", "l_orderkey",
                         [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()],
@@ -401,7 +401,7 @@ MATCHING = ("matching_id bigint, mlvt_status string, lecture_vt_no bigint, stude
 WITH d AS (
   SELECT o_orderkey AS matching_id, o_orderstatus AS mlvt_status, o_orderkey % 7 <> 0 AS has, o_custkey, c_name, o_orderpriority,
          c_mktsegment, o_orderkey, o_orderdate AS mlvt_created_at
-  FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderdate > TIMESTAMP '1994-01-01 00:00:00')
+  FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderdate > TIMESTAMP '1996-06-01 00:00:00')
 SELECT matching_id, mlvt_status, CASE WHEN has THEN o_orderkey END AS lecture_vt_no, CASE WHEN has THEN o_custkey END AS student_id,
   CASE WHEN has THEN c_name END AS student_name, CASE WHEN has THEN o_orderpriority END AS student_grade,
   CAST(NULL AS BIGINT) AS second_lecture, CAST(o_custkey % 5 AS INTEGER) AS manager_no, '{"subject":"' || c_mktsegment || '"}' AS option,
@@ -427,7 +427,7 @@ def q_matching_extract(spark, t):
                  get("$.lectures[1].id", "bigint").alias("second_lecture"), get("$.manager[0]", "int").alias("manager_no"),
                  F.to_json(get("$.option", "variant")).alias("option"),
                  get("$.createdat", "string").try_cast("timestamp_ntz").alias("mlvt_created_at"))
-    m = m.filter(F.col("mlvt_created_at") > ts("1994-01-01 00:00:00"))
+    m = m.filter(F.col("mlvt_created_at") > ts("1996-06-01 00:00:00"))
     li = t.lineitem.select("l_orderkey", *_SUGGESTION_ORDER)
     j = top_k_left_join(m, li, F.col("matching_id") == F.col("l_orderkey"), "matching_id", "l_orderkey",
                         [F.col("mlvt_created_at").desc(), F.col("matching_id").desc()],

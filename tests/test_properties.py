@@ -2,13 +2,15 @@
 
 import random
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from episodic.operators.intervals import (asof_join, containing_join, episodes_with_points, interval_aggregate, range_join,
+from episodic.operators.intervals import (_covered, _placed, asof_join, containing_join, episodes_with_points, interval_aggregate, range_join,
                                            with_next)
+from episodic.operators.resets import Batch, Log
 from episodic.operators.windows import filled, running_total
 
 BASE = datetime(2024, 1, 1)
@@ -48,15 +50,34 @@ def test_range_join_and_interval_aggregate_equal_brute_force(spark):
     iv = spark.createDataFrame(ivs, "iid long, ik long, s timestamp_ntz, e timestamp_ntz")
     pt = spark.createDataFrame(pts, "pid long, pk long, p timestamp_ntz")
     want = sorted((i, j) for i, k, s, e in ivs for j, pk, p in pts if k == pk and s <= p <= e)
-    for unit in ("day", "week", "month"):
-        got = range_join(iv, pt, [("ik", "pk")], "s", "e", "p", unit=unit)
+    assert rows(range_join(iv, pt, [("ik", "pk")], "s", "e", "p"), "iid", "pid") == want
+    agg = interval_aggregate(iv, pt, [("ik", "pk")], "s", "e", "p", aggs=[F.count("pid").alias("n")])
+    counts = {}
+    for i, _ in want:
+        counts[i] = counts.get(i, 0) + 1
+    assert rows(agg, "iid", "n") == sorted((i, counts.get(i, 0)) for i, *_ in ivs)
+
+
+def test_range_join_copies_grow_with_the_logarithm_of_the_length(spark):
+    rnd = random.Random(9)
+    ivs = []
+    for i in range(120):                                      # overlaps from hours to years, one hot key, bounds on day edges
+        s = BASE + timedelta(days=rnd.randint(-400, 400), hours=rnd.choice([0, 0, 7]))
+        ivs.append((i, 0 if i % 3 else rnd.randint(1, 3), s, s + timedelta(days=rnd.choice([0, 1, 2, 7, 31, 365, 3650]), hours=rnd.choice([0, 5]))))
+    ivs += [(900, 1, None, BASE), (901, 1, BASE, None), (902, None, BASE, BASE + timedelta(days=9))]
+    pts = [(j, 0 if j % 3 else rnd.choice([1, 2, 3, None]), BASE + timedelta(days=rnd.randint(-500, 4200), hours=rnd.choice([0, 7, 12])))
+           for j in range(600)] + [(900, 1, None)]
+    iv = spark.createDataFrame(ivs, "iid long, ik long, s timestamp_ntz, e timestamp_ntz")
+    pt = spark.createDataFrame(pts, "pid long, pk long, p timestamp_ntz")
+    for lo, hi in ((True, True), (False, False)):
+        want = sorted((i, j) for i, k, s, e in ivs for j, pk, p in pts if None not in (k, s, e, p) and k == pk
+                      and (s <= p if lo else s < p) and (p <= e if hi else p < e))
+        got = range_join(iv, pt, [("ik", "pk")], "s", "e", "p", lower_inclusive=lo, upper_inclusive=hi)
         assert rows(got, "iid", "pid") == want
-        agg = interval_aggregate(iv, pt, [("ik", "pk")], "s", "e", "p", unit=unit,
-                                 aggs=[F.count("pid").alias("n")])
-        counts = {}
-        for i, _ in want:
-            counts[i] = counts.get(i, 0) + 1
-        assert rows(agg, "iid", "n") == sorted((i, counts.get(i, 0)) for i, *_ in ivs)
+    copies = _covered(iv, "s", "e")
+    assert copies.groupBy("iid").count().agg(F.max("count")).first()[0] <= 2
+    # a point is copied once for each length class of its key, of which ten years have at most thirteen
+    assert _placed(copies, pt, [("ik", "pk")], "p").groupBy("pid").count().agg(F.max("count")).first()[0] <= 13
 
 
 def test_row_numbers_and_shifts_chunked_equal_window(spark):
@@ -97,14 +118,13 @@ def test_asof_join_equals_range_join_on_tiling_intervals(spark):
             .withColumn("iend", F.coalesce("inext", F.lit("2024-03-01").cast("timestamp_ntz")))
         p = spark.createDataFrame(pts, "pid long, pk long, pat timestamp_ntz")
         half_open = F.col("inext").isNull() | (F.col("pat") < F.col("inext"))
-        want = rows(range_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", unit="day").filter(half_open),
+        want = rows(range_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat").filter(half_open),
                     "pid", "iid")
         for unit in ("day", "month"):
             got = asof_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", tie=["iid"], chunk_unit=unit)
             assert want == rows(got.filter(half_open), "pid", "iid")
         strict = asof_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", tie=["iid"], lower_inclusive=False)
-        want_strict = rows(range_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", unit="day",
-                                      lower_inclusive=False).filter(half_open), "pid", "iid")
+        want_strict = rows(range_join(ivs, p, [("ik", "pk")], "istart", "iend", "pat", lower_inclusive=False).filter(half_open), "pid", "iid")
         assert want_strict == rows(strict.filter(half_open), "pid", "iid")
 
 
@@ -210,3 +230,49 @@ def test_episodes_with_points_equal_brute_force(spark):
         want = {k: v for k, v in _plain_episodes(data, horizon).items() if v[2] is not None or v[0] is not None}
         assert {(r["k"], r["seq"]): (r["active_timestamp"], r["done_timestamp"], r["marker_updated_at"], r["starts"], r["n"], r["total"],
                                      r["earliest"]) for r in got} == want
+
+
+def _plain_sums(data):
+    """Sums after every session of (lecture, teacher, ts, kind, id, v), one row after the other."""
+    after, sums, marks = {}, {}, {}
+    for lecture, teacher, t, kind, i, v in sorted(data, key=lambda r: (r[2], r[3], r[4])):
+        if kind == 2:
+            mark = marks.get(lecture)
+            a, b = sums.get((lecture, teacher), (0, 0))
+            inside = mark is not None and (mark[0] == 1 or mark[1] == t)
+            sums[lecture, teacher] = (a + (v if inside else 0), b + v)
+            after[i] = sums[lecture, teacher]
+        else:
+            if kind == 1 and (lecture not in marks or marks[lecture][0] == 0):
+                sums.update({k: (0, b) for k, (_, b) in sums.items() if k[0] == lecture})
+            marks[lecture] = (kind, t)
+    return after, sums
+
+
+def test_sums_that_restart_equal_a_plain_loop_in_any_batches(spark):
+    rng = random.Random(21)
+    t0 = datetime(2024, 1, 1)
+    for trial in range(2):
+        data = []
+        for i in range(300):
+            kind = rng.choices([0, 1, 2], [1, 1, 6])[0]
+            data.append((rng.choice([1, 1, 1, 2, 3, 4]), rng.choice([7, 8, None]) if kind == 2 else None,
+                         t0 + timedelta(hours=4 * rng.randrange(0, (40, 200)[trial])), kind, i, rng.randrange(1, 50) if kind == 2 else None))
+        after, sums = _plain_sums(data)
+        schema = "l long, p long, t timestamp_ntz, kind int, id long, v decimal(18,2)"
+
+        def log(rows):
+            return Log(spark.createDataFrame([(*r[:5], None if r[5] is None else Decimal(r[5])) for r in rows], schema), "l", "p", "t", "kind", "id", "v")
+        got = {r["id"]: (r["active_done"], r["total_done"]) for r in Batch(log(data)).running().collect()}
+        assert got == after
+        # the same in three batches, each continued from the state of the one before
+        cuts = sorted(t0 + timedelta(hours=4 * rng.randrange(0, 300)) for _ in range(2))
+        parts = [[r for r in data if r[2] < cuts[0]], [r for r in data if cuts[0] <= r[2] < cuts[1]], [r for r in data if r[2] >= cuts[1]]]
+        state, seen = None, {}
+        for part in parts:
+            batch = Batch(log(part), state)
+            seen.update({r["id"]: (r["active_done"], r["total_done"]) for r in batch.running().collect()})
+            state = batch.advance()
+            state = type(state)(*(spark.createDataFrame(d.collect(), d.schema) for d in (state.lectures, state.sums)))
+        assert seen == after
+        assert {(r["l"], r["p"]): (r["active"], r["total"]) for r in state.sums.collect()} == sums
