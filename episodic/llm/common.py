@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +47,28 @@ def slices(batch, column: str, limit: int = 4 << 20, overhead: int = 64):
         yield batch.slice(start)
 
 
+def give_back() -> None:
+    """Returns memory that a finished task leaves behind in its worker, which lives on for other tasks and stages."""
+    _POW.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):        # not a glibc
+        pass
+
+
+def released(fn):
+    """A ``mapInArrow`` function after whose end the worker's memory is given back."""
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 _U = np.uint64
 
 

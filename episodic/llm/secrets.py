@@ -2,7 +2,7 @@
 
 * Base spans: three patterns (fixed values of the contract) over the whole text.
 * Grammar inference: the values of the base spans are labelled credentials. At
-  most ``MAX_TRAIN`` distinct values per kind, chosen by hash, build a prefix
+  most ``MAX_TRAIN`` distinct values per kind (of up to ``MAX_VALUE`` signs), chosen by hash, build a prefix
   tree over character classes; states whose stop and next-class frequencies are
   statistically compatible (Hoeffding bound, recursively) are merged in
   red-blue order, which gives one probabilistic automaton per kind. A further
@@ -35,9 +35,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from episodic.llm.common import released, slices
+
 # The contract's patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -50,6 +55,7 @@ LONG = 16
 TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % MIN_TOKEN)
 PARTS = frozenset("/.=+_-")
 MAX_TRAIN = 400
+MAX_VALUE = 4096           # signs of a value that trains
 STRIDE = 64                # signs between two places where the starts of a long run are looked over
 ALPHA = 0.05
 MARGIN = 10.0
@@ -320,35 +326,73 @@ class Model:
         return sorted(found + more)
 
 
-def infer(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model:
-    """Automata from the labelled credentials of ``docs(text)``; at most ``max_train`` values per kind reach the driver."""
+def values(text: str) -> set[tuple[int, str]]:
+    """(kind, value) a text has to train with: its credentials, and its other tokens (kind 3: long, 4: short)."""
+    spans = base_spans(text)
+    out = {(kind, ASSIGN.match(text, a).group(2) if kind == 0 else text[a:e]) for a, kind, e in spans}
+    for m in TOKEN.finditer(text):
+        if not any(a < m.end() and e > m.start() for a, _, e in spans):
+            out.add((3 if m.end() - m.start() >= LONG else 4, m.group()))
+    return out
 
-    @F.pandas_udf("array<struct<kind:int,value:string>>")
-    def found(s: pd.Series) -> pd.Series:
-        out = []
-        told: set[tuple[int, str]] = set()            # each value once a batch
-        for text in s:
-            rows = set()
-            if text:
-                spans = base_spans(text)
-                for a, kind, e in spans:
-                    value = ASSIGN.match(text, a).group(2) if kind == 0 else text[a:e]
-                    rows.add((kind, value[:4096]))
-                if not spans:
-                    rows.update((3 if len(v) >= LONG else 4, v[:4096]) for v in TOKEN.findall(text))
-                for m in TOKEN.finditer(text) if spans else ():
-                    if not any(a < m.end() and e > m.start() for a, _, e in spans):
-                        rows.add((3 if m.end() - m.start() >= LONG else 4, m.group()[:4096]))
-            rows -= told
-            told |= rows
-            out.append(list(rows))
-        return pd.Series(out)
-
-    values = docs.select(F.explode(found(F.col("text"))).alias("f")).select("f.kind", "f.value")
+
+class Smallest:
+    """The ``n`` values of smallest hash of each kind, whatever order and however often they come."""
+
+    def __init__(self, n: int):
+        self.n, self.held, self.bound = n, [{} for _ in range(5)], [None] * 5
+
+    def add(self, kind: int, value: str) -> None:
+        held = self.held[kind]
+        if value in held:
+            return
+        # the signed 64-bit hash of Spark's xxhash64
+        h = xxhash.xxh64_intdigest(value.encode("utf-8", "surrogatepass"), 42)
+        key = (h - (1 << 64) if h >> 63 else h, value)
+        if self.bound[kind] is not None and key > self.bound[kind]:
+            return
+        held[value] = key
+        if len(held) >= 2 * self.n:
+            self.cut(kind)
+
+    def cut(self, kind: int) -> None:
+        keep = sorted(self.held[kind].values())[:self.n]
+        self.held[kind] = {v: (h, v) for h, v in keep}
+        if len(keep) == self.n:
+            self.bound[kind] = keep[-1]
+
+    def rows(self) -> list[tuple[int, str, int]]:
+        for kind in range(5):
+            self.cut(kind)
+        return [(kind, v, h) for kind, held in enumerate(self.held) for v, (h, _) in held.items()]
+
+
+def infer(docs: DataFrame, max_train: int = MAX_TRAIN, longest: int = MAX_VALUE) -> Model:
+    """Automata from the labelled credentials of ``docs(text)``; at most ``max_train`` values per kind reach the driver.
+
+    The values of smallest hash train. Each task keeps that many of each kind, so a task sends a bounded number of rows
+    whatever it reads; values of more than ``longest`` signs do not train (they are scored like any other)."""
+
+    def found(batches):
+        least = Smallest(max_train)
+        for batch in batches:
+            for text in batch.column("text"):
+                text = text.as_py()
+                if text:
+                    for kind, value in values(text):
+                        if len(value) <= longest:
+                            least.add(kind, value)
+        rows = least.rows()
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.string(), pa.int64()))],
+                                         ["kind", "value", "h"])
+
+    rows = docs.select("text").mapInArrow(released(found), "kind int, value string, h long").distinct()
+    # first within shares of the hashes, then over what these leave: no task holds all rows of a kind
+    for part in (["kind", F.pmod("h", F.lit(256))], ["kind"]):
+        rank = F.row_number().over(Window.partitionBy(*part).orderBy("h", "value"))
+        rows = rows.withColumn("r", rank).where(F.col("r") <= max_train).drop("r")
     per_kind: list[list[str]] = [[], [], [], [], []]
-    from pyspark.sql import Window
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
-    for r in (values.distinct().withColumn("r", rank).where(F.col("r") <= max_train).orderBy("kind", "r").collect()):
+    for r in rows.orderBy("kind", "h", "value").collect():
         per_kind[r["kind"]].append(r["value"])
     kinds = []
     for vs in per_kind[:3]:
@@ -401,13 +445,19 @@ def without_secrets(docs: DataFrame) -> DataFrame:
     """Pipeline stage: secrets are blotted out of every text (``n_chars`` follows); no document is dropped, columns unchanged."""
     model = infer(docs.select("text"))
 
-    @F.pandas_udf("string")
-    def clean(s: pd.Series) -> pd.Series:
-        return pd.Series([redact(model, t) for t in s], dtype=object)
-
-    out = docs.withColumn("__clean", clean(docs["text"]))
-    new = {"text": F.col("__clean")}
-    if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        new["n_chars"] = F.when(F.col("__clean") == docs["text"], docs["n_chars"]).otherwise(F.length("__clean").cast(kind))
-    return out.select(*[new.get(c, docs[c]).alias(c) for c in docs.columns])
+    def clean(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                old = part.column("text").to_pylist()
+                new = [redact(model, t) for t in old]
+                at = part.schema.get_field_index("text")
+                part = part.set_column(at, part.schema.field(at), pa.array(new, part.schema.field(at).type))
+                at = part.schema.get_field_index("n_chars")
+                if at >= 0:
+                    kind = part.schema.field(at)
+                    size = pa.array([len(b) if a != b else None for a, b in zip(old, new)], pa.int64()).cast(kind.type)
+                    part = part.set_column(at, kind, pc.coalesce(size, part.column(at)))
+                yield part
+
+    # whole rows pass through: no column of the caller's is added, renamed or dropped
+    return docs.mapInArrow(released(clean), docs.schema)

@@ -115,3 +115,30 @@ def test_edge_cases_and_redaction(spark):
     got = {r["doc_id"]: r for r in clean.collect()}
     assert got[50]["text"] == "x [secret]\" y" and got[50]["n_chars"] == len(got[50]["text"])
     assert got[1]["text"] == rows[0][1] and got[2]["text"] is None and got[51]["n_chars"] is None
+
+
+def test_training_values_are_the_smallest_hashes_however_the_rows_lie(spark):
+    import xxhash
+    rows = [(i, f"password = p{i:05}x{i * 7919 % 1000} and word{i % 50}s some longer-token-number-{i % 333}", "en", "a", 1) for i in range(3000)]
+    rows += [(9000, "secret=" + "q" * 5000, "en", "a", 1)]
+    told = set()
+    for r in rows:
+        told |= secrets.values(r[1])
+
+    def key(v):
+        h = xxhash.xxh64_intdigest(v.encode(), 42)
+        return (h - (1 << 64) if h >> 63 else h, v)
+    want = [sorted((v for k, v in told if k == kind and len(v) <= 4096), key=key)[:40] for kind in range(5)]
+    kept = secrets.Smallest(40)
+    for k, v in sorted(told):
+        if len(v) <= 4096:
+            kept.add(k, v)
+    assert [sorted(((v) for k, v, _ in kept.rows() if k == kind), key=key) for kind in range(5)] == want
+    got = []
+    original = secrets.Automaton
+    try:
+        secrets.Automaton = lambda values, *a: got.append(list(values)) or original(values, *a)
+        secrets.infer(frame(spark, rows).repartition(7).select("text"), 40)
+    finally:
+        secrets.Automaton = original
+    assert got == [[v for i, v in enumerate(want[0]) if i % 5], *want[3:]]
