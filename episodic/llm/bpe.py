@@ -31,10 +31,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from episodic.llm.common import released, slices
+
 VOCAB = "word_bpe_49k.json"
 CACHE = 150_000
 GROUP = 4 << 20          # characters of text encoded together
@@ -352,21 +355,19 @@ def decode(ids: Column, path: str | None = None) -> Column:
     return text(ids)
 
 
-def digests(text: Column, path: str | None = None) -> Column:
-    """struct(n_tokens, ids_sha256, decoded_sha256) of each text."""
+def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document; a worker holds the tokens of ``GROUP`` signs at once."""
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches):
         t = tokenizer(path)
-        for s in batches:
-            out = [(len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back.encode()).hexdigest())
-                   for ids, back in t.encode_many(s)]
-            yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        for batch in batches:
+            for part in slices(batch, "text", GROUP):
+                out = [(len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back.encode()).hexdigest())
+                       for ids, back in t.encode_many(part.column("text").to_pylist())]
+                n, ids, back = zip(*out)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(back)],
+                                                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         t.forget()
 
-    return run(text)
-
-
-def encode_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    return docs.select("doc_id", digests(F.col("text")).alias("t")).select("doc_id", "t.*")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(released(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -23,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episodic.llm.common import crc_of_id
+from episodic.llm.common import crc_of_id, released, slices
 
 DIMS = 1 << 15
 SLICE = 1 << 19          # characters handled at once; a longer text is summed slice by slice
@@ -207,14 +208,6 @@ def predict(model: Model, text: Column) -> Column:
     return label(text)
 
 
-def _lettered(text: Column) -> Column:
-    @F.pandas_udf("boolean")
-    def some(s: pd.Series) -> pd.Series:
-        return pd.Series([gram_counts(t) is not None for t in s], dtype=bool)
-
-    return some(text)
-
-
 def held_out(c: str = "doc_id") -> Column:
     return crc_of_id(c) % 3 == 1
 
@@ -233,9 +226,17 @@ def keep_known_languages(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     Where nothing was learned no language can be told, and every document with a letter stays.
     """
     model = fit(docs.select("doc_id", "text", "lang").where(~held_out()))
-    if not model.langs:
-        return docs.where(_lettered(docs["text"]))
-    p = predict(model, docs["text"])
-    tmp = "__langid"
-    return (docs.withColumn(tmp, p).where((F.col(f"{tmp}.lang") != "und") & (F.col(f"{tmp}.score") >= min_score))
-            .drop(tmp))
+
+    def stays(text: str | None) -> bool:
+        if not model.langs:
+            return gram_counts(text) is not None
+        lang, score = model.one(text)
+        return lang != "und" and score >= min_score
+
+    def keep(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                yield part.filter(pa.array([stays(t.as_py()) for t in part.column("text")], pa.bool_()))
+
+    # whole rows pass through: no column of the caller's is added, renamed or dropped
+    return docs.mapInArrow(released(keep), docs.schema)

@@ -23,17 +23,22 @@ bucket is capped, and near copies of one text never become all pairs.
 Edge cases: a null text and a text without words are alone in their class;
 repeated rows share a class; a null id takes no part in a link (its row is
 returned with a null class); an empty table gives an empty result. An id is
-taken to name one text.
+taken to name one text: where several texts have it, the signature of the least
+fingerprint proposes its links and the least text decides them. A text of any
+length is held whole by the tasks that sign and compare it. No column but the id
+and the text is read, so other names cannot clash.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from episodic.llm.common import components, mix64, slices, word_hashes
+from episodic.llm.common import components, mix64, released, slices, word_hashes
 from episodic.operators.sinks import materialize
 
 SHINGLE = 5
@@ -42,6 +47,7 @@ BANDS, ROWS = 24, 6
 REGISTERS = BANDS * ROWS
 SLACK = 0.16             # a signature estimate this far below the threshold (over 4 standard errors) rules a pair out
 BLOCK = 512              # members of a bucket on each side of a comparison
+BLOCK_BYTES = 8 << 20    # and their texts, about
 BITS = 1 << 24           # of the map that thins out texts before they are shuffled: 2 MB at any size of input
 _U = np.uint64
 
@@ -135,7 +141,8 @@ def _sign(batches):
             short = (sig & _U(0xFF)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array(prints, pa.binary()), pa.array(some), lists,
-                 pa.array([x.tobytes() for x in short], pa.binary())], ["id", "fp", "some", "bands", "sig"])
+                 pa.array([x.tobytes() for x in short], pa.binary()),
+                 pc.fill_null(pc.binary_length(part.column("text")), 0).cast(pa.int64())], ["id", "fp", "some", "bands", "sig", "size"])
 
 
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -266,19 +273,19 @@ def _thinned(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, class_id) of every row: class_id is the smallest id of its class of near duplicates."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = materialize(rows.mapInArrow(_sign, "id long, fp binary, some boolean, bands array<long>, sig binary"), "bagminhash")
+    signed = materialize(rows.mapInArrow(released(_sign), "id long, fp binary, some boolean, bands array<long>, sig binary, size long"), "bagminhash")
     heads = signed.where("some and id is not null").groupBy("fp").agg(F.min("id").alias("rep"))
     member = signed.select("id", "fp", "some").join(heads, "fp", "left").select(
         "id", F.when(F.col("some"), F.col("rep")).otherwise(F.col("id")).alias("rep"))
-    # one row per distinct text (dropDuplicates: an id may come on several equal rows)
+    # one row per distinct text; an id may come on several rows, and where their texts differ the least fingerprint stands for it
     distinct = (signed.where("some").join(heads.withColumnRenamed("rep", "id"), ["fp", "id"])
-                .select("id", "bands", "sig").dropDuplicates(["id"]))
+                .groupBy("id").agg(F.min(F.struct("fp", "bands", "sig", "size")).alias("s")).select("id", "s.bands", "s.sig", "s.size"))
     buckets = materialize(distinct.select("id", F.explode("bands").alias("bucket")), "bagminhash-buckets")
     stars = buckets.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z")
     shared = buckets.join(stars.select("bucket", "a"), "bucket")
     pairs = materialize(shared.where("id <> a").select("a", F.col("id").alias("b")).distinct(), "bagminhash-stars")
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = materialize(_thinned(rows, wanted).join(wanted, "id").dropDuplicates(["id"]), "bagminhash-texts")
+    texts = materialize(_thinned(rows, wanted).join(wanted, "id").groupBy("id").agg(F.min("text").alias("text")), "bagminhash-texts")
     links = materialize(_verified(pairs, texts, threshold), "bagminhash-links")
     comp = components(links, "bagminhash-first")
 
@@ -288,10 +295,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         "id", "bucket", F.coalesce("component", "id").alias("component"))
     mains = (placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                           F.min_by("component", "id").alias("main")).where("lo < hi").select("bucket", "main"))
-    todo = materialize(placed.join(mains, "bucket").withColumn("odd", F.col("component") != F.col("main")), "bagminhash-open")
-    sizes = todo.groupBy("bucket").agg(
-        F.ceil(F.sum(F.col("odd").cast("int")) / BLOCK).cast("int").alias("odd_blocks"),
-        F.ceil(F.sum((~F.col("odd")).cast("int")) / BLOCK).cast("int").alias("main_blocks"))
+    todo = placed.join(mains, "bucket").withColumn("odd", F.col("component") != F.col("main"))
+    todo = materialize(todo.join(distinct.select("id", "size"), "id"), "bagminhash-open")
+    def blocks(side):
+        """A side is cut by members and by bytes: a task holds the whole texts of one block of each side."""
+        share = F.greatest(F.sum(side.cast("int")) / BLOCK, F.sum(F.when(side, F.col("size"))) / BLOCK_BYTES)
+        return F.ceil(share).cast("int")
+
+    sizes = todo.groupBy("bucket").agg(blocks(F.col("odd")).alias("odd_blocks"), blocks(~F.col("odd")).alias("main_blocks"))
     todo = todo.join(sizes, "bucket").withColumn("block", F.pmod(
         F.xxhash64("id"), F.when(F.col("odd"), F.col("odd_blocks")).otherwise(F.col("main_blocks"))).cast("int"))
     odd = todo.where("odd")
@@ -323,9 +334,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_per_class(docs: DataFrame) -> DataFrame:
     """Pipeline stage: one document of each class stays, the one of the smallest id; columns unchanged.
 
-    A repeated row stays once; rows without an id cannot be told apart and stay.
+    Rows of one id and one text stay once: of rows that differ in other columns the least by these (in the table's order,
+    nulls first). Rows without an id cannot be told apart and stay. Any further column is allowed, whatever its name.
     """
-    dropped = classes(docs).where("id <> class_id").select(F.col("id").alias("__drop")).distinct()
-    named = docs.where("doc_id is not null")
-    left = named.join(dropped, named["doc_id"] == F.col("__drop"), "left_anti").dropDuplicates(["doc_id", "text"])
-    return left.unionByName(docs.where("doc_id is null"))
+    dropped = classes(docs).where("id <> class_id").select("id").distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(F.col("doc_id").alias("id"), whole)
+    left = rows.where("id is not null").join(dropped, "id", "left_anti")
+    # maps have no order
+    others = [F.to_json(F.struct(c.alias("m"))) if isinstance(t, MapType) else c for c, t in (
+        (F.col(f"row.`{f.name}`"), f.dataType) for f in docs.schema.fields if f.name not in ("doc_id", "text"))]
+    first = F.row_number().over(Window.partitionBy("id", "row.text").orderBy(*others, F.lit(0)))
+    left = left.withColumn("first", first).where("first = 1").drop("first")
+    return left.unionByName(rows.where("id is null")).select("row.*")

@@ -158,6 +158,8 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """Pipeline stage: every document as many times as the mix takes it, columns unchanged."""
     _, cuts = plan(docs)
-    rows = _with_cuts(drawn(docs, "__mix_"), cuts, "__mix_").withColumn("__mix_n", copies("__mix_")).where("__mix_n > 0")
-    rows = rows.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_n"))))
-    return rows.select(*docs.columns)
+    # the caller's row travels as one column, so that none of its names meets one of those used here
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    drawn_rows = drawn(docs.select(whole, "doc_id", "source", "text"), "").drop("text")
+    rows = _with_cuts(drawn_rows, cuts, "").withColumn("n", copies("")).where("n > 0")
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")

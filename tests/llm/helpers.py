@@ -28,7 +28,8 @@ def edge_rows():
 def clashing(df):
     """The same rows with extra columns named like things the operators use."""
     from pyspark.sql import functions as F
-    for c in ("size", "key", "id", "score", "shard", "class_id", "block", "kind", "component", "taken", "range", "v"):
+    for c in ("size", "key", "id", "score", "shard", "class_id", "block", "kind", "component", "taken", "range", "v",
+              "row", "copy", "n", "first", "tie", "chunk", "h", "__clean", "__drop", "__cut_c", "__cut_turn", "__mix_size", "__langid"):
         if c not in df.columns:
             df = df.withColumn(c, F.lit("x"))
     return df
