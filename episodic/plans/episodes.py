@@ -91,15 +91,15 @@ marks AS (
   FROM eps e
   LEFT JOIN sess s ON s.user_id = e.lecture_vt_no AND s.tutoring_datetime >= e.active_timestamp
        AND s.tutoring_datetime <= COALESCE(e.done_timestamp, TIMESTAMP '2024-01-31 00:00:00' + INTERVAL 1 MONTH)
-  WHERE e.active_timestamp >= TIMESTAMP '2024-01-05 00:00:00'
+  WHERE e.active_timestamp >= TIMESTAMP '{active_from}'
   GROUP BY e.lecture_vt_no, e.seq, e.active_timestamp, e.done_timestamp, e.min_payment_no,
            e.min_order_id, e.marker_updated_at
 )"""
 
 
 
-def k1_sql(events: str = "events", stop_filter: str = "") -> str:
-    return "WITH " + _K1_SQL_BODY.format(events=events, stop_filter=stop_filter) + "\nSELECT * FROM glvt"
+def k1_sql(events: str = "events", stop_filter: str = "", active_from: str = ACTIVE_FROM) -> str:
+    return "WITH " + _K1_SQL_BODY.format(events=events, stop_filter=stop_filter, active_from=active_from) + "\nSELECT * FROM glvt"
 
 
 K1_SQL = k1_sql()

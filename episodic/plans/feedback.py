@@ -9,14 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from episodic.operators.feedback import explode_pairs, pivot_slots
-from episodic.operators.incremental import latest_per_key
+from episodic.operators.buckets import BucketTable
+from episodic.operators.incremental import high_water_mark, latest_per_key, scan_since
+from episodic.operators.sinks import conform, materialize
 from episodic.operators.windows import shifted
-from episodic.operators.intervals import containing_join
-from episodic.operators.sinks import materialize
 from episodic.plans.episodes import group_lvt, k1_sql
 from episodic.plans.registry import register, ts
+from episodic.session import scratch_path
+from episodic.sources.files import read_csv_worklist, write_csv_snapshot
 
 def _k():
     return F.get_json_object("props", "$.k")
@@ -144,84 +147,107 @@ def q_sla_label(spark, t):
         "event_id", "user_id", hours.cast("bigint").alias("hours"), label.alias("sla"))
 
 
-@register("low_nps_first_session", "K24,F17,I8,D3,G1", """
+NPS_CUT = "2024-01-20 00:00:00"
+_NPS_SQL = """
 WITH v AS (
-  SELECT * FROM (SELECT event_id AS schedule_no, user_id, ts AS tutoring_datetime,
-                        ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
-                 FROM events WHERE event_type = 'view') x WHERE rn = 1
-), fb AS (
-  SELECT * FROM (
-    SELECT v.schedule_no, c.ts AS created_at, CAST(json_extract_string(c.props, '$.k') AS INTEGER) % 11 AS nps,
-           ROW_NUMBER() OVER (PARTITION BY v.schedule_no ORDER BY c.ts, c.event_id) AS rn
-    FROM v JOIN events c ON c.user_id = v.user_id AND c.event_type = 'click' AND c.ts > v.tutoring_datetime) y
-  WHERE rn = 1
-)
-SELECT v.schedule_no, v.user_id, v.tutoring_datetime, fb.nps, fb.created_at,
-       CAST(v.user_id AS VARCHAR) || CAST(v.schedule_no AS VARCHAR) AS pair_key
-FROM v LEFT JOIN fb ON fb.schedule_no = v.schedule_no
-WHERE fb.nps <= 6 AND fb.created_at >= TIMESTAMP '2024-01-10 00:00:00'
+  SELECT event_id AS schedule_no, user_id AS lecture_vt_no, ts AS tutoring_datetime, floor(user_id / 3) AS student,
+    CASE WHEN k % 4 + 1 <= 3 THEN k % 3 END AS teacher
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE event_type = 'click')
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
+), fbd AS (
+  SELECT event_id, user_id AS lecture_vt_no, floor(user_id / 3) AS student, k % 3 AS teacher, ts AS created_at, event_id % 11 AS fst_nps
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) WHERE k % 4 + 1 = 1
+), low AS (
+  SELECT v.*, f.created_at, f.fst_nps, f.event_id,
+    CAST(CAST(CAST(v.student AS BIGINT) AS VARCHAR) || CAST(v.teacher AS VARCHAR) AS BIGINT) AS student_teacher_no
+  FROM v LEFT JOIN fbd f ON f.lecture_vt_no = v.lecture_vt_no AND f.student = v.student AND f.teacher = v.teacher WHERE f.fst_nps <= 6
+)"""
+
+
+@register("low_nps_first_session", "K24: F17,I26,I8,A5,E10,D3,G1,B1,B5", _NPS_SQL + f""",
+first AS (SELECT * FROM low WHERE created_at < TIMESTAMP '{NPS_CUT}' QUALIFY ROW_NUMBER() OVER (PARTITION BY schedule_no ORDER BY created_at DESC, event_id DESC) = 1),
+u AS (SELECT *, 0 AS batch FROM first UNION ALL SELECT *, 1 FROM low WHERE created_at >= (SELECT MAX(created_at) FROM first))
+SELECT schedule_no, lecture_vt_no, tutoring_datetime, student_teacher_no, CAST(fst_nps AS INTEGER) AS fst_nps, created_at FROM u
+QUALIFY ROW_NUMBER() OVER (PARTITION BY schedule_no ORDER BY created_at DESC, batch DESC, event_id DESC) = 1
 """)
 def q_low_nps_first_session(spark, t):
-    """First finished session per lecture, its first feedback after it, NPS <= 6 since the watermark."""
+    """The stored list of low scores after two runs: the first finished session of every lecture, its feedback row (left), the
+    scores of the first cycle's forms of that student and teacher (left, then 6 or less) from the list's watermark on; the
+    newest row of each session stays. The table is published as CSV too and read back."""
+    from episodic.plans.experience import SLOTS, surveys
     ev = t.events
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    v = ev.filter(F.col("event_type") == "view").withColumn("rn", F.row_number().over(w)) \
-        .filter(F.col("rn") == 1).select(F.col("event_id").alias("schedule_no"), "user_id",
-                                         F.col("ts").alias("tutoring_datetime"))
-    clicks = ev.filter(F.col("event_type") == "click").select(
-        F.col("user_id").alias("c_user"), F.col("ts").alias("created_at"), F.col("event_id").alias("c_id"),
-        (_k().cast("int") % 11).alias("nps"))
-    cand = v.join(clicks, (v["user_id"] == clicks["c_user"]) & (clicks["created_at"] > v["tutoring_datetime"]))
-    fb = latest_per_key(cand, ["schedule_no"], [F.col("created_at").asc(), F.col("c_id").asc()]) \
-        .select("schedule_no", "nps", "created_at")
-    res = v.join(fb, "schedule_no", "left") \
-        .filter((F.col("nps") <= 6) & (F.col("created_at") >= ts("2024-01-10 00:00:00")))
-    return res.select("schedule_no", "user_id", "tutoring_datetime", "nps", "created_at",
-                      F.concat(F.col("user_id").cast("string"), F.col("schedule_no").cast("string")).alias("pair_key"))
-
-
-@register("first_feedback_cohort", "K23,F8,E5,D11,D20,I33,C4", (k1_sql() + """,
-first_ep AS (
-  SELECT * FROM (SELECT *, DENSE_RANK() OVER (PARTITION BY lecture_vt_no ORDER BY CAST(active_timestamp AS DATE)) AS dr
-                 FROM glvt) x
-  WHERE dr = 1
-), first_fb AS (
-  SELECT * FROM (SELECT e.group_lecture_vt_no, c.event_id, c.props,
-                        ROW_NUMBER() OVER (PARTITION BY e.group_lecture_vt_no ORDER BY c.ts, c.event_id) AS rn
-                 FROM first_ep e JOIN events c ON c.user_id = e.lecture_vt_no AND c.event_type = 'click'
-                      AND c.ts BETWEEN e.active_timestamp AND e.updated_at) y WHERE rn = 1
+    k = _k().cast("int")
+    first = latest_per_key(ev.filter(F.col("event_type") == "click"), ["user_id"], [F.col("ts").asc(), F.col("event_id").asc()])
+    v = first.select(F.col("event_id").alias("schedule_no"), F.col("user_id").alias("lecture_vt_no"), F.col("ts").alias("tutoring_datetime"),
+                     F.floor(F.col("user_id") / 3).alias("student"), F.when(k % 4 + 1 <= 3, k % 3).alias("teacher"))
+    pair = F.concat(F.col("student").cast("string"), F.col("teacher").cast("string")).cast("bigint")
+    pairs = explode_pairs(surveys(ev).filter(F.col("cycle") == 1), "body", keep=["event_id", "f_user", "f_teacher", "f_ts"])
+    fbd = pairs.filter(F.col("key").isin(SLOTS["score"])).select(
+        F.col("f_user").alias("_u"), F.col("f_teacher").alias("_t"), F.col("f_ts").alias("created_at"),
+        F.col("value").cast("int").alias("fst_nps"), F.col("event_id").alias("form_no"))
+    low = v.join(fbd, (F.col("lecture_vt_no") == F.col("_u")) & (F.col("teacher") == F.col("_t")), "left").filter(F.col("fst_nps") <= 6) \
+        .withColumn("student_teacher_no", pair)
+    low = materialize(low, "low_scores")
+    schema = StructType.fromDDL("schedule_no bigint, lecture_vt_no bigint, tutoring_datetime timestamp_ntz, student_teacher_no bigint, "
+                                "fst_nps int, created_at timestamp_ntz, form_no bigint")
+    table = BucketTable(spark, scratch_path(spark, "nps_7_under"), schema, ("schedule_no",), 8)
+
+    def newest(stored, new):
+        both = stored.withColumn("_batch", F.lit(0)).unionByName(new.withColumn("_batch", F.lit(1)))
+        return latest_per_key(both, ["schedule_no"], [F.col(c).desc() for c in ("created_at", "_batch", "form_no")]).drop("_batch")
+
+    for run, visible in enumerate((low.filter(F.col("created_at") < ts(NPS_CUT)), low)):
+        hwm = high_water_mark(table.read(), "created_at", default="2019-01-01 00:00:00")
+        table.merge(scan_since(visible, "created_at", hwm, inclusive=True), run, newest)
+    path = scratch_path(spark, "nps_7_under_csv")
+    write_csv_snapshot(table.read(), path)
+    return conform(read_csv_worklist(spark, path), schema).drop("form_no")
+
+
+COHORT_FROM = "2024-01-01 00:00:00"
+SUBJECTS = ["BUILDING", "MACHINERY", "AUTOMOBILE"]
+
+
+@register("first_feedback_cohort", "K23: F8,E5,I26,D11,D20,I33,C4,C3", (k1_sql(active_from=COHORT_FROM) + """,
+forms1 AS (
+  SELECT user_id AS lecture_vt_no, ts AS created_at, CAST(event_id % 11 AS INTEGER) AS score, CAST(k % 5 AS INTEGER) AS q1,
+    CAST(event_id % 4 AS INTEGER) AS q3, CASE WHEN event_id % 7 <> 0 THEN CAST(event_id % 2 AS INTEGER) END AS q5
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) WHERE k % 4 + 1 = 1
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
+), first_ep AS (
+  SELECT * FROM (SELECT g.*, CAST(floor(lecture_vt_no / 3) AS BIGINT) AS student,
+      DENSE_RANK() OVER (PARTITION BY floor(lecture_vt_no / 3) ORDER BY active_timestamp) AS dr
+    FROM glvt g WHERE group_lecture_vt_no LIKE '%_1') WHERE dr = 1
 )
-SELECT e.group_lecture_vt_no, e.lecture_vt_no, f.event_id AS feedback_id,
-       CAST(json_extract_string(f.props, '$.k') AS INTEGER) AS score,
-       CASE WHEN e.done_timestamp IS NULL THEN 'active'
-            WHEN e.done_timestamp >= e.active_timestamp THEN 'done' ELSE 'error' END AS active_state,
-       n.n_name AS nation, r.r_name AS region
-FROM first_ep e
-JOIN first_fb f ON f.group_lecture_vt_no = e.group_lecture_vt_no
-JOIN customer c ON c.c_custkey = e.lecture_vt_no
-JOIN nation n ON n.n_nationkey = c.c_nationkey
-JOIN region r ON r.r_regionkey = n.n_regionkey
-WHERE c.c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE')
+SELECT e.lecture_vt_no, e.group_lecture_vt_no, e.student, c.c_mktsegment AS subject, n.n_name AS grade,
+  CASE WHEN done_timestamp IS NOT NULL THEN 'done'
+    WHEN CASE c.c_mktsegment WHEN 'BUILDING' THEN 'FINISH' WHEN 'MACHINERY' THEN 'REGISTER' ELSE 'STOPPED' END IN ('DONE', 'FINISH', 'AUTO_FINISH') THEN 'done'
+    WHEN min_tutoring_datetime IS NULL AND c.c_mktsegment = 'MACHINERY' THEN 'active'
+    WHEN min_tutoring_datetime IS NOT NULL THEN 'active' ELSE 'error' END AS active_state,
+  done_month, active_timestamp, done_timestamp, f.created_at, f.score, f.q1, f.q3, f.q5
+FROM first_ep e JOIN forms1 f ON f.lecture_vt_no = e.lecture_vt_no AND f.created_at BETWEEN e.active_timestamp AND e.updated_at
+JOIN customer c ON c.c_custkey = e.lecture_vt_no AND c.c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE')
+JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_name NOT LIKE '%_9'
 """).replace("\nSELECT * FROM glvt,", ","))
 def q_first_feedback_cohort(spark, t):
-    """First feedback inside a student's first episode(s) (dense_rank on the day), plus its dimension chain."""
-    g = materialize(group_lvt(t.events), "first_feedback_episodes")
-    w = Window.partitionBy("lecture_vt_no").orderBy(F.to_date("active_timestamp"))
+    """The first episode(s) of every student, among the groups that look like a lecture's first (``%_1``, where the sign in front
+    of 1 is any), with the lecture's first form pivoted to integers, if it falls into the episode; subjects and grades from
+    their names, the active state from a ladder."""
+    from episodic.plans.experience import SLOTS, surveys
+    g = group_lvt(t.events, active_from=COHORT_FROM).filter(F.col("group_lecture_vt_no").like("%_1")).withColumn("student", F.floor(F.col("lecture_vt_no") / 3))
+    w = Window.partitionBy("student").orderBy("active_timestamp")
     first_ep = g.withColumn("dr", F.dense_rank().over(w)).filter(F.col("dr") == 1)
-    clicks = t.events.filter(F.col("event_type") == "click").select(
-        F.col("event_id").alias("feedback_id"), F.col("user_id").alias("f_user"),
-        F.col("ts").alias("f_ts"), _k().cast("int").alias("score"))
-    inside = containing_join(first_ep, clicks, [("lecture_vt_no", "f_user")], "active_timestamp", "updated_at",
-                             "f_ts", tie=["seq"])
-    m = latest_per_key(inside, ["group_lecture_vt_no"], [F.col("f_ts").asc(), F.col("feedback_id").asc()])
-    c = t.customer.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE")) \
-        .select("c_custkey", "c_nationkey")
-    n = t.nation.select("n_nationkey", F.col("n_name").alias("nation"), "n_regionkey")
-    r = t.region.select("r_regionkey", F.col("r_name").alias("region"))
-    state = (F.when(F.col("done_timestamp").isNull(), "active")
-             .when(F.col("done_timestamp") >= F.col("active_timestamp"), "done").otherwise("error"))
-    return m.join(c, m["lecture_vt_no"] == c["c_custkey"]) \
-        .join(n, F.col("c_nationkey") == F.col("n_nationkey")) \
-        .join(r, F.col("n_regionkey") == F.col("r_regionkey")) \
-        .select("group_lecture_vt_no", "lecture_vt_no", "feedback_id", "score",
-                state.alias("active_state"), "nation", "region")
+    f = latest_per_key(surveys(t.events).filter(F.col("cycle") == 1), ["f_user"], [F.col("f_ts").asc(), F.col("event_id").asc()])
+    slots = {s: SLOTS[s] for s in ("score", "q1", "q3", "q5")}
+    fb = pivot_slots(explode_pairs(f, "body", keep=["f_user", "f_ts"]), ["f_user", "f_ts"], "key", "value", slots, cast="int", strict=True)
+    # a lecture has one first form and one such episode: an equality join, the interval is checked on its row
+    j = first_ep.join(fb, (F.col("lecture_vt_no") == F.col("f_user")) & F.col("f_ts").between(F.col("active_timestamp"), F.col("updated_at")))
+    c = t.customer.filter(F.col("c_mktsegment").isin(SUBJECTS)).select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("subject"))
+    n = t.nation.filter(~F.col("n_name").like("%_9")).select("n_nationkey", F.col("n_name").alias("grade"))
+    tutoring = F.when(F.col("subject") == "BUILDING", "FINISH").when(F.col("subject") == "MACHINERY", "REGISTER").otherwise("STOPPED")
+    met = F.col("min_tutoring_datetime").isNotNull()
+    state = F.when(F.col("done_timestamp").isNotNull(), "done").when(tutoring.isin("DONE", "FINISH", "AUTO_FINISH"), "done") \
+        .when(~met & tutoring.isin("REGISTER", "REMATCH", "MATCHED", "REMATCH_B"), "active").when(met, "active").otherwise("error")
+    return j.join(c, F.col("lecture_vt_no") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "lecture_vt_no", "group_lecture_vt_no", "student", "subject", "grade", state.alias("active_state"), "done_month", "active_timestamp",
+        "done_timestamp", F.col("f_ts").alias("created_at"), *slots)

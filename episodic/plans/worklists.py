@@ -8,13 +8,18 @@ are stored as padded text. ``as_of`` is 1998-09-01, so "yesterday" is 1998-08-31
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from episodic.functions.cleaning import clean_date_text, parse_date_text
-from episodic.functions.keys import text_key
+from episodic.functions.keys import int_key, text_key
+from episodic.operators.buckets import BucketTable
+from episodic.operators.sinks import conform, materialize
 from episodic.operators.windows import first_rows
 from episodic.plans.lifecycle import COHORT_OF_PRIORITY
 from episodic.plans.ranks import LINE_ORDER, LINE_ORDER_SQL
 from episodic.plans.registry import AS_OF_ORDERS, register, ts
+from episodic.session import scratch_path
+from episodic.sources.files import read_csv_worklist, write_csv_snapshot
 
 YESTERDAY = "1998-08-31"
 
@@ -133,43 +138,84 @@ def q_first_session_missed(spark, t):
     return minus_list(j, "o_custkey", t, min_balance=9500)
 
 
-@register("active_letter_list", "K21: D1,C3,C4,I31,B3", """
-SELECT c.c_custkey, c.c_name, c.c_mktsegment, n.n_name, 'student' AS source,
-       TIMESTAMP '1998-09-01 00:00:00' AS updated_at
-FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
-WHERE c.c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')
-  AND c.c_mktsegment NOT IN ('HOUSEHOLD') AND c.c_name NOT LIKE '%#0000000__'
+# Stand-in of the letters: an order is a lecture of its customer, paid for unless of low priority, finished unless open; the
+# nation is the grade, contacts are made up from keys, advertising is allowed by customers with a positive balance.
+FINISHED = ["F", "P"]
+PAID = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
+GRADES_OUT = ["NATION_0", "NATION_7", "NATION_13"]
+LAST_GRADE = "NATION_20"
+_CONTACTS = {"student": "'010-' || CAST(c_custkey AS VARCHAR)", "parent": "'011-' || CAST(c_nationkey AS VARCHAR) || '-' || CAST(c_custkey % 100 AS VARCHAR)"}
+
+
+def _contact(who: str):
+    key, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    return F.concat(F.lit("010-"), key.cast("string")) if who == "student" else \
+        F.concat(F.lit("011-"), nation, F.lit("-"), (key % 100).cast("string"))
+
+
+def _letters(t, who: str, finished: bool, grades_out: list[str]):
+    """One row per (student, contact, grade) with its latest change, of paid lectures of real accounts in a wanted grade."""
+    state = F.col("o_orderstatus").isin(FINISHED)
+    o = t.orders.filter(F.col("o_orderpriority").isin(PAID) & (state if finished else ~state)) \
+        .select(F.col("o_custkey").alias("student_user_no"), "o_orderdate")
+    c = t.customer.filter(~F.col("c_name").like("%1_")).select("c_custkey", "c_nationkey", _contact(who).alias("phone_number"))
+    n = t.nation.filter(~F.col("n_name").isin(grades_out)).select("n_nationkey", F.col("n_name").alias("grade"))
+    j = o.join(c, F.col("student_user_no") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    return j.groupBy("student_user_no", "phone_number", "grade").agg(F.max("o_orderdate").alias("max_done_time"))
+
+
+def _letters_sql(who: str, finished: bool, grades_out: list[str]) -> str:
+    return f"""SELECT o_custkey AS student_user_no, {_CONTACTS[who]} AS phone_number, n_name AS grade, MAX(o_orderdate) AS max_done_time
+  FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+  WHERE o_orderpriority IN {tuple(PAID)} AND o_orderstatus {'' if finished else 'NOT '}IN ('F', 'P') AND c_name NOT LIKE '%1_'
+    AND n_name NOT IN {tuple(grades_out)} GROUP BY 1, 2, 3"""
+
+
+def _letter_snapshot(spark, lists):
+    """The lists of one run, each tagged with its source, appended to the stored snapshots."""
+    schema = StructType.fromDDL("student_user_no bigint, phone_number string, grade string, updated_at timestamp_ntz, source string")
+    table = BucketTable(spark, scratch_path(spark, "letters"), schema, ("student_user_no",), 8)
+    for i, (source, df) in enumerate(lists):
+        table.append(df.withColumn("updated_at", ts(AS_OF_ORDERS)).withColumn("source", F.lit(source)), i, lambda stored, new: new)
+    return table.read()
+
+
+@register("active_letter_list", "K21: D1,C3,C4,E6,I31,B3", f"""
+SELECT student_user_no, phone_number, grade, TIMESTAMP '1998-09-01 00:00:00' AS updated_at, 'active_student' AS source
+FROM ({_letters_sql('student', False, GRADES_OUT)})
+UNION ALL SELECT student_user_no, phone_number, grade, TIMESTAMP '1998-09-01 00:00:00', 'active_parent'
+FROM ({_letters_sql('parent', False, GRADES_OUT)})
 """)
 def q_active_letter_list(spark, t):
-    """Paying, unfinished, non-test students; one row per (student, contact, grade)."""
-    open_o = t.orders.filter(F.col("o_orderstatus") == "O").select("o_custkey")
-    c = t.customer
-    c = c.filter(~F.col("c_mktsegment").isin("HOUSEHOLD") & ~F.col("c_name").like("%#0000000__")) \
-        .join(open_o, c["c_custkey"] == open_o["o_custkey"], "left_semi")
-    n = t.nation.select("n_nationkey", "n_name")
-    return c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(
-        "c_custkey", "c_name", "c_mktsegment", "n_name", F.lit("student").alias("source"),
-        ts(AS_OF_ORDERS).alias("updated_at"))
-
-
-@register("inactive_letter_list", "K22: E1,D1,D15,B3", """
-WITH last AS (SELECT o_custkey, MAX(o_orderdate) AS last_order FROM orders GROUP BY o_custkey)
-SELECT c.c_custkey, c.c_name, l.last_order, 'inactive' AS source
-FROM customer c JOIN last l ON l.o_custkey = c.c_custkey
-WHERE l.last_order >= TIMESTAMP '1998-01-01 00:00:00'
-  AND c.c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O' AND o_custkey IS NOT NULL)
-""")
+    """Students with a paid, unfinished lecture and their parents; one row per (student, contact, grade), both lists tagged and
+    appended to the snapshots."""
+    return _letter_snapshot(spark, [(f"active_{who}", _letters(t, who, False, GRADES_OUT)) for who in ("student", "parent")])
+
+
+def _inactive_sql(who: str) -> str:
+    out = GRADES_OUT if who == "student" else [*GRADES_OUT, LAST_GRADE]
+    cut = " AND max_done_time >= TIMESTAMP '2000-08-01 00:00:00'" if who == "student" else ""
+    return f"""SELECT student_user_no, phone_number, grade, TIMESTAMP '1998-09-01 00:00:00' AS updated_at, 'inactive_{who}' AS source
+FROM ({_letters_sql(who, True, out)}) l JOIN customer usc ON usc.c_custkey = l.student_user_no AND usc.c_mktsegment <> 'FURNITURE'
+  AND usc.c_acctbal > 0
+WHERE student_user_no NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus NOT IN ('F', 'P') AND o_custkey IS NOT NULL){cut}"""
+
+
+@register("inactive_letter_list", "K22: E1,D1,D15,C3,B3", _inactive_sql("student") + "\nUNION ALL\n" + _inactive_sql("parent"))
 def q_inactive_letter_list(spark, t):
-    """Finished students (no open order) active since the cut. NOT IN is written as a null-filtered
-    left anti join (a null in the list would otherwise empty the result)."""
-    last = t.orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order")) \
-        .filter(F.col("last_order") >= ts("1998-01-01 00:00:00"))
-    open_o = t.orders.filter((F.col("o_orderstatus") == "O") & F.col("o_custkey").isNotNull()) \
-        .select(F.col("o_custkey").alias("open_cust"))
-    c = t.customer.select("c_custkey", "c_name")
-    j = c.join(last, c["c_custkey"] == last["o_custkey"]) \
-        .join(open_o, F.col("c_custkey") == F.col("open_cust"), "left_anti")
-    return j.select("c_custkey", "c_name", "last_order", F.lit("inactive").alias("source"))
+    """Finished students who take advertising and have no unfinished lecture, and their parents: students since a cut, parents
+    without it but without the last grade. NOT IN is written as a null-filtered left anti join (a null in the list would
+    otherwise empty the result)."""
+    push = t.customer.filter((F.col("c_mktsegment") != "FURNITURE") & (F.col("c_acctbal") > 0)).select(F.col("c_custkey").alias("_user"))
+    busy = t.orders.filter(~F.col("o_orderstatus").isin(FINISHED) & F.col("o_custkey").isNotNull()).select(F.col("o_custkey").alias("_busy"))
+
+    def inactive(who):
+        df = _letters(t, who, True, GRADES_OUT if who == "student" else [*GRADES_OUT, LAST_GRADE])
+        if who == "student":
+            df = df.filter(F.col("max_done_time") >= ts("2000-08-01 00:00:00"))
+        return df.join(push, F.col("student_user_no") == F.col("_user"), "left_semi") \
+            .join(busy, F.col("student_user_no") == F.col("_busy"), "left_anti")
+    return _letter_snapshot(spark, [(f"inactive_{who}", inactive(who)) for who in ("student", "parent")])
 
 
 def _sheet_dates(t):
@@ -211,32 +257,50 @@ def q_clean_dates(spark, t):
                     parse_date_text(F.col("added")).alias("added_date"))
 
 
-@register("new_pause_plan_months", "K6: A11,E13,D1,D25,I15,I16,C2,C14", "WITH " + _SHEET_SQL + f""",
-lastpay AS (SELECT o_custkey, MAX(o_orderkey) AS max_payment_no FROM orders GROUP BY o_custkey)
-SELECT trim(p.row_key) AS row_key, p.o_custkey AS student_user_no, p.added_date AS start_date,
+_PLAN_SQL = """lastpay AS (SELECT o_custkey, MAX(o_orderkey) AS max_payment_no FROM orders GROUP BY o_custkey),
+plan AS (
+  SELECT trim(p.row_key) AS lecture_vt_no, p.o_custkey AS student_user_no, p.added_date, s.o_orderstatus <> 'F' AS is_new,
        CASE o.o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 3 WHEN '3-MEDIUM' THEN 6
-            WHEN '4-NOT SPECIFIED' THEN 12 WHEN '5-LOW' THEN 2 END AS fst_months,
-       CAST(NULL AS VARCHAR) AS grade
-FROM parsed p
-JOIN lastpay lp ON lp.o_custkey = p.o_custkey
-JOIN orders o ON o.o_orderkey = lp.max_payment_no
-WHERE p.added_date = DATE '{YESTERDAY}'
+            WHEN '4-NOT SPECIFIED' THEN 12 WHEN '5-LOW' THEN 2 END AS fst_months
+  FROM parsed p JOIN orders s ON s.o_orderkey = CAST(trim(p.row_key) AS BIGINT)
+  JOIN lastpay lp ON lp.o_custkey = p.o_custkey JOIN orders o ON o.o_orderkey = lp.max_payment_no)"""
+
+
+@register("new_pause_plan_months", "K6: A10,A11,E13,D1,D25,I15,I16,C2,C14,B2", "WITH " + _SHEET_SQL + ", " + _PLAN_SQL + f"""
+SELECT 'new_lecture' AS list, lecture_vt_no, student_user_no, added_date AS day, fst_months, CAST(NULL AS VARCHAR) AS grade
+FROM plan WHERE is_new AND added_date IN (DATE '{YESTERDAY}' - 1, DATE '{YESTERDAY}')
+UNION ALL
+SELECT 'pause_lecture', lecture_vt_no, student_user_no, added_date, fst_months, NULL
+FROM plan WHERE NOT is_new AND added_date IN (DATE '{YESTERDAY}' - 1, DATE '{YESTERDAY}')
 """)
 def q_new_pause_plan_months(spark, t):
-    """Yesterday's rows of the list + plan months of the lecture's latest payment, reindexed to the log columns."""
-    s = _sheet_dates(t).withColumn("start_date", parse_date_text(F.col("added"))) \
-        .filter(F.col("start_date") == F.lit(YESTERDAY).cast("date"))
+    """The runs of two days over the lists of new and of paused lectures, kept as CSV: the day's rows (dates in mixed spellings),
+    plan months of the lecture's latest payment, reindexed to the log's columns and appended to their tables."""
+    sheet = _sheet_dates(t)
+    state = t.orders.select(F.col("o_orderkey").cast("string").alias("_key"), "o_orderstatus")
+    sheet = materialize(sheet.join(state, F.trim("row_key") == F.col("_key")).drop("_key"), "sheets")
     lastpay = t.orders.groupBy(F.col("o_custkey").alias("lp_cust")).agg(F.max("o_orderkey").alias("max_payment_no"))
-    o = t.orders.select("o_orderkey", "o_orderpriority")
     months = None
     for k, v in COHORT_OF_PRIORITY.items():
-        months = (F.when(F.col("o_orderpriority") == k, F.lit(v)) if months is None
-                  else months.when(F.col("o_orderpriority") == k, F.lit(v)))
-    j = s.join(lastpay, s["o_custkey"] == lastpay["lp_cust"]).join(o, F.col("max_payment_no") == o["o_orderkey"])
-    present = {"row_key": F.trim("row_key"), "student_user_no": F.col("o_custkey"), "start_date": F.col("start_date"),
-               "fst_months": months}
-    cols = ["row_key", "student_user_no", "start_date", "fst_months", "grade"]
-    return j.select(*[present[c].alias(c) if c in present else F.lit(None).cast("string").alias(c) for c in cols])
+        c = F.col("o_orderpriority") == k
+        months = F.when(c, F.lit(v)) if months is None else months.when(c, F.lit(v))
+    paid = materialize(lastpay.join(t.orders, F.col("max_payment_no") == F.col("o_orderkey")).select("lp_cust", months.alias("fst_months")), "plans")
+    out = None
+    for name, day_col, rows in (("new_lecture", "start_date", sheet.filter("o_orderstatus <> 'F'")),
+                                ("pause_lecture", "end_date", sheet.filter("o_orderstatus = 'F'"))):
+        path = scratch_path(spark, name)
+        write_csv_snapshot(rows.select("row_key", "o_custkey", "added"), path)
+        listed = read_csv_worklist(spark, path).withColumn("_day", parse_date_text(F.col("added")))
+        schema = StructType.fromDDL(f"lecture_vt_no string, student_user_no bigint, {day_col} date, fst_months int, grade string")
+        table = BucketTable(spark, scratch_path(spark, f"{name}_table"), schema, ("lecture_vt_no",), 8)
+        for run in (1, 0):
+            day = listed.filter(F.col("_day") == F.date_sub(F.lit(YESTERDAY).cast("date"), run))
+            day = day.withColumn("_cust", int_key(F.col("o_custkey"))).join(paid, F.col("_cust") == F.col("lp_cust"))
+            day = day.withColumnsRenamed({"row_key": "lecture_vt_no", "_cust": "student_user_no", "_day": day_col})
+            table.append(conform(day, schema), 1 - run, lambda stored, new: new)
+        got = table.read().withColumnRenamed(day_col, "day").withColumn("list", F.lit(name))
+        out = got if out is None else out.unionByName(got)
+    return out
 
 
 @register("clean_strings", "I29,I30,I12", """

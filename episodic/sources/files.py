@@ -41,4 +41,5 @@ def write_csv_snapshot(df: DataFrame, path: str, columns: list[str] | None = Non
     if columns is not None:
         present = set(df.columns)
         df = df.select(*[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in columns])
-    df.write.mode("overwrite").option("header", True).csv(path)
+    # whole microseconds: the default keeps milliseconds
+    df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
