@@ -1,3 +1,9 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
 from episodic.llm import langid
 from llm.helpers import MID, clashing, crc, documents, edge_rows, frame, pandas
 
@@ -51,3 +57,83 @@ def test_stage_without_labels_rejects_only_documents_without_a_letter(spark):
     kept = langid.keep_known_languages(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 5, 5, 8]
+
+
+# ---------------------------------------------------------------- against plain loops
+
+M = 0xFFFFFFFF
+
+
+def plain_counts(text):
+    """Cells of the 1- to 3-grams of a text, counted one by one; None without a letter."""
+    if not any(c.isalpha() for c in text):
+        return None
+    runs, last = [], None
+    for c in text.lower():
+        c = c if c.isalpha() else " "
+        if c != " " or last != " ":
+            runs.append(c)
+        last = c
+    signs = [" ", *runs, " "]
+    out = {}
+    shift = 32 - int(math.log2(langid.DIMS))
+    cp = [ord(c) for c in signs]
+    for n in (1, 2, 3):
+        for i in range(len(cp) - n + 1):
+            h = cp[i] * 0x9E3779B1 & M
+            for j, m in ((1, 0x85EBCA77), (2, 0xC2B2AE3D)):
+                if j < n:
+                    h = ((h ^ h >> (15 if j == 1 else 13)) * m + (cp[i + j] * 0x9E3779B1 & M)) & M
+            cell = (h * 0x27D4EB2F & M) >> shift
+            out[cell] = out.get(cell, 0) + 1
+    return out
+
+
+def test_counts_equal_a_plain_loop():
+    for text in ("The cat, the CAT!", "  a  ", "é1è2ç", "one--two  three\n4 five", "x" * 50 + " " + "yz " * 30, "Größe ßtraße"):
+        got = langid.gram_counts(text)
+        assert {int(i): int(got[i]) for i in np.flatnonzero(got)} == plain_counts(text)
+    assert langid.gram_counts("12 !?") is None is plain_counts("12 !?")
+
+
+def test_fit_equals_plain_ftrl(spark):
+    words = {"en": "the and that with from this have which", "fr": "le la les des une est dans pour", "de": "der die und ist nicht mit"}
+    rows = [(i, " ".join(words[lang].split()[(i + j) % 6] for j in range(3 + i % 4)), lang, "a", 0)
+            for i, lang in enumerate(["en", "fr", "de", "en"] * 15)]
+    docs = frame(spark, rows)
+    model = langid.fit(docs, max_train=1000, epochs=2)
+    h = {r["doc_id"]: r["h"] for r in docs.select("doc_id", F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 40)).alias("h")).collect()}
+    texts = sorted((h[i], lang, text) for i, text, lang, *_ in rows)
+    counts = [plain_counts(t) for _, _, t in texts]
+    df = {}
+    for c in counts:
+        for cell in c:
+            df[cell] = df.get(cell, 0) + 1
+    langs = sorted(words)
+    data = []
+    for (_, lang, _), c in zip(texts, counts):
+        x = {cell: math.log1p(n) * (math.log((1 + len(rows)) / (1 + df[cell])) + 1) for cell, n in c.items()}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        data.append(({**{cell: v / norm for cell, v in x.items()}, "bias": 1.0}, langs.index(lang)))
+    z, n = {}, {}
+
+    def weight(cell, k):
+        zi = z.get((cell, k), 0.0)
+        return 0.0 if abs(zi) <= 0.02 else -(zi - math.copysign(0.02, zi)) / ((1.0 + math.sqrt(n.get((cell, k), 0.0))) / 0.5 + 0.02)
+
+    for _ in range(2):
+        for x, y in (d for i, d in enumerate(data) if i % 4):
+            w = {(c, k): weight(c, k) for c in x for k in range(3)}
+            score = [sum(x[c] * w[c, k] for c in x) for k in range(3)]
+            e = [math.exp(s - max(score)) for s in score]
+            for c in x:
+                for k in range(3):
+                    g = x[c] * (e[k] / sum(e) - (k == y))
+                    was = n.get((c, k), 0.0)
+                    step = (math.sqrt(was + g * g) - math.sqrt(was)) / 0.5
+                    z[c, k] = z.get((c, k), 0.0) + g - step * w[c, k]
+                    n[c, k] = was + g * g
+    assert model.langs == langs
+    want = np.array([[weight(c, k) for k in range(3)] for c in range(langid.DIMS)])
+    assert np.allclose(model.weights, want, atol=1e-9) and np.abs(want).sum() > 0 and (want == 0).mean() > 0.5
+    assert model.bias == pytest.approx([weight("bias", k) for k in range(3)], abs=1e-9)

@@ -51,11 +51,35 @@ def test_epochs_come_before_the_fraction(spark):
 
 
 def test_better_documents_come_earlier(spark):
-    rows = [(i, ("word " if i % 2 else "w ") * 20, "en", "a", 1) for i in range(4000)] + [(9000 + i, "word " * 100, "en", "b", 1) for i in range(4000)]
-    out = pandas(mixing.mix_documents(frame(spark, rows)))
-    b = out[(out.source == "a") & (out.copies < out.copies.max())] if out[out.source == "a"].copies.nunique() > 1 else None
-    if b is not None:
-        assert (b.index % 2 == 0).mean() > 0.5
+    # of sources of one size and different weights some are taken in part
+    better = [(i, ("word " if i % 2 else "w ") * 20, "en", f"s{i % 3}", 1) for i in range(6000)]
+    out = pandas(mixing.mix_documents(frame(spark, better)))
+    partly = [g for _, g in out.groupby("source") if g.copies.nunique() > 1]
+    assert partly
+    for g in partly:
+        once_more = g[g.copies == g.copies.max()]
+        assert (once_more.index % 2 == 1).mean() > 0.6
+
+
+def test_chosen_documents_equal_a_sort_of_all_keys(spark):
+    docs = spark.read.parquet(f"{MID}/documents.parquet")
+    out = pandas(mixing.mix_documents(docs))
+    rows = [r.asDict() for r in mixing.drawn(docs.select("doc_id", "source", "text"), "").collect()]
+    want = {}
+    per = {}
+    for r in rows:
+        per.setdefault(r["source"], []).append(r)
+    goal = targets({s: sum(r["size"] for r in g) for s, g in per.items()})
+    for s, g in per.items():
+        size = sum(r["size"] for r in g)
+        epochs = int(goal[s] // size)
+        rest, run = goal[s] - epochs * size, 0
+        for r in sorted(g, key=lambda r: (r["key"], r["tie"], r["size"])):
+            # the document at the edge is taken if the sum comes nearer to the target with it
+            take = r["size"] and run + r["size"] / 2 <= rest
+            want[r["doc_id"]] = epochs + bool(take)
+            run += r["size"]
+    assert out.copies.to_dict() == want
 
 
 def test_edge_cases(spark):
