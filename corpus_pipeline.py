@@ -5,6 +5,9 @@
 3. secret scan: secrets are blotted out of the texts;
 4. source mix: each document comes as often as the mix takes it;
 5. BPE: token count and digests of every document.
+
+Every stage takes an empty table, nulls in any column, repeated rows, texts of any length and further columns of any name (kept
+by all stages but the last); what it does with each is said in its operator's module.
 """
 
 from __future__ import annotations
@@ -12,27 +15,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from episodic.llm import bpe, langid, minhash, mixing, secrets
-from episodic.llm.common import documents
+from episodic.llm.common import documents, small_batches
 from episodic.operators.sinks import materialize
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return langid.keep_known_languages(docs)
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return minhash.one_per_class(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return secrets.without_secrets(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mixing.mixed(docs)
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return bpe.encode_documents(docs)
 
 

@@ -367,7 +367,9 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
                 n, ids, back = zip(*out)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(back)],
                                                  ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        # the vocabulary goes too: an idle worker would hold it through all later stages
         t.forget()
+        _LOADED.clear()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(released(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

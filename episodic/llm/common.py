@@ -47,6 +47,12 @@ def slices(batch, column: str, limit: int = 4 << 20, overhead: int = 64):
         yield batch.slice(start)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows cross to the Python workers a thousand at a time: with whole documents in them, the default of 10,000 holds several
+    copies of tens of megabytes beside the heap, in the executor and in the worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def give_back() -> None:
     """Returns memory that a finished task leaves behind in its worker, which lives on for other tasks and stages."""
     _POW.clear()
