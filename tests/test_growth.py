@@ -36,3 +36,22 @@ def test_first_lecture_list_ranks_sessions_once(spark):
         (10, 7, "t7", "c10", "room-1", T(1995, 3, 1), 1), (10, 7, "t7", "c10", "room-2", T(1997, 4, 1), 2)]
     # one ranking and one read of each run's interval
     assert seen.value == 3 * len(line)
+
+
+def test_stream_changes_keep_state_by_bucket(spark):
+    """More keys than buckets: the state store holds at most one row a bucket, and every key keeps a state of its own, also
+    beside a null key and beyond what a double holds."""
+    from episodic.session import scratch_path
+    from episodic.streaming.jobs import changes, run_once
+    root, big, n = scratch_path(spark, "t-buckets"), 2 ** 53, 3000
+    schema = spark.createDataFrame([], "k long, ts long, s string").schema
+    first = [(big + i, 1, "a" if i % 2 else None) for i in range(n)] + [(None, None, "n")]
+    second = [(big + i, 2, "a") for i in range(n)] + [(None, None, "n")]
+    for batch in (first, second):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{root}/inbox")
+        q = changes(spark, f"{root}/inbox", schema, "k", "s", ["ts"], f"{root}/history", f"{root}/_ckpt")
+        run_once(q)
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 1024
+    got = spark.read.parquet(f"{root}/history")
+    want = [(k, s, 0) for k, _, s in first] + [(big + i, "a", 1) for i in range(0, n, 2)]
+    assert rows(got, "k", "s", "batch_id") == sorted(want, key=lambda t: tuple((x is not None, x) for x in t))
