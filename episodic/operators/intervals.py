@@ -227,9 +227,12 @@ def asof_join(intervals: DataFrame, points: DataFrame, keys: Sequence[tuple[str,
     """
     assert chunk_unit in _UNITS, chunk_unit
     kn = [f"_aj_k{i}" for i in range(len(keys))]
-    icols, pcols = intervals.columns, points.columns
-    iv_t = intervals.select(F.struct(*icols).alias("_iv")).schema["_iv"].dataType
-    pt_t = points.select(F.struct(*pcols).alias("_pt")).schema["_pt"].dataType
+    # what is sorted holds a key and a time once: the key columns come back from the row's own
+    of_iv, of_pt = {a: k for (a, _), k in zip(keys, kn)}, {b: k for (_, b), k in zip(keys, kn)}
+    iv = F.struct(*[c for c in intervals.columns if c not in of_iv], F.lit(0).alias("_z"))
+    pt = F.struct(*[c for c in points.columns if c not in of_pt], F.lit(0).alias("_z"))
+    iv_t = intervals.select(iv.alias("_iv")).schema["_iv"].dataType
+    pt_t = points.select(pt.alias("_pt")).schema["_pt"].dataType
     iv_ok = F.lit(True)
     for a, _ in keys:
         iv_ok = iv_ok & F.col(a).isNotNull()
@@ -243,15 +246,17 @@ def asof_join(intervals: DataFrame, points: DataFrame, keys: Sequence[tuple[str,
         *[F.col(a).alias(k) for (a, _), k in zip(keys, kn)],
         F.col(start).cast("timestamp_ntz").alias("_aj_t"), F.lit(0).alias("_aj_kind"),
         F.struct(*[F.col(c) for c in tie], F.lit(0).alias("_z")).alias("_aj_tie"),
-        F.struct(*icols).alias("_iv"), F.lit(None).cast(pt_t).alias("_pt"))
+        iv.alias("_iv"), F.lit(None).cast(pt_t).alias("_pt"))
     pts = points.filter(pt_ok).select(
         *[F.col(b).alias(k) for (_, b), k in zip(keys, kn)],
         F.col(point).cast("timestamp_ntz").alias("_aj_t"), F.lit(1).alias("_aj_kind"),
         F.lit(None).cast(tie_t).alias("_aj_tie"),
-        F.lit(None).cast(iv_t).alias("_iv"), F.struct(*pcols).alias("_pt"))
+        F.lit(None).cast(iv_t).alias("_iv"), pt.alias("_pt"))
     u = filled(marks.unionByName(pts), kn, ["_aj_t", "_aj_kind", "_aj_tie"], "_iv", "_aj_iv",
                chunk=F.date_trunc(chunk_unit, F.col("_aj_t")))
-    m = u.filter((F.col("_aj_kind") == 1) & F.col("_aj_iv").isNotNull()).select("_aj_iv.*", "_pt.*")
+    m = u.filter((F.col("_aj_kind") == 1) & F.col("_aj_iv").isNotNull()).select(
+        *[F.col(of_iv[f.name]).cast(f.dataType).alias(f.name) if f.name in of_iv else F.col(f"_aj_iv.{f.name}") for f in intervals.schema],
+        *[F.col(of_pt[f.name]).cast(f.dataType).alias(f.name) if f.name in of_pt else F.col(f"_pt.{f.name}") for f in points.schema])
     lo = F.col(point) >= F.col(start) if lower_inclusive else F.col(point) > F.col(start)
     hi = F.col(point) <= F.col(end) if upper_inclusive else F.col(point) < F.col(end)
     return m.filter(lo & hi)

@@ -168,14 +168,22 @@ def filled(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, o
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     if chunk is None:
         return df.withColumn(out, F.last(col, ignorenulls=True).over(w))
-    tmp, enc, n = _chunked(df, keys, chunk)
+    rows, enc, n = _chunked(df, keys, chunk)
     wk = Window.partitionBy(*enc).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    tmp = tmp.withColumn("_in", F.last(col, ignorenulls=True).over(wk))
+    tmp = rows.withColumn("_in", F.last(col, ignorenulls=True).over(wk))
     # struct order = ascending, nulls first: the max is the chunk's last carrying row
     probe = F.struct(*[F.col(o) for o in order], F.col(col).alias("_v"))
-    per = tmp.groupBy(*enc).agg(F.max(F.when(F.col(col).isNotNull(), probe))["_v"].alias("_last_v"))
-    wc = Window.partitionBy(*enc[:-n]).orderBy(*_chunk_order(enc, n, nulls_last=False)) \
+    valued = rows.filter(F.col(col).isNotNull()).groupBy(*enc).agg(F.max(probe)["_v"].alias("_last_v"))
+    # rows without a value only name their chunk: a maximum of structs would sort them all, this hashes them
+    empty = rows.filter(F.col(col).isNull()).select(*enc).distinct() \
+        .withColumn("_last_v", F.lit(None).cast(valued.schema["_last_v"].dataType))
+    # a chunk of both kinds has two rows, the one without a value first; either sees what lies before the chunk
+    has = F.col("_last_v").isNotNull()
+    wc = Window.partitionBy(*enc[:-n]).orderBy(*_chunk_order(enc, n, nulls_last=False), has) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    carry = per.select(*enc, F.last("_last_v", ignorenulls=True).over(wc).alias("_carry"))
+    carry = valued.unionByName(empty) \
+        .withColumn("_carry", F.last("_last_v", ignorenulls=True).over(wc)) \
+        .withColumn("_one", F.row_number().over(Window.partitionBy(*enc).orderBy(has))) \
+        .filter("_one = 1").select(*enc, "_carry")
     j = tmp.join(carry, enc, "inner")
     return j.withColumn(out, F.coalesce(F.col("_in"), F.col("_carry"))).drop("_in", "_carry", *enc)

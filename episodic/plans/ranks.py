@@ -46,7 +46,8 @@ def q_next_episode(spark, t):
     o = with_next(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey",
                   ["o_orderdate", "o_orderkey"], "o_orderdate", "next_orderdate",
                   chunk=F.date_trunc("year", "o_orderdate"))
-    lines = _lines_with_customer(t)
+    # stored: the fill and the list of its chunks read the lines, which are joined to their orders once
+    lines = materialize(_lines_with_customer(t).drop("l_orderkey"), "next_episode_lines")
     # the last interval is open: no point lies beyond the far end
     iv = o.withColumn("_end", F.coalesce("next_orderdate", ts(FAR_END)))
     # half-open [start, next): the strict upper bound is checked in the ON clause

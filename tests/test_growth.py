@@ -55,3 +55,28 @@ def test_stream_changes_keep_state_by_bucket(spark):
     got = spark.read.parquet(f"{root}/history")
     want = [(k, s, 0) for k, _, s in first] + [(big + i, "a", 1) for i in range(0, n, 2)]
     assert rows(got, "k", "s", "batch_id") == sorted(want, key=lambda t: tuple((x is not None, x) for x in t))
+
+
+def _below(plan, node):
+    """Of every ``node`` in a plan's text, the lines below it."""
+    lines = plan.splitlines()
+    depth = [min((line.find(m) for m in (":- ", "+- ") if m in line), default=0) for line in lines]
+    for i, line in enumerate(lines):
+        if node in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            yield "\n".join(lines[i + 1:end])
+
+
+def test_asof_join_sorts_points_for_the_fill_only(spark):
+    """The last interval of a chunk is found among the intervals: no aggregate of structs sorts the points."""
+    from episodic.operators.intervals import asof_join
+    iv = spark.createDataFrame([(1, 5, T(2024, 1, 1), T(2024, 3, 1)), (2, 5, T(2024, 3, 1), T(2025, 1, 1)), (3, None, T(2024, 1, 1), T(2025, 1, 1))],
+                               "iid long, ik int, s timestamp_ntz, e timestamp_ntz")
+    pts = spark.createDataFrame([(i, 5, T(2024, m, 1)) for i, m in enumerate((1, 2, 3, 7))] + [(9, 6, T(2024, 2, 1)), (8, None, T(2024, 2, 1))],
+                                "pid long, pk long, at timestamp_ntz")
+    got = asof_join(iv, pts, [("ik", "pk")], "s", "e", "at", tie=["iid"], chunk_unit="month")
+    assert got.dtypes == iv.dtypes + pts.dtypes
+    assert rows(got, "pid", "iid", "ik", "pk") == [(0, 1, 5, 5), (1, 1, 5, 5), (2, 2, 5, 5), (3, 2, 5, 5)]
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    below = list(_below(plan, "SortAggregate"))
+    assert below and not any("pid#" in b for b in below)
